@@ -137,7 +137,7 @@ def state_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderpriority").alias("pk"),
         F.col("o_orderkey").alias("seq"),
         F.when(pending, F.lit(None).cast("string")).otherwise(F.date_format("o_orderdate", iso)).alias("min_ts"),
-        F.when(pending, F.lit("")).otherwise(F.date_format(F.date_add(F.col("o_orderdate"), 1), iso)).alias("max_ts"),
+        F.when(pending, F.lit("")).otherwise(F.date_format(F.timestamp_add("DAY", F.lit(1), F.col("o_orderdate")), iso)).alias("max_ts"),
         F.when(F.pmod(F.col("o_orderkey"), F.lit(7)) == 0, F.lit(None).cast("string"))
         .otherwise(F.col("o_custkey").cast("string"))
         .alias("custkey"),

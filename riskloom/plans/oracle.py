@@ -181,4 +181,234 @@ toscore AS ({_scale('s', '(SELECT * FROM tx WHERE class = 3) s')})"""
         "SELECT prediction, count(*) AS n, CASE WHEN prediction = 1 THEN 'Licit' ELSE 'Illicit' END AS prediction_label "
         "FROM svote GROUP BY prediction"
     )
+    q.update(ops_sql())
+    return q
+
+
+# ====================================================================== ops
+TSF = "'%Y-%m-%d %H:%M:%S.%f'"
+KL = "timezone('Asia/Kuala_Lumpur', ts AT TIME ZONE 'UTC')"
+
+
+def _strip(x: str) -> str:
+    return f"regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
+
+
+LOGLINES = r"""
+loglines AS (
+  SELECT strftime(ts, '%Y-%m-%d') AS log_id, event_id AS line_no,
+    CASE WHEN event_type = 'error' AND event_id % 3 = 0 THEN 'Traceback (most recent call last):'
+         WHEN event_type = 'error' THEN 'ValueError: bad record for user ' || CAST(user_id AS VARCHAR)
+         WHEN event_type = 'view' THEN '  File "job.py", line ' || CAST(user_id AS VARCHAR) || ', in step'
+         WHEN event_type = 'signup' THEN 'INFO py4j.clientserver: Closing down clientserver connection'
+         ELSE 'INFO step ' || CAST(event_id AS VARCHAR) || ' ' || event_type END AS line
+  FROM events
+)"""
+
+LOGSCAN = (
+    r"""
+t0 AS (
+  SELECT log_id, min(line_no) AS t FROM loglines
+  WHERE regexp_matches(line, '^Traceback \(most recent call last\):') GROUP BY log_id
+),
+e0 AS (
+  SELECT l.log_id, min(t0.t) AS trace_line_no, min(l.line_no) AS error_line_no
+  FROM loglines l JOIN t0 ON l.log_id = t0.log_id
+  WHERE l.line_no > t0.t AND regexp_matches(l.line, '^(\w+):(.*)') GROUP BY l.log_id
+),
+heads AS (
+  SELECT e0.log_id, e0.trace_line_no, e0.error_line_no,
+    """
+    + _strip(r"regexp_extract(l.line, '^(\w+):(.*)', 1)")
+    + r""" AS exception_name,
+    """
+    + _strip(r"regexp_extract(l.line, '^(\w+):(.*)', 2)")
+    + r""" AS exception_head
+  FROM e0 JOIN loglines l ON l.log_id = e0.log_id AND l.line_no = e0.error_line_no
+),
+tail AS (
+  SELECT l.log_id, l.line_no AS part_no, """
+    + _strip("l.line")
+    + r""" AS part
+  FROM loglines l JOIN heads h ON l.log_id = h.log_id
+  WHERE l.line_no > h.error_line_no AND regexp_matches(l.line, '^[^\t ]')
+    AND NOT regexp_matches(l.line, 'py4j\.clientserver.*?Closing down clientserver connection')
+)"""
+)
+
+INV = f"""
+inv AS (
+  SELECT event_type || '/' || CAST(user_id AS VARCHAR) || '/' || CAST(event_id AS VARCHAR) AS path,
+    CAST(event_id AS VARCHAR) AS name, ts AS mtime, strftime({KL}, '%Y-%m-%d') AS partition
+  FROM events
+)"""
+
+ITEMS = """
+items AS (
+  SELECT o_orderpriority AS pk, o_orderkey AS seq,
+    CASE WHEN o_orderstatus = 'P' THEN NULL ELSE strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') END AS min_ts,
+    CASE WHEN o_orderstatus = 'P' THEN '' ELSE strftime(o_orderdate + INTERVAL 1 DAY, '%Y-%m-%dT%H:%M:%S') END AS max_ts,
+    CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE CAST(o_custkey AS VARCHAR) END AS custkey,
+    CAST(CAST(o_totalprice AS DECIMAL(18, 2)) AS VARCHAR) AS totalprice,
+    o_orderstatus AS status
+  FROM orders
+)"""
+
+STMTS = """
+stmts AS (
+  SELECT event_id AS stmt_id,
+    CASE event_id % 5
+      WHEN 0 THEN 'SELECT COUNT(*) FROM ' || event_type || ' WHERE user_id = ' || CAST(user_id AS VARCHAR)
+      WHEN 1 THEN 'select e.* from ' || event_type || ' e join users u on e.user_id = u.id'
+      WHEN 2 THEN 'DELETE FROM ' || event_type || ' WHERE event_id = ' || CAST(event_id AS VARCHAR)
+      WHEN 3 THEN '  drop table ' || event_type || '_archive;'
+      ELSE 'ALTER TABLE ' || event_type || ' ADD COLUMN c' || CAST(user_id AS VARCHAR) || ' INT' END AS query
+  FROM events
+)"""
+
+TABLE_RE = r"'(?i)\b(?:FROM|JOIN)\s+([^\s;]+)'"
+
+BOUNDS = """
+bounds AS (SELECT date_trunc('hour', min(ts)) AS s, date_trunc('hour', max(ts)) AS e FROM events)"""
+
+
+def _slots(name: str, hours: int, fmt: str) -> str:
+    return f"""
+{name} AS (
+  SELECT CAST(g.i AS VARCHAR) AS idx, strftime(b.s + to_hours(CAST(g.i * {hours} AS BIGINT)), '{fmt}') AS slot,
+    b.s + to_hours(CAST(g.i * {hours} AS BIGINT)) AS slot_ts
+  FROM bounds b CROSS JOIN LATERAL generate_series(0,
+    CAST(trunc((epoch(b.e) - epoch(b.s)) / {hours * 3600}.0) AS BIGINT)) AS g(i)
+)"""
+
+
+PERSONAL = """
+personal AS (
+  SELECT CAST(c_custkey AS VARCHAR) AS uuid, c_name AS name, c_mktsegment AS nric, '2024-01-01' AS date,
+    lpad(CAST(c_custkey AS VARCHAR), 16, '0') AS cardnum
+  FROM customer
+)"""
+
+
+def _clean(c: str) -> str:
+    return f"replace(coalesce({c}, ''), chr(10), '')"
+
+
+def ops_sql() -> dict[str, str]:
+    q: dict[str, str] = {}
+    q["log_exceptions"] = with_(LOGLINES, LOGSCAN) + (
+        "SELECT log_id, exception_name, CAST(-1 AS BIGINT) AS part_no, exception_head AS part FROM heads "
+        "UNION ALL SELECT t.log_id, h.exception_name, t.part_no, t.part FROM tail t JOIN heads h ON t.log_id = h.log_id"
+    )
+    full = _strip("concat_ws(' ', h.exception_head, (SELECT string_agg(t.part, ' ' ORDER BY t.part_no) "
+                  "FROM tail t WHERE t.log_id = h.log_id))")
+    q["log_alerts"] = with_(LOGLINES, LOGSCAN) + (
+        f"SELECT log_id, alias, CASE WHEN length(m) > 300 THEN substr(m, 1, 300) || '... truncated ...' ELSE m END AS message, "
+        "'P3' AS priority, ['airflow.data'] AS tags FROM ("
+        f"SELECT h.log_id, h.exception_name AS alias, {full} AS m FROM heads h)"
+    )
+    q["latest_object"] = with_(INV) + (
+        f"SELECT partition, n_objects, strftime(latest_mtime, {TSF}) AS latest_mtime, latest_path FROM ("
+        "SELECT partition, count(*) OVER (PARTITION BY partition) AS n_objects, mtime AS latest_mtime, path AS latest_path, "
+        "row_number() OVER (PARTITION BY partition ORDER BY mtime DESC, path DESC) AS r FROM inv) WHERE r = 1"
+    )
+    q["input_settled"] = with_(INV) + (
+        "SELECT coalesce(a.partition, m.partition) AS partition, coalesce(a.n, 0) AS n_objects, "
+        f"strftime(a.latest, {TSF}) AS latest_mtime, strftime(m.stored_mark, {TSF}) AS stored_mark, "
+        "coalesce(a.n > 0 AND m.stored_mark IS NOT NULL AND a.latest <= m.stored_mark, false) AS settled, "
+        "strftime(CASE WHEN coalesce(a.n > 0 AND m.stored_mark IS NOT NULL AND a.latest <= m.stored_mark, false) "
+        f"THEN m.stored_mark WHEN coalesce(a.n, 0) > 0 THEN a.latest ELSE m.stored_mark END, {TSF}) AS new_mark "
+        "FROM (SELECT partition, count(*) AS n, max(mtime) AS latest FROM inv GROUP BY partition) a "
+        "FULL OUTER JOIN (SELECT partition, max(mtime) AS stored_mark FROM inv "
+        "WHERE mtime <= TIMESTAMP '2024-01-20 12:00:00' GROUP BY partition) m ON a.partition = m.partition"
+    )
+    q["retention_report"] = with_(INV) + (
+        "SELECT path, age_days FROM (SELECT path, string_split(path, '/') AS parts, "
+        "CAST(floor((epoch_us(TIMESTAMP '2024-02-15 00:00:00') - epoch_us(mtime)) / 86400000000) AS BIGINT) AS age_days "
+        "FROM inv) WHERE age_days > 30 AND NOT list_has_any(list_slice(parts, 1, len(parts) - 1), ['signup'])"
+    )
+    q["name_filters"] = with_(INV) + (
+        "SELECT path, name, NOT starts_with(name, '.') AS visible, starts_with(name, '1') AS has_prefix, "
+        "contains(name, '7') AS has_substring FROM inv"
+    )
+    usable = "min_ts IS NOT NULL AND min_ts <> '' AND max_ts IS NOT NULL AND max_ts <> ''"
+    q["state_range"] = with_(ITEMS) + (
+        f"SELECT pk, min(CASE WHEN {usable} THEN min_ts END) AS min_ts, "
+        f"max(CASE WHEN {usable} THEN max_ts END) AS max_ts FROM items GROUP BY pk"
+    )
+    q["state_key_range"] = with_(ITEMS) + (
+        f"SELECT pk, min(CASE WHEN {usable} THEN min_ts END) AS min_ts, "
+        f"max(CASE WHEN {usable} THEN max_ts END) AS max_ts FROM items WHERE pk = '2-HIGH' GROUP BY pk"
+    )
+    q["state_attributes"] = with_(ITEMS) + " UNION ALL ".join(
+        f"SELECT pk, '{a}' AS attribute, arg_max({a}, seq) AS value FROM items WHERE {a} IS NOT NULL GROUP BY pk"
+        for a in ("custkey", "totalprice", "status")
+    )
+    q["state_remainder"] = with_(ITEMS) + "SELECT * FROM items WHERE pk IS NULL OR pk NOT IN ('1-URGENT', '3-MEDIUM')"
+    q["reconcile_counts"] = (
+        "WITH src AS (SELECT date_trunc('hour', ts) AS slot, count(*) AS source_count FROM events GROUP BY 1), "
+        f"lk AS (SELECT date_trunc('hour', ts) AS slot, count(*) AS lake_count FROM events "
+        f"WHERE {h('CAST(event_id AS VARCHAR)')} % 10 <> 0 GROUP BY 1) "
+        f"SELECT strftime(coalesce(s.slot, l.slot), {TSF}) AS slot, coalesce(s.source_count, 0) AS source_count, "
+        "coalesce(l.lake_count, 0) AS lake_count, CASE WHEN coalesce(s.source_count, 0) = coalesce(l.lake_count, 0) "
+        "THEN 'match' WHEN coalesce(l.lake_count, 0) = 0 THEN 'missing' ELSE 'mismatch' END AS status "
+        "FROM src s FULL OUTER JOIN lk l ON s.slot = l.slot"
+    )
+    q["query_lineage"] = with_(STMTS) + (
+        f"SELECT table_name, count(*) AS n_statements FROM (SELECT unnest(regexp_extract_all(query, {TABLE_RE}, 1)) "
+        "AS table_name FROM stmts) GROUP BY table_name"
+    )
+    q["unsafe_statements"] = with_(STMTS) + (
+        "SELECT stmt_id, regexp_matches(query, '(?i)(drop|delete)') AS has_drop_delete, "
+        "regexp_matches(query, '(?i)^\\s*\\b(drop|alter)\\b') AS leading_drop_alter, "
+        "regexp_replace(query, 'COUNT\\(\\*\\)', '*', 'g') AS rewritten, "
+        f"CAST(len(regexp_extract_all(query, {TABLE_RE}, 1)) AS BIGINT) AS n_tables FROM stmts"
+    )
+    q["lake_count_scalar"] = "SELECT count(*) AS n FROM events WHERE event_type = 'error'"
+    q["time_slots"] = with_(BOUNDS, _slots("slots", 1, "year-%Y_month-%m_day-%d_hour-%H")) + "SELECT idx, slot FROM slots"
+    q["time_slots_6h"] = with_(BOUNDS, _slots("slots", 6, "%Y-%m-%d %H:00")) + "SELECT idx, slot FROM slots"
+    q["slot_coverage"] = with_(BOUNDS, _slots("slots", 1, "year-%Y_month-%m_day-%d_hour-%H")) + (
+        "SELECT s.idx, s.slot, coalesce(c.n, 0) AS n_events FROM slots s LEFT JOIN "
+        "(SELECT date_trunc('hour', ts) AS slot_ts, count(*) AS n FROM events WHERE event_type = 'purchase' GROUP BY 1) c "
+        "ON s.slot_ts = c.slot_ts"
+    )
+    q["local_time"] = (
+        f"SELECT event_id, strftime({KL}, {TSF}) AS local_ts, strftime(ts - INTERVAL 3 HOUR, {TSF}) AS shifted, "
+        f"strftime({KL} - INTERVAL 2 DAY, {TSF}) AS run_date FROM events"
+    )
+    d = f"({KL} - INTERVAL 1 DAY)"
+    q["date_parts"] = (
+        f"SELECT event_id, strftime({d}, '%Y-%m-%d') AS current, lower(strftime({d}, '%b')) AS m_str, "
+        f"strftime({d}, '%m') AS m_int, strftime({d}, '%d') AS day, strftime({d}, '%H') AS hour, "
+        f"strftime({d}, '%M') AS minute, lpad(CAST(CAST(floor(minute(ts) / 15) AS BIGINT) AS VARCHAR), 2, '0') AS quarter "
+        "FROM events"
+    )
+    cur = "date_trunc('hour', ts)"
+    prev = "(date_trunc('hour', ts) - INTERVAL 1 HOUR)"
+    q["hour_window"] = (
+        f"SELECT event_id, strftime({cur}, '%Y-%m-%dT%H:%M:%S') || '.000' AS formatted_date, "
+        f"strftime({prev}, '%Y-%m-%dT%H:%M:%S') || '.000' AS previous_hour, "
+        f"strftime({cur}, '%Y-%m-%d %H:%M:%S.%f') AS sql_formatted_date, "
+        f"strftime({prev}, '%Y-%m-%d %H:%M:%S.%f') AS sql_previous_hour FROM events"
+    )
+    pd_ = f"(CAST({KL} AS DATE) + INTERVAL 1 DAY)"
+    q["partition_date"] = (
+        f"SELECT event_id, strftime({pd_}, '%Y') AS year, strftime({pd_}, '%m') AS month, "
+        f"strftime({pd_}, '%d') AS day FROM events"
+    )
+    p = "('type=' || event_type || '/user=' || CAST(user_id AS VARCHAR))"
+    q["path_codec"] = (
+        f"SELECT event_id, translate({p}, '=/', '-_') AS encoded, "
+        f"translate(translate({p}, '=/', '-_'), '-_', '=/') AS decoded FROM events"
+    )
+    salt = "'riskloom-demo-salt'"
+    q["tokenize_hash"] = with_(PERSONAL) + (
+        f"SELECT {_clean('uuid')} AS uuid, sha256({salt} || {_clean('name')}) AS name, "
+        f"sha256({salt} || {_clean('nric')}) AS nric, {_clean('date')} AS date, "
+        f"sha256({salt} || {_clean('cardnum')}) AS cardnum FROM personal"
+    )
+    q["tokenize_roundtrip"] = with_(PERSONAL) + (
+        f"SELECT {_clean('uuid')} AS uuid, {_clean('name')} AS name_dec, {_clean('nric')} AS nric_dec, "
+        f"{_clean('cardnum')} AS cardnum_dec FROM personal"
+    )
     return q

@@ -110,3 +110,286 @@ def q_best_model(spark, sf_dir):
 def q_score_histogram(spark, sf_dir):
     p, tx = T.prepare(spark, sf_dir)
     return prediction_histogram(T.score_unlabelled(p, tx, 5))
+
+
+# ---------------------------------------------------------------- log scan
+TS_TEXT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+
+
+def _ts_text(c):
+    return F.date_format(c, TS_TEXT)
+
+
+@register("log_exceptions")
+def q_log_exceptions(spark, sf_dir):
+    from riskloom.fixtures import log_lines_from_events
+    from riskloom.operators.logscan import log_exceptions
+
+    return log_exceptions(log_lines_from_events(spark, sf_dir))
+
+
+@register("log_alerts")
+def q_log_alerts(spark, sf_dir):
+    from riskloom.fixtures import log_lines_from_events
+    from riskloom.operators.logscan import log_alerts
+
+    return log_alerts(log_lines_from_events(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- inventory
+SETTLED_CUTOFF = "2024-01-20 12:00:00"
+RETENTION_NOW = "2024-02-15 00:00:00"
+
+
+@register("latest_object")
+def q_latest_object(spark, sf_dir):
+    from riskloom.fixtures import inventory
+    from riskloom.operators.lakeops import latest_objects
+
+    lo = latest_objects(inventory(spark, sf_dir))
+    return lo.withColumn("latest_mtime", _ts_text("latest_mtime"))
+
+
+@register("input_settled")
+def q_input_settled(spark, sf_dir):
+    from riskloom.fixtures import inventory
+    from riskloom.operators.lakeops import marks_at, settled_check
+
+    inv = inventory(spark, sf_dir)
+    out = settled_check(inv, marks_at(inv, SETTLED_CUTOFF))
+    return out.select(
+        "partition", "n_objects", _ts_text("latest_mtime").alias("latest_mtime"),
+        _ts_text("stored_mark").alias("stored_mark"), "settled", _ts_text("new_mark").alias("new_mark"),
+    )
+
+
+@register("retention_report")
+def q_retention_report(spark, sf_dir):
+    from riskloom.fixtures import inventory
+    from riskloom.operators.lakeops import retention_candidates
+
+    return retention_candidates(inventory(spark, sf_dir), RETENTION_NOW, 30, exclude=["signup"])
+
+
+@register("name_filters")
+def q_name_filters(spark, sf_dir):
+    from riskloom.fixtures import inventory
+    from riskloom.operators.lakeops import name_flags
+
+    return name_flags(inventory(spark, sf_dir), prefix="1", contains="7")
+
+
+# ---------------------------------------------------------------- state items
+CONSUMED_KEYS = ["1-URGENT", "3-MEDIUM"]
+REQUESTED_ATTRIBUTES = ["custkey", "totalprice", "status", "discount"]
+
+
+@register("state_range")
+def q_state_range(spark, sf_dir):
+    from riskloom.fixtures import state_items
+    from riskloom.operators.lakeops import state_ranges
+
+    return state_ranges(state_items(spark, sf_dir))
+
+
+@register("state_key_range")
+def q_state_key_range(spark, sf_dir):
+    from riskloom.fixtures import state_items
+    from riskloom.operators.lakeops import state_ranges
+    from riskloom.sources.tables import state_items_for_key
+
+    return state_ranges(state_items_for_key(state_items(spark, sf_dir), "2-HIGH"))
+
+
+@register("state_attributes")
+def q_state_attributes(spark, sf_dir):
+    from riskloom.fixtures import state_items
+    from riskloom.operators.lakeops import state_attributes
+
+    return state_attributes(state_items(spark, sf_dir), REQUESTED_ATTRIBUTES)
+
+
+@register("state_remainder")
+def q_state_remainder(spark, sf_dir):
+    from riskloom.fixtures import state_items
+    from riskloom.operators.lakeops import remaining_items
+
+    return remaining_items(state_items(spark, sf_dir), CONSUMED_KEYS)
+
+
+# ---------------------------------------------------------------- reconcile / query text
+@register("reconcile_counts")
+def q_reconcile_counts(spark, sf_dir):
+    from riskloom.fixtures import reconcile_sides
+    from riskloom.operators.lakeops import reconcile_counts
+
+    src, lake = reconcile_sides(spark, sf_dir)
+    return reconcile_counts(src, lake).withColumn("slot", _ts_text("slot"))
+
+
+@register("query_lineage")
+def q_query_lineage(spark, sf_dir):
+    from riskloom.fixtures import statements
+    from riskloom.operators.lakeops import query_lineage
+
+    return query_lineage(statements(spark, sf_dir))
+
+
+@register("unsafe_statements")
+def q_unsafe_statements(spark, sf_dir):
+    from riskloom.fixtures import statements
+    from riskloom.operators.lakeops import statement_checks
+
+    return statement_checks(statements(spark, sf_dir)).withColumn("n_tables", F.col("n_tables").cast("long"))
+
+
+@register("lake_count_scalar")
+def q_lake_count_scalar(spark, sf_dir):
+    from riskloom.plans.lakesql import lake_count
+    from riskloom.sources.tables import read_table
+
+    read_table(spark, sf_dir, "events").createOrReplaceTempView("events")
+    return lake_count(spark, "SELECT count(*) AS n FROM events WHERE event_type = 'error'")
+
+
+# ---------------------------------------------------------------- time slots and time functions
+SLOT_FORMAT = "year=%Y/month=%m/day=%d/hour=%H"
+
+
+def _event_hour_bounds(spark, sf_dir):
+    from riskloom.sources.tables import read_table
+
+    ev = read_table(spark, sf_dir, "events")
+    return ev.agg(
+        F.date_trunc("hour", F.min("ts")).alias("start"), F.date_trunc("hour", F.max("ts")).alias("end")
+    )
+
+
+@register("time_slots")
+def q_time_slots(spark, sf_dir):
+    from riskloom.operators.timeslots import time_slots
+
+    return time_slots(_event_hour_bounds(spark, sf_dir), "start", "end", SLOT_FORMAT, 1, True).select("idx", "slot")
+
+
+@register("time_slots_6h")
+def q_time_slots_6h(spark, sf_dir):
+    from riskloom.operators.timeslots import time_slots
+
+    return time_slots(_event_hour_bounds(spark, sf_dir), "start", "end", "%Y-%m-%d %H:00", 6, False).select("idx", "slot")
+
+
+@register("slot_coverage")
+def q_slot_coverage(spark, sf_dir):
+    from riskloom.operators.timeslots import slot_coverage, time_slots
+    from riskloom.sources.tables import read_table
+
+    slots = time_slots(_event_hour_bounds(spark, sf_dir), "start", "end", SLOT_FORMAT, 1, True)
+    ev = read_table(spark, sf_dir, "events").where(F.col("event_type") == "purchase")
+    return slot_coverage(slots, ev)
+
+
+@register("local_time")
+def q_local_time(spark, sf_dir):
+    from riskloom.functions.timefns import run_date, shift_hours, utc_to_local
+    from riskloom.sources.tables import read_table
+
+    ev = read_table(spark, sf_dir, "events")
+    return ev.select(
+        "event_id",
+        _ts_text(utc_to_local("ts")).alias("local_ts"),
+        _ts_text(shift_hours(F.col("ts").cast("timestamp"), -3)).alias("shifted"),
+        _ts_text(run_date("ts", previous=True, delta=2, tz="Asia/Kuala_Lumpur")).alias("run_date"),
+    )
+
+
+@register("date_parts")
+def q_date_parts(spark, sf_dir):
+    from riskloom.functions.timefns import exec_date_parts, quarter_hour
+    from riskloom.sources.tables import read_table
+
+    ev = read_table(spark, sf_dir, "events")
+    return ev.select(
+        "event_id",
+        *exec_date_parts("ts", previous=1, delta=1, tz="Asia/Kuala_Lumpur"),
+        quarter_hour("ts").alias("quarter"),
+    )
+
+
+@register("hour_window")
+def q_hour_window(spark, sf_dir):
+    from riskloom.functions.timefns import hour_window_strings
+    from riskloom.sources.tables import read_table
+
+    ev = read_table(spark, sf_dir, "events")
+    return ev.select("event_id", *hour_window_strings(F.col("ts").cast("timestamp")))
+
+
+@register("partition_date")
+def q_partition_date(spark, sf_dir):
+    from riskloom.functions.timefns import partition_date_parts
+    from riskloom.sources.tables import read_table
+
+    ev = read_table(spark, sf_dir, "events")
+    return ev.select("event_id", *partition_date_parts("ts"))
+
+
+@register("path_codec")
+def q_path_codec(spark, sf_dir):
+    from riskloom.functions.text import decode_path, encode_path
+    from riskloom.sources.tables import read_table
+
+    ev = read_table(spark, sf_dir, "events")
+    p = F.concat(F.lit("type="), F.col("event_type"), F.lit("/user="), F.col("user_id").cast("string"))
+    enc = encode_path(p)
+    return ev.select("event_id", enc.alias("encoded"), decode_path(enc).alias("decoded"))
+
+
+# ---------------------------------------------------------------- tokenisation
+# Demo salt of the tokenisation fixture (not a secret).  Fixed value.
+DEMO_SALT = "riskloom-demo-salt"
+TOKEN_FIELDS = ["name", "nric", "cardnum"]
+
+
+def _demo_key() -> str:
+    import secrets
+
+    return secrets.token_hex(16)  # fresh AES-128 key per run; nothing stored
+
+
+def _demo_context(key_hex: str) -> tuple[str, str]:
+    import base64
+    import hashlib
+
+    wrapped = base64.b64encode(hashlib.sha256(bytes.fromhex(key_hex)).digest()).decode()
+    return wrapped, "demo-key"
+
+
+@register("tokenize_hash")
+def q_tokenize_hash(spark, sf_dir):
+    from riskloom.fixtures import personal_data
+    from riskloom.operators.tokenize import tokenize
+
+    key = _demo_key()
+    t = tokenize(personal_data(spark, sf_dir), TOKEN_FIELDS, DEMO_SALT, key, _demo_context(key))
+    return t.select("uuid", "name", "nric", "date", "cardnum")
+
+
+@register("tokenize_roundtrip")
+def q_tokenize_roundtrip(spark, sf_dir):
+    from riskloom.fixtures import personal_data
+    from riskloom.functions.hashing import aes_decrypt_b64
+    from riskloom.operators.tokenize import tokenize
+
+    key = _demo_key()
+    t = tokenize(personal_data(spark, sf_dir), TOKEN_FIELDS, DEMO_SALT, key, _demo_context(key))
+    return t.select("uuid", *[aes_decrypt_b64(f"{f}_enc", key).alias(f"{f}_dec") for f in TOKEN_FIELDS])
+
+
+@register("tokenize_slow")
+def q_tokenize_slow(spark, sf_dir):
+    from riskloom.fixtures import personal_data
+    from riskloom.operators.tokenize import tokenize
+
+    key = _demo_key()
+    return tokenize(personal_data(spark, sf_dir), TOKEN_FIELDS, DEMO_SALT, key, _demo_context(key), slow_fields=["cardnum"])
