@@ -182,6 +182,7 @@ toscore AS ({_scale('s', '(SELECT * FROM tx WHERE class = 3) s')})"""
         "FROM svote GROUP BY prediction"
     )
     q.update(ops_sql())
+    q.update(ml_sql())
     return q
 
 
@@ -412,3 +413,16 @@ def ops_sql() -> dict[str, str]:
         f"{_clean('cardnum')} AS cardnum_dec FROM personal"
     )
     return q
+
+
+def ml_sql() -> dict[str, str]:
+    sums = ["count(*) AS n", "round(sum(CAST(class AS DOUBLE)), 6) AS s_y", "round(sum(CAST(class AS DOUBLE) * class), 6) AS s_yy"]
+    for i, a in enumerate(FEATS):
+        sums.append(f"round(sum({a}), 6) AS s_{a}")
+        sums.append(f"round(sum({a} * CAST(class AS DOUBLE)), 6) AS s_{a}__y")
+        for b in FEATS[i:]:
+            sums.append(f"round(sum({a} * {b}), 6) AS s_{a}__{b}")
+    fold = f"CAST({h(chr(39) + '42:fold:' + chr(39) + ' || CAST(tx_id AS VARCHAR)')} % 5 AS INTEGER)"
+    return {
+        "gram_by_fold": with_(PREP, SMOTE) + f"SELECT {fold} AS fold, {', '.join(sums)} FROM trainos GROUP BY 1",
+    }

@@ -393,3 +393,95 @@ def q_tokenize_slow(spark, sf_dir):
 
     key = _demo_key()
     return tokenize(personal_data(spark, sf_dir), TOKEN_FIELDS, DEMO_SALT, key, _demo_context(key), slow_fields=["cardnum"])
+
+
+# ---------------------------------------------------------------- L1 selection and trainers
+GBT_QUERY_ITERS = 20  # boosting rounds in the registered query (parameter default: 100)
+
+
+@register("gram_by_fold")
+def q_gram_by_fold(spark, sf_dir):
+    from riskloom.operators.lasso import gram_by_fold
+
+    p, _ = T.prepare(spark, sf_dir)
+    g = gram_by_fold(T.oversampled_train(p), FEATURES, LABEL, KEY, folds=5, seed=42)
+    return g.select("fold", "n", *[F.round(c, 6).alias(c) for c in g.columns if c.startswith("s_")])
+
+
+@register("lasso_selection")
+def q_lasso_selection(spark, sf_dir):
+    p, _ = T.prepare(spark, sf_dir)
+    alpha, sel = T.select_features(p)
+    return sel.select("feature", F.round("coefficient", 6).alias("coefficient"), "selected", F.lit(alpha).alias("alpha"))
+
+
+@register("selection_summary")
+def q_selection_summary(spark, sf_dir):
+    from riskloom.operators.lasso import selection_summary
+
+    p, _ = T.prepare(spark, sf_dir)
+    _, sel = T.select_features(p)
+    return selection_summary(sel)
+
+
+def _train_one(spark, sf_dir, name, **params):
+    from riskloom.operators.lasso import selected_features
+
+    p, _ = T.prepare(spark, sf_dir)
+    train = T.oversampled_train(p).checkpoint(eager=True)
+    from riskloom.operators.lasso import lasso_select
+
+    _, sel = lasso_select(train, FEATURES, LABEL, KEY)
+    _, metric = T.train_model(p, train, name, selected_features(sel), **params)
+    return metric
+
+
+@register("train_decision_tree")
+def q_train_dt(spark, sf_dir):
+    return _train_one(spark, sf_dir, "decision_tree")
+
+
+@register("train_random_forest")
+def q_train_rf(spark, sf_dir):
+    return _train_one(spark, sf_dir, "random_forest")
+
+
+@register("train_gbt")
+def q_train_gbt(spark, sf_dir):
+    return _train_one(spark, sf_dir, "gbt", maxIter=GBT_QUERY_ITERS)
+
+
+@register("train_mlp")
+def q_train_mlp(spark, sf_dir):
+    return _train_one(spark, sf_dir, "mlp")
+
+
+@register("model_selection")
+def q_model_selection(spark, sf_dir):
+    from riskloom.session import scratch_dir
+
+    p, _ = T.prepare(spark, sf_dir)
+    metrics, best, _ = T.training_run(
+        p, params={"gbt": {"maxIter": GBT_QUERY_ITERS}}, model_path=scratch_dir(spark, "best-model")
+    )
+    return metrics.withColumn("is_best", F.col("model") == F.lit(best))
+
+
+@register("save_load_score")
+def q_save_load_score(spark, sf_dir):
+    """E2: persisted pipeline → load → required columns → score class-3 rows
+    → CSV out → read back → Licit/Illicit counts."""
+    from riskloom.operators.models import PREDICTION_CODE, load_model, save_model, score
+    from riskloom.session import scratch_dir
+    from riskloom.sources.sinks import write_csv
+    from riskloom.sources.tables import read_csv_table, require_columns
+
+    p, tx = T.prepare(spark, sf_dir)
+    train = T.oversampled_train(p).checkpoint(eager=True)
+    model, _ = T.train_model(p, train, "decision_tree", FEATURES)
+    path = save_model(model, scratch_dir(spark, "model"))
+    loaded = load_model(path)
+    rows = require_columns(filter_classes(tx, T.SCORE_CLASSES), FEATURES)
+    out = write_csv(score(loaded, rows, keep=[KEY, LABEL, *FEATURES]), scratch_dir(spark, "predictions"))
+    back = read_csv_table(spark, out, schema=f"{KEY} long, {LABEL} int, " + ", ".join(f"{f} double" for f in FEATURES) + f", {PREDICTION_CODE} int")
+    return prediction_histogram(back, PREDICTION_CODE)

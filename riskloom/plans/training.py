@@ -112,3 +112,61 @@ def score_unlabelled(p: Prepared, tx: DataFrame, k: int = 5) -> DataFrame:
     scaled with the fitted scaler."""
     to_score = p.scaler.transform(filter_classes(tx, SCORE_CLASSES).select(KEY, LABEL, *p.features))
     return knn_predict(oversampled_train(p), to_score, k, p.features, KEY, LABEL)
+
+
+# ---------------------------------------------------------------- selection and trainers
+def select_features(p: Prepared, k: int = 5, seed: int = 42):
+    """ML4/ML5 on the oversampled training side: (alpha, selection frame)."""
+    from riskloom.operators.lasso import lasso_select
+
+    train = oversampled_train(p, k, seed).checkpoint(eager=True)
+    return lasso_select(train, p.features, LABEL, KEY, folds=5, seed=seed)
+
+
+def train_model(p: Prepared, train: DataFrame, name: str, features: Sequence[str], **params):
+    """Fit one MLlib pipeline and its metric row on the test side."""
+    from riskloom.operators.models import evaluate, fit_pipeline
+
+    model = fit_pipeline(train, features, name, scaler=p.scaler, **params)
+    return model, evaluate(name, model, p.test)
+
+
+def training_run(
+    p: Prepared,
+    models: Sequence[str] = ("decision_tree", "random_forest", "gbt", "mlp"),
+    params: dict | None = None,
+    model_path: str | None = None,
+    k: int = 5,
+    seed: int = 42,
+):
+    """E1: oversample → L1 selection → k-NN + MLlib trainers (fitted from a
+    small driver thread pool, so Spark runs their jobs side by side) →
+    metrics → best model saved.  Returns (metrics DataFrame, best name)."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    from riskloom.operators.evaluate import best_model, union_metrics
+    from riskloom.operators.lasso import selected_features
+    from riskloom.operators.models import MODEL_ORDINAL, save_model
+
+    params = params or {}
+    train = oversampled_train(p, k, seed).checkpoint(eager=True)
+    from riskloom.operators.lasso import lasso_select
+
+    _, selection = lasso_select(train, p.features, LABEL, KEY, folds=5, seed=seed)
+    feats = selected_features(selection)
+    with ThreadPoolExecutor(max_workers=max(1, len(models))) as pool:
+        futures = {m: pool.submit(train_model, p, train, m, feats, **params.get(m, {})) for m in models}
+        fitted = {m: f.result() for m, f in futures.items()}
+    nn = knn_join(p.test, train, k, feats, KEY, KEY, carry=LABEL)
+    knn_pred = majority_vote(nn, LABEL).join(
+        p.test.select(F.col(KEY).alias("query_id"), F.col(LABEL).alias("_truth")), "query_id"
+    )
+    knn_metric = knn_pred.agg(
+        F.avg((F.col("prediction") == F.col("_truth")).cast("double")).alias("accuracy"),
+        F.count(F.lit(1)).alias("n_test"),
+    ).select(F.lit("knn").alias("model"), F.lit(MODEL_ORDINAL["knn"]).alias("ordinal"), "accuracy", "n_test")
+    metrics = union_metrics([knn_metric] + [fitted[m][1] for m in models]).cache()
+    best = best_model(metrics).first()["model"]
+    if model_path is not None and best in fitted:
+        save_model(fitted[best][0], model_path)
+    return metrics, best, {m: v[0] for m, v in fitted.items()}
