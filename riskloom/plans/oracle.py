@@ -183,6 +183,8 @@ toscore AS ({_scale('s', '(SELECT * FROM tx WHERE class = 3) s')})"""
     )
     q.update(ops_sql())
     q.update(ml_sql())
+    q.update(io_sql())
+    q["gzip_log_alerts"] = q["log_alerts"]
     return q
 
 
@@ -426,3 +428,41 @@ def ml_sql() -> dict[str, str]:
     return {
         "gram_by_fold": with_(PREP, SMOTE) + f"SELECT {fold} AS fold, {', '.join(sums)} FROM trainos GROUP BY 1",
     }
+
+
+def io_sql() -> dict[str, str]:
+    q: dict[str, str] = {}
+    feats = ", ".join(FEATS)
+    q["csv_roundtrip"] = with_(TX) + f"SELECT tx_id, class, {feats} FROM tx"
+    pdate = f"(CAST({KL} AS DATE) + INTERVAL 1 DAY)"
+    parts = f"strftime({pdate}, '%Y') AS year, strftime({pdate}, '%m') AS month, strftime({pdate}, '%d') AS day"
+    q["partition_scan"] = (
+        f"SELECT * FROM (SELECT event_id, event_type, value, {parts} FROM events) "
+        "WHERE year = '2024' AND month = '01' AND day = '10'"
+    )
+    q["dynamic_overwrite"] = (
+        f"SELECT event_id, CASE WHEN partition <= '2024-01-05' THEN value * 2 ELSE value END AS value, partition "
+        f"FROM (SELECT event_id, value, strftime({pdate}, '%Y-%m-%d') AS partition FROM events)"
+    )
+    q["gzip_lines"] = with_(LOGLINES) + (
+        "SELECT log_id, row_number() OVER (PARTITION BY log_id ORDER BY line_no) - 1 AS line_no, line FROM loglines"
+    )
+    q["file_inventory"] = "SELECT strftime(ts, '%Y-%m-%d') AS log_id, count(DISTINCT 1) AS n_files FROM events GROUP BY 1"
+    q["catalog_table"] = "SELECT event_type, count(*) AS n, round(sum(value), 6) AS total_value FROM events GROUP BY event_type"
+    vdist = "round(list_distance(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), 9)"
+    q["knn_vectors"] = (
+        "SELECT query_id, ref_id, CAST(rank AS INTEGER) AS rank, distance, class FROM ("
+        f"SELECT a.vec_id AS query_id, b.vec_id AS ref_id, {vdist} AS distance, CAST(b.label % 2 + 1 AS INTEGER) AS class, "
+        f"row_number() OVER (PARTITION BY a.vec_id ORDER BY {vdist}, b.vec_id) AS rank "
+        "FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id) WHERE rank <= 5"
+    )
+    split = f"CASE WHEN {h(chr(39) + '42:' + chr(39) + ' || CAST(vec_id AS VARCHAR)')} % 100 < 80 THEN 'test' ELSE 'train' END"
+    q["knn_vectors_accuracy"] = (
+        f"WITH v AS (SELECT vec_id, embedding, CAST(label % 2 + 1 AS INTEGER) AS class, {split} AS split FROM embeddings), "
+        f"nn AS (SELECT a.vec_id AS qid, a.class AS truth, b.class AS c, row_number() OVER (PARTITION BY a.vec_id "
+        f"ORDER BY {vdist}, b.vec_id) AS rnk FROM v a JOIN v b ON a.split = 'test' AND b.split = 'train'), "
+        "votes AS (SELECT qid, truth, c, row_number() OVER (PARTITION BY qid ORDER BY count(*) DESC, c) AS o "
+        "FROM nn WHERE rnk <= 5 GROUP BY qid, truth, c) "
+        "SELECT avg(CAST(c = truth AS DOUBLE)) AS accuracy, count(*) AS n_test FROM votes WHERE o = 1"
+    )
+    return q

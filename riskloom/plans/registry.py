@@ -485,3 +485,154 @@ def q_save_load_score(spark, sf_dir):
     out = write_csv(score(loaded, rows, keep=[KEY, LABEL, *FEATURES]), scratch_dir(spark, "predictions"))
     back = read_csv_table(spark, out, schema=f"{KEY} long, {LABEL} int, " + ", ".join(f"{f} double" for f in FEATURES) + f", {PREDICTION_CODE} int")
     return prediction_histogram(back, PREDICTION_CODE)
+
+
+# ---------------------------------------------------------------- file sources and sinks
+@register("csv_roundtrip")
+def q_csv_roundtrip(spark, sf_dir):
+    """SRC1 + SNK1 + PRJ1 + PRJ2: write the transaction table as header CSV
+    with a pandas-style index column, read it back with an explicit schema,
+    drop the index and project the run-time column list."""
+    from riskloom.session import scratch_dir
+    from riskloom.sources.sinks import write_csv
+    from riskloom.sources.tables import columns_in_order, read_csv_table
+
+    tx = transactions(spark, sf_dir)
+    path = write_csv(tx.select(F.col(KEY).alias("Unnamed: 0"), KEY, LABEL, *FEATURES), scratch_dir(spark, "tx-csv"))
+    schema = f"`Unnamed: 0` long, {KEY} long, {LABEL} int, " + ", ".join(f"{f} double" for f in FEATURES)
+    back = read_csv_table(spark, path, schema=schema)
+    return columns_in_order(back, [KEY, LABEL, *FEATURES])
+
+
+def _events_by_partition_date(spark, sf_dir):
+    from riskloom.functions.timefns import partition_date_parts
+    from riskloom.sources.tables import read_table
+
+    ev = read_table(spark, sf_dir, "events")
+    return ev.select("event_id", "event_type", "value", *partition_date_parts("ts"))
+
+
+@register("partition_scan")
+def q_partition_scan(spark, sf_dir):
+    """SRC5 + FN16: a year=/month=/day= lake table, one day read through
+    partition pruning."""
+    from riskloom.session import scratch_dir
+    from riskloom.sources.tables import read_day_partition
+
+    base = scratch_dir(spark, "lake-events")
+    _events_by_partition_date(spark, sf_dir).write.partitionBy("year", "month", "day").parquet(base)
+    schema = "event_id long, event_type string, value double, year string, month string, day string"
+    df = read_day_partition(spark, base, "2024", "01", "10", schema=schema)
+    return df.select("event_id", "event_type", "value", "year", "month", "day")
+
+
+@register("dynamic_overwrite")
+def q_dynamic_overwrite(spark, sf_dir):
+    """SNK2: overwrite only the partitions present in the new data
+    (days up to 2024-01-05 with doubled values); all others stay."""
+    from riskloom.session import scratch_dir
+    from riskloom.sources.sinks import overwrite_partitions
+
+    inv = _events_by_partition_date(spark, sf_dir).withColumn("partition", F.concat_ws("-", "year", "month", "day"))
+    base = scratch_dir(spark, "lake-dyn")
+    overwrite_partitions(inv.select("event_id", "value", "partition"), base, ["partition"])
+    fresh = inv.where(F.col("partition") <= "2024-01-05").select("event_id", (F.col("value") * 2).alias("value"), "partition")
+    overwrite_partitions(fresh, base, ["partition"])
+    return spark.read.schema("event_id long, value double, partition string").parquet(base)
+
+
+def _write_gzip_logs(spark, sf_dir):
+    """Write the derived logs as one gzip text file per log (lines in order)."""
+    from riskloom.fixtures import log_lines_from_events
+    from riskloom.session import scratch_dir
+
+    base = scratch_dir(spark, "logs")
+    lines = log_lines_from_events(spark, sf_dir)
+    (
+        lines.repartition("log_id")
+        .sortWithinPartitions("log_id", "line_no")
+        .select("log_id", "line")
+        .write.partitionBy("log_id")
+        .option("compression", "gzip")
+        .text(base)
+    )
+    return base
+
+
+def _gzip_lines(spark, sf_dir):
+    from riskloom.sources.tables import log_lines
+
+    base = _write_gzip_logs(spark, sf_dir)
+    lines = log_lines(spark, base)
+    return base, lines.select(
+        F.regexp_extract("log_path", r"log_id=([^/]+)", 1).alias("log_id"), "line_no", "line"
+    )
+
+
+@register("gzip_lines")
+def q_gzip_lines(spark, sf_dir):
+    """SRC7: gzip logs back to ordered lines (position within each file)."""
+    return _gzip_lines(spark, sf_dir)[1]
+
+
+@register("gzip_log_alerts")
+def q_gzip_log_alerts(spark, sf_dir):
+    """E3: gzip logs → exception scan → alert rows, for all logs at once."""
+    from riskloom.operators.logscan import log_alerts
+
+    return log_alerts(_gzip_lines(spark, sf_dir)[1])
+
+
+@register("file_inventory")
+def q_file_inventory(spark, sf_dir):
+    """SRC6: listing of the written log files (no contents read): files per log."""
+    from riskloom.sources.tables import file_inventory
+
+    base = _write_gzip_logs(spark, sf_dir)
+    inv = file_inventory(spark, base)
+    return (
+        inv.where(F.col("name").endswith(".gz"))
+        .groupBy(F.regexp_extract("path", r"log_id=([^/]+)", 1).alias("log_id"))
+        .agg(F.count(F.lit(1)).alias("n_files"))
+    )
+
+
+@register("catalog_table")
+def q_catalog_table(spark, sf_dir):
+    """SRC10: save as a catalog table (data in the shared folder), read it
+    back by name."""
+    import uuid
+
+    from riskloom.session import scratch_dir
+    from riskloom.sources.tables import catalog_table, read_table
+
+    name = f"riskloom_events_{uuid.uuid4().hex[:8]}"
+    read_table(spark, sf_dir, "events").write.option("path", scratch_dir(spark, "catalog")).saveAsTable(name)
+    t = catalog_table(spark, name)
+    return t.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 6).alias("total_value"))
+
+
+# ---------------------------------------------------------------- k-NN over embeddings
+@register("knn_vectors")
+def q_knn_vectors(spark, sf_dir):
+    """JON2 on 64-dim embeddings: the 5 nearest other vectors of each vector."""
+    from riskloom.fixtures import vectors
+    from riskloom.operators.knn import knn_join
+
+    v = vectors(spark, sf_dir)
+    return knn_join(v, v, 5, ["embedding"], "vec_id", "vec_id", exclude_self=True, carry=LABEL)
+
+
+@register("knn_vectors_accuracy")
+def q_knn_vectors_accuracy(spark, sf_dir):
+    """ML6 on embeddings: hash split 80/20 (train 20%), 5-NN class votes."""
+    from riskloom.fixtures import vectors
+    from riskloom.operators.evaluate import accuracy
+    from riskloom.operators.knn import knn_predict
+    from riskloom.operators.prepare import hash_split
+
+    v = hash_split(vectors(spark, sf_dir), "vec_id", 0.8, 42)
+    train = v.where(F.col("split") == "train")
+    test = v.where(F.col("split") == "test")
+    pred = knn_predict(train, test, 5, ["embedding"], "vec_id", LABEL)
+    return accuracy(pred.join(test.select("vec_id", LABEL), "vec_id"), "prediction", LABEL)

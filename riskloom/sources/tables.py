@@ -102,14 +102,16 @@ def jdbc_query(
 
 
 def read_day_partition(
-    spark: SparkSession, base: str, year: str, month: str, day: str
+    spark: SparkSession, base: str, year: str, month: str, day: str, schema: StructType | str | None = None
 ) -> DataFrame:
     """SRC5: ``base/year=Y/month=M/day=D`` through partition pruning.
 
     The equality filters on partition columns become PartitionFilters, so only
-    that day's folder is listed and read.
+    that day's folder is listed and read.  Pass ``schema`` (with the partition
+    columns as strings) to keep ``01`` as text instead of inferring integers.
     """
-    df = spark.read.parquet(base)
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    df = reader.parquet(base)
     return df.where((F.col("year") == year) & (F.col("month") == month) & (F.col("day") == day))
 
 
