@@ -87,7 +87,7 @@ IGNORED_LINE = "INFO py4j.clientserver: Closing down clientserver connection"
 INFO_LINE_PREFIX = "INFO step "
 
 
-def log_lines_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def log_lines_from_events(spark: SparkSession, sf_dir: str, with_ts: bool = False) -> DataFrame:
     """(log_id, line_no, line): one log per UTC day of `events`.
 
     `line_no` is the event id, which orders the lines of a day; it need not be
@@ -108,6 +108,7 @@ def log_lines_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.date_format(F.col("ts"), "yyyy-MM-dd").alias("log_id"),
         eid.alias("line_no"),
         line.alias("line"),
+        *([F.col("ts")] if with_ts else []),
     )
 
 

@@ -185,6 +185,7 @@ toscore AS ({_scale('s', '(SELECT * FROM tx WHERE class = 3) s')})"""
     q.update(ml_sql())
     q.update(io_sql())
     q["gzip_log_alerts"] = q["log_alerts"]
+    q.update(stream_sql(q))
     return q
 
 
@@ -466,3 +467,14 @@ def io_sql() -> dict[str, str]:
         "SELECT avg(CAST(c = truth AS DOUBLE)) AS accuracy, count(*) AS n_test FROM votes WHERE o = 1"
     )
     return q
+
+
+def stream_sql(q: dict[str, str]) -> dict[str, str]:
+    return {
+        "stream_buckets": (
+            f"SELECT strftime(date_trunc('hour', ts), {TSF}) AS slot, count(*) AS n_events, "
+            "round(sum(value), 6) AS total_value FROM events GROUP BY 1"
+        ),
+        "stream_settled": q["latest_object"],
+        "stream_logscan": q["log_alerts"],
+    }

@@ -636,3 +636,62 @@ def q_knn_vectors_accuracy(spark, sf_dir):
     test = v.where(F.col("split") == "test")
     pred = knn_predict(train, test, 5, ["embedding"], "vec_id", LABEL)
     return accuracy(pred.join(test.select("vec_id", LABEL), "vec_id"), "prediction", LABEL)
+
+
+# ---------------------------------------------------------------- streaming
+STREAM_CHUNKS = 6
+STREAM_FILES_PER_CHUNK = 4
+
+
+@register("stream_buckets")
+def q_stream_buckets(spark, sf_dir):
+    """STR4: hourly windows with a watermark over a file stream of events."""
+    from riskloom.sources.tables import read_table
+    from riskloom.streaming.common import stage_chunks
+    from riskloom.streaming.jobs import stream_buckets
+
+    path, f = stage_chunks(read_table(spark, sf_dir, "events"), "ts", STREAM_CHUNKS, STREAM_FILES_PER_CHUNK, "stream-events")
+    out = stream_buckets(spark, path, f)
+    return out.select(_ts_text("slot").alias("slot"), "n_events", F.round("total_value", 6).alias("total_value"))
+
+
+@register("stream_settled")
+def q_stream_settled(spark, sf_dir):
+    """STR2: per-partition latest object as streaming state (final state)."""
+    from riskloom.fixtures import inventory
+    from riskloom.streaming.common import stage_chunks
+    from riskloom.streaming.jobs import stream_settled
+
+    path, f = stage_chunks(inventory(spark, sf_dir), "mtime", STREAM_CHUNKS, STREAM_FILES_PER_CHUNK, "stream-inventory")
+    out = stream_settled(spark, path, f)
+    return out.select("partition", "n_objects", _ts_text("latest_mtime").alias("latest_mtime"), "latest_path")
+
+
+@register("stream_logscan")
+def q_stream_logscan(spark, sf_dir):
+    """STR3: exception scan as per-log state across micro-batches."""
+    from riskloom.fixtures import log_lines_from_events
+    from riskloom.streaming.common import stage_chunks
+    from riskloom.streaming.jobs import stream_logscan
+
+    lines = log_lines_from_events(spark, sf_dir, with_ts=True)
+    path, f = stage_chunks(lines, "ts", STREAM_CHUNKS, STREAM_FILES_PER_CHUNK, "stream-logs")
+    return stream_logscan(spark, path, f)
+
+
+@register("stream_score")
+def q_stream_score(spark, sf_dir):
+    """STR1: persisted pipeline applied to a stream of rows to score."""
+    from riskloom.operators.models import PREDICTION_CODE, save_model
+    from riskloom.session import scratch_dir
+    from riskloom.streaming.common import stage_chunks
+    from riskloom.streaming.jobs import stream_score
+
+    p, tx = T.prepare(spark, sf_dir)
+    train = T.oversampled_train(p).checkpoint(eager=True)
+    model, _ = T.train_model(p, train, "decision_tree", FEATURES)
+    mpath = save_model(model, scratch_dir(spark, "stream-model"))
+    rows = filter_classes(tx, T.SCORE_CLASSES).withColumn("ts", F.timestamp_seconds(F.col(KEY)))
+    path, f = stage_chunks(rows, "ts", 3, STREAM_FILES_PER_CHUNK, "stream-rows")
+    scored = stream_score(spark, mpath, path, f, [KEY, LABEL])
+    return prediction_histogram(scored, PREDICTION_CODE)

@@ -17,6 +17,9 @@ from pyspark.sql import SparkSession
 def local_session(cores: int | str = "*", app: str = "riskloom") -> SparkSession:
     """Session for tests and the bench: UI off, AQE on, UTC, Arrow on."""
     parts = os.environ.get("RISKLOOM_SHUFFLE_PARTITIONS", "8")
+    # Python workers inherit this: hides a pandas FutureWarning raised inside
+    # PySpark's own state serializer.
+    os.environ.setdefault("PYTHONWARNINGS", "ignore::FutureWarning")
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
