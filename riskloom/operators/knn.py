@@ -132,10 +132,11 @@ def knn_join(
     """
     spark = query.sparkSession
     fcols = list(features)
-    wcols = [within] if within else []
-    ccols = [carry] if carry else []
-    ref = reference.select(F.col(ref_id).alias("_rid"), *wcols, *ccols, *fcols)
-    qry = query.select(F.col(query_id).alias("_qid"), *wcols, *fcols)
+    wq = [F.col(within).alias("_w")] if within else []
+    wr = [F.col(within).alias("_w")] if within else []
+    cr = [F.col(carry).alias("_c")] if carry else []
+    ref = reference.select(F.col(ref_id).alias("_rid"), *wr, *cr, *fcols)
+    qry = query.select(F.col(query_id).alias("_qid"), *wq, *fcols)
     n_ref = ref.count()
     width = len(fcols) if not (len(fcols) == 1 and dict(ref.dtypes)[fcols[0]].startswith("array")) else None
     if width is None:
@@ -151,12 +152,12 @@ def _knn_broadcast(spark, qry, ref, k, fcols, within, exclude_self, carry, decim
     # Size was measured by the caller: the reference side is bounded.
     pdf = ref.toPandas()
     groups = {}
-    keyed = pdf.groupby(within, sort=False) if within else [(None, pdf)]
+    keyed = pdf.groupby("_w", sort=False) if within else [(None, pdf)]
     for w, g in keyed:
         g = g.sort_values("_rid", kind="stable")
         groups[w] = (
             g["_rid"].to_numpy(dtype="int64"),
-            g[carry].to_numpy() if carry else None,
+            g["_c"].to_numpy() if carry else None,
             _matrix(g, fcols),
         )
     bc = spark.sparkContext.broadcast(groups)
@@ -165,7 +166,7 @@ def _knn_broadcast(spark, qry, ref, k, fcols, within, exclude_self, carry, decim
     def run(batches):
         table = bc.value
         for b in batches:
-            parts = b.groupby(within, sort=False) if within else [(None, b)]
+            parts = b.groupby("_w", sort=False) if within else [(None, b)]
             outs = []
             for w, g in parts:
                 if w not in table:
@@ -184,23 +185,31 @@ def _knn_grid(qry, ref, n_ref, k, fcols, within, exclude_self, carry, decimals,
     n_qry = qry.count()
     b_ref = max(1, math.ceil(n_ref / block_rows))
     b_qry = max(1, math.ceil(n_qry / block_rows))
-    q = qry.withColumn("_qb", hash_bucket(b_qry, F.col("_qid"))).withColumn(
+    # Distinct column names per side: a self-join's two sides share
+    # attribute names, which a cogroup must not confuse.
+    qf = [f"_q{j}" for j in range(len(fcols))]
+    rf = [f"_r{j}" for j in range(len(fcols))]
+    wq = ["_w"] if within else []
+    q = qry.select("_qid", *wq, *[F.col(c).alias(n) for c, n in zip(fcols, qf)])
+    r = ref.select("_rid", *wq, *(["_c"] if carry else []), *[F.col(c).alias(n) for c, n in zip(fcols, rf)])
+    q = q.withColumn("_qb", hash_bucket(b_qry, F.col("_qid"))).withColumn(
         "_rb", F.explode(F.sequence(F.lit(0), F.lit(b_ref - 1)))
     )
-    r = ref.withColumn("_rb", hash_bucket(b_ref, F.col("_rid"))).withColumn(
+    r = r.withColumn("_rb", hash_bucket(b_ref, F.col("_rid"))).withColumn(
         "_qb", F.explode(F.sequence(F.lit(0), F.lit(b_qry - 1)))
     )
-    keys = ["_qb", "_rb"] + ([within] if within else [])
+    keys = ["_qb", "_rb"] + (["_w"] if within else [])
     schema = _out_schema(carry)
 
     def cell(qp: pd.DataFrame, rp: pd.DataFrame) -> pd.DataFrame:
         if len(qp) == 0 or len(rp) == 0:
-            return pd.DataFrame({c: [] for c in ["query_id", "ref_id", "rank", "distance"] + ([carry] if carry else [])})
+            cols = ["query_id", "ref_id", "rank", "distance"] + ([carry] if carry else [])
+            return pd.DataFrame({c: [] for c in cols})
         rp = rp.sort_values("_rid", kind="stable")
         r_ids = rp["_rid"].to_numpy(dtype="int64")
         q_ids = qp["_qid"].to_numpy(dtype="int64")
-        r_carry = rp[carry].to_numpy() if carry else None
-        qi, ri, di, rank = _topk_block(q_ids, _matrix(qp, fcols), r_ids, _matrix(rp, fcols), k, decimals, exclude_self)
+        r_carry = rp["_c"].to_numpy() if carry else None
+        qi, ri, di, rank = _topk_block(q_ids, _matrix(qp, qf), r_ids, _matrix(rp, rf), k, decimals, exclude_self)
         return _frame(q_ids, r_ids, r_carry, qi, ri, di, rank, carry)
 
     local = q.groupBy(*keys).cogroup(r.groupBy(*keys)).applyInPandas(cell, schema)
