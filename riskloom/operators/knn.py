@@ -52,27 +52,43 @@ def _topk_block(
         return e, e, np.empty(0), e
     out_q, out_r, out_d = [], [], []
     step = max(1, _CHUNK_CELLS // m)
+    half = 0.5 * 10.0 ** (-decimals)
+    r_norm = np.einsum("ij,ij->i", R, R)
+    r_max = float(r_norm.max())
+    kk = min(k, m)
     for s in range(0, len(q_ids), step):
         Qc = Q[s : s + step]
-        d2 = np.zeros((len(Qc), m))
-        for j in range(Q.shape[1]):  # left-to-right accumulation, as in SQL
-            diff = Qc[:, j, None] - R[None, :, j]
-            d2 += diff * diff
-        d = np.round(np.sqrt(d2), decimals)
+        q_norm = np.einsum("ij,ij->i", Qc, Qc)
+        # 1) candidates from one BLAS product, with a margin that covers its
+        #    rounding error, so no true neighbour can be missed
+        approx = q_norm[:, None] + r_norm[None, :] - 2.0 * (Qc @ R.T)
+        tol = 1e-12 * (q_norm + r_max + 1.0) * (Q.shape[1] + 2)
+        if exclude_self:
+            approx[q_ids[s : s + step, None] == r_ids[None, :]] = np.inf
+        kth = np.partition(approx, kk - 1, axis=1)[:, kk - 1] + tol
+        kth_round = np.round(np.sqrt(np.maximum(kth, 0.0)), decimals)
+        bound = np.square(kth_round + half) * (1 + 1e-9) + tol
+        sel = approx <= bound[:, None]
         if exclude_self:
-            d[q_ids[s : s + step, None] == r_ids[None, :]] = np.inf
-        kk = min(k, m)
-        kth = np.partition(d, kk - 1, axis=1)[:, kk - 1]
-        lt = d < kth[:, None]
-        eq = d == kth[:, None]
-        need = kk - lt.sum(axis=1)
-        take = lt | (eq & (np.cumsum(eq, axis=1) <= need[:, None]))
-        rows, cols = np.nonzero(take)
-        dist = d[rows, cols]
-        ok = np.isfinite(dist)
-        out_q.append(rows[ok] + s)
-        out_r.append(cols[ok])
-        out_d.append(dist[ok])
+            sel &= np.isfinite(approx)
+        rows, cols = np.nonzero(sel)
+        # 2) exact distances, accumulated left to right as in SQL, for the
+        #    candidates only; then rounded and ordered by (distance, id)
+        d2 = np.zeros(len(rows))
+        for j in range(Q.shape[1]):
+            diff = Qc[rows, j] - R[cols, j]
+            d2 += diff * diff
+        dist = np.round(np.sqrt(d2), decimals)
+        order = np.lexsort((r_ids[cols], dist, rows))
+        rows, cols, dist = rows[order], cols[order], dist[order]
+        if len(rows):
+            starts = np.r_[0, np.flatnonzero(np.diff(rows)) + 1]
+            pos = np.arange(len(rows)) - np.repeat(starts, np.diff(np.r_[starts, len(rows)]))
+            keep = pos < kk
+            rows, cols, dist = rows[keep], cols[keep], dist[keep]
+        out_q.append(rows + s)
+        out_r.append(cols)
+        out_d.append(dist)
     qi = np.concatenate(out_q)
     ri = np.concatenate(out_r)
     di = np.concatenate(out_d)

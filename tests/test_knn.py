@@ -76,3 +76,16 @@ def test_knn_array_features(spark):
     df = spark.createDataFrame(rows, "id long, v array<double>, class int")
     pred = {r["id"]: r["prediction"] for r in knn_predict(df.where("id >= 10"), df.where("id < 10"), 1, ["v"], "id", "class").collect()}
     assert pred == {i: 1 for i in range(10)}  # nearest train row is id 10 (class 1)
+
+
+def test_topk_block_exclude_self_small_blocks():
+    from riskloom.operators.knn import _topk_block
+
+    q_ids = np.array([1, 2])
+    Q = np.array([[0.0], [5.0]])
+    # block without the query ids: all 2 rows must come back for k=5
+    qi, ri, di, rank = _topk_block(q_ids, Q, np.array([10, 11]), np.array([[1.0], [2.0]]), 5, 9, True)
+    assert len(qi) == 4
+    # block containing query 1 itself: it is skipped, the other row kept
+    qi, ri, di, rank = _topk_block(q_ids[:1], Q[:1], np.array([1, 11]), np.array([[0.0], [2.0]]), 5, 9, True)
+    assert list(ri) == [1] and list(di) == [2.0]
