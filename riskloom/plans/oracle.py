@@ -326,6 +326,7 @@ def ops_sql() -> dict[str, str]:
         "FULL OUTER JOIN (SELECT partition, max(mtime) AS stored_mark FROM inv "
         "WHERE mtime <= TIMESTAMP '2024-01-20 12:00:00' GROUP BY partition) m ON a.partition = m.partition"
     )
+    q["settled_marks"] = f"SELECT partition, new_mark AS mark FROM ({q['input_settled']})"
     q["retention_report"] = with_(INV) + (
         "SELECT path, age_days FROM (SELECT path, string_split(path, '/') AS parts, "
         "CAST(floor((epoch_us(TIMESTAMP '2024-02-15 00:00:00') - epoch_us(mtime)) / 86400000000) AS BIGINT) AS age_days "

@@ -695,3 +695,18 @@ def q_stream_score(spark, sf_dir):
     path, f = stage_chunks(rows, "ts", 3, STREAM_FILES_PER_CHUNK, "stream-rows")
     scored = stream_score(spark, mpath, path, f, [KEY, LABEL])
     return prediction_histogram(scored, PREDICTION_CODE)
+
+
+@register("settled_marks")
+def q_settled_marks(spark, sf_dir):
+    """SNK5: the settled check's new marks stored per partition (replacing
+    only the partitions written) and read back."""
+    from riskloom.fixtures import inventory
+    from riskloom.operators.lakeops import marks_at, settled_check
+    from riskloom.session import scratch_dir
+    from riskloom.sources.sinks import save_marks
+
+    inv = inventory(spark, sf_dir)
+    out = settled_check(inv, marks_at(inv, SETTLED_CUTOFF))
+    path = save_marks(out.select(_ts_text("new_mark").alias("mark"), "partition"), scratch_dir(spark, "marks"))
+    return spark.read.schema("mark string, partition string").parquet(path)
