@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from riskloom.functions.hashing import hash_bucket
 from riskloom.functions.timefns import utc_to_local
-from riskloom.sources.tables import read_table
+from riskloom.sources.tables import read_table, spread_small_input
 
 FEATURES = ["f_chars", "f_words", "f_lines", "f_digit", "f_upper", "f_uniq"]
 KEY = "tx_id"
@@ -59,7 +59,8 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     `labels` shuffles 7 numbers per row instead of whole texts; AQE turns it
     into a broadcast join when the measured label side is small.
     """
-    feats = transaction_features(read_table(spark, sf_dir, "documents"))
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
+    feats = transaction_features(spread_small_input(docs))
     labels = read_table(spark, sf_dir, "labels").select(F.col("doc_id").alias(KEY), "quality")
     joined = feats.join(labels, KEY, "left")
     cls = F.when(F.col("quality").isNull(), 3).when(F.col("quality") == 0, 1).otherwise(2)

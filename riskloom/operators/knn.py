@@ -153,20 +153,22 @@ def knn_join(
     cr = [F.col(carry).alias("_c")] if carry else []
     ref = reference.select(F.col(ref_id).alias("_rid"), *wr, *cr, *fcols)
     qry = query.select(F.col(query_id).alias("_qid"), *wq, *fcols)
-    n_ref = ref.count()
-    width = len(fcols) if not (len(fcols) == 1 and dict(ref.dtypes)[fcols[0]].startswith("array")) else None
-    if width is None:
+    is_array = len(fcols) == 1 and dict(ref.dtypes)[fcols[0]].startswith("array")
+    if is_array:
         first = ref.select(F.size(fcols[0]).alias("n")).first()
         width = int(first["n"]) if first else 1
-    est_bytes = n_ref * (width + 3) * 8
-    if est_bytes <= broadcast_max_bytes:
-        return _knn_broadcast(spark, qry, ref, k, fcols, within, exclude_self, carry, decimals)
-    return _knn_grid(qry, ref, n_ref, k, fcols, within, exclude_self, carry, decimals, block_rows)
-
-
-def _knn_broadcast(spark, qry, ref, k, fcols, within, exclude_self, carry, decimals) -> DataFrame:
-    # Size was measured by the caller: the reference side is bounded.
-    pdf = ref.toPandas()
+    else:
+        width = len(fcols)
+    max_rows = broadcast_max_bytes // ((width + 3) * 8)
+    # One bounded pass: at most max_rows + 1 rows ever reach the driver.
+    pdf = ref.limit(max_rows + 1).toPandas() if max_rows > 0 else None
+    if pdf is not None and len(pdf) <= max_rows:
+        return _knn_broadcast(spark, qry, pdf, k, fcols, within, exclude_self, carry, decimals)
+    return _knn_grid(qry, ref, ref.count(), k, fcols, within, exclude_self, carry, decimals, block_rows)
+
+
+def _knn_broadcast(spark, qry, pdf, k, fcols, within, exclude_self, carry, decimals) -> DataFrame:
+    # ``pdf`` was collected under a row limit: the broadcast side is bounded.
     groups = {}
     keyed = pdf.groupby("_w", sort=False) if within else [(None, pdf)]
     for w, g in keyed:

@@ -4,8 +4,10 @@ Cross-validation needs, per fold, only the sufficient statistics
 (n, Σx, Σy, XᵀX, Xᵀy, yᵀy).  They are computed for all folds in **one**
 Spark aggregate (partial per task, then merged), which is O(rows · p²) work
 and O(folds · p²) output whatever the table size.  The penalty path on
-those p×p matrices is tiny and runs on the driver; the final fit is MLlib's
-``LinearRegression`` with a pure L1 penalty.
+those p×p matrices is tiny and runs on the driver, and so does the final
+full-data fit (the same objective, solved exactly from the summed
+statistics).  MLlib's ``LinearRegression`` with a pure L1 penalty is kept as
+``final_fit="mllib"``; it needs one Spark job per optimiser iteration.
 """
 
 from __future__ import annotations
@@ -113,14 +115,30 @@ def lasso_select(
     key: str,
     folds: int = 5,
     seed: int = 42,
+    final_fit: str = "gram",
 ) -> tuple[float, DataFrame]:
-    """ML4 + ML5: best penalty by CV, then an L1 fit (MLlib) on all rows.
+    """ML4 + ML5: best penalty by CV, then the L1 fit on all rows.
 
-    Returns (alpha, DataFrame(feature, coefficient, selected)).
+    ``final_fit="gram"`` solves the full-data problem exactly from the fold
+    statistics already aggregated (no further pass over the data);
+    ``"mllib"`` refits with MLlib ``LinearRegression`` (one Spark job per
+    optimiser iteration).  Returns (alpha, DataFrame(feature, coefficient,
+    selected)).
     """
     fcols = list(features)
     rows = gram_by_fold(df, fcols, label, key, folds, seed).collect()  # folds rows of p² numbers
     alpha, _, _ = lasso_cv_from_stats(rows, fcols)
+    spark = df.sparkSession
+    if final_fit == "gram":
+        stats = [_unpack(r, fcols) for r in rows]
+        total = [sum(s[i] for s in stats) for i in range(6)]
+        G, c, _, _ = _centered(total)
+        coef = _cd(G, c, alpha, np.zeros(len(fcols)), tol=1e-12).tolist()
+        out = spark.createDataFrame(
+            [(f, float(w), bool(abs(w) > 0)) for f, w in zip(fcols, coef)],
+            "feature string, coefficient double, selected boolean",
+        )
+        return alpha, out
     vec = VectorAssembler(inputCols=fcols, outputCol="_features").transform(df.withColumn("_y", F.col(label).cast("double")))
     lr = LinearRegression(
         featuresCol="_features",
@@ -133,7 +151,6 @@ def lasso_select(
         tol=1e-9,
     )
     coef = lr.fit(vec).coefficients.toArray().tolist()
-    spark = df.sparkSession
     out = spark.createDataFrame(
         [(f, float(w), bool(abs(w) > 0)) for f, w in zip(fcols, coef)],
         "feature string, coefficient double, selected boolean",

@@ -2,9 +2,9 @@
 
 The reference re-reads, re-scales, re-splits and re-oversamples the data in
 each of its trainers.  Here the labelled table is prepared once and cut from
-its lineage with ``checkpoint()`` (a reliable copy in the shared checkpoint
-folder, so a lost executor does not force recomputing the text features);
-every trainer reads that copy.
+its lineage by writing it as a table in the shared checkpoint folder (so a
+lost executor does not force recomputing the text features); every trainer
+reads that copy.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from riskloom.fixtures import FEATURES, KEY, LABEL, transactions
 from riskloom.operators.knn import knn_join, knn_predict, majority_vote
 from riskloom.operators.prepare import PopulationScaler, PopulationScalerModel, filter_classes, hash_split
 from riskloom.operators.smote import oversample
-from riskloom.session import ensure_checkpoint_dir
+from riskloom.session import materialize
 
 TRAIN_CLASSES = (1, 2)
 SCORE_CLASSES = (3,)
@@ -34,6 +34,7 @@ class Prepared:
     scaler: PopulationScalerModel
     split: DataFrame  # tx_id, class, f_*, split
     features: list[str]
+    _oversampled: dict | None = None
 
     @property
     def train(self) -> DataFrame:
@@ -61,8 +62,7 @@ def prepare(
     """
     tx = transactions(spark, sf_dir)
     if checkpoint:
-        ensure_checkpoint_dir(spark)
-        tx = tx.checkpoint(eager=True)
+        tx = materialize(tx, "transactions")
     labelled = filter_classes(tx, TRAIN_CLASSES)
     scaler_in = labelled
     if fit_on == "train":
@@ -72,9 +72,17 @@ def prepare(
     return Prepared(scaler, split, list(features)), tx
 
 
-def oversampled_train(p: Prepared, k: int = 5, seed: int = 42) -> DataFrame:
-    """Training side plus SMOTE rows (classes balanced)."""
-    return oversample(p.train, p.features, KEY, LABEL, k=k, seed=seed, decimals=DECIMALS)
+def oversampled_train(p: Prepared, k: int = 5, seed: int = 42, checkpoint: bool = True) -> DataFrame:
+    """Training side plus SMOTE rows (classes balanced), computed once per
+    prepared run and checkpointed to the shared folder: every trainer and
+    the k-NN reads the same copy instead of re-running SMOTE."""
+    if p._oversampled is None:
+        p._oversampled = {}
+    key = (k, seed, checkpoint)
+    if key not in p._oversampled:
+        df = oversample(p.train, p.features, KEY, LABEL, k=k, seed=seed, decimals=DECIMALS)
+        p._oversampled[key] = materialize(df, "oversampled-train") if checkpoint else df
+    return p._oversampled[key]
 
 
 def knn_neighbours(p: Prepared, k: int = 5) -> DataFrame:
@@ -119,8 +127,7 @@ def select_features(p: Prepared, k: int = 5, seed: int = 42):
     """ML4/ML5 on the oversampled training side: (alpha, selection frame)."""
     from riskloom.operators.lasso import lasso_select
 
-    train = oversampled_train(p, k, seed).checkpoint(eager=True)
-    return lasso_select(train, p.features, LABEL, KEY, folds=5, seed=seed)
+    return lasso_select(oversampled_train(p, k, seed), p.features, LABEL, KEY, folds=5, seed=seed)
 
 
 def train_model(p: Prepared, train: DataFrame, name: str, features: Sequence[str], **params):
@@ -149,7 +156,7 @@ def training_run(
     from riskloom.operators.models import MODEL_ORDINAL, save_model
 
     params = params or {}
-    train = oversampled_train(p, k, seed).checkpoint(eager=True)
+    train = oversampled_train(p, k, seed)
     from riskloom.operators.lasso import lasso_select
 
     _, selection = lasso_select(train, p.features, LABEL, KEY, folds=5, seed=seed)

@@ -57,3 +57,18 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new, unique folder under the shared checkpoint dir for written tables."""
     base = ensure_checkpoint_dir(spark)
     return f"{base.rstrip('/')}/riskloom/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df, name: str):
+    """Cut lineage by writing ``df`` as a parquet table in the shared
+    checkpoint folder and reading it back.
+
+    One computation of ``df`` (an eager RDD checkpoint computes an
+    unpersisted plan twice: once to count, once to write), and later reads
+    get column pruning and filter pushdown.  Survives executor loss: the
+    table is on the shared file system, not on executor disks.
+    """
+    spark = df.sparkSession
+    path = scratch_dir(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -173,3 +173,31 @@ def columns_in_order(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def col_or_lit(value) -> Column:
     return value if isinstance(value, Column) else F.lit(value)
+
+
+SMALL_INPUT_BYTES = 1 << 30
+
+
+def input_bytes(df: DataFrame) -> int:
+    """Total size of the files behind ``df`` (listing only, no contents read)."""
+    files = df.inputFiles()
+    if not files:
+        return 0
+    spark = df.sparkSession
+    listing = spark.read.format("binaryFile").load(files).select("length")
+    return int(listing.agg(F.sum("length")).first()[0] or 0)
+
+
+def spread_small_input(df: DataFrame, max_bytes: int = SMALL_INPUT_BYTES) -> DataFrame:
+    """Spread a small input over all cores before CPU-heavy per-row work.
+
+    A small file may hold a single row group, i.e. one scan task.  Below
+    ``max_bytes`` (measured from the file listing) a round-robin repartition
+    costs little and lets every core work; above it the scan's own splits
+    are kept and nothing is shuffled.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if cores > 1 and input_bytes(df) <= max_bytes:
+        return df.repartition(cores)
+    return df

@@ -75,7 +75,10 @@ def test_lasso_selection_and_cv(spark):
     assert g.agg(F.sum("n")).first()[0] == 400
     alpha, alphas, mse = lasso_cv_from_stats(g.collect(), feats)
     assert alphas[0] > alphas[-1] and alpha in alphas
-    a, sel = lasso_select(df, feats, "y", "k")
+    a, sel = lasso_select(df, feats, "y", "k", final_fit="mllib")
+    a2, sel2 = lasso_select(df, feats, "y", "k")
+    assert a2 == a
+    assert np.allclose([r["coefficient"] for r in sel2.collect()], [r["coefficient"] for r in sel.collect()], atol=1e-4)
     kept = selected_features(sel)
     assert "x0" in kept and "x2" in kept
     # MLlib's L1 fit agrees with the driver-side solver on the full data
