@@ -449,7 +449,7 @@ def io_sql() -> dict[str, str]:
     q["gzip_lines"] = with_(LOGLINES) + (
         "SELECT log_id, row_number() OVER (PARTITION BY log_id ORDER BY line_no) - 1 AS line_no, line FROM loglines"
     )
-    q["file_inventory"] = "SELECT strftime(ts, '%Y-%m-%d') AS log_id, count(DISTINCT 1) AS n_files FROM events GROUP BY 1"
+    q["file_inventory"] = "SELECT DISTINCT strftime(ts, '%Y-%m-%d') AS log_id, true AS listed FROM events"
     q["catalog_table"] = "SELECT event_type, count(*) AS n, round(sum(value), 6) AS total_value FROM events GROUP BY event_type"
     vdist = "round(list_distance(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), 9)"
     q["knn_vectors"] = (

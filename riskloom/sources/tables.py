@@ -183,6 +183,8 @@ def input_bytes(df: DataFrame) -> int:
     files = df.inputFiles()
     if not files:
         return 0
+    if len(files) > 10_000:  # clearly not small: skip the size listing
+        return 1 << 62
     spark = df.sparkSession
     listing = spark.read.format("binaryFile").load(files).select("length")
     return int(listing.agg(F.sum("length")).first()[0] or 0)
@@ -201,3 +203,22 @@ def spread_small_input(df: DataFrame, max_bytes: int = SMALL_INPUT_BYTES) -> Dat
     if cores > 1 and input_bytes(df) <= max_bytes:
         return df.repartition(cores)
     return df
+
+
+def global_line_numbers(lines: DataFrame, log: str = "log_id", path: str = "log_path", pos: str = "line_no") -> DataFrame:
+    """Line numbers across a log written as several ordered part files.
+
+    A large log may be stored as parts (part-00000…, in line order).  Each
+    part's offset is the number of lines in the parts before it: a count per
+    file (one row per file), a running sum over the files of each log, then
+    a join back — the per-file table is broadcast only after a size check.
+    """
+    from pyspark.sql import Window
+
+    from riskloom.operators.joins import broadcast_if_small
+
+    per_file = lines.groupBy(log, path).agg(F.count(F.lit(1)).alias("_n"))
+    w = Window.partitionBy(log).orderBy(path).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_file.select(log, path, F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
+    j = lines.join(broadcast_if_small(offsets), [log, path])
+    return j.withColumn(pos, (F.col("_off") + F.col(pos)).cast("long")).drop("_off")

@@ -4,29 +4,53 @@ per-batch sink, and reading back the latest version of each key."""
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riskloom.session import scratch_dir
 
 
-def stage_chunks(df: DataFrame, ts: str, chunks: int, files_per_chunk: int, name: str) -> tuple[str, int]:
+TARGET_FILE_BYTES = 128 * 1024 * 1024
+
+
+def stage_chunks(df: DataFrame, ts: str, chunks: int, name: str, min_files: int | None = None) -> tuple[str, int]:
     """Append ``df`` to a folder in ``chunks`` time-ordered writes of exactly
-    ``files_per_chunk`` files each, so a file stream with
-    ``maxFilesPerTrigger=files_per_chunk`` sees one chunk per micro-batch,
-    in time order.  Returns (folder, files per chunk)."""
+    ``f`` files each, so a file stream with ``maxFilesPerTrigger=f`` sees
+    one chunk per micro-batch, in time order.
+
+    ``f`` grows with the input (about 128 MB per file, at least one file per
+    core) and never exceeds the rows of the smallest chunk, so no writer
+    partition is empty.  Returns (folder, f).
+    """
+    from riskloom.sources.tables import input_bytes
+
     spark = df.sparkSession
     path = scratch_dir(spark, name)
     bounds = df.agg(F.min(ts).alias("lo"), F.max(ts).alias("hi")).first()
     lo, hi = bounds["lo"], bounds["hi"]
     step = (hi - lo) / chunks
+    conds = []
     for k in range(chunks):
-        start = lo + step * k
-        cond = F.col(ts) >= F.lit(start)
+        cond = F.col(ts) >= F.lit(lo + step * k)
         if k < chunks - 1:
             cond = cond & (F.col(ts) < F.lit(lo + step * (k + 1)))
-        df.where(cond).repartition(files_per_chunk).write.mode("append").parquet(path)
-    return path, files_per_chunk
+        conds.append(cond)
+    chunk_id = F.lit(chunks - 1)
+    for k in reversed(range(chunks - 1)):
+        chunk_id = F.when(conds[k], F.lit(k)).otherwise(chunk_id)
+    sizes = [r["n"] for r in df.groupBy(chunk_id.alias("c")).agg(F.count(F.lit(1)).alias("n")).collect()]
+    want = max(min_files or spark.sparkContext.defaultParallelism, math.ceil(input_bytes(df) / chunks / TARGET_FILE_BYTES))
+    files = max(1, min([want] + sizes))
+    seen = 0
+    for k in range(chunks):
+        df.where(conds[k]).repartition(files).write.mode("append").parquet(path)
+        now = len(spark.read.parquet(path).inputFiles())
+        if now - seen not in (0, files):
+            raise RuntimeError(f"chunk {k} wrote {now - seen} files, expected {files}: micro-batches would not align")
+        seen = now
+    return path, files
 
 
 def run_available_now(query_builder, checkpoint_name: str, spark: SparkSession):
