@@ -436,6 +436,10 @@ def io_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     feats = ", ".join(FEATS)
     q["csv_roundtrip"] = with_(TX) + f"SELECT tx_id, class, {feats} FROM tx"
+    q["string_frame"] = (
+        "SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey, "
+        "CAST(c_acctbal AS VARCHAR) AS c_acctbal, c_mktsegment FROM customer"
+    )
     pdate = f"(CAST({KL} AS DATE) + INTERVAL 1 DAY)"
     parts = f"strftime({pdate}, '%Y') AS year, strftime({pdate}, '%m') AS month, strftime({pdate}, '%d') AS day"
     q["partition_scan"] = (

@@ -714,3 +714,24 @@ def q_settled_marks(spark, sf_dir):
     out = settled_check(inv, marks_at(inv, SETTLED_CUTOFF))
     path = save_marks(out.select(_ts_text("new_mark").alias("mark"), "partition"), scratch_dir(spark, "marks"))
     return spark.read.schema("mark string, partition string").parquet(path)
+
+
+@register("string_frame")
+def q_string_frame(spark, sf_dir):
+    """PRJ5: every column of a table as text (NULL stays NULL)."""
+    from riskloom.sources.tables import read_table, to_string_columns
+
+    return to_string_columns(read_table(spark, sf_dir, "customer"))
+
+
+@register("probability_codes")
+def q_probability_codes(spark, sf_dir):
+    """FN20: class code from P(class 2) > 0.5, next to the model's own code."""
+    from riskloom.operators.models import PREDICTION_CODE, probability_to_code
+
+    p, tx = T.prepare(spark, sf_dir)
+    model, _ = T.train_model(p, T.oversampled_train(p), "decision_tree", FEATURES)
+    scored = model.transform(filter_classes(tx, T.SCORE_CLASSES))
+    return scored.select(probability_to_code("probability").alias("threshold_code"), PREDICTION_CODE).groupBy(
+        "threshold_code", PREDICTION_CODE
+    ).agg(F.count(F.lit(1)).alias("n"))

@@ -13,7 +13,7 @@ TABLES = "region nation customer supplier part orders lineitem events documents
 # Queries without SQL oracle (model training, slow hash, rows-only checks).
 ROWS_ONLY = {
     "lasso_selection", "selection_summary", "train_decision_tree", "train_random_forest", "train_gbt",
-    "train_mlp", "model_selection", "save_load_score", "tokenize_slow", "stream_score",
+    "train_mlp", "model_selection", "save_load_score", "tokenize_slow", "stream_score", "probability_codes",
 }
 
 
