@@ -119,3 +119,30 @@ def probability_to_code(col: str = "probability", threshold: float = 0.5):
     from pyspark.ml.functions import vector_to_array
 
     return ((vector_to_array(F.col(col))[1] > F.lit(threshold)).cast("int") + 1).alias("code")
+
+
+# ------------------------------------------------------------------ k-NN artifact
+def save_knn(path: str, scaler: PopulationScalerModel, reference: DataFrame, features: Sequence[str], k: int,
+             key: str = "tx_id", label: str = "class") -> str:
+    """SNK3 for a k-NN winner: the scaler, the (scaled) reference rows as
+    parquet and the parameters as a one-row table — all in ``path``."""
+    scaler.write().overwrite().save(f"{path}/scaler")
+    reference.select(key, label, *features).write.mode("overwrite").parquet(f"{path}/reference")
+    spark = reference.sparkSession
+    spark.createDataFrame([(int(k), list(features), key, label)], "k int, features array<string>, key string, label string") \
+        .write.mode("overwrite").json(f"{path}/params")
+    return path
+
+
+def load_knn_and_score(path: str, rows: DataFrame) -> DataFrame:
+    """ML13/ML14 for a k-NN winner: rows + ``fraud_prediction``."""
+    from riskloom.operators.knn import knn_predict
+
+    spark = rows.sparkSession
+    params = spark.read.json(f"{path}/params").first()
+    scaler = PopulationScalerModel.load(f"{path}/scaler")
+    ref = spark.read.parquet(f"{path}/reference")
+    feats = list(params["features"])
+    scaled = scaler.transform(rows.select(params["key"], *feats))
+    pred = knn_predict(ref, scaled, int(params["k"]), feats, params["key"], params["label"])
+    return rows.join(pred.withColumnRenamed("prediction", PREDICTION_CODE), params["key"])

@@ -480,6 +480,10 @@ def stream_sql(q: dict[str, str]) -> dict[str, str]:
             f"SELECT strftime(date_trunc('hour', ts), {TSF}) AS slot, count(*) AS n_events, "
             "round(sum(value), 6) AS total_value FROM events GROUP BY 1"
         ),
+        "stream_quarter_buckets": (
+            f"SELECT strftime(date_trunc('hour', ts) + to_minutes(CAST(floor(minute(ts) / 15) * 15 AS BIGINT)), {TSF}) "
+            "AS slot, count(*) AS n_events, round(sum(value), 6) AS total_value FROM events GROUP BY 1"
+        ),
         "stream_settled": q["latest_object"],
         "stream_logscan": q["log_alerts"],
     }

@@ -735,3 +735,15 @@ def q_probability_codes(spark, sf_dir):
     return scored.select(probability_to_code("probability").alias("threshold_code"), PREDICTION_CODE).groupBy(
         "threshold_code", PREDICTION_CODE
     ).agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("stream_quarter_buckets")
+def q_stream_quarter_buckets(spark, sf_dir):
+    """STR4: quarter-hour windows with a watermark over a file stream."""
+    from riskloom.sources.tables import read_table
+    from riskloom.streaming.common import stage_chunks
+    from riskloom.streaming.jobs import stream_buckets
+
+    path, f = stage_chunks(read_table(spark, sf_dir, "events"), "ts", STREAM_CHUNKS, "stream-events-q")
+    out = stream_buckets(spark, path, f, watermark="15 minutes", window="15 minutes")
+    return out.select(_ts_text("slot").alias("slot"), "n_events", F.round("total_value", 6).alias("total_value"))

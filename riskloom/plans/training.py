@@ -174,6 +174,11 @@ def training_run(
     ).select(F.lit("knn").alias("model"), F.lit(MODEL_ORDINAL["knn"]).alias("ordinal"), "accuracy", "n_test")
     metrics = union_metrics([knn_metric] + [fitted[m][1] for m in models]).cache()
     best = best_model(metrics).first()["model"]
-    if model_path is not None and best in fitted:
-        save_model(fitted[best][0], model_path)
+    if model_path is not None:
+        if best in fitted:
+            save_model(fitted[best][0], model_path)
+        else:
+            from riskloom.operators.models import save_knn
+
+            save_knn(model_path, p.scaler, train, feats, k)
     return metrics, best, {m: v[0] for m, v in fitted.items()}

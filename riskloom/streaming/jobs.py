@@ -1,6 +1,6 @@
 """Streaming forms of the batch jobs (STR1-STR4).
 
-* ``stream_buckets`` — hourly event windows with a watermark (update mode).
+* ``stream_buckets`` — tumbling event windows with a watermark (update mode).
 * ``stream_settled`` — per-partition object count and latest object kept as
   keyed state (``applyInPandasWithState``); the state is O(1) per partition.
 * ``stream_logscan`` — the three-phase exception scan (seek → in trace →
@@ -42,13 +42,16 @@ def _run(stream: DataFrame, mode: str, out: str, spark: SparkSession, name: str)
 
 
 # ------------------------------------------------------------------ STR4
-def stream_buckets(spark: SparkSession, path: str, files_per_trigger: int, watermark: str = "1 hour") -> DataFrame:
-    """Hourly windows: (slot, n_events, total_value) — final version per window."""
+def stream_buckets(
+    spark: SparkSession, path: str, files_per_trigger: int, watermark: str = "1 hour", window: str = "1 hour"
+) -> DataFrame:
+    """Tumbling event-time windows: (slot, n_events, total_value) — final
+    version per window."""
     ev = _file_stream(spark, path, files_per_trigger)
     agg = (
         ev.withColumn("ts", F.col("ts").cast("timestamp"))  # event time must be a timestamp, not ntz
         .withWatermark("ts", watermark)
-        .groupBy(F.window("ts", "1 hour").alias("w"))
+        .groupBy(F.window("ts", window).alias("w"))
         .agg(F.count(F.lit(1)).alias("n_events"), F.sum("value").alias("total_value"))
         .select(F.col("w.start").alias("slot"), "n_events", "total_value")
     )
@@ -105,22 +108,31 @@ def _scan_state(key, batches, state):
     phase, name, message, overflow = state.get if state.exists else (0, None, None, False)
     frames = [b for b in batches if len(b)]
     if frames:
-        lines = pd.concat(frames).sort_values("line_no")["line"].tolist()
-        for line in lines:
-            if phase == 0:
-                if _TRACE.match(line):
-                    phase = 1
-            elif phase == 1:
-                m = _FINAL.match(line)
-                if m:
-                    name, message, phase = m.group(1).strip(), m.group(2).strip(), 2
-            else:
-                m = _EXTRA.match(line)
-                if m and not any(i.match(line) for i in _IGNORE):
-                    if len(message) < MESSAGE_KEEP:
-                        message += " " + m.group(0).strip()
-                    else:
-                        overflow = True
+        lines = pd.concat(frames).sort_values("line_no")["line"].reset_index(drop=True)
+        start = 0
+        if phase == 0:
+            hits = lines.str.match(_TRACE.pattern)
+            if hits.any():
+                start, phase = int(hits.idxmax()) + 1, 1
+        if phase == 1:
+            rest = lines.iloc[start:]
+            hits = rest.str.match(_FINAL.pattern)
+            if hits.any():
+                i = int(hits.idxmax())
+                m = _FINAL.match(lines.iloc[i])
+                name, message, phase, start = m.group(1).strip(), m.group(2).strip(), 2, i + 1
+        if phase == 2 and not overflow:
+            rest = lines.iloc[start:]
+            keep = rest.str.match(_EXTRA.pattern)
+            for ign in _IGNORE:
+                keep &= ~rest.str.match(ign.pattern)
+            pieces = rest[keep].str.strip()
+            # append pieces while the kept text is shorter than MESSAGE_KEEP
+            before = len(message) + (pieces.str.len() + 1).cumsum().shift(fill_value=0)
+            take = pieces[before < MESSAGE_KEEP]
+            if len(take):
+                message = message + " " + " ".join(take)
+            overflow = len(take) < len(pieces)
     state.update((phase, name, message, overflow))
     if phase == 2:
         msg = message.strip()

@@ -64,3 +64,13 @@ def test_log_alerts_truncate(spark):
     msg = "x" * 290 + " tail tail tail tail tail"
     assert alerts["c"]["message"] == msg[:300] + "... truncated ..."
     assert alerts["c"]["priority"] == "P3" and alerts["c"]["tags"] == ["airflow.data"]
+
+
+def test_custom_payload_generator(spark):
+    from pyspark.sql import functions as F
+
+    def payload(name, message):
+        return [F.upper(name).alias("title"), F.length(message).alias("size")]
+
+    rows = {r["log_id"]: r for r in log_alerts(_lines(spark), payload=payload).collect()}
+    assert rows["a"]["title"] == "KEYERROR" and rows["a"]["size"] == len(_reference_scan(LOG_A)[1])

@@ -61,3 +61,20 @@ def test_lake_count_guard(spark):
         lake_count(spark, "  DROP TABLE x")
     assert lake_count_value(spark, "SELECT 7") == 7
     assert lake_count_value(spark, "SELECT count(*) FROM no_such_table_xyz") == -1
+
+
+def test_knn_artifact_roundtrip(spark, tmp_path):
+    from riskloom.fixtures import FEATURES, KEY, LABEL
+    from riskloom.operators.knn import knn_predict
+    from riskloom.operators.models import load_knn_and_score, save_knn
+    from riskloom.operators.prepare import filter_classes
+    from riskloom.plans import training as T
+
+    p, tx = T.prepare(spark, SF_SMALL)
+    train = T.oversampled_train(p)
+    path = save_knn(str(tmp_path / "knn"), p.scaler, train, FEATURES, 5)
+    rows = filter_classes(tx, (3,))
+    got = load_knn_and_score(path, rows).select(KEY, "fraud_prediction")
+    want = knn_predict(train, p.scaler.transform(rows.select(KEY, *FEATURES)), 5, FEATURES, KEY, LABEL)
+    assert got.exceptAll(want.withColumnRenamed("prediction", "fraud_prediction")).count() == 0
+    assert got.count() == rows.count()
