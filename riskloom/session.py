@@ -36,6 +36,7 @@ def local_session(cores: int | str = "*", app: str = "riskloom") -> SparkSession
     )
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -72,3 +73,50 @@ def materialize(df, name: str):
     path = scratch_dir(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``riskloom`` importable in every Python worker.
+
+    Functions run by ``mapInPandas`` / ``applyInPandas`` / pandas UDFs refer
+    to this package's modules, so executors need it: it is zipped once per
+    application into the shared checkpoint folder and added with
+    ``addPyFile`` (Spark then serves it to every executor).
+    """
+    import hashlib
+    import io
+    import zipfile
+
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _, names in sorted(os.walk(root)):
+            for n in sorted(names):
+                if n.endswith(".py"):
+                    full = os.path.join(dirpath, n)
+                    z.write(full, os.path.join("riskloom", os.path.relpath(full, root)))
+    data = buf.getvalue()
+    digest = hashlib.sha1(data).hexdigest()[:12]
+    base = ensure_checkpoint_dir(spark)
+    folder = base[len("file:"):] if base.startswith("file:") else base
+    path = f"{folder.rstrip('/')}/riskloom-{digest}.zip"
+    if "://" in path:  # remote shared storage: write through Spark's Hadoop FS
+        jvm = sc._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(sc._jsc.hadoopConfiguration())
+        out = fs.create(p, True)
+        out.write(bytearray(data))
+        out.close()
+    else:
+        os.makedirs(os.path.dirname(path), exist_ok=True)
+        with open(path, "wb") as f:
+            f.write(data)
+    sc.addPyFile(path)
+    _SHIPPED.add(app)
