@@ -52,17 +52,28 @@ def transaction_features(documents: DataFrame) -> DataFrame:
     )
 
 
-def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def transactions(
+    spark: SparkSession, sf_dir: str, only_ids: DataFrame | None = None, labelled_only: bool = False
+) -> DataFrame:
     """(tx_id, class, f_*): class 1 = quality 0, 2 = quality 1, 3 = unlabelled.
 
     Features are computed on the documents side first, so the join with
     `labels` shuffles 7 numbers per row instead of whole texts; AQE turns it
     into a broadcast join when the measured label side is small.
+    ``labelled_only`` keeps documents that have a label *before* the text
+    work (classes 1 and 2 only); ``only_ids`` restricts to a bounded id list.
     """
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
-    feats = transaction_features(spread_small_input(docs))
+    if only_ids is not None:
+        # a bounded id list (e.g. a top-k): features only for those rows
+        docs = docs.join(F.broadcast(only_ids.select(F.col(only_ids.columns[0]).alias("doc_id"))), "doc_id", "left_semi")
+    else:
+        docs = spread_small_input(docs)
     labels = read_table(spark, sf_dir, "labels").select(F.col("doc_id").alias(KEY), "quality")
-    joined = feats.join(labels, KEY, "left")
+    if labelled_only:
+        docs = docs.join(labels.select(F.col(KEY).alias("doc_id")), "doc_id", "left_semi")
+    feats = transaction_features(docs)
+    joined = feats.join(labels, KEY, "inner" if labelled_only else "left")
     cls = F.when(F.col("quality").isNull(), 3).when(F.col("quality") == 0, 1).otherwise(2)
     return joined.select(KEY, cls.cast("int").alias(LABEL), *FEATURES)
 

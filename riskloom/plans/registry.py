@@ -31,7 +31,7 @@ def register(name: str):
 # ---------------------------------------------------------------- preparation
 @register("labelled_rows")
 def q_labelled_rows(spark, sf_dir):
-    return filter_classes(transactions(spark, sf_dir), T.TRAIN_CLASSES).select(KEY, LABEL, *FEATURES)
+    return filter_classes(transactions(spark, sf_dir, labelled_only=True), T.TRAIN_CLASSES).select(KEY, LABEL, *FEATURES)
 
 
 @register("class_balance")
@@ -41,18 +41,26 @@ def q_class_balance(spark, sf_dir):
 
 @register("label_shift")
 def q_label_shift(spark, sf_dir):
-    df = filter_classes(transactions(spark, sf_dir), T.TRAIN_CLASSES)
+    df = filter_classes(transactions(spark, sf_dir, labelled_only=True), T.TRAIN_CLASSES)
     return one_hot_label(shift_label(df, LABEL, "label", -1), "label", 2).select(KEY, LABEL, "label", "one_hot")
 
 
+PREVIEW_ROWS = 5
+
+
 @register("preview")
 def q_preview(spark, sf_dir):
-    return transactions(spark, sf_dir).orderBy(KEY).limit(5)
+    """LIM1: the first rows by key.  The top-k runs on the id column alone;
+    text features are computed for those rows only."""
+    from riskloom.sources.tables import read_table
+
+    first = read_table(spark, sf_dir, "documents").select("doc_id").orderBy("doc_id").limit(PREVIEW_ROWS)
+    return transactions(spark, sf_dir, only_ids=first).orderBy(KEY).limit(PREVIEW_ROWS)
 
 
 @register("scaler_stats")
 def q_scaler_stats(spark, sf_dir):
-    st = scaler_stats(filter_classes(transactions(spark, sf_dir), T.TRAIN_CLASSES), FEATURES)
+    st = scaler_stats(filter_classes(transactions(spark, sf_dir, labelled_only=True), T.TRAIN_CLASSES), FEATURES)
     return st.select("feature", F.round("mean", 9).alias("mean"), F.round("std", 9).alias("std"))
 
 
