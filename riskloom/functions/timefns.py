@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Default local zone of the time helpers.  Fixed value.
 DEFAULT_LOCAL_TZ = "Asia/Kuala_Lumpur"
 
 # strftime directive → Spark datetime pattern letters.  Fixed values.
