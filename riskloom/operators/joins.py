@@ -2,15 +2,23 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """Return ``broadcast(df)`` when ``df`` has at most ``max_rows`` rows,
     else ``df`` unchanged so Spark plans a shuffle join (AQE still splits
-    skewed partitions of the large side)."""
+    skewed partitions of the large side).
+
+    The side is persisted before it is counted, so the count that proves
+    the bound also materialises it and the join does not compute it again.
+    Deciding before the join keeps the large side from being shuffled at
+    all, which a run-time (AQE) switch to broadcast cannot undo.
+    """
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
     n = df.count()
     return F.broadcast(df) if n <= max_rows else df
