@@ -66,13 +66,13 @@ def q_scaler_stats(spark, sf_dir):
 
 @register("scaled_features")
 def q_scaled_features(spark, sf_dir):
-    p, _ = T.prepare(spark, sf_dir)
+    p, _ = T.prepare(spark, sf_dir, labelled_only=True)
     return p.split.select(KEY, LABEL, *FEATURES)
 
 
 @register("hash_split")
 def q_hash_split(spark, sf_dir):
-    p, _ = T.prepare(spark, sf_dir)
+    p, _ = T.prepare(spark, sf_dir, labelled_only=True)
     return p.split.select(KEY, LABEL, "split")
 
 
@@ -80,13 +80,13 @@ def q_hash_split(spark, sf_dir):
 def q_smote_rows(spark, sf_dir):
     from riskloom.operators.smote import smote
 
-    p, _ = T.prepare(spark, sf_dir)
+    p, _ = T.prepare(spark, sf_dir, labelled_only=True)
     return smote(p.train, FEATURES, KEY, LABEL, k=5, seed=42, decimals=T.DECIMALS)
 
 
 @register("smote_union")
 def q_smote_union(spark, sf_dir):
-    p, _ = T.prepare(spark, sf_dir)
+    p, _ = T.prepare(spark, sf_dir, labelled_only=True)
     return T.oversampled_train(p).groupBy(LABEL).agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.col("is_synthetic").cast("long")).alias("n_synthetic")
     )
@@ -95,19 +95,19 @@ def q_smote_union(spark, sf_dir):
 # ---------------------------------------------------------------- k-NN
 @register("knn_neighbours")
 def q_knn_neighbours(spark, sf_dir):
-    p, _ = T.prepare(spark, sf_dir)
+    p, _ = T.prepare(spark, sf_dir, labelled_only=True)
     return T.knn_neighbours(p, 5)
 
 
 @register("knn_accuracy")
 def q_knn_accuracy(spark, sf_dir):
-    p, _ = T.prepare(spark, sf_dir)
+    p, _ = T.prepare(spark, sf_dir, labelled_only=True)
     return T.knn_accuracy(p, (1, 3, 5))
 
 
 @register("best_model")
 def q_best_model(spark, sf_dir):
-    p, _ = T.prepare(spark, sf_dir)
+    p, _ = T.prepare(spark, sf_dir, labelled_only=True)
     m = T.knn_accuracy(p, (1, 3, 5)).withColumn(
         "ordinal", F.when(F.col("k") == 1, 0).when(F.col("k") == 3, 1).otherwise(2)
     )
@@ -411,14 +411,14 @@ GBT_QUERY_ITERS = 20  # boosting rounds in the registered query (parameter defau
 def q_gram_by_fold(spark, sf_dir):
     from riskloom.operators.lasso import gram_by_fold
 
-    p, _ = T.prepare(spark, sf_dir)
+    p, _ = T.prepare(spark, sf_dir, labelled_only=True)
     g = gram_by_fold(T.oversampled_train(p), FEATURES, LABEL, KEY, folds=5, seed=42)
     return g.select("fold", "n", *[F.round(c, 6).alias(c) for c in g.columns if c.startswith("s_")])
 
 
 @register("lasso_selection")
 def q_lasso_selection(spark, sf_dir):
-    p, _ = T.prepare(spark, sf_dir)
+    p, _ = T.prepare(spark, sf_dir, labelled_only=True)
     alpha, sel = T.select_features(p)
     return sel.select("feature", F.round("coefficient", 6).alias("coefficient"), "selected", F.lit(alpha).alias("alpha"))
 
@@ -427,7 +427,7 @@ def q_lasso_selection(spark, sf_dir):
 def q_selection_summary(spark, sf_dir):
     from riskloom.operators.lasso import selection_summary
 
-    p, _ = T.prepare(spark, sf_dir)
+    p, _ = T.prepare(spark, sf_dir, labelled_only=True)
     _, sel = T.select_features(p)
     return selection_summary(sel)
 
@@ -435,7 +435,7 @@ def q_selection_summary(spark, sf_dir):
 def _train_one(spark, sf_dir, name, **params):
     from riskloom.operators.lasso import selected_features
 
-    p, _ = T.prepare(spark, sf_dir)
+    p, _ = T.prepare(spark, sf_dir, labelled_only=True)
     train = T.oversampled_train(p)
     from riskloom.operators.lasso import lasso_select
 
@@ -468,7 +468,7 @@ def q_train_mlp(spark, sf_dir):
 def q_model_selection(spark, sf_dir):
     from riskloom.session import scratch_dir
 
-    p, _ = T.prepare(spark, sf_dir)
+    p, _ = T.prepare(spark, sf_dir, labelled_only=True)
     metrics, best, _ = T.training_run(
         p, params={"gbt": {"maxIter": GBT_QUERY_ITERS}}, model_path=scratch_dir(spark, "best-model")
     )

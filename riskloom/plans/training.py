@@ -53,14 +53,18 @@ def prepare(
     seed: int = 42,
     fit_on: str = "all",
     checkpoint: bool = True,
+    labelled_only: bool = False,
 ) -> tuple[Prepared, DataFrame]:
     """Label filter → scaler fit → scale → deterministic split.
 
     ``fit_on="all"`` fits the scaler on every labelled row before the split
     (the reference's order); ``"train"`` fits on the training side only.
     Returns the prepared labelled data and the full transaction table.
+    ``labelled_only`` is for callers that score no class-3 rows: documents
+    without a label are dropped before the text features, and the returned
+    table holds the labelled rows only (the prepared data is the same).
     """
-    tx = transactions(spark, sf_dir)
+    tx = transactions(spark, sf_dir, labelled_only=labelled_only)
     if checkpoint:
         tx = materialize(tx, "transactions")
     labelled = filter_classes(tx, TRAIN_CLASSES)

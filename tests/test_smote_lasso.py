@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from riskloom.operators.lasso import _cd, gram_by_fold, lasso_cv_from_stats, lasso_select, selected_features, NoFeaturesSelected
+from riskloom.operators.lasso import _cd, _path, gram_by_fold, lasso_cv_from_stats, lasso_select, selected_features, NoFeaturesSelected
 from riskloom.operators.smote import oversample, smote
 
 
@@ -64,6 +64,22 @@ def test_cd_satisfies_kkt():
             assert abs(grad[j]) <= alpha + 1e-8
 
 
+def test_homotopy_path_equals_coordinate_descent():
+    rng = np.random.default_rng(11)
+    base = rng.normal(size=(300, 3))
+    # correlated columns, a near copy and a constant column
+    X = np.column_stack([base, base[:, 0] * 0.9 + rng.normal(size=300) * 0.1, base[:, 1] + base[:, 2], np.ones(300)])
+    y = X[:, 0] - 0.5 * X[:, 3] + 0.3 * X[:, 4] + rng.normal(size=300) * 0.3
+    Xc, yc = X - X.mean(0), y - y.mean()
+    G, c = Xc.T @ Xc / 300, Xc.T @ yc / 300
+    alphas = np.logspace(np.log10(np.abs(c).max()), np.log10(np.abs(c).max() * 1e-3), 100)
+    path = _path(G, c, alphas)
+    assert np.all(path[0] == 0) and np.all(path[:, 5] == 0)
+    for a in (0, 10, 40, 70, 99):
+        w = _cd(G, c, alphas[a], np.zeros(6), tol=1e-13, max_iter=200_000)
+        assert np.allclose(path[a], w, atol=1e-7)
+
+
 def test_lasso_selection_and_cv(spark):
     rng = np.random.default_rng(5)
     X = rng.normal(size=(400, 4))
