@@ -53,7 +53,11 @@ def transaction_features(documents: DataFrame) -> DataFrame:
 
 
 def transactions(
-    spark: SparkSession, sf_dir: str, only_ids: DataFrame | None = None, labelled_only: bool = False
+    spark: SparkSession,
+    sf_dir: str,
+    only_ids: DataFrame | None = None,
+    labelled_only: bool = False,
+    broadcast_rows: int | None = None,
 ) -> DataFrame:
     """(tx_id, class, f_*): class 1 = quality 0, 2 = quality 1, 3 = unlabelled.
 
@@ -62,16 +66,30 @@ def transactions(
     into a broadcast join when the measured label side is small.
     ``labelled_only`` keeps documents that have a label *before* the text
     work (classes 1 and 2 only); ``only_ids`` restricts to a bounded id list.
+    ``broadcast_rows`` caps the label rows broadcast for that early filter.
     """
+    from riskloom.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, broadcast_if_small, measured
+
+    broadcast_rows = DEFAULT_MAX_BROADCAST_ROWS if broadcast_rows is None else broadcast_rows
+
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
     if only_ids is not None:
-        # a bounded id list (e.g. a top-k): features only for those rows
-        docs = docs.join(F.broadcast(only_ids.select(F.col(only_ids.columns[0]).alias("doc_id"))), "doc_id", "left_semi")
+        # an id list (e.g. a top-k): features only for those rows; the list
+        # is broadcast after its size is checked
+        ids = broadcast_if_small(only_ids.select(F.col(only_ids.columns[0]).alias("doc_id")))
+        docs = docs.join(ids, "doc_id", "left_semi")
     else:
         docs = spread_small_input(docs)
     labels = read_table(spark, sf_dir, "labels").select(F.col("doc_id").alias(KEY), "quality")
     if labelled_only:
-        docs = docs.join(labels.select(F.col(KEY).alias("doc_id")), "doc_id", "left_semi")
+        # Drop unlabelled documents before the text work only when the label
+        # side is measured small (a broadcast semi-join: no shuffle of text).
+        # Otherwise features are computed for all documents and the inner
+        # join below shuffles 7 numbers per row, never the texts.
+        labels, small = measured(labels, broadcast_rows)
+        if small:
+            labels = F.broadcast(labels)
+            docs = docs.join(labels.select(F.col(KEY).alias("doc_id")), "doc_id", "left_semi")
     feats = transaction_features(docs)
     joined = feats.join(labels, KEY, "inner" if labelled_only else "left")
     cls = F.when(F.col("quality").isNull(), 3).when(F.col("quality") == 0, 1).otherwise(2)

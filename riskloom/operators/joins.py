@@ -19,6 +19,12 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS
     Deciding before the join keeps the large side from being shuffled at
     all, which a run-time (AQE) switch to broadcast cannot undo.
     """
+    df, small = measured(df, max_rows)
+    return F.broadcast(df) if small else df
+
+
+def measured(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
+    """(persisted ``df``, whether it has at most ``max_rows`` rows): for
+    plans that choose a different shape, not only a join strategy, by size."""
     df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
+    return df, df.count() <= max_rows

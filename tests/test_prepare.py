@@ -51,3 +51,15 @@ def test_dense_index_exact_with_many_buckets(spark):
     j = got.join(want, ["k", "g"])
     assert j.count() == 5000
     assert j.where(F.col("_idx") != F.col("_want")).count() == 0
+
+
+def test_labelled_transactions_same_on_both_label_paths(spark):
+    from riskloom.fixtures import transactions
+
+    sf = "/root/testdata/sf0.001"
+    small = transactions(spark, sf, labelled_only=True)  # broadcast semi-join before the text work
+    large = transactions(spark, sf, labelled_only=True, broadcast_rows=0)  # features first, then the join
+    assert "BroadcastHashJoin LeftSemi" not in large._jdf.queryExecution().executedPlan().toString()
+    every = transactions(spark, sf).where("class in (1, 2)")
+    assert small.count() == large.count() == every.count() > 0
+    assert small.exceptAll(large).count() == 0 and every.exceptAll(small).count() == 0
