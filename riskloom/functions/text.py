@@ -63,3 +63,8 @@ def truncate_message(col, max_len: int = TRUNCATE_AT, suffix: str = TRUNCATE_SUF
     """FN17: cut at ``max_len`` characters and mark the cut."""
     c = _c(col)
     return F.when(F.length(c) > max_len, F.concat(F.substring(c, 1, max_len), F.lit(suffix))).otherwise(c)
+
+
+def strip_spaces(col) -> Column:
+    """Leading and trailing whitespace removed (Python's ``str.strip``)."""
+    return F.regexp_replace(_c(col), r"^\s+|\s+$", "")

@@ -23,7 +23,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskloom.functions.text import truncate_message
+from riskloom.functions.text import strip_spaces, truncate_message
 from riskloom.operators.joins import broadcast_if_small
 
 # Line patterns of the scan.  Fixed values.
@@ -39,10 +39,6 @@ ALERT_TAGS = ("airflow.data",)
 ALERT_PIECES = 301
 
 
-def _strip(c: Column) -> Column:
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
-
-
 def exception_heads(
     lines: DataFrame,
     log: str = "log_id",
@@ -62,8 +58,8 @@ def exception_heads(
         log,
         "trace_line_no",
         F.col("_e.n").alias("error_line_no"),
-        _strip(F.regexp_extract("_e.l", EXCEPTION_LINE, 1)).alias("exception_name"),
-        _strip(F.regexp_extract("_e.l", EXCEPTION_LINE, 2)).alias("exception_head"),
+        strip_spaces(F.regexp_extract("_e.l", EXCEPTION_LINE, 1)).alias("exception_name"),
+        strip_spaces(F.regexp_extract("_e.l", EXCEPTION_LINE, 2)).alias("exception_head"),
     )
 
 
@@ -75,7 +71,7 @@ def _tail(lines: DataFrame, heads: DataFrame, log: str, order: str, line: str, i
     return (
         lines.join(h, log)
         .where((F.col(order) > F.col("error_line_no")) & keep)
-        .select(log, F.col(order).alias("part_no"), _strip(F.col(line)).alias("part"))
+        .select(log, F.col(order).alias("part_no"), strip_spaces(F.col(line)).alias("part"))
     )
 
 
@@ -130,5 +126,5 @@ def log_alerts(
         F.col("exception_head"),
         F.coalesce(F.transform("_p", lambda s: s["part"]), F.array().cast("array<string>")),
     )
-    message = _strip(text)
+    message = strip_spaces(text)
     return joined.select(log, *payload(F.col("exception_name"), message))

@@ -1,11 +1,12 @@
 """Streaming forms of the batch jobs (STR1-STR4).
 
 * ``stream_buckets`` — tumbling event windows with a watermark (update mode).
-* ``stream_settled`` — per-partition object count and latest object kept as
-  keyed state (``applyInPandasWithState``); the state is O(1) per partition.
+* ``stream_settled`` — per-partition object count and latest object as
+  streaming aggregation state (partial aggregation before the shuffle).
 * ``stream_logscan`` — the three-phase exception scan (seek → in trace →
-  tail) as keyed state per log, fed in line order across micro-batches; the
-  state keeps the alert text only up to a bounded prefix.
+  tail) per log, fed in line order across micro-batches: each batch advances
+  a versioned state table (one row per log, bounded message prefix) with
+  aggregates and size-checked joins, never a log's lines in one task.
 * ``stream_score`` — a persisted pipeline applied to a file stream.
 
 Every job writes through an idempotent per-batch sink and checkpoints in
@@ -14,12 +15,8 @@ the shared checkpoint folder, so a restarted query resumes exactly.
 
 from __future__ import annotations
 
-import re
-
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
 
 from riskloom.session import scratch_dir
 from riskloom.streaming.common import batch_sink, latest_versions
@@ -61,28 +58,20 @@ def stream_buckets(
 
 
 # ------------------------------------------------------------------ STR2
-_SETTLED_OUT = "partition string, n_objects long, latest_mtime timestamp, latest_path string"
-_SETTLED_STATE = "n_objects long, latest_mtime timestamp, latest_path string"
-
-
-def _settled_state(key, batches, state):
-    n, t, p = (state.get if state.exists else (0, None, None))
-    for b in batches:
-        n += len(b)
-        if len(b):
-            b = b.sort_values(["mtime", "path"])
-            bt, bp = b["mtime"].iloc[-1], b["path"].iloc[-1]
-            if t is None or (bt, bp) > (pd.Timestamp(t), p):
-                t, p = bt, bp
-    state.update((n, pd.Timestamp(t).to_pydatetime(), p))
-    yield pd.DataFrame({"partition": [key[0]], "n_objects": [n], "latest_mtime": [pd.Timestamp(t)], "latest_path": [p]})
-
-
 def stream_settled(spark: SparkSession, path: str, files_per_trigger: int) -> DataFrame:
-    """Per partition: object count and latest object, as streaming state."""
+    """Per partition: object count and latest object (ties → greatest path),
+    kept as streaming aggregation state.
+
+    Both are algebraic, so each micro-batch is aggregated partially in its
+    scan tasks before the shuffle: a partition holding a third of the
+    objects sends one partial row per task, and the state is one row per
+    partition."""
     inv = _file_stream(spark, path, files_per_trigger)
-    st = inv.groupBy("partition").applyInPandasWithState(
-        _settled_state, _SETTLED_OUT, _SETTLED_STATE, "update", GroupStateTimeout.NoTimeout
+    latest = F.max(F.struct(F.col("mtime").alias("t"), F.col("path").alias("p")))
+    st = (
+        inv.groupBy("partition")
+        .agg(F.count(F.lit(1)).alias("n_objects"), latest.alias("_l"))
+        .select("partition", "n_objects", F.col("_l.t").alias("latest_mtime"), F.col("_l.p").alias("latest_path"))
     )
     out = scratch_dir(spark, "stream-settled")
     _run(st, "update", out, spark, "stream-settled")
@@ -90,69 +79,135 @@ def stream_settled(spark: SparkSession, path: str, files_per_trigger: int) -> Da
 
 
 # ------------------------------------------------------------------ STR3
-# Scan patterns (Python re, matched at line start).  Fixed values.
-_TRACE = re.compile(r"Traceback \(most recent call last\):")
-_FINAL = re.compile(r"(\w+):(.*)")
-_EXTRA = re.compile(r"[^\t ].*")
-_IGNORE = [re.compile(r".*?py4j\.clientserver.*?Closing down clientserver connection")]
 MESSAGE_KEEP = 4096  # characters of message kept in state (alerts show 300)
+_SCAN_STATE = "log_id string, phase int, name string, message string, overflow boolean"
+
+
+def _before_all():
+    """Start position meaning "every line of this batch is later"."""
+    return F.lit(-(2**63)).cast("long")
+
+
+def scan_step(state: DataFrame, lines: DataFrame) -> DataFrame:
+    """One micro-batch of the exception scan: (state, lines) → new state.
+
+    ``state`` holds one row per log that has passed its traceback line:
+    phase 1 = looking for the ``Name: message`` line, phase 2 = appending
+    tail lines (``overflow`` once ``MESSAGE_KEEP`` characters are kept).
+    Lines of a log arrive in order across batches, so every line of this
+    batch follows the state.  Each step is an aggregate or a size-checked
+    join, as in the batch scan: a log with a third of the lines is
+    aggregated partially and never gathered into one task.
+    """
+    from riskloom.functions.text import strip_spaces
+    from riskloom.operators.joins import broadcast_if_small
+    from riskloom.operators.logscan import EXCEPTION_LINE, EXTRA_LINE, IGNORE_PATTERNS, TRACE_START
+
+    log, no, line = F.col("log_id"), F.col("line_no"), F.col("line")
+    # phase 0 → 1: the first traceback line of logs not yet in the state
+    t = lines.where(line.rlike(TRACE_START)).groupBy("log_id").agg(F.min("line_no").alias("_from"))
+    seek = state.where(F.col("phase") == 1).select("log_id", _before_all().alias("_from")).unionByName(
+        t.join(state.select("log_id"), "log_id", "left_anti")
+    )
+    seek = broadcast_if_small(seek)
+    # phase 1 → 2: the first exception line after it
+    e = (
+        lines.join(seek, "log_id")
+        .where((no > F.col("_from")) & line.rlike(EXCEPTION_LINE))
+        .groupBy("log_id")
+        .agg(F.min(F.struct(no.alias("n"), line.alias("l"))).alias("_e"))
+    )
+    heads = e.select(
+        "log_id",
+        F.col("_e.n").alias("_from"),
+        strip_spaces(F.regexp_extract("_e.l", EXCEPTION_LINE, 1)).alias("name"),
+        strip_spaces(F.regexp_extract("_e.l", EXCEPTION_LINE, 2)).alias("message"),
+    )
+    # phase 2: tail lines after the exception line, at most MESSAGE_KEEP
+    # pieces per log (each adds at least one character), the limit taken
+    # per task before the shuffle
+    grow = state.where((F.col("phase") == 2) & ~F.col("overflow")).select(
+        "log_id", _before_all().alias("_from"), "name", "message"
+    ).unionByName(heads)
+    grow = broadcast_if_small(grow)
+    keep = line.rlike(EXTRA_LINE)
+    for pat in IGNORE_PATTERNS:
+        keep = keep & ~line.rlike(pat)
+    pieces = (
+        lines.join(grow.select("log_id", "_from"), "log_id")
+        .where((no > F.col("_from")) & keep)
+        .withColumn("_r", F.row_number().over(Window.partitionBy("log_id").orderBy("line_no")))
+        .where(F.col("_r") <= MESSAGE_KEEP)
+        .groupBy("log_id")
+        .agg(F.array_sort(F.collect_list(F.struct(no.alias("n"), strip_spaces(line).alias("part")))).alias("_p"))
+    )
+    text = F.when(F.size("_p") > 0, F.concat_ws(" ", F.col("message"), F.transform("_p", lambda x: x["part"]))).otherwise(
+        F.col("message")
+    )
+    grown = grow.join(pieces, "log_id", "left").select(
+        "log_id",
+        F.lit(2).alias("phase"),
+        "name",
+        F.substring(text, 1, MESSAGE_KEEP).alias("message"),
+        F.coalesce(F.length(text) > MESSAGE_KEEP, F.lit(False)).alias("overflow"),
+    )
+    waiting = seek.join(heads.select("log_id"), "log_id", "left_anti").select(
+        "log_id", F.lit(1).alias("phase"), F.lit(None).cast("string").alias("name"),
+        F.lit(None).cast("string").alias("message"), F.lit(False).alias("overflow"),
+    )
+    touched = seek.select("log_id").unionByName(grow.select("log_id"))
+    kept = state.join(touched, "log_id", "left_anti")
+    return kept.unionByName(waiting).unionByName(grown)
+
+
+def _scan_batches(state_root: str):
+    """foreachBatch function: state version b = step(latest version < b,
+    batch b), written as folder ``batch_id=b`` of the state table (a
+    replayed batch overwrites its own version from the same inputs)."""
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        state = _state_before(spark, state_root, batch_id)
+        lines = batch.select("log_id", "line_no", "line").persist()
+        scan_step(state, lines).write.mode("overwrite").parquet(f"{state_root}/batch_id={batch_id}")
+        lines.unpersist()
+
+    return run
+
 
-_SCAN_OUT = "log_id string, alias string, message string, priority string, tags array<string>"
-_SCAN_STATE = "phase int, name string, message string, overflow boolean"
-
-
-def _scan_state(key, batches, state):
-    from riskloom.functions.text import TRUNCATE_AT, TRUNCATE_SUFFIX
-    from riskloom.operators.logscan import ALERT_PRIORITY, ALERT_TAGS
-
-    phase, name, message, overflow = state.get if state.exists else (0, None, None, False)
-    frames = [b for b in batches if len(b)]
-    if frames:
-        lines = pd.concat(frames).sort_values("line_no")["line"].reset_index(drop=True)
-        start = 0
-        if phase == 0:
-            hits = lines.str.match(_TRACE.pattern)
-            if hits.any():
-                start, phase = int(hits.idxmax()) + 1, 1
-        if phase == 1:
-            rest = lines.iloc[start:]
-            hits = rest.str.match(_FINAL.pattern)
-            if hits.any():
-                i = int(hits.idxmax())
-                m = _FINAL.match(lines.iloc[i])
-                name, message, phase, start = m.group(1).strip(), m.group(2).strip(), 2, i + 1
-        if phase == 2 and not overflow:
-            rest = lines.iloc[start:]
-            keep = rest.str.match(_EXTRA.pattern)
-            for ign in _IGNORE:
-                keep &= ~rest.str.match(ign.pattern)
-            pieces = rest[keep].str.strip()
-            # append pieces while the kept text is shorter than MESSAGE_KEEP
-            before = len(message) + (pieces.str.len() + 1).cumsum().shift(fill_value=0)
-            take = pieces[before < MESSAGE_KEEP]
-            if len(take):
-                message = message + " " + " ".join(take)
-            overflow = len(take) < len(pieces)
-    state.update((phase, name, message, overflow))
-    if phase == 2:
-        msg = message.strip()
-        if len(msg) > TRUNCATE_AT:
-            msg = msg[:TRUNCATE_AT] + TRUNCATE_SUFFIX
-        yield pd.DataFrame(
-            {"log_id": [key[0]], "alias": [name], "message": [msg], "priority": [ALERT_PRIORITY], "tags": [list(ALERT_TAGS)]}
-        )
+def _state_before(spark: SparkSession, state_root: str, batch_id: int | None) -> DataFrame:
+    """The latest state version before ``batch_id`` (all versions if None)."""
+    reader = spark.read.schema(_SCAN_STATE + ", batch_id long")
+    try:
+        versions = reader.parquet(state_root)
+    except Exception:  # noqa: BLE001 — no version written yet
+        return spark.createDataFrame([], _SCAN_STATE)
+    if batch_id is not None:
+        versions = versions.where(F.col("batch_id") < batch_id)
+    last = versions.agg(F.max("batch_id")).first()[0]
+    if last is None:
+        return spark.createDataFrame([], _SCAN_STATE)
+    return versions.where(F.col("batch_id") == last).drop("batch_id")
 
 
 def stream_logscan(spark: SparkSession, path: str, files_per_trigger: int) -> DataFrame:
-    """Alert rows per log from a stream of (log_id, line_no, line), lines of
-    a log arriving in order across micro-batches."""
+    """Alert rows per log (log_id, alias, message, priority, tags) from a
+    stream of (log_id, line_no, line), lines of a log arriving in order
+    across micro-batches."""
+    from riskloom.functions.text import strip_spaces
+    from riskloom.operators.logscan import default_payload
+
     lines = _file_stream(spark, path, files_per_trigger)
-    st = lines.groupBy("log_id").applyInPandasWithState(
-        _scan_state, _SCAN_OUT, _SCAN_STATE, "update", GroupStateTimeout.NoTimeout
+    state_root = scratch_dir(spark, "stream-logscan-state")
+    q = (
+        lines.writeStream.foreachBatch(_scan_batches(state_root))
+        .option("checkpointLocation", scratch_dir(spark, "stream-logscan-ckpt"))
+        .trigger(availableNow=True)
+        .start()
     )
-    out = scratch_dir(spark, "stream-logscan")
-    _run(st, "update", out, spark, "stream-logscan")
-    return latest_versions(spark, out, ["log_id"])
+    q.awaitTermination()
+    final = _state_before(spark, state_root, None).where(F.col("phase") == 2)
+    return final.select("log_id", *default_payload(F.col("name"), strip_spaces(F.col("message"))))
 
 
 # ------------------------------------------------------------------ STR1

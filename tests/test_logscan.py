@@ -74,3 +74,42 @@ def test_custom_payload_generator(spark):
 
     rows = {r["log_id"]: r for r in log_alerts(_lines(spark), payload=payload).collect()}
     assert rows["a"]["title"] == "KEYERROR" and rows["a"]["size"] == len(_reference_scan(LOG_A)[1])
+
+
+def _stream_steps(spark, lines, cuts):
+    """Feed ``lines`` to ``scan_step`` in line-order batches split at ``cuts``."""
+    from pyspark.sql import functions as F
+
+    from riskloom.streaming.jobs import _SCAN_STATE, scan_step
+
+    state = spark.createDataFrame([], _SCAN_STATE)
+    bounds = [None, *cuts, None]
+    for lo, hi in zip(bounds, bounds[1:]):
+        cond = F.lit(True)
+        if lo is not None:
+            cond &= F.col("line_no") >= lo
+        if hi is not None:
+            cond &= F.col("line_no") < hi
+        state = spark.createDataFrame(scan_step(state, lines.where(cond)).collect(), _SCAN_STATE)
+    return state
+
+
+def test_stream_scan_steps_equal_batch_scan(spark):
+    from pyspark.sql import functions as F
+
+    from riskloom.functions.text import strip_spaces
+    from riskloom.operators.logscan import default_payload
+
+    hot_tail = ["Traceback (most recent call last):", "Big: head"] + [f"tail piece {i}" for i in range(3000)]
+    rows = [("hot", i, line) for i, line in enumerate(hot_tail)]
+    lines = _lines(spark).unionByName(spark.createDataFrame(rows, "log_id string, line_no long, line string"))
+    want = sorted(tuple(r) for r in log_alerts(lines).collect())
+    # cuts split a log between its traceback and exception lines (a: 20|30..50)
+    # and the hot log's tail across batches
+    for cuts in ([], [25, 55, 1000], [15, 35, 45, 65, 2000, 2500]):
+        state = _stream_steps(spark, lines, cuts)
+        assert state.where("phase = 1").select("log_id").collect() == [("b",)]
+        hot = state.where("log_id = 'hot'").first()
+        assert hot["overflow"] and len(hot["message"]) == 4096
+        got = state.where("phase = 2").select("log_id", *default_payload(F.col("name"), strip_spaces(F.col("message"))))
+        assert sorted(tuple(r) for r in got.collect()) == want
