@@ -76,8 +76,9 @@ def scrypt_hash_udf(salt: str):
     """FN2: ``$scrypt$ln=5,r=8,p=1$$`` + unpadded base64 of scrypt(value).
 
     No Spark builtin computes scrypt, so this is an Arrow-batched pandas UDF
-    (one hashlib call per value inside each batch).  It is a narrow map: no
-    shuffle, so a hot value costs CPU only and cannot skew a task.
+    (one hashlib call per distinct value of each batch, so a repeated value
+    is hashed once per batch).  It is a narrow map: no shuffle, so a hot
+    value cannot skew a task.
     """
     salt_b = salt.encode("utf-8")
     prefix = f"$scrypt$ln={SCRYPT_LOG2_N},r={SCRYPT_R},p={SCRYPT_P}$$"
@@ -95,6 +96,7 @@ def scrypt_hash_udf(salt: str):
 
     @pandas_udf(StringType())
     def _scrypt(values: pd.Series) -> pd.Series:
-        return values.map(one)
+        hashed = {v: one(v) for v in values.unique()}
+        return values.map(hashed)
 
     return _scrypt

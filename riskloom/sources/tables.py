@@ -133,26 +133,32 @@ def file_inventory(spark: SparkSession, path: str, recursive: bool = True) -> Da
 
 
 def log_lines(spark: SparkSession, path: str) -> DataFrame:
-    """SRC7: text logs (gzip or plain) to ordered lines.
-
-    Each file is read whole (gzip is not splittable, so a file is one task in
-    any case) and exploded with its position: line order never depends on how
-    the files were split or packed into partitions.
+    """SRC7: text logs (gzip or plain) to ordered lines (log_path, line_no, line).
+
+    Lines are read one per row, split at "\n" only, so no file is ever held
+    as one value.  A scan task reads its file blocks in order and
+    ``monotonically_increasing_id`` is consecutive within a task, so a line's
+    position in its block is its id minus the block's first id.  A gzip file
+    is one block; a plain file may be split, and each block is offset by the
+    lines of the earlier blocks of its file (one row per block: counted,
+    summed in block order, joined back after a size check).  The files are
+    read twice (block counts, then lines); no line is shuffled for this.
     """
-    whole = spark.read.text(path, wholetext=True).select(
-        F.col("_metadata.file_path").alias("log_path"), F.col("value")
-    )
-    pieces = whole.select("log_path", F.split(F.col("value"), "\n", -1).alias("pieces"))
-    lines = pieces.select(
-        "log_path",
-        F.size("pieces").alias("n_pieces"),
-        F.posexplode("pieces").alias("line_no", "line"),
-    )
-    # A trailing newline leaves one empty piece at the end: not a line.
-    keep = ~((F.col("line_no") == F.col("n_pieces") - 1) & (F.col("line") == ""))
-    return lines.where(keep).select(
-        "log_path", F.col("line_no").cast("long").alias("line_no"), F.regexp_replace("line", "\r$", "").alias("line")
+    from pyspark.sql import Window
+
+    from riskloom.operators.joins import broadcast_if_small
+
+    raw = spark.read.option("lineSep", "\n").text(path).select(
+        F.col("_metadata.file_path").alias("log_path"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_id"),
+        F.regexp_replace("value", "\r$", "").alias("line"),
     )
+    blocks = raw.groupBy("log_path", "_block").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy("log_path").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = blocks.select("log_path", "_block", "_first", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_off"))
+    j = raw.join(broadcast_if_small(offsets), ["log_path", "_block"])
+    return j.select("log_path", (F.col("_off") + F.col("_id") - F.col("_first")).cast("long").alias("line_no"), "line")
 
 
 def state_items_for_key(items: DataFrame, key: str, key_col: str = "pk") -> DataFrame:

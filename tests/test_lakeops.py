@@ -70,3 +70,34 @@ def test_retention_excludes_directories(spark):
     )
     got = {r["path"]: r["age_days"] for r in retention_candidates(inv, "2024-02-15 00:00:00", 30, ["skip"]).collect()}
     assert got == {"a/keep/f1": 45}
+
+
+def test_log_lines_positions_over_split_plain_and_gzip_files(spark, tmp_path):
+    import gzip
+
+    from riskloom.sources.tables import log_lines
+
+    big = "".join(f"line {i} {'x' * (i % 50)}\n" if i % 97 else "\n" for i in range(20000))
+    texts = {
+        "plain.log": big,  # several blocks under a small split size
+        "crlf.log": "first\r\nsecond\r\n\r\nlast",
+        "z.log.gz": "a\n\nb\nTraceback\n",
+    }
+    for name, text in texts.items():
+        data = text.encode("utf-8")
+        (tmp_path / name).write_bytes(gzip.compress(data) if name.endswith(".gz") else data)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(64 * 1024))
+    try:
+        rows = log_lines(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    got = {}
+    for r in rows:
+        got.setdefault(r["log_path"].rsplit("/", 1)[-1], {})[r["line_no"]] = r["line"]
+    for name, text in texts.items():
+        lines = text.split("\n")
+        if lines[-1] == "":
+            lines = lines[:-1]
+        want = {i: l.removesuffix("\r") for i, l in enumerate(lines)}
+        assert got[name] == want, name
