@@ -52,13 +52,18 @@ def time_slots(
 def slot_coverage(slots: DataFrame, events: DataFrame, ts: str = "ts", interval_hours: int = 1) -> DataFrame:
     """JOB8: each slot with its event count (0 = nothing arrived: reprocess).
 
-    Events are counted per hour first (partial aggregate); the slot table is
-    bounded by the time range, not by the data.
+    Events are counted per hour first (partial aggregate).  Each slot covers
+    ``interval_hours`` hours from its start: it is expanded to those hour
+    stamps (a table bounded by the time range, not by the data), equi-joined
+    with the hourly counts and summed per slot.
     """
-    per_hour = events.groupBy(F.date_trunc("hour", F.col(ts).cast("timestamp")).alias("slot_ts")).agg(
-        F.count(F.lit(1)).alias("n_events")
+    per_hour = events.groupBy(F.date_trunc("hour", F.col(ts).cast("timestamp")).alias("_hour")).agg(
+        F.count(F.lit(1)).alias("_n")
+    )
+    hours = slots.select(
+        "idx", "slot", "slot_ts", F.explode(F.sequence(F.lit(0), F.lit(interval_hours - 1))).alias("_h")
+    ).withColumn("_hour", F.timestamp_add("HOUR", F.col("_h"), F.col("slot_ts")))
+    j = hours.join(per_hour, "_hour", "left")
+    return j.groupBy("idx", "slot", "slot_ts").agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("n_events")).select(
+        "idx", "slot", "n_events"
     )
-    if interval_hours != 1:
-        raise ValueError("slot_coverage counts hourly slots")
-    j = slots.join(per_hour, "slot_ts", "left")
-    return j.select("idx", "slot", F.coalesce(F.col("n_events"), F.lit(0)).cast("long").alias("n_events"))

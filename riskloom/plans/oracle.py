@@ -377,6 +377,11 @@ def ops_sql() -> dict[str, str]:
         "(SELECT date_trunc('hour', ts) AS slot_ts, count(*) AS n FROM events WHERE event_type = 'purchase' GROUP BY 1) c "
         "ON s.slot_ts = c.slot_ts"
     )
+    q["slot_coverage_6h"] = with_(BOUNDS, _slots("slots", 6, "%Y-%m-%d %H:00")) + (
+        "SELECT s.idx, s.slot, CAST(coalesce(sum(c.n), 0) AS BIGINT) AS n_events FROM slots s LEFT JOIN "
+        "(SELECT date_trunc('hour', ts) AS hour_ts, count(*) AS n FROM events WHERE event_type = 'purchase' GROUP BY 1) c "
+        "ON c.hour_ts >= s.slot_ts AND c.hour_ts < s.slot_ts + INTERVAL 6 HOUR GROUP BY s.idx, s.slot"
+    )
     q["local_time"] = (
         f"SELECT event_id, strftime({KL}, {TSF}) AS local_ts, strftime(ts - INTERVAL 3 HOUR, {TSF}) AS shifted, "
         f"strftime({KL} - INTERVAL 2 DAY, {TSF}) AS run_date FROM events"

@@ -297,6 +297,17 @@ def q_slot_coverage(spark, sf_dir):
     return slot_coverage(slots, ev)
 
 
+@register("slot_coverage_6h")
+def q_slot_coverage_6h(spark, sf_dir):
+    """JOB8 with 6-hour slots: purchases per slot."""
+    from riskloom.operators.timeslots import slot_coverage, time_slots
+    from riskloom.sources.tables import read_table
+
+    slots = time_slots(_event_hour_bounds(spark, sf_dir), "start", "end", "%Y-%m-%d %H:00", 6, False)
+    ev = read_table(spark, sf_dir, "events").where(F.col("event_type") == "purchase")
+    return slot_coverage(slots, ev, interval_hours=6)
+
+
 @register("local_time")
 def q_local_time(spark, sf_dir):
     from riskloom.functions.timefns import run_date, shift_hours, utc_to_local
