@@ -21,9 +21,13 @@ def dense_index(
     group_col: str | None = None,
     out: str = "_idx",
     rows_per_bucket: int = 1_000_000,
+    n_rows: int | None = None,
 ) -> DataFrame:
-    """Add ``out`` = 0-based rank of the (unique) ``order_col`` within ``group_col``."""
-    n = df.count()
+    """Add ``out`` = 0-based rank of the (unique) ``order_col`` within ``group_col``.
+
+    ``n_rows`` is the row count of ``df`` when the caller already has it
+    (it only sizes the buckets; the offsets are always counted exactly)."""
+    n = df.count() if n_rows is None else n_rows
     n_buckets = max(1, math.ceil(n / rows_per_bucket))
     if n_buckets > 1:
         probs = [i / n_buckets for i in range(1, n_buckets)]
