@@ -176,7 +176,15 @@ def _scan_batches(state_root: str):
 
 
 def _state_before(spark: SparkSession, state_root: str, batch_id: int | None) -> DataFrame:
-    """The latest state version before ``batch_id`` (all versions if None)."""
+    """The latest state version before ``batch_id`` (the last one if None).
+
+    Normally that is version ``batch_id - 1``, read from its own folder; the
+    listing of all versions is the fallback (first batch, final read)."""
+    if batch_id:
+        try:
+            return spark.read.schema(_SCAN_STATE).parquet(f"{state_root}/batch_id={batch_id - 1}")
+        except Exception:  # noqa: BLE001 — that version does not exist
+            pass
     reader = spark.read.schema(_SCAN_STATE + ", batch_id long")
     try:
         versions = reader.parquet(state_root)
