@@ -11,7 +11,7 @@ can be repeated in SQL.
 Plan: the minority side is indexed (exact dense index) and joined with its
 k-NN table once, giving (class, base index, rank) → (base, neighbour) pairs
 of size n_c·k_c; the synthetic rows (``spark.range``) then need a single
-equi-join with that table.
+equi-join with that table (a broadcast when it is measured small).
 """
 
 from __future__ import annotations
@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from riskloom.functions.hashing import hash_int, hash_unit
 from riskloom.operators.indexing import dense_index
+from riskloom.operators.joins import broadcast_if_small
 from riskloom.operators.knn import knn_join
 
 SYNTHETIC_ID_STRIDE = 1_000_000_000_000
@@ -75,7 +76,10 @@ def smote(
             hash_unit(seed, "gap", c, i).alias("_u"),
         )
         draws = d if draws is None else draws.unionByName(d)
-    joined = draws.join(pairs, [label, "_idx", "_rank"])
+    # pairs has n_c·k rows; with a tiny minority each pair key meets many
+    # draws, so it is broadcast when measured small (no skewed shuffle), and
+    # otherwise shuffle-joined (keys then spread over many pairs)
+    joined = draws.join(broadcast_if_small(pairs), [label, "_idx", "_rank"])
     u = F.col("_u")
     out = [
         (-(F.col(label).cast("long") * F.lit(SYNTHETIC_ID_STRIDE) + F.col("_i") + 1)).alias(key),
