@@ -22,11 +22,16 @@ def dense_index(
     out: str = "_idx",
     rows_per_bucket: int = 1_000_000,
     n_rows: int | None = None,
+    group_counts: dict | None = None,
 ) -> DataFrame:
     """Add ``out`` = 0-based rank of the (unique) ``order_col`` within ``group_col``.
 
     ``n_rows`` is the row count of ``df`` when the caller already has it
-    (it only sizes the buckets; the offsets are always counted exactly)."""
+    (it only sizes the buckets); ``group_counts`` ({group: rows}) are the
+    exact per-group counts, which are the bucket counts when one bucket
+    suffices.  Otherwise the offsets are counted exactly here."""
+    if group_counts is not None and n_rows is None:
+        n_rows = sum(group_counts.values())
     n = df.count() if n_rows is None else n_rows
     n_buckets = max(1, math.ceil(n / rows_per_bucket))
     if n_buckets > 1:
@@ -38,7 +43,10 @@ def dense_index(
         bucket = F.lit(0)
     keyed = df.withColumn("_bucket", bucket.cast("int"))
     gcols = ([group_col] if group_col else []) + ["_bucket"]
-    counts = keyed.groupBy(*gcols).count().collect()
+    if n_buckets == 1 and group_counts is not None:
+        counts = [{group_col: g, "_bucket": 0, "count": c} for g, c in group_counts.items()]
+    else:
+        counts = keyed.groupBy(*gcols).count().collect()
     # exact offsets per (group, bucket), in bucket order within each group
     offsets: dict[tuple, int] = {}
     by_group: dict = {}

@@ -54,7 +54,7 @@ def smote(
     if not todo:
         return empty
     minority = train.where(F.col(label).isin(list(todo))).select(key, label, *fcols)
-    indexed = dense_index(minority, key, group_col=label, out="_idx", n_rows=sum(todo.values()))
+    indexed = dense_index(minority, key, group_col=label, out="_idx", group_counts=todo)
     nn = knn_join(minority, minority, k, fcols, key, key, within=label, exclude_self=True, **knn_kw)
     feats_b = indexed.select(
         F.col(label), F.col("_idx"), F.col(key).alias("_base"), *[F.col(f).alias(f"b_{f}") for f in fcols]
