@@ -88,7 +88,7 @@ def _before_all():
     return F.lit(-(2**63)).cast("long")
 
 
-def scan_step(state: DataFrame, lines: DataFrame) -> DataFrame:
+def scan_step(state: DataFrame, lines: DataFrame, cached: list | None = None) -> DataFrame:
     """One micro-batch of the exception scan: (state, lines) → new state.
 
     ``state`` holds one row per log that has passed its traceback line:
@@ -97,7 +97,9 @@ def scan_step(state: DataFrame, lines: DataFrame) -> DataFrame:
     Lines of a log arrive in order across batches, so every line of this
     batch follows the state.  Each step is an aggregate or a size-checked
     join, as in the batch scan: a log with a third of the lines is
-    aggregated partially and never gathered into one task.
+    aggregated partially and never gathered into one task.  The measured
+    (persisted) one-row-per-log sides are appended to ``cached`` so the
+    caller can release them once the new state is written.
     """
     from riskloom.functions.text import strip_spaces
     from riskloom.operators.joins import broadcast_if_small
@@ -110,6 +112,8 @@ def scan_step(state: DataFrame, lines: DataFrame) -> DataFrame:
         t.join(state.select("log_id"), "log_id", "left_anti")
     )
     seek = broadcast_if_small(seek)
+    if cached is not None:
+        cached.append(seek)
     # phase 1 → 2: the first exception line after it
     e = (
         lines.join(seek, "log_id")
@@ -130,6 +134,8 @@ def scan_step(state: DataFrame, lines: DataFrame) -> DataFrame:
         "log_id", _before_all().alias("_from"), "name", "message"
     ).unionByName(heads)
     grow = broadcast_if_small(grow)
+    if cached is not None:
+        cached.append(grow)
     keep = line.rlike(EXTRA_LINE)
     for pat in IGNORE_PATTERNS:
         keep = keep & ~line.rlike(pat)
@@ -169,8 +175,10 @@ def _scan_batches(state_root: str):
         spark = batch.sparkSession
         state = _state_before(spark, state_root, batch_id)
         lines = batch.select("log_id", "line_no", "line").persist()
-        scan_step(state, lines).write.mode("overwrite").parquet(f"{state_root}/batch_id={batch_id}")
-        lines.unpersist()
+        cached = [lines]
+        scan_step(state, lines, cached).write.mode("overwrite").parquet(f"{state_root}/batch_id={batch_id}")
+        for df in cached:  # nothing cached outlives its batch
+            df.unpersist()
 
     return run
 
