@@ -27,6 +27,9 @@ def _pair(a: str, b: str) -> str:
     return f"s_{a}__{b}"
 
 
+WIDE_FEATURES = 50  # above this, statistics are summed as numpy blocks
+
+
 def gram_by_fold(
     df: DataFrame,
     features: Sequence[str],
@@ -36,7 +39,9 @@ def gram_by_fold(
     seed: int = 42,
 ) -> DataFrame:
     """AGG9: one row per fold with n, s_<f>, s_y, s_<f>__<g> (f ≤ g),
-    s_<f>__y and s_yy.  Folds are md5 buckets of the key."""
+    s_<f>__y and s_yy.  Folds are md5 buckets of the key.  One aggregate
+    column per statistic: for up to ``WIDE_FEATURES`` features (see
+    ``gram_blocks`` for wider inputs)."""
     fcols = list(features)
     y = F.col(label).cast("double")
     aggs = [F.count(F.lit(1)).alias("n"), F.sum(y).alias("s_y"), F.sum(y * y).alias("s_yy")]
@@ -48,6 +53,64 @@ def gram_by_fold(
     return df.groupBy(hash_bucket(folds, seed, "fold", F.col(key)).cast("int").alias("fold")).agg(*aggs)
 
 
+def gram_blocks(
+    df: DataFrame,
+    features: Sequence[str],
+    label: str,
+    key: str,
+    folds: int = 5,
+    seed: int = 42,
+) -> DataFrame:
+    """AGG9 for wide inputs: (fold, stat, value) with the statistic names of
+    ``gram_by_fold``.  Each task accumulates n, Σx, Σy, XᵀX, Xᵀy, yᵀy per
+    fold with numpy over its Arrow batches and emits them once; a grouped
+    sum (partial, then final) adds the tasks up.  Output: folds·O(p²) rows,
+    whatever the table size."""
+    import pandas as pd
+
+    fcols = list(features)
+    p = len(fcols)
+    iu = np.triu_indices(p)
+    names = (
+        ["n", "s_y", "s_yy"]
+        + [f"s_{a}" for a in fcols]
+        + [_pair(a, "y") for a in fcols]
+        + [_pair(fcols[i], fcols[j]) for i, j in zip(*iu)]
+    )
+
+    def stats(batches):
+        acc: dict[int, np.ndarray] = {}
+        for b in batches:
+            X = b[fcols].to_numpy(dtype="float64")
+            yv = b[label].to_numpy(dtype="float64")
+            fv = b["_fold"].to_numpy()
+            for fold in np.unique(fv):
+                m = fv == fold
+                Xf, yf = X[m], yv[m]
+                v = np.concatenate(
+                    [[len(yf), yf.sum(), yf @ yf], Xf.sum(axis=0), Xf.T @ yf, (Xf.T @ Xf)[iu]]
+                )
+                acc[int(fold)] = acc.get(int(fold), 0) + v
+        for fold, v in acc.items():
+            yield pd.DataFrame({"fold": fold, "stat": names, "value": v})
+
+    keyed = df.select(
+        *fcols, F.col(label).cast("double").alias(label), hash_bucket(folds, seed, "fold", F.col(key)).cast("int").alias("_fold")
+    )
+    partial = keyed.mapInPandas(stats, "fold int, stat string, value double")
+    return partial.groupBy("fold", "stat").agg(F.sum("value").alias("value"))
+
+
+def _fold_rows(df: DataFrame, fcols, label, key, folds, seed) -> list:
+    """Fold statistics collected as one mapping per fold (folds × O(p²) numbers)."""
+    if len(fcols) <= WIDE_FEATURES:
+        return gram_by_fold(df, fcols, label, key, folds, seed).collect()
+    rows: dict[int, dict] = {}
+    for r in gram_blocks(df, fcols, label, key, folds, seed).collect():
+        rows.setdefault(r["fold"], {"fold": r["fold"]})[r["stat"]] = r["value"]
+    return list(rows.values())
+
+
 def _unpack(row, fcols):
     p = len(fcols)
     sx = np.array([row[f"s_{a}"] for a in fcols], dtype=float)
@@ -172,7 +235,7 @@ def lasso_select(
     selected)).
     """
     fcols = list(features)
-    rows = gram_by_fold(df, fcols, label, key, folds, seed).collect()  # folds rows of p² numbers
+    rows = _fold_rows(df, fcols, label, key, folds, seed)  # folds × O(p²) numbers
     alpha, _, _ = lasso_cv_from_stats(rows, fcols)
     spark = df.sparkSession
     if final_fit == "gram":

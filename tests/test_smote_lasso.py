@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from riskloom.operators.lasso import _cd, _path, gram_by_fold, lasso_cv_from_stats, lasso_select, selected_features, NoFeaturesSelected
+from riskloom.operators.lasso import _cd, _path, gram_blocks, gram_by_fold, lasso_cv_from_stats, lasso_select, selected_features, NoFeaturesSelected
 from riskloom.operators.smote import oversample, smote
 
 
@@ -108,3 +108,16 @@ def test_no_feature_selected_raises(spark):
     sel = spark.createDataFrame([("a", 0.0, False)], "feature string, coefficient double, selected boolean")
     with pytest.raises(NoFeaturesSelected):
         selected_features(sel)
+
+
+def test_gram_blocks_equal_gram_columns(spark):
+    rng = np.random.default_rng(8)
+    X = rng.normal(size=(500, 7))
+    rows = [(i, float(X[i] @ np.arange(7)), *map(float, X[i])) for i in range(500)]
+    feats = [f"x{j}" for j in range(7)]
+    df = spark.createDataFrame(rows, "k long, y double, " + ", ".join(f"{f} double" for f in feats)).repartition(4)
+    wide = {r["fold"]: r.asDict() for r in gram_by_fold(df, feats, "y", "k").collect()}
+    long = gram_blocks(df, feats, "y", "k").collect()
+    assert len(long) == 5 * (3 + 2 * 7 + 7 * 8 // 2)
+    for r in long:
+        assert np.isclose(wide[r["fold"]][r["stat"]], r["value"], rtol=1e-12, atol=1e-9), r
