@@ -432,8 +432,20 @@ def ml_sql() -> dict[str, str]:
         for b in FEATS[i:]:
             sums.append(f"round(sum({a} * {b}), 6) AS s_{a}__{b}")
     fold = f"CAST({h(chr(39) + '42:fold:' + chr(39) + ' || CAST(tx_id AS VARCHAR)')} % 5 AS INTEGER)"
+    dims = [f"e{j}" for j in range(64)]
+    vfold = f"CAST({h(chr(39) + '42:fold:' + chr(39) + ' || CAST(vec_id AS VARCHAR)')} % 5 AS INTEGER)"
+    vcols = ", ".join(f"CAST(embedding[{j + 1}] AS DOUBLE) AS {d}" for j, d in enumerate(dims))
+    wide = ["CAST(count(*) AS DOUBLE) AS n", "sum(y) AS s_y", "sum(y * y) AS s_yy"]
+    wide += [f"sum({d}) AS s_{d}" for d in dims] + [f"sum({d} * y) AS s_{d}__y" for d in dims]
+    wide += [f"sum({a} * {b}) AS s_{a}__{b}" for i, a in enumerate(dims) for b in dims[i:]]
     return {
         "gram_by_fold": with_(PREP, SMOTE) + f"SELECT {fold} AS fold, {', '.join(sums)} FROM trainos GROUP BY 1",
+        "gram_vectors": (
+            f"WITH v AS (SELECT CAST(label % 2 + 1 AS DOUBLE) AS y, {vcols}, {vfold} AS fold FROM embeddings), "
+            f"w AS (SELECT fold, {', '.join(wide)} FROM v GROUP BY fold), "
+            "u AS (UNPIVOT w ON COLUMNS(* EXCLUDE (fold)) INTO NAME stat VALUE value) "
+            "SELECT fold, stat, round(value, 6) AS value FROM u"
+        ),
     }
 
 

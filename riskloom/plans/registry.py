@@ -427,6 +427,22 @@ def q_gram_by_fold(spark, sf_dir):
     return g.select("fold", "n", *[F.round(c, 6).alias(c) for c in g.columns if c.startswith("s_")])
 
 
+EMBEDDING_DIM = 64  # width of the embeddings table (FIXTURES)
+
+
+@register("gram_vectors")
+def q_gram_vectors(spark, sf_dir):
+    """AGG9 on a wide input: fold statistics of the embedding dimensions
+    against the binary class, as per-task numpy blocks summed by Spark."""
+    from riskloom.fixtures import vectors
+    from riskloom.operators.lasso import gram_blocks
+
+    dims = [f"e{j}" for j in range(EMBEDDING_DIM)]
+    v = vectors(spark, sf_dir).select("vec_id", LABEL, *[F.col("embedding")[j].alias(d) for j, d in enumerate(dims)])
+    g = gram_blocks(v, dims, LABEL, "vec_id", folds=5, seed=42)
+    return g.select("fold", "stat", F.round("value", 6).alias("value"))
+
+
 @register("lasso_selection")
 def q_lasso_selection(spark, sf_dir):
     p, _ = T.prepare(spark, sf_dir, labelled_only=True)
