@@ -8,6 +8,7 @@ import math
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from riskloom.session import scratch_dir
 
@@ -40,12 +41,19 @@ def stage_chunks(df: DataFrame, ts: str, chunks: int, name: str, min_files: int
     chunk_id = F.lit(chunks - 1)
     for k in reversed(range(chunks - 1)):
         chunk_id = F.when(conds[k], F.lit(k)).otherwise(chunk_id)
-    sizes = [r["n"] for r in df.groupBy(chunk_id.alias("c")).agg(F.count(F.lit(1)).alias("n")).collect()]
+    # chunk ids computed in one pass into a chunk-partitioned staging table;
+    # each chunk is then read back through partition pruning, so the input
+    # is scanned once instead of once per chunk
+    staged = scratch_dir(spark, f"{name}-staged")
+    df.withColumn("_chunk", chunk_id).write.partitionBy("_chunk").parquet(staged)
+    schema = StructType(df.schema.fields + [StructField("_chunk", IntegerType())])
+    table = spark.read.schema(schema).parquet(staged)
+    sizes = [r["n"] for r in table.groupBy("_chunk").agg(F.count(F.lit(1)).alias("n")).collect()]
     want = max(min_files or spark.sparkContext.defaultParallelism, math.ceil(input_bytes(df) / chunks / TARGET_FILE_BYTES))
     files = max(1, min([want] + sizes))
     seen = 0
     for k in range(chunks):
-        df.where(conds[k]).repartition(files).write.mode("append").parquet(path)
+        table.where(F.col("_chunk") == k).drop("_chunk").repartition(files).write.mode("append").parquet(path)
         now = len(spark.read.parquet(path).inputFiles())
         if now - seen not in (0, files):
             raise RuntimeError(f"chunk {k} wrote {now - seen} files, expected {files}: micro-batches would not align")
