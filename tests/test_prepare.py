@@ -63,3 +63,11 @@ def test_labelled_transactions_same_on_both_label_paths(spark):
     every = transactions(spark, sf).where("class in (1, 2)")
     assert small.count() == large.count() == every.count() > 0
     assert small.exceptAll(large).count() == 0 and every.exceptAll(small).count() == 0
+
+
+def test_dense_index_with_known_group_counts(spark):
+    df = spark.createDataFrame([(k, k % 3) for k in range(0, 3000, 7)], "k long, g int").repartition(4)
+    counts = {r["g"]: r["count"] for r in df.groupBy("g").count().collect()}
+    a = dense_index(df, "k", group_col="g", group_counts=counts)
+    b = dense_index(df, "k", group_col="g")
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
