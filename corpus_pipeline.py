@@ -1,14 +1,62 @@
-"""The corpus pipeline: STAGES over ``documents``, each written as Parquet and read again."""
+"""The corpus pipeline: STAGES over ``documents``, each written as Parquet and read again.
+
+A stage takes (spark, docs, sf_dir) and returns the documents it keeps with all their columns; the last
+packs what is left.  Each works on whole texts of all its predecessor kept.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from riskloom.llm.common import materialize, table
+from riskloom.llm.decontam import decontaminate
+from riskloom.llm.jaccard import keep_one
+from riskloom.llm.langid import keep_identified, learn
+from riskloom.llm.packing import pack
+from riskloom.llm.queries import word_bpe
+from riskloom.llm.secrets import without_secrets
+
+#: The least share of a document's letters in its own language; a document with less is a jumble.
+LEAST_SHARE = 0.5
+#: Near-duplicates: five-word shingles, Jaccard similarity in hundredths.
+SHINGLE_WORDS, SIMILAR_PERCENT = 5, 80
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a known language; a null text or one without letters goes, as does a jumble."""
+    return keep_identified(docs, learn(docs.filter(F.col("lang").isNotNull())), LEAST_SHARE)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near and exact copies, that of the smallest id."""
+    return keep_one(docs, SHINGLE_WORDS, SIMILAR_PERCENT)
+
+
+def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no passage of the benchmark."""
+    return decontaminate(docs, table(spark, sf_dir, "benchmark"))
+
+
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which no secret is found."""
+    return without_secrets(docs)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of the documents and their places in sequences of 2048 tokens."""
+    return pack(docs, word_bpe(), end_id=0)
+
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = []
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("language", language),
+    ("near_duplicates", near_duplicates),
+    ("benchmark_passages", benchmark_passages),
+    ("secrets", secrets),
+    ("packing", packing),
+]
 
 #: Tokenizer ids and a fitted classifier are beyond SQL.
 ORACLE_SQL = None

@@ -1,3 +1,11 @@
 """DuckDB SQL of the queries that SQL can express."""
 
-QUERIES_SQL: dict[str, str] = {}
+from riskloom.llm.jaccard import JACCARD_SQL
+from riskloom.llm.secrets import secrets_sql
+from riskloom.llm.warc import WARC_SQL
+
+QUERIES_SQL: dict[str, str] = {
+    "op2_secret_scan": secrets_sql(),
+    "op8_warc": WARC_SQL,
+    "op10_jaccard": JACCARD_SQL,
+}
