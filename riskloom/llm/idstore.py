@@ -76,7 +76,8 @@ def train_dictionary(docs: DataFrame, uri: str, path: str, end_id: int, sample:
         save_file(uri, "dictionary", [data])
         yield pa.RecordBatch.from_pydict({"sha256": [hashlib.sha256(data).hexdigest()]})
 
-    chosen = docs.orderBy(F.xxhash64("doc_id"), "doc_id", F.length("text")).limit(sample)
+    one = docs.sparkSession.range(1).select(F.lit(None).cast("long").alias("doc_id"), F.lit("").alias("text"))  # so that there is a task
+    chosen = docs.orderBy(F.xxhash64("doc_id"), "doc_id", F.length("text")).limit(sample).unionByName(one)
     return chosen.coalesce(1).mapInArrow(train, "sha256 string").first()["sha256"]
 
 

@@ -104,10 +104,11 @@ def learn(docs: DataFrame, *, lang_col: str = "lang", text_col: str = "text") ->
             yield pa.RecordBatch.from_arrays([pa.array([name] * len(some)), pa.array(some), pa.array(n[some])], names=["lang", "feature", "n"])
 
     def write(batches):
-        found = pa.Table.from_batches(batches) if (batches := list(batches)) else None
-        langs = sorted(set(found.column("lang").to_pylist())) if found else []
+        found = pa.Table.from_batches(list(batches))
+        found = found.filter(pc.is_valid(found.column("lang")))
+        langs = sorted(set(found.column("lang").to_pylist()))
         n = np.zeros((len(langs), BUCKETS + len(NAMES)))
-        if found:
+        if langs:
             n[np.searchsorted(langs, found.column("lang").to_pylist()), found.column("feature").to_numpy()] = found.column("n").to_numpy()
         out = io.BytesIO()
         np.savez_compressed(out, langs=np.array(langs, dtype="U"), n=n)
@@ -115,7 +116,9 @@ def learn(docs: DataFrame, *, lang_col: str = "lang", text_col: str = "text") ->
         yield pa.RecordBatch.from_pydict({"langs": pa.array([len(langs)], pa.int32())})
 
     sums = labelled.mapInArrow(count, "lang string, feature long, n long").groupBy("lang", "feature").agg(F.sum("n").alias("n"))
-    sums.repartition(1).mapInArrow(write, "langs int").collect()  # at most languages x features rows
+    one = docs.sparkSession.range(1).selectExpr("string(null) as lang", "0L as feature", "0L as n")  # so that there is a task
+    # At most languages x features rows.
+    sums.unionByName(one).repartition(1).mapInArrow(write, "langs int").collect()
     return uri
 
 

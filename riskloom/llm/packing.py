@@ -5,11 +5,11 @@ of the sequence's size but for the last.  A configuration is a multiset of lengt
 The program over the histogram of lengths (at most as many rows as a sequence has tokens, whatever the
 corpus) asks for the fewest configurations that cover every length as often as it occurs:
 
-* multiplicative weights: a length's price is its weight over its count, the weight falling as it is
-  covered;
+* multiplicative weights: a length's price is its tokens times a weight that falls exponentially with
+  how often it has been covered; each step covers the scarcest length of a configuration a little more;
 * pricing: an unbounded knapsack by dynamic programming finds the configuration of the greatest price;
-* rounding: whole multiples of the fractional solution are taken as long as there are pieces for them,
-  the program is solved again for what is left, and the last few are packed best-fit, longest first.
+* rounding: the fractional solution, scaled to cover the volume once, enters in whole sequences as long
+  as there are pieces for them; what is left is packed best-fit, longest first.
 
 The pieces of a length are numbered across the cluster (hashed buckets with offsets, so a length that a
 third of all pieces share is numbered by many tasks) and take their places from the plan.
@@ -32,10 +32,11 @@ from riskloom.llm.common import materialize, text_chunks, texts
 from riskloom.llm.tokens import encoder
 
 SEQUENCE = 2048
-#: Steps of the weights for each solving of the program, and how often it is solved at most.
-STEPS, SOLVINGS = 600, 4
-#: How sharply a weight falls: a length covered once over loses this power of e.
-RATE = 4.0
+#: Steps of the weights; each is one knapsack, whatever the number of documents.
+STEPS = 1000
+#: A step covers the scarcest length of its configuration by this share, and a length covered once
+#: more loses this power of e of its weight.
+SHARE, RATE = 0.3, 0.3
 #: Pieces that a task numbers together, about.
 NUMBERED = 100_000
 
@@ -63,8 +64,9 @@ def pieces(docs: DataFrame, path: str, end_id: int, sequence: int = SEQUENCE, *,
 
 
 def best_configuration(price: np.ndarray, capacity: int) -> np.ndarray:
-    """How often each length (price[l - 1] is that of length l, 0 if it is not there) stands in the
-    configuration of the greatest price: the unbounded knapsack."""
+    """The knapsack by dynamic programming: choice[c] is the last length of the configuration of the
+    greatest price within c tokens (0: it is that of c - 1).  price[l - 1] is that of length l, 0 if
+    it is not there; a length may be used any number of times."""
     value = np.zeros(capacity + 1)
     choice = np.zeros(capacity + 1, np.int64)
     backward = np.ascontiguousarray(price[::-1])  # backward[capacity - l] is the price of l
@@ -75,34 +77,61 @@ def best_configuration(price: np.ndarray, capacity: int) -> np.ndarray:
             value[c], choice[c] = sums[i], c - i
         else:
             value[c] = value[c - 1]
-    out = np.zeros(len(price), np.int64)
-    c = capacity
-    while c:
-        if choice[c]:
-            out[choice[c] - 1] += 1
-        c -= max(int(choice[c]), 1)
+    return choice
+
+
+def configuration(choice: np.ndarray, left: np.ndarray) -> dict[int, int]:
+    """The configuration that ``choice`` names, with no more pieces of a length than are left; in the
+    place of those that are not there, the longest ones that fit."""
+    out: dict[int, int] = {}
+    free = left.copy()
+    c = len(choice) - 1
+    while c > 0:
+        length = int(choice[c])
+        if not length:
+            c -= 1
+            continue
+        if not free[length - 1]:
+            some = np.flatnonzero(free[:c])
+            if not some.size:
+                break
+            length = int(some[-1]) + 1
+        free[length - 1] -= 1
+        out[length] = out.get(length, 0) + 1
+        c -= length
     return out
 
 
 def fractional(count: np.ndarray, capacity: int, steps: int = STEPS) -> dict[Configuration, float]:
-    """A fractional solution of the program: configurations and how often each is used, in total
-    about as much as there is."""
-    need = np.maximum(count, 1).astype(float)
-    covered = np.zeros(capacity)
+    """A fractional solution of the program: configurations and how often each is used, together as
+    many tokens as ``count`` has."""
     used: dict[Configuration, float] = {}
+    some = count > 0
+    if not some.any():
+        return used
+    length, need, covered = np.arange(1, capacity + 1), np.maximum(count, 1), np.zeros(capacity)
     for _ in range(steps):
-        price = np.where(count > 0, np.exp(-RATE * covered) / need, 0.0)
-        if price.max() <= 0:
-            break
-        times = np.minimum(best_configuration(price / price.max(), capacity), count)
-        some = np.flatnonzero(times)
-        step = float((count[some] / times[some]).min())  # until the first of its lengths is covered once more
-        covered[some] += step * times[some] / need[some]
-        key = tuple((int(i) + 1, int(times[i])) for i in some[::-1])
+        price = np.where(some, length * np.exp(-RATE * np.maximum(covered - covered[some].min(), 0)), 0.0)
+        chosen = configuration(best_configuration(price, capacity), count)
+        step = SHARE * min(int(count[n - 1]) / a for n, a in chosen.items())
+        for n, a in chosen.items():
+            covered[n - 1] += step * a / need[n - 1]
+        key = tuple(sorted(chosen.items(), reverse=True))
         used[key] = used.get(key, 0.0) + step
-    volume = float((count * np.arange(1, capacity + 1)).sum())
-    made = sum(x * sum(n * a for n, a in key) for key, x in used.items())
-    return {key: x * min(1.0, volume / made) for key, x in used.items()} if made else {}
+    once = float((covered * count * length).sum() / (count * length).sum())
+    return {key: x / once for key, x in used.items()}
+
+
+def rounded(solution: dict[Configuration, float], left: np.ndarray) -> dict[Configuration, int]:
+    """Whole sequences of a fractional solution, most used first; ``left`` is reduced by their pieces."""
+    made: dict[Configuration, int] = {}
+    for key, x in sorted(solution.items(), key=lambda c: -c[1]):
+        times = min(int(x), *(int(left[n - 1]) // a for n, a in key))
+        if times > 0:
+            made[key] = times
+            for n, a in key:
+                left[n - 1] -= a * times
+    return made
 
 
 def best_fit(count: np.ndarray, capacity: int) -> dict[Configuration, int]:
@@ -148,21 +177,9 @@ def plan(count: np.ndarray, capacity: int = SEQUENCE) -> list[tuple[Configuratio
     if left[capacity - 1]:
         made[((capacity, 1),)] = int(left[capacity - 1])
         left[capacity - 1] = 0
-    for _ in range(SOLVINGS):
-        if left.sum() <= 2 * np.count_nonzero(left):
-            break
-        solution = fractional(left, capacity)
-        before = left.sum()
-        for configuration, x in sorted(solution.items(), key=lambda c: -c[1]):
-            times = min(int(x), *(int(left[n - 1]) // a for n, a in configuration))
-            if times > 0:
-                made[configuration] = made.get(configuration, 0) + times
-                for n, a in configuration:
-                    left[n - 1] -= times * a
-        if left.sum() == before:
-            break
-    for configuration, times in best_fit(left, capacity).items():
-        made[configuration] = made.get(configuration, 0) + times
+    for more in (rounded(fractional(left, capacity), left), best_fit(left, capacity)):
+        for key, times in more.items():
+            made[key] = made.get(key, 0) + times
     return sorted(made.items(), key=lambda c: (-c[1], c[0]))
 
 
@@ -170,9 +187,9 @@ def places(planned: list[tuple[Configuration, int]]) -> np.ndarray:
     """Rows (length, first number, how often in one sequence, first sequence, offset) by length and
     first number: which of a length's numbered pieces stand in which sequences of the plan."""
     rows, base, number = [], 0, {}
-    for configuration, times in planned:
+    for key, times in planned:
         offset = 0
-        for length, a in configuration:
+        for length, a in key:
             rows.append((length, number.get(length, 0), a, base, offset))
             number[length] = number.get(length, 0) + a * times
             offset += a * length
