@@ -59,7 +59,7 @@ def transactions(
     sf_dir: str,
     only_ids: DataFrame | None = None,
     labelled_only: bool = False,
-    broadcast_rows: int | None = None,
+    broadcast_bytes: int | None = None,
 ) -> DataFrame:
     """(tx_id, class, f_*): class 1 = quality 0, 2 = quality 1, 3 = unlabelled.
 
@@ -68,11 +68,11 @@ def transactions(
     into a broadcast join when the measured label side is small.
     ``labelled_only`` keeps documents that have a label *before* the text
     work (classes 1 and 2 only); ``only_ids`` restricts to a bounded id list.
-    ``broadcast_rows`` caps the label rows broadcast for that early filter.
+    ``broadcast_bytes`` bounds the label side broadcast for that early filter.
     """
-    from riskloom.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, broadcast_if_small, measured
+    from riskloom.operators.joins import DEFAULT_MAX_BROADCAST_BYTES, broadcast_if_small, fits
 
-    broadcast_rows = DEFAULT_MAX_BROADCAST_ROWS if broadcast_rows is None else broadcast_rows
+    broadcast_bytes = DEFAULT_MAX_BROADCAST_BYTES if broadcast_bytes is None else broadcast_bytes
 
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
     if only_ids is not None:
@@ -88,8 +88,7 @@ def transactions(
         # side is measured small (a broadcast semi-join: no shuffle of text).
         # Otherwise features are computed for all documents and the inner
         # join below shuffles 7 numbers per row, never the texts.
-        labels, small = measured(labels, broadcast_rows)
-        if small:
+        if fits(labels, broadcast_bytes):
             labels = F.broadcast(labels)
             docs = docs.join(labels.select(F.col(KEY).alias("doc_id")), "doc_id", "left_semi")
     feats = transaction_features(docs)

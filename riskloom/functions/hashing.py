@@ -21,11 +21,11 @@ def _c(x) -> Column:
 
 
 def hash_int(*parts) -> Column:
-    """Deterministic 32-bit unsigned integer from the md5 of ``parts`` joined
+    """Deterministic 60-bit unsigned integer from the md5 of ``parts`` joined
     with ':' — independent of partitioning, and repeatable in any SQL engine
-    (first 8 hex digits of md5)."""
+    (first 15 hex digits of md5)."""
     text = F.concat_ws(":", *[_c(p) if isinstance(p, Column) else F.lit(str(p)) for p in parts])
-    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
 
 
 def hash_bucket(n: int, *parts) -> Column:
@@ -43,20 +43,32 @@ def strip_newlines(col) -> Column:
     return F.regexp_replace(_c(col), "\n", "")
 
 
-def salted_sha256(col, salt: str) -> Column:
-    """FN1: hex sha256 of salt || value; NULL hashes as the empty string."""
-    return F.sha2(F.concat(F.lit(salt), F.coalesce(_c(col).cast("string"), F.lit(""))), 256)
+def hidden(spark, value: str) -> Column:
+    """``value`` as a scalar subquery over a one-row table: a key or salt that
+    no plan text, event log or literal shows."""
+    return spark.createDataFrame([(value,)], "hidden string").scalar()
 
 
-def aes_encrypt_b64(col, key_hex: str) -> Column:
-    """FN3: AES-CBC with PKCS padding and a random IV; base64(IV || ciphertext)."""
-    key = F.unhex(F.lit(key_hex))
+def _text(x: str | Column) -> Column:
+    return x if isinstance(x, Column) else F.lit(x)
+
+
+def salted_sha256(col, salt: str | Column) -> Column:
+    """FN1: hex sha256 of salt || value; NULL hashes as the empty string.
+    Pass the salt as :func:`hidden` to keep it out of the plan."""
+    return F.sha2(F.concat(_text(salt), F.coalesce(_c(col).cast("string"), F.lit(""))), 256)
+
+
+def aes_encrypt_b64(col, key_hex: str | Column) -> Column:
+    """FN3: AES-CBC with PKCS padding and a random IV; base64(IV || ciphertext).
+    Pass the key as :func:`hidden` to keep it out of the plan."""
+    key = F.unhex(_text(key_hex))
     return F.base64(F.aes_encrypt(F.coalesce(_c(col).cast("string"), F.lit("")), key, F.lit("CBC"), F.lit("PKCS")))
 
 
-def aes_decrypt_b64(col, key_hex: str) -> Column:
+def aes_decrypt_b64(col, key_hex: str | Column) -> Column:
     """Inverse of :func:`aes_encrypt_b64`."""
-    key = F.unhex(F.lit(key_hex))
+    key = F.unhex(_text(key_hex))
     return F.aes_decrypt(F.unbase64(_c(col)), key, F.lit("CBC"), F.lit("PKCS")).cast("string")
 
 

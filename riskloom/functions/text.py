@@ -7,11 +7,12 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Patterns that must equal the reference's behaviour.  Fixed values.
-TABLE_AFTER_FROM_JOIN = r"(?i)\b(?:FROM|JOIN)\s+([^\s;]+)"
+# Patterns that must equal the reference's behaviour; (?U) makes \w, \s and \b
+# cover all of Unicode.  Fixed values.
+TABLE_AFTER_FROM_JOIN = r"(?iU)\b(?:FROM|JOIN)\s+([^\s;]+)"
 COUNT_STAR = r"COUNT\(\*\)"
 DESTRUCTIVE_ANYWHERE = r"(?i)(drop|delete)"
-LEADING_DROP_ALTER = r"(?i)^\s*\b(drop|alter)\b"
+LEADING_DROP_ALTER = r"(?iU)^\s*\b(drop|alter)\b"
 TRUNCATE_AT = 300
 TRUNCATE_SUFFIX = "... truncated ..."
 
@@ -67,4 +68,4 @@ def truncate_message(col, max_len: int = TRUNCATE_AT, suffix: str = TRUNCATE_SUF
 
 def strip_spaces(col) -> Column:
     """Leading and trailing whitespace removed (Python's ``str.strip``)."""
-    return F.regexp_replace(_c(col), r"^\s+|\s+$", "")
+    return F.regexp_replace(_c(col), r"(?U)^\s+|\s+$", "")

@@ -13,9 +13,6 @@ LICIT_CODE = 1
 LICIT = "Licit"
 ILLICIT = "Illicit"
 
-# Model order used to break accuracy ties.  Fixed values.
-MODEL_ORDER = ("knn", "decision_tree", "random_forest", "gbt", "mlp")
-
 
 def accuracy(pred: DataFrame, prediction: str = "prediction", label: str = "class") -> DataFrame:
     """AGG2: one row (accuracy, n_test) — fraction of equal predictions."""

@@ -4,14 +4,22 @@ Two physical strategies, same exact result:
 
 * **broadcast** — when the reference side measured at fit time is at most
   ``broadcast_max_bytes``, it is shipped once to every executor and each
-  query partition computes distances in numpy batches (``mapInPandas``),
-  emitting only its k nearest.
-* **block grid** — otherwise query and reference rows are hashed into
-  blocks; each (query block, reference block) cell is one bounded pandas
-  task (``cogroup.applyInPandas``) that emits its local k nearest per query
-  row, and a final per-query top-k keeps the global k.  No cell holds more
-  than one block of each side and no step emits all pairs.
-
+  query partition computes distances in numpy batches (``mapInPandas``).
+  All neighbours of a query row are then at hand, so ``knn_vote`` votes there
+  and returns one row per query row: no shuffle.
+* **pivot cells** — otherwise reference rows belong to the cell of their
+  nearest pivot, and a cell knows its radius.  A query row first meets the
+  nearest cells that hold k rows; its k-th distance then bounds the rest:
+  a cell whose pivot is farther than radius + bound cannot improve it, so
+  the row goes on to the other cells only (triangle inequality, exact).
+  Cells and the query rows that meet them are cut into blocks of bounded
+  rows; a task sees one block of each.
+
+Cost: both are exact, so at worst (data without structure, where no cell can
+be ruled out) every row is still compared with every row, in bounded tasks;
+with structure a query row is compared with the few cells near it.
+
+Missing features follow ``checked_features``: raise (default), skip or keep.
 Ties: distances are rounded to ``decimals`` places and ties broken by the
 smaller reference id, so results are deterministic and repeatable in SQL.
 """
@@ -26,10 +34,14 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskloom.functions.hashing import hash_bucket
+from riskloom.functions.hashing import hash_int
+from riskloom.operators.prepare import checked_features
+from riskloom.session import materialize
 
 DEFAULT_BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 DEFAULT_BLOCK_ROWS = 20_000
+#: Pivots of the cells: about a cell for each block of reference rows, within these bounds.
+LEAST_PIVOTS, MOST_PIVOTS = 8, 2048
 _CHUNK_CELLS = 2_000_000  # distance-matrix cells per numpy chunk
 
 
@@ -126,6 +138,28 @@ def _matrix(df_or_pdf, features: Sequence[str]) -> np.ndarray:
     return df_or_pdf[cols].to_numpy(dtype="float64")
 
 
+def _inputs(query, reference, features, query_id, ref_id, within, carry, keep, nulls):
+    """(query, reference, feature columns) under internal names, checked."""
+    fcols = list(features)
+    extra = lambda name, c: [F.col(c).alias(name)] if c else []
+    ref = checked_features(reference, fcols, nulls).select(F.col(ref_id).alias("_rid"), *extra("_w", within), *extra("_c", carry), *fcols)
+    kept = [F.col(c).alias(f"_k{i}") for i, c in enumerate(keep)]
+    qry = checked_features(query, fcols, nulls).select(F.col(query_id).alias("_qid"), *extra("_w", within), *fcols, *kept)
+    return qry, ref, fcols
+
+
+def _bounded_reference(ref: DataFrame, fcols: list[str], max_bytes: int) -> pd.DataFrame | None:
+    """The reference rows if they fit, read in one pass that stops at the
+    bound: at most that many rows ever reach the driver."""
+    if len(fcols) == 1 and dict(ref.dtypes)[fcols[0]].startswith("array"):
+        width = ref.agg(F.max(F.size(fcols[0]))).first()[0] or 1
+    else:
+        width = len(fcols)
+    max_rows = max_bytes // ((width + 3) * 8)
+    pdf = ref.limit(max_rows + 1).toPandas() if max_rows > 0 else None
+    return pdf if pdf is not None and len(pdf) <= max_rows else None
+
+
 def knn_join(
     query: DataFrame,
     reference: DataFrame,
@@ -139,6 +173,7 @@ def knn_join(
     decimals: int = 9,
     broadcast_max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES,
     block_rows: int = DEFAULT_BLOCK_ROWS,
+    nulls: str = "raise",
 ) -> DataFrame:
     """(query_id, ref_id, rank, distance[, carry]) for the k nearest reference
     rows of every query row (Euclidean; same ``within`` value only when
@@ -146,40 +181,25 @@ def knn_join(
 
     ``features`` is a list of numeric columns, or one array<double> column.
     """
-    spark = query.sparkSession
-    fcols = list(features)
-    wq = [F.col(within).alias("_w")] if within else []
-    wr = [F.col(within).alias("_w")] if within else []
-    cr = [F.col(carry).alias("_c")] if carry else []
-    ref = reference.select(F.col(ref_id).alias("_rid"), *wr, *cr, *fcols)
-    qry = query.select(F.col(query_id).alias("_qid"), *wq, *fcols)
-    is_array = len(fcols) == 1 and dict(ref.dtypes)[fcols[0]].startswith("array")
-    if is_array:
-        first = ref.select(F.size(fcols[0]).alias("n")).first()
-        width = int(first["n"]) if first else 1
-    else:
-        width = len(fcols)
-    max_rows = broadcast_max_bytes // ((width + 3) * 8)
-    # One bounded pass: at most max_rows + 1 rows ever reach the driver.
-    pdf = ref.limit(max_rows + 1).toPandas() if max_rows > 0 else None
-    if pdf is not None and len(pdf) <= max_rows:
-        return _knn_broadcast(spark, qry, pdf, k, fcols, within, exclude_self, carry, decimals)
-    return _knn_grid(qry, ref, ref.count(), k, fcols, within, exclude_self, carry, decimals, block_rows)
+    qry, ref, fcols = _inputs(query, reference, features, query_id, ref_id, within, carry, (), nulls)
+    pdf = _bounded_reference(ref, fcols, broadcast_max_bytes)
+    if pdf is not None:
+        return _knn_broadcast(qry, pdf, k, fcols, within, exclude_self, carry, decimals)
+    return _knn_cells(qry, ref, k, fcols, within, exclude_self, carry, decimals, block_rows)
 
 
-def _knn_broadcast(spark, qry, pdf, k, fcols, within, exclude_self, carry, decimals) -> DataFrame:
-    # ``pdf`` was collected under a row limit: the broadcast side is bounded.
+def _reference_groups(pdf: pd.DataFrame, fcols, within, carry) -> dict:
     groups = {}
     keyed = pdf.groupby("_w", sort=False) if within else [(None, pdf)]
     for w, g in keyed:
         g = g.sort_values("_rid", kind="stable")
-        groups[w] = (
-            g["_rid"].to_numpy(dtype="int64"),
-            g["_c"].to_numpy() if carry else None,
-            _matrix(g, fcols),
-        )
-    bc = spark.sparkContext.broadcast(groups)
-    schema = _out_schema(carry)
+        groups[w] = (g["_rid"].to_numpy(dtype="int64"), g["_c"].to_numpy() if carry else None, _matrix(g, fcols) if len(g) else np.zeros((0, 1)))
+    return groups
+
+
+def _knn_broadcast(qry, pdf, k, fcols, within, exclude_self, carry, decimals) -> DataFrame:
+    # ``pdf`` was collected under a row limit: the broadcast side is bounded.
+    bc = qry.sparkSession.sparkContext.broadcast(_reference_groups(pdf, fcols, within, carry))
 
     def run(batches):
         table = bc.value
@@ -187,7 +207,7 @@ def _knn_broadcast(spark, qry, pdf, k, fcols, within, exclude_self, carry, decim
             parts = b.groupby("_w", sort=False) if within else [(None, b)]
             outs = []
             for w, g in parts:
-                if w not in table:
+                if w not in table or not len(g):
                     continue
                 r_ids, r_carry, R = table[w]
                 q_ids = g["_qid"].to_numpy(dtype="int64")
@@ -196,63 +216,190 @@ def _knn_broadcast(spark, qry, pdf, k, fcols, within, exclude_self, carry, decim
             if outs:
                 yield pd.concat(outs, ignore_index=True)
 
-    return qry.mapInPandas(run, schema)
-
-
-def _knn_grid(qry, ref, n_ref, k, fcols, within, exclude_self, carry, decimals, block_rows) -> DataFrame:
-    n_qry = qry.count()
-    b_ref = max(1, math.ceil(n_ref / block_rows))
-    b_qry = max(1, math.ceil(n_qry / block_rows))
-    # Distinct column names per side: a self-join's two sides share
-    # attribute names, which a cogroup must not confuse.
-    qf = [f"_q{j}" for j in range(len(fcols))]
-    rf = [f"_r{j}" for j in range(len(fcols))]
-    wq = ["_w"] if within else []
-    q = qry.select("_qid", *wq, *[F.col(c).alias(n) for c, n in zip(fcols, qf)])
-    r = ref.select("_rid", *wq, *(["_c"] if carry else []), *[F.col(c).alias(n) for c, n in zip(fcols, rf)])
-    q = q.withColumn("_qb", hash_bucket(b_qry, F.col("_qid"))).withColumn(
-        "_rb", F.explode(F.sequence(F.lit(0), F.lit(b_ref - 1)))
-    )
-    r = r.withColumn("_rb", hash_bucket(b_ref, F.col("_rid"))).withColumn(
-        "_qb", F.explode(F.sequence(F.lit(0), F.lit(b_qry - 1)))
-    )
-    keys = ["_qb", "_rb"] + (["_w"] if within else [])
-    schema = _out_schema(carry)
-
-    def cell(qp: pd.DataFrame, rp: pd.DataFrame) -> pd.DataFrame:
-        if len(qp) == 0 or len(rp) == 0:
-            cols = ["query_id", "ref_id", "rank", "distance"] + ([carry] if carry else [])
-            return pd.DataFrame({c: [] for c in cols})
-        rp = rp.sort_values("_rid", kind="stable")
-        r_ids = rp["_rid"].to_numpy(dtype="int64")
-        q_ids = qp["_qid"].to_numpy(dtype="int64")
-        r_carry = rp["_c"].to_numpy() if carry else None
-        qi, ri, di, rank = _topk_block(q_ids, _matrix(qp, qf), r_ids, _matrix(rp, rf), k, decimals, exclude_self)
-        return _frame(q_ids, r_ids, r_carry, qi, ri, di, rank, carry)
-
-    local = q.groupBy(*keys).cogroup(r.groupBy(*keys)).applyInPandas(cell, schema)
-    if b_ref == 1:
-        return local
-    w = Window.partitionBy("query_id").orderBy("distance", "ref_id")
-    return (
-        local.withColumn("_r", F.row_number().over(w))
-        .where(F.col("_r") <= k)
-        .withColumn("rank", F.col("_r").cast("int"))
-        .drop("_r")
-    )
+    return qry.mapInPandas(run, _out_schema(carry))
+
+
+# ------------------------------------------------------------------ pivot cells
+def _pivots(ref: DataFrame, fcols: list[str], n: int) -> np.ndarray:
+    """``n`` reference rows as pivots: those with the smallest hash of their id."""
+    pdf = ref.select("_rid", *fcols).orderBy(hash_int("pivot", F.col("_rid")), "_rid").limit(n).toPandas()
+    return _matrix(pdf, fcols)
+
+
+def _distances(X: np.ndarray, P: np.ndarray) -> np.ndarray:
+    d2 = np.einsum("ij,ij->i", X, X)[:, None] + np.einsum("ij,ij->i", P, P)[None, :] - 2.0 * (X @ P.T)
+    return np.sqrt(np.maximum(d2, 0.0))
+
+
+def _knn_cells(qry, ref, k, fcols, within, exclude_self, carry, decimals, block_rows) -> DataFrame:
+    spark = qry.sparkSession
+    n_ref = ref.count()
+    P = _pivots(ref, fcols, min(max(LEAST_PIVOTS, math.ceil(n_ref / block_rows)), MOST_PIVOTS))
+    w = ["_w"] if within else []
+    w_type = f"_w {dict(qry.dtypes)['_w']}, " if within else ""
+    need = k + (1 if exclude_self else 0)
+
+    def place(batches):
+        for b in batches:
+            if len(b):
+                d = _distances(_matrix(b, fcols), P)
+                cell = d.argmin(axis=1)
+                yield b.assign(_cell=cell.astype("int32"), _d=d[np.arange(len(b)), cell])
+
+    ref_schema = ", ".join(f"{c} {t}" for c, t in ref.dtypes)
+    placed = materialize(ref.mapInPandas(place, ref_schema + ", _cell int, _d double"), "cells")
+    # One row a cell (and group): at most MOST_PIVOTS for each group value.
+    found = placed.groupBy(*w, "_cell").agg(F.count(F.lit(1)).alias("n"), F.max("_d").alias("r")).toPandas()
+    cells: dict = {}
+    for row in found.to_dict("records"):
+        cells.setdefault(row.get("_w"), []).append((row["_cell"], row["n"], row["r"]))
+    cells = {g: tuple(np.array(c) for c in zip(*sorted(v))) for g, v in cells.items()}
+    blocks = {(g, int(c)): max(1, math.ceil(n / block_rows)) for g, (ids, ns, _) in cells.items() for c, n in zip(ids, ns)}
+    most = max(blocks.values(), default=1)
+    sized = spark.createDataFrame([(*((g,) if within else ()), c, n) for (g, c), n in blocks.items()], f"{w_type}_cell int, _n int")
+    rf = [f"_r{j}" for j in range(len(fcols))]  # a self-join's sides need names of their own
+    targets = placed.select("_rid", *w, *(["_c"] if carry else []), *[F.col(c).alias(n) for c, n in zip(fcols, rf)], "_cell")
+    targets = targets.join(F.broadcast(sized), [*w, "_cell"]).withColumn("_block", F.pmod(hash_int("block", F.col("_rid")), F.col("_n")).cast("int"))
+
+    def route(first: bool):
+        """Query rows to (cell, block): to the nearest cells that hold enough
+        rows, or, with the k-th distance known, to all others in reach."""
+
+        def run(batches):
+            for b in batches:
+                for g, part in b.groupby("_w", sort=False, dropna=False) if within else [(None, b)]:
+                    if g not in cells or not len(part):
+                        continue
+                    ids, ns, rs = cells[g]
+                    ids = ids.astype("int64")
+                    d = _distances(_matrix(part, fcols), P[ids])
+                    order = np.argsort(d, axis=1, kind="stable")
+                    before = np.cumsum(ns[order], axis=1) - ns[order]
+                    near = np.zeros(d.shape, bool)
+                    np.put_along_axis(near, order, before < need, axis=1)
+                    if first:
+                        go = near
+                    else:
+                        bound = part["_bound"].to_numpy(dtype="float64")[:, None]
+                        slack = 2.0 * 10.0 ** (-decimals) + 1e-7 * (1.0 + d)
+                        go = ~near & (d - rs[None, :] <= bound + slack)
+                    rows, cols = np.nonzero(go)
+                    n = np.array([blocks[g, c] for c in ids])[cols]
+                    rows, cols, block = np.repeat(rows, n), np.repeat(cols, n), np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                    out = part.iloc[rows][["_qid", *w, *fcols]].reset_index(drop=True)
+                    yield out.assign(_cell=ids[cols].astype("int32"), _block=block.astype("int32"))
+
+        return run
+
+    q_schema = "_qid long, " + w_type + ", ".join(f"{c} {dict(qry.dtypes)[c]}" for c in fcols)
+    qry = materialize(qry.select(F.col("_qid").cast("long"), *w, *fcols), "queries")
+
+    def search(routed: DataFrame) -> DataFrame:
+        """The k nearest of each query row in each block it is routed to.  Query
+        rows of a block beyond ``block_rows`` are cut by their hash."""
+        routed = materialize(routed, "routed")
+        counts = routed.groupBy(*w, "_cell", "_block").agg(F.ceil(F.count(F.lit(1)) / F.lit(block_rows)).cast("int").alias("_cuts"))
+        sides = [*w, "_cell", "_block"]
+        q = routed.join(counts, sides).withColumn("_cut", F.pmod(hash_int("cut", F.col("_qid")), F.col("_cuts")).cast("int")).drop("_cuts")
+        r = targets.join(counts, sides).withColumn("_cut", F.explode(F.sequence(F.lit(0), F.col("_cuts") - 1))).drop("_cuts", "_n")
+
+        def cell(qp: pd.DataFrame, rp: pd.DataFrame) -> pd.DataFrame:
+            if not len(qp) or not len(rp):
+                return pd.DataFrame({c: [] for c in ["query_id", "ref_id", "rank", "distance"] + ([carry] if carry else [])})
+            rp = rp.sort_values("_rid", kind="stable")
+            r_ids, q_ids = rp["_rid"].to_numpy(dtype="int64"), qp["_qid"].to_numpy(dtype="int64")
+            qi, ri, di, rank = _topk_block(q_ids, _matrix(qp, fcols), r_ids, _matrix(rp, rf), k, decimals, exclude_self)
+            return _frame(q_ids, r_ids, rp["_c"].to_numpy() if carry else None, qi, ri, di, rank, carry)
+
+        keys = [*sides, "_cut"]
+        return q.groupBy(*keys).cogroup(r.groupBy(*keys)).applyInPandas(cell, _out_schema(carry))
+
+    nearest = materialize(search(qry.mapInPandas(route(True), q_schema + ", _cell int, _block int")), "nearest")
+    # The k-th of the first cells bounds the answer; with fewer than k rows everything is in reach.
+    # Several blocks of a cell each give up to k, so the k-th of all is taken, not the largest.
+    order = Window.partitionBy("query_id").orderBy("distance", "ref_id")
+    kth = nearest.select("query_id", "distance", F.row_number().over(order).alias("_i")).where(F.col("_i") == k)
+    bounded = qry.join(kth.select(F.col("query_id").alias("_qid"), F.col("distance").alias("_b")), "_qid", "left")
+    bounded = bounded.select(*qry.columns, F.coalesce("_b", F.lit(float("inf"))).alias("_bound"))
+    others = search(bounded.mapInPandas(route(False), q_schema + ", _cell int, _block int"))
+    ranked = nearest.unionByName(others).withColumn("_i", F.row_number().over(order)).where(F.col("_i") <= k)
+    return ranked.withColumn("rank", F.col("_i").cast("int")).drop("_i")
+
+
+def votes(neighbours: DataFrame, label: str, ks: Sequence[int]) -> DataFrame:
+    """(query_id, prediction_<k> for every k): the most frequent label among
+    the k nearest, ties → smallest label.  One aggregate over at most
+    max(ks) rows per query row, then array functions (JVM-side)."""
+    near = F.transform(F.array_sort(F.collect_list(F.struct("rank", F.col(label).alias("l")))), lambda x: x["l"])
+    per_q = neighbours.groupBy("query_id").agg(near.alias("_labels"))
+
+    def vote(k: int):
+        some = F.slice("_labels", 1, k)
+        counted = F.transform(F.array_distinct(some), lambda l: F.struct(F.size(F.filter(some, lambda x: x == l)).alias("n"), (-l).alias("neg")))
+        return (-F.array_max(counted)["neg"]).cast("int").alias(f"prediction_{k}")
+
+    return per_q.select("query_id", *[vote(k) for k in ks])
 
 
 def majority_vote(neighbours: DataFrame, label: str, out: str = "prediction") -> DataFrame:
-    """(query_id, prediction): most frequent neighbour label, ties → smallest
-    label.  One aggregate over at most k rows per query, then array
-    functions (JVM-side)."""
-    labels = F.collect_list(F.col(label)).alias("_labels")
-    per_q = neighbours.groupBy("query_id").agg(labels)
-    scored = F.transform(
-        F.array_distinct("_labels"),
-        lambda l: F.struct(F.size(F.filter("_labels", lambda x: x == l)).alias("n"), (-l).alias("neg")),
-    )
-    return per_q.select("query_id", (-F.array_max(scored)["neg"]).cast("int").alias(out))
+    """(query_id, prediction) from all the neighbours of each query row."""
+    k = 2**31 - 1
+    return votes(neighbours, label, [k]).select("query_id", F.col(f"prediction_{k}").alias(out))
+
+
+def _vote_block(labels: np.ndarray, qi: np.ndarray, rank: np.ndarray, n: int, k: int) -> np.ndarray:
+    """The vote of the first k neighbours of each of n query rows."""
+    kinds, code = np.unique(labels, return_inverse=True)
+    use = rank <= k
+    counts = np.zeros((n, max(1, len(kinds))), np.int64)
+    np.add.at(counts, (qi[use], code[use]), 1)
+    return kinds[counts.argmax(axis=1)]  # the first of equal counts is the smallest label
+
+
+def knn_vote(
+    train: DataFrame,
+    test: DataFrame,
+    ks: Sequence[int],
+    features: Sequence[str],
+    id_col: str,
+    label: str,
+    keep: Sequence[str] = (),
+    decimals: int = 9,
+    broadcast_max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES,
+    block_rows: int = DEFAULT_BLOCK_ROWS,
+    nulls: str = "raise",
+) -> DataFrame:
+    """ML6: (id, *keep, prediction_<k> for every k) for every test row, all k
+    from one pass over the distances.  In the broadcast form the vote is
+    taken where the distances are, and the kept columns travel along: one
+    row in, one row out, no shuffle.  Without training rows there is no vote
+    and no row."""
+    qry, ref, fcols = _inputs(test, train, features, id_col, id_col, None, label, keep, nulls)
+    pdf = _bounded_reference(ref, fcols, broadcast_max_bytes)
+    out = [F.col("_qid").alias(id_col), *[F.col(f"_k{i}").alias(c) for i, c in enumerate(keep)]]
+    named = [f"prediction_{k}" for k in ks]
+    if pdf is None:
+        near = _knn_cells(qry.drop(*[f"_k{i}" for i in range(len(keep))]), ref, max(ks), fcols, None, False, "_label", decimals, block_rows)
+        joined = qry.join(votes(near, "_label", ks).withColumnRenamed("query_id", "_qid"), "_qid") if keep else votes(near, "_label", ks).withColumnRenamed("query_id", "_qid")
+        return joined.select(*out, *named)
+    bc = qry.sparkSession.sparkContext.broadcast(_reference_groups(pdf, fcols, None, "_c"))
+    types = dict(qry.dtypes)
+    carried = ["_qid", *[f"_k{i}" for i in range(len(keep))]]
+    schema = ", ".join([f"{c} {types[c]}" for c in carried] + [f"{n} int" for n in named])
+
+    def run(batches):
+        r_ids, labels, R = bc.value[None]
+        for b in batches:
+            if not len(b) or not len(r_ids):
+                continue
+            q_ids = b["_qid"].to_numpy(dtype="int64")
+            qi, ri, _, rank = _topk_block(q_ids, _matrix(b, fcols), r_ids, R, max(ks), decimals, False)
+            rows = b[carried].copy()
+            for k, name in zip(ks, named):
+                rows[name] = _vote_block(labels[ri], qi, rank, len(b), k).astype("int32")
+            yield rows
+
+    return qry.mapInPandas(run, schema).select(*out, *named)
 
 
 def knn_predict(
@@ -266,5 +413,4 @@ def knn_predict(
 ) -> DataFrame:
     """ML6: (id, prediction) for every test row by majority of its k nearest
     training rows."""
-    nn = knn_join(test, train, k, features, id_col, id_col, carry=label, **kw)
-    return majority_vote(nn, label).withColumnRenamed("query_id", id_col)
+    return knn_vote(train, test, [k], features, id_col, label, **kw).select(id_col, F.col(f"prediction_{k}").alias("prediction"))

@@ -23,13 +23,16 @@ from riskloom.functions.text import (
 # ------------------------------------------------------------ inventory jobs
 def latest_objects(inv: DataFrame, partition: str = "partition", path: str = "path", mtime: str = "mtime") -> DataFrame:
     """AGG5/WIN1: per partition the object count, the latest modified time and
-    the latest object (ties → greatest path) — one partial+final aggregate."""
-    latest = F.max(F.struct(F.col(mtime).alias("t"), F.col(path).alias("p")))
-    return (
-        inv.groupBy(partition)
-        .agg(F.count(F.lit(1)).alias("n_objects"), latest.alias("_l"))
-        .select(partition, "n_objects", F.col("_l.t").alias("latest_mtime"), F.col("_l.p").alias("latest_path"))
-    )
+    the latest object (ties → smallest path, the one a listing shows first) —
+    one partial+final aggregate."""
+    return inv.groupBy(partition).agg(*latest_aggregates(path, mtime))
+
+
+def latest_aggregates(path: str = "path", mtime: str = "mtime") -> list[Column]:
+    """n_objects, latest_mtime, latest_path of a group, batch or streaming."""
+    age = -F.unix_micros(F.col(mtime).cast("timestamp"))
+    first = F.min(F.when(F.col(mtime).isNotNull(), F.struct(age.alias("a"), F.col(path).alias("p"))))
+    return [F.count(F.lit(1)).alias("n_objects"), F.max(mtime).alias("latest_mtime"), first["p"].alias("latest_path")]
 
 
 def marks_at(inv: DataFrame, cutoff: str, partition: str = "partition", mtime: str = "mtime") -> DataFrame:
@@ -45,13 +48,19 @@ def settled_check(inv: DataFrame, marks: DataFrame, partition: str = "partition"
     """JOB4: a partition is settled iff it has objects and its latest mtime is
     not after the stored mark; otherwise the new mark is the latest mtime.
     Partitions known only to the mark table are reported as not settled."""
-    agg = latest_objects(inv, partition)
-    j = agg.join(marks, partition, "full_outer")
+    return settle(latest_objects(inv, partition).drop("latest_path"), marks, partition)
+
+
+def settle(latest: DataFrame, marks: DataFrame, partition: str = "partition", how: str = "full_outer") -> DataFrame:
+    """The settled decision of JOB4 from per-partition ``latest`` rows (count,
+    latest mtime and whatever else they carry) and stored marks."""
+    carried = [c for c in latest.columns if c not in (partition, "n_objects", "latest_mtime")]
+    j = latest.join(marks, partition, how)
     n = F.coalesce(F.col("n_objects"), F.lit(0)).cast("long")
     settled = (n > 0) & F.col("stored_mark").isNotNull() & (F.col("latest_mtime") <= F.col("stored_mark"))
     settled = F.coalesce(settled, F.lit(False))
     new_mark = F.when(settled, F.col("stored_mark")).when(n > 0, F.col("latest_mtime")).otherwise(F.col("stored_mark"))
-    return j.select(partition, n.alias("n_objects"), "latest_mtime", "stored_mark", settled.alias("settled"), new_mark.alias("new_mark"))
+    return j.select(partition, n.alias("n_objects"), "latest_mtime", *carried, "stored_mark", settled.alias("settled"), new_mark.alias("new_mark"))
 
 
 def retention_candidates(
@@ -61,12 +70,15 @@ def retention_candidates(
     exclude: Sequence[str] = (),
     path: str = "path",
     mtime: str = "mtime",
+    root: str = "",
 ) -> DataFrame:
     """JOB11/PRJ10: files whose whole-day age exceeds ``days`` and none of
-    whose directories (any depth) is named in ``exclude``."""
+    whose directories below ``root`` (any depth) is named in ``exclude``."""
     age_us = F.unix_micros(F.to_timestamp(F.lit(now))) - F.unix_micros(F.col(mtime).cast("timestamp"))
     age_days = F.floor(age_us / F.lit(86_400_000_000)).cast("long")
-    parts = F.split(F.col(path), "/")
+    top = root.rstrip("/") + "/" if root else ""
+    below = F.when(F.col(path).startswith(top), F.substring(F.col(path), len(top) + 1, 2**31 - 1)).otherwise(F.col(path))
+    parts = F.split(below, "/")
     dirs = F.slice(parts, 1, F.greatest(F.size(parts) - 1, F.lit(0)))
     keep = age_days > F.lit(days)
     if exclude:
@@ -116,9 +128,33 @@ def remaining_items(items: DataFrame, consumed: Sequence[str], pk: str = "pk") -
     return items.where(~hit)
 
 
-def remaining_items_anti(items: DataFrame, consumed: DataFrame, pk: str = "pk") -> DataFrame:
-    """JON4 with a key table: null-safe left anti join."""
-    return items.join(consumed, items[pk].eqNullSafe(consumed[pk]), "left_anti")
+def consume_range(path: str, items: DataFrame, keys: DataFrame, pk: str = "pk") -> tuple[DataFrame, DataFrame]:
+    """JOB5 as a step: (the ranges of the consumed ``keys``, the items that
+    are left).  The remainder is written as the next version of the state
+    under ``path``; see :func:`_consume`."""
+    taken, left = _consume(path, items, keys, pk)
+    return state_ranges(taken, pk), left
+
+
+def consume_attributes(path: str, items: DataFrame, keys: DataFrame, attributes: Sequence[str], pk: str = "pk", seq: str = "seq") -> tuple[DataFrame, DataFrame]:
+    """JOB6 as a step: (the last values of the requested attributes of the
+    consumed ``keys``, the items that are left), as :func:`consume_range`."""
+    taken, left = _consume(path, items, keys, pk)
+    return state_attributes(taken, attributes, pk, seq), left
+
+
+def _consume(path: str, items: DataFrame, keys: DataFrame, pk: str) -> tuple[DataFrame, DataFrame]:
+    """Split ``items`` by a table of keys (any size; a NULL key consumes the
+    items without one) and write both sides once: taken/ and left/ under
+    ``path``, so what is returned does not change when the state moves on."""
+    keys = keys.select(F.col(pk).alias("_key")).distinct()
+    same = items[pk].eqNullSafe(F.col("_key"))
+    spark = items.sparkSession
+    out = []
+    for name, how in (("taken", "left_semi"), ("left", "left_anti")):
+        items.join(keys, same, how).write.mode("overwrite").parquet(f"{path}/{name}")
+        out.append(spark.read.schema(items.schema).parquet(f"{path}/{name}"))
+    return out[0], out[1]
 
 
 # ------------------------------------------------------------ reconciliation

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.functions.hashing import hash_bucket
+from riskloom.operators.prepare import checked_features
 
 
 def _pair(a: str, b: str) -> str:
@@ -37,12 +38,15 @@ def gram_by_fold(
     key: str,
     folds: int = 5,
     seed: int = 42,
+    nulls: str = "raise",
 ) -> DataFrame:
     """AGG9: one row per fold with n, s_<f>, s_y, s_<f>__<g> (f ≤ g),
     s_<f>__y and s_yy.  Folds are md5 buckets of the key.  One aggregate
     column per statistic: for up to ``WIDE_FEATURES`` features (see
-    ``gram_blocks`` for wider inputs)."""
+    ``gram_blocks`` for wider inputs).  Missing values as in
+    ``checked_features``, so n counts just the rows that are summed."""
     fcols = list(features)
+    df = checked_features(df, fcols, nulls)
     y = F.col(label).cast("double")
     aggs = [F.count(F.lit(1)).alias("n"), F.sum(y).alias("s_y"), F.sum(y * y).alias("s_yy")]
     for i, a in enumerate(fcols):
@@ -60,6 +64,7 @@ def gram_blocks(
     key: str,
     folds: int = 5,
     seed: int = 42,
+    nulls: str = "raise",
 ) -> DataFrame:
     """AGG9 for wide inputs: (fold, stat, value) with the statistic names of
     ``gram_by_fold``.  Each task accumulates n, Σx, Σy, XᵀX, Xᵀy, yᵀy per
@@ -69,6 +74,7 @@ def gram_blocks(
     import pandas as pd
 
     fcols = list(features)
+    df = checked_features(df, fcols, nulls)
     p = len(fcols)
     iu = np.triu_indices(p)
     names = (
@@ -275,7 +281,7 @@ def selected_features(selection: DataFrame) -> list[str]:
     """The kept feature names (p rows at most) — raises when none is kept."""
     names = [r["feature"] for r in selection.where("selected").select("feature").collect()]
     if not names:
-        raise NoFeaturesSelected("no significant features available for training")
+        raise NoFeaturesSelected("the L1 fit kept no feature")
     return names
 
 

@@ -10,10 +10,11 @@ Plan (no whole log ever gathered into one task or row):
 1. ``t`` per log — a filtered ``min`` aggregate (partial, then final).
 2. lines ⋈ t (t is one row per log: broadcast after a size check) → ``e``
    per log, again a filtered ``min``.
-3. lines ⋈ e → tail pieces.  The full message is returned as ordered parts
-   (``log_exceptions``); the alert needs only the first characters, so it
-   keeps the first ``ALERT_PIECES`` pieces per log via a row-number limit
-   that Spark evaluates partially before the shuffle (window group limit).
+3. lines ⋈ e → tail pieces.  The full message is the ordered parts
+   (``log_exceptions``).  A generator is given the whole message, unless it
+   says how many leading characters it reads (the default one does): then
+   the pieces beyond them are left out by a row-number limit that Spark
+   evaluates partially before the shuffle (window group limit).
 """
 
 from __future__ import annotations
@@ -23,20 +24,18 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskloom.functions.text import strip_spaces, truncate_message
+from riskloom.functions.text import TRUNCATE_AT, strip_spaces, truncate_message
 from riskloom.operators.joins import broadcast_if_small
+from riskloom.session import materialize
 
 # Line patterns of the scan.  Fixed values.
 TRACE_START = r"^Traceback \(most recent call last\):"
-EXCEPTION_LINE = r"(?s)^(\w+):(.*)"
+EXCEPTION_LINE = r"(?sU)^(\w+):(.*)"
 EXTRA_LINE = r"^[^\t ]"
 IGNORE_PATTERNS = (r"py4j\.clientserver.*?Closing down clientserver connection",)
 # Alert defaults.  Fixed values.
 ALERT_PRIORITY = "P3"
 ALERT_TAGS = ("airflow.data",)
-# Each appended piece adds at least one character, so this many pieces
-# always cover a 300-character message.
-ALERT_PIECES = 301
 
 
 def exception_heads(
@@ -63,16 +62,12 @@ def exception_heads(
     )
 
 
-def _tail(lines: DataFrame, heads: DataFrame, log: str, order: str, line: str, ignore: Sequence[str]) -> DataFrame:
-    keep = F.col(line).rlike(EXTRA_LINE)
+def tail_filter(line: Column, ignore: Sequence[str] = IGNORE_PATTERNS) -> Column:
+    """Whether a line after the exception line belongs to the message."""
+    keep = line.rlike(EXTRA_LINE)
     for pat in ignore:
-        keep = keep & ~F.col(line).rlike(pat)
-    h = broadcast_if_small(heads.select(log, "error_line_no"))
-    return (
-        lines.join(h, log)
-        .where((F.col(order) > F.col("error_line_no")) & keep)
-        .select(log, F.col(order).alias("part_no"), strip_spaces(F.col(line)).alias("part"))
-    )
+        keep = keep & ~line.rlike(pat)
+    return keep
 
 
 def log_exceptions(
@@ -86,15 +81,18 @@ def log_exceptions(
     (log, exception_name, part_no, part).  part_no = -1 is the text after the
     colon; other parts carry their line number.  Message = parts joined by
     single spaces, in part_no order, stripped."""
-    heads = exception_heads(lines, log, order, line)
+    heads = materialize(exception_heads(lines, log, order, line), "heads")  # one row a log, used twice
     head_part = heads.select(log, "exception_name", F.lit(-1).cast("long").alias("part_no"), F.col("exception_head").alias("part"))
-    names = heads.select(log, "exception_name")
-    tail = _tail(lines, heads, log, order, line, ignore).join(broadcast_if_small(names), log)
-    return head_part.unionByName(tail.select(log, "exception_name", "part_no", "part"))
+    h = broadcast_if_small(heads.select(log, "exception_name", "error_line_no"))
+    tail = lines.join(h, log).where((F.col(order) > F.col("error_line_no")) & tail_filter(F.col(line), ignore))
+    return head_part.unionByName(
+        tail.select(log, "exception_name", F.col(order).cast("long").alias("part_no"), strip_spaces(F.col(line)).alias("part"))
+    )
 
 
 def default_payload(name: Column, message: Column) -> list[Column]:
-    """JOB3 default generator: alias, truncated message, priority, tags."""
+    """JOB3 default generator: alias, truncated message, priority, tags.  It
+    reads no more than ``TRUNCATE_AT`` + 1 characters of the message."""
     return [
         name.alias("alias"),
         truncate_message(message).alias("message"),
@@ -103,6 +101,30 @@ def default_payload(name: Column, message: Column) -> list[Column]:
     ]
 
 
+def messages(parts: DataFrame, log: str = "log_id", characters: int | None = None) -> DataFrame:
+    """(log, exception_name, message) from ordered parts.
+
+    The whole message is one value, as a generator that reads all of it must
+    be given; with ``characters`` only its first so many are needed, and
+    since every part adds at least one, no more parts than that are moved.
+    Blank parts at either end are cut off first, so a prefix of the parts is
+    a prefix of the stripped message."""
+    blank = F.col("part") == ""
+    ends = parts.groupBy(log).agg(
+        F.max("exception_name").alias("exception_name"),
+        F.min(F.when(~blank, F.col("part_no"))).alias("_first"),
+        F.max(F.when(~blank, F.col("part_no"))).alias("_last"),
+    )
+    ends = broadcast_if_small(ends)
+    inner = parts.select(log, "part_no", "part").join(ends.select(log, "_first", "_last"), log).where(F.col("part_no").between(F.col("_first"), F.col("_last")))
+    if characters is not None:
+        w = Window.partitionBy(log).orderBy("part_no")
+        inner = inner.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= characters + 1)
+    joined = inner.groupBy(log).agg(F.array_sort(F.collect_list(F.struct("part_no", "part"))).alias("_p"))
+    text = F.coalesce(F.array_join(F.transform("_p", lambda s: s["part"]), " "), F.lit(""))
+    return ends.join(joined, log, "left").select(log, "exception_name", text.alias("message"))
+
+
 def log_alerts(
     lines: DataFrame,
     log: str = "log_id",
@@ -110,21 +132,23 @@ def log_alerts(
     line: str = "line",
     ignore: Sequence[str] = IGNORE_PATTERNS,
     payload: Callable[[Column, Column], list[Column]] = default_payload,
+    characters: int | None = None,
 ) -> DataFrame:
     """One alert row per log with an exception: (log, alias, message,
-    priority, tags) by default; ``payload`` replaces the generator."""
-    heads = exception_heads(lines, log, order, line)
-    tail = _tail(lines, heads, log, order, line, ignore)
-    w = Window.partitionBy(log).orderBy("part_no")
-    first = tail.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= ALERT_PIECES)
-    pieces = first.groupBy(log).agg(
-        F.array_sort(F.collect_list(F.struct("part_no", "part"))).alias("_p")
-    )
-    joined = heads.join(pieces, log, "left")
-    text = F.concat_ws(
-        " ",
-        F.col("exception_head"),
-        F.coalesce(F.transform("_p", lambda s: s["part"]), F.array().cast("array<string>")),
-    )
-    message = strip_spaces(text)
-    return joined.select(log, *payload(F.col("exception_name"), message))
+    priority, tags) by default; ``payload`` replaces the generator and gets
+    the whole message, or its first ``characters`` if it reads no more."""
+    parts = materialize(log_exceptions(lines, log, order, line, ignore), "parts")  # read twice below
+    return alerts(parts, log, payload, characters)
+
+
+def alerts(
+    parts: DataFrame,
+    log: str = "log_id",
+    payload: Callable[[Column, Column], list[Column]] = default_payload,
+    characters: int | None = None,
+) -> DataFrame:
+    """Alert rows from the parts of ``log_exceptions``."""
+    if payload is default_payload:
+        characters = TRUNCATE_AT + 1
+    m = messages(parts, log, characters)
+    return m.select(log, *payload(F.col("exception_name"), F.col("message")))

@@ -9,7 +9,9 @@ applies the same standardisation as training.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
@@ -23,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.operators.prepare import PopulationScalerModel
+from riskloom.sources.tables import require_columns
 
 FEATURES_VEC = "features"
 LABEL_IDX = "label_idx"
@@ -32,30 +35,31 @@ PREDICTION_CODE = "fraud_prediction"
 MODEL_ORDINAL = {"knn": 0, "decision_tree": 1, "random_forest": 2, "gbt": 3, "mlp": 4}
 
 
+#: Hyper-parameters a caller may set, with their defaults.
+PARAMETERS = {
+    "decision_tree": {"maxDepth": 30, "maxBins": 256},
+    "random_forest": {"numTrees": 100, "maxDepth": 30, "maxBins": 128},
+    "gbt": {"maxIter": 100, "maxDepth": 6, "stepSize": 0.3},
+    "mlp": {"maxIter": 50, "blockSize": 128},
+}
+
+
 def make_classifier(name: str, n_features: int, seed: int = 42, **params):
-    """ML7-ML10 estimators with the reference's intent as defaults."""
-    common = dict(featuresCol=FEATURES_VEC, labelCol=LABEL_IDX, seed=seed)
+    """ML7-ML10 estimators with the reference's intent as defaults; a
+    parameter that the model does not have raises."""
+    if name not in PARAMETERS:
+        raise ValueError(f"unknown model {name}: one of {sorted(PARAMETERS)}")
+    unknown = sorted(set(params) - set(PARAMETERS[name]))
+    if unknown:
+        raise ValueError(f"unknown parameters of {name}: {unknown}")
+    settings = {**PARAMETERS[name], **params, "featuresCol": FEATURES_VEC, "labelCol": LABEL_IDX, "seed": seed}
     if name == "decision_tree":
-        return DecisionTreeClassifier(
-            impurity="gini", maxDepth=params.get("maxDepth", 30), maxBins=params.get("maxBins", 256), **common
-        )
+        return DecisionTreeClassifier(impurity="gini", **settings)
     if name == "random_forest":
-        return RandomForestClassifier(
-            numTrees=params.get("numTrees", 100),
-            featureSubsetStrategy="sqrt",
-            maxDepth=params.get("maxDepth", 12),
-            maxBins=params.get("maxBins", 128),
-            **common,
-        )
+        return RandomForestClassifier(featureSubsetStrategy="sqrt", **settings)
     if name == "gbt":
-        return GBTClassifier(
-            maxIter=params.get("maxIter", 100), maxDepth=params.get("maxDepth", 6), stepSize=params.get("stepSize", 0.3), **common
-        )
-    if name == "mlp":
-        return MultilayerPerceptronClassifier(
-            layers=[n_features, 64, 32, 2], maxIter=params.get("maxIter", 50), blockSize=params.get("blockSize", 128), **common
-        )
-    raise ValueError(f"unknown model {name}")
+        return GBTClassifier(**settings)
+    return MultilayerPerceptronClassifier(layers=[n_features, 64, 32, 2], **settings)
 
 
 def training_frame(df: DataFrame, label: str = "class") -> DataFrame:
@@ -74,14 +78,15 @@ def fit_pipeline(
 ) -> PipelineModel:
     """PRJ12 + ML7-10: [scaler] → assembler → classifier → class code.
 
-    ``train`` holds already-scaled rows; the fitted scaler is prepended to
-    the returned model so it can score raw rows.
+    ``train`` holds already-scaled rows; the fitted scaler, limited to the
+    features the model uses, is prepended to the returned model so it can
+    score raw rows that have just those columns.
     """
     assembler = VectorAssembler(inputCols=list(features), outputCol=FEATURES_VEC, handleInvalid="error")
     clf = make_classifier(model, len(features), seed, **params)
     to_code = SQLTransformer(statement=f"SELECT *, CAST(prediction + 1 AS INT) AS {PREDICTION_CODE} FROM __THIS__")
     fitted = Pipeline(stages=[assembler, clf, to_code]).fit(training_frame(train, label))
-    stages = ([scaler] if scaler is not None else []) + list(fitted.stages)
+    stages = ([scaler.restricted(features)] if scaler is not None else []) + list(fitted.stages)
     return PipelineModel(stages=stages)
 
 
@@ -103,17 +108,6 @@ def evaluate(model_name: str, model: PipelineModel, test_scaled: DataFrame, labe
     ).select(F.lit(model_name).alias("model"), F.lit(MODEL_ORDINAL[model_name]).alias("ordinal"), "accuracy", "n_test")
 
 
-def save_model(model: PipelineModel, path: str) -> str:
-    """SNK3: persist the winning pipeline, replacing what was there."""
-    model.write().overwrite().save(path)
-    return path
-
-
-def load_model(path: str) -> PipelineModel:
-    """ML13: load a persisted pipeline; a missing path raises."""
-    return PipelineModel.load(path)
-
-
 def probability_to_code(col: str = "probability", threshold: float = 0.5):
     """FN20: P(class index 1) > threshold → 1, then +1 → class code."""
     from pyspark.ml.functions import vector_to_array
@@ -121,28 +115,80 @@ def probability_to_code(col: str = "probability", threshold: float = 0.5):
     return ((vector_to_array(F.col(col))[1] > F.lit(threshold)).cast("int") + 1).alias("code")
 
 
-# ------------------------------------------------------------------ k-NN artifact
-def save_knn(path: str, scaler: PopulationScalerModel, reference: DataFrame, features: Sequence[str], k: int,
-             key: str = "tx_id", label: str = "class") -> str:
-    """SNK3 for a k-NN winner: the scaler, the (scaled) reference rows as
-    parquet and the parameters as a one-row table — all in ``path``."""
-    scaler.write().overwrite().save(f"{path}/scaler")
-    reference.select(key, label, *features).write.mode("overwrite").parquet(f"{path}/reference")
-    spark = reference.sparkSession
-    spark.createDataFrame([(int(k), list(features), key, label)], "k int, features array<string>, key string, label string") \
-        .write.mode("overwrite").json(f"{path}/params")
+# ------------------------------------------------------------------ one artefact for any winner
+_CURRENT = "version string, kind string, features array<string>, key string, label string, k int"
+
+
+def _publish(spark, path: str, version: str, kind: str, features: Sequence[str], key: str, label: str, k: int) -> str:
+    """Name the version that is the model from now on.  A version is a folder
+    of its own, written before it is named, so a reader sees one model
+    whole and nothing of an earlier one."""
+    row = [(version, kind, list(features), key, label, int(k))]
+    spark.createDataFrame(row, _CURRENT).coalesce(1).write.mode("overwrite").json(f"{path}/current")
     return path
 
 
-def load_knn_and_score(path: str, rows: DataFrame) -> DataFrame:
-    """ML13/ML14 for a k-NN winner: rows + ``fraud_prediction``."""
-    from riskloom.operators.knn import knn_predict
+def save_model(model: PipelineModel, path: str, kind: str, features: Sequence[str], key: str = "tx_id", label: str = "class") -> str:
+    """SNK3: persist a fitted pipeline as the model under ``path``, replacing
+    whatever kind was there."""
+    from pyspark.sql import SparkSession
+
+    version = uuid.uuid4().hex
+    model.write().save(f"{path}/{version}/pipeline")
+    return _publish(SparkSession.active(), path, version, kind, features, key, label, 0)
+
+
+def save_knn(
+    path: str, scaler: PopulationScalerModel, reference: DataFrame, features: Sequence[str], k: int, key: str = "tx_id", label: str = "class"
+) -> str:
+    """SNK3 for a k-NN winner: the scaler limited to its features and the
+    scaled reference rows, as the model under ``path``."""
+    version = uuid.uuid4().hex
+    scaler.restricted(features).write().save(f"{path}/{version}/scaler")
+    reference.select(key, label, *features).write.parquet(f"{path}/{version}/reference")
+    return _publish(reference.sparkSession, path, version, "knn", features, key, label, k)
+
+
+@dataclass
+class LoadedModel:
+    """ML13: what a model path holds, whichever model won."""
+
+    path: str
+    kind: str
+    features: list[str]
+    key: str
+    label: str
+    k: int
+
+    @property
+    def pipeline(self) -> PipelineModel:
+        return PipelineModel.load(f"{self.path}/pipeline")
+
+    def score(self, rows: DataFrame, keep: Sequence[str] | None = None) -> DataFrame:
+        """ML14: ``rows`` (their columns ``keep``, or all) + the predicted
+        class code.  The columns it needs are the model's own (PRJ6)."""
+        from riskloom.operators.knn import knn_vote
+
+        keep = list(rows.columns if keep is None else keep)
+        rows = require_columns(rows, [self.key, *self.features] if self.kind == "knn" else self.features)
+        if self.kind != "knn":
+            return score(self.pipeline, rows, keep)
+        reference = rows.sparkSession.read.parquet(f"{self.path}/reference")
+        scaler = PopulationScalerModel.load(f"{self.path}/scaler")
+        raw = {c: f"_raw_{c}" for c in keep}
+        scaled = scaler.transform(rows.select(F.col(self.key), *self.features, *[F.col(c).alias(raw[c]) for c in keep if c != self.key]))
+        voted = knn_vote(reference, scaled, [self.k], self.features, self.key, self.label, keep=[raw[c] for c in keep if c != self.key])
+        return voted.select(*[F.col(c if c == self.key else raw[c]).alias(c) for c in keep], F.col(f"prediction_{self.k}").alias(PREDICTION_CODE))
+
+
+def load_model(path: str) -> LoadedModel:
+    """ML13: the model under ``path``; a missing path raises."""
+    from pyspark.sql import SparkSession
+
+    row = SparkSession.active().read.schema(_CURRENT).json(f"{path}/current").first()
+    return LoadedModel(f"{path}/{row['version']}", row["kind"], list(row["features"]), row["key"], row["label"], row["k"])
+
 
-    spark = rows.sparkSession
-    params = spark.read.json(f"{path}/params").first()
-    scaler = PopulationScalerModel.load(f"{path}/scaler")
-    ref = spark.read.parquet(f"{path}/reference")
-    feats = list(params["features"])
-    scaled = scaler.transform(rows.select(params["key"], *feats))
-    pred = knn_predict(ref, scaled, int(params["k"]), feats, params["key"], params["label"])
-    return rows.join(pred.withColumnRenamed("prediction", PREDICTION_CODE), params["key"])
+def load_and_score(path: str, rows: DataFrame, keep: Sequence[str] | None = None) -> DataFrame:
+    """ML13 + ML14 for batch and stream alike."""
+    return load_model(path).score(rows, keep)

@@ -17,6 +17,37 @@ from pyspark.sql import functions as F
 from riskloom.functions.hashing import hash_bucket
 
 
+NULL_POLICIES = ("raise", "skip", "keep")
+
+
+def checked_features(df: DataFrame, features: Sequence[str], nulls: str = "raise") -> DataFrame:
+    """The missing-value policy (D11) of everything that computes with features:
+    ``raise`` names the columns with NULL or NaN values, ``skip`` leaves out
+    the rows that have one, ``keep`` passes them on."""
+    if nulls not in NULL_POLICIES:
+        raise ValueError(f"unknown policy {nulls!r}: one of {NULL_POLICIES}")
+    if nulls == "keep" or not features:
+        return df
+    missing = [_missing(df, f) for f in features]
+    if nulls == "skip":
+        whole = ~missing[0]
+        for m in missing[1:]:
+            whole = whole & ~m
+        return df.where(whole)
+    row = df.agg(*[F.coalesce(F.bool_or(m), F.lit(False)).alias(f"m{i}") for i, m in enumerate(missing)]).first()
+    bad = [f for i, f in enumerate(features) if row[f"m{i}"]]
+    if bad:
+        raise ValueError(f"features with missing values: {bad}")
+    return df
+
+
+def _missing(df: DataFrame, feature: str):
+    c = F.col(f"`{feature}`")
+    if dict(df.dtypes)[feature].startswith("array"):
+        return c.isNull() | F.coalesce(F.exists(c, lambda x: x.isNull() | F.isnan(x)), F.lit(False))
+    return c.isNull() | F.coalesce(F.isnan(c.cast("double")), F.lit(False))
+
+
 def filter_classes(df: DataFrame, classes: Sequence[int], label: str = "class") -> DataFrame:
     """PRJ3: keep rows whose label is in ``classes`` (IN-list, pushed to the scan)."""
     return df.where(F.col(label).isin(list(classes)))
@@ -53,10 +84,11 @@ def hash_split(
 class _ScalerParams(HasInputCols):
     decimals = Param(Params._dummy(), "decimals", "round outputs to this many decimals (-1: no rounding)",
                      typeConverter=TypeConverters.toInt)
+    nulls = Param(Params._dummy(), "nulls", "missing values at fit: raise, skip or keep", typeConverter=TypeConverters.toString)
 
     def __init__(self):
         super().__init__()
-        self._setDefault(decimals=-1)
+        self._setDefault(decimals=-1, nulls="raise")
 
 
 class PopulationScaler(Estimator, _ScalerParams, DefaultParamsReadable, DefaultParamsWritable):
@@ -70,17 +102,22 @@ class PopulationScaler(Estimator, _ScalerParams, DefaultParamsReadable, DefaultP
     """
 
     @keyword_only
-    def __init__(self, *, inputCols=None, decimals=-1):
+    def __init__(self, *, inputCols=None, decimals=-1, nulls="raise"):
         super().__init__()
         kwargs = self._input_kwargs
         self._set(**kwargs)
 
     def _fit(self, dataset: DataFrame) -> "PopulationScalerModel":
         cols = self.getInputCols()
+        policy = self.getOrDefault("nulls")
         aggs = []
         for c in cols:
-            aggs += [F.avg(c).alias(f"m_{c}"), F.stddev_pop(c).alias(f"s_{c}")]
+            aggs += [F.avg(c).alias(f"m_{c}"), F.stddev_pop(c).alias(f"s_{c}"), F.coalesce(F.bool_or(_missing(dataset, c)), F.lit(False)).alias(f"x_{c}")]
+        if policy == "skip":
+            dataset = checked_features(dataset, cols, policy)
         row = dataset.agg(*aggs).first()
+        if policy == "raise" and (bad := [c for c in cols if row[f"x_{c}"]]):
+            raise ValueError(f"features with missing values: {bad}")
         means = [float(row[f"m_{c}"]) for c in cols]
         stds = [float(row[f"s_{c}"]) for c in cols]
         model = PopulationScalerModel(inputCols=cols, means=means, stds=stds, decimals=self.getOrDefault("decimals"))
@@ -108,10 +145,11 @@ class PopulationScalerModel(Model, _ScalerParams, DefaultParamsReadable, Default
             out[c] = F.round(e, dec) if dec >= 0 else e
         return dataset.withColumns(out)
 
-    def stats_frame(self, spark):
-        """AGG3 as rows: (feature, mean, std)."""
-        rows = list(zip(self.getInputCols(), self.getOrDefault("means"), self.getOrDefault("stds")))
-        return spark.createDataFrame(rows, "feature string, mean double, std double")
+    def restricted(self, features: Sequence[str]) -> "PopulationScalerModel":
+        """The same scaling for a subset of the columns, in the given order."""
+        at = [self.getInputCols().index(f) for f in features]
+        pick = lambda p: [self.getOrDefault(p)[i] for i in at]
+        return PopulationScalerModel(inputCols=list(features), means=pick("means"), stds=pick("stds"), decimals=self.getOrDefault("decimals"))
 
 
 def scaler_stats(df: DataFrame, features: Sequence[str]) -> DataFrame:

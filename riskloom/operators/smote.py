@@ -25,6 +25,7 @@ from riskloom.functions.hashing import hash_int, hash_unit
 from riskloom.operators.indexing import dense_index
 from riskloom.operators.joins import broadcast_if_small
 from riskloom.operators.knn import knn_join
+from riskloom.operators.prepare import checked_features
 
 SYNTHETIC_ID_STRIDE = 1_000_000_000_000
 
@@ -37,13 +38,16 @@ def smote(
     k: int = 5,
     seed: int = 42,
     decimals: int = 6,
+    nulls: str = "raise",
     **knn_kw,
 ) -> DataFrame:
     """Synthetic rows only: (key, label, *features, is_synthetic=true).
 
-    Synthetic keys are negative: -(c·10^12 + i + 1).
+    Synthetic keys are negative: -(c·10^12 + i + 1).  Missing features as in
+    ``checked_features``; the k-NN under it then need not check again.
     """
     spark = train.sparkSession
+    train = checked_features(train, features, nulls)
     counts = {r[label]: r["n"] for r in train.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
     fcols = list(features)
     empty = train.select(key, label, *fcols).where(F.lit(False)).withColumn("is_synthetic", F.lit(True))
@@ -55,7 +59,7 @@ def smote(
         return empty
     minority = train.where(F.col(label).isin(list(todo))).select(key, label, *fcols)
     indexed = dense_index(minority, key, group_col=label, out="_idx", group_counts=todo)
-    nn = knn_join(minority, minority, k, fcols, key, key, within=label, exclude_self=True, **knn_kw)
+    nn = knn_join(minority, minority, k, fcols, key, key, within=label, exclude_self=True, nulls="keep", **knn_kw)
     feats_b = indexed.select(
         F.col(label), F.col("_idx"), F.col(key).alias("_base"), *[F.col(f).alias(f"b_{f}") for f in fcols]
     )

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.functions.hashing import aes_encrypt_b64, encryption_context, salted_sha256, scrypt_hash_udf, strip_newlines
+from riskloom.functions.hashing import aes_encrypt_b64, encryption_context, hidden, salted_sha256, scrypt_hash_udf, strip_newlines
 
 # Output naming of the tokenised table.  Fixed values.
 ENC_SUFFIX = "_enc"
@@ -40,7 +40,9 @@ def tokenize(
         raise ValueError(f"fields not in table: {missing}")
     bad = [f for f in slow_fields if f not in fields]
     if bad:
-        raise ValueError(f"fields {bad} specified for slow hashing but not specified for encryption")
+        raise ValueError(f"slow_fields must be among fields; these are not: {bad}")
+    spark = df.sparkSession
+    salt_column, key_column = hidden(spark, salt), hidden(spark, key_hex)  # neither shows in a plan
     clean = {c: F.coalesce(strip_newlines(F.col(f"`{c}`").cast("string")), F.lit("")) for c in df.columns}
     slow = scrypt_hash_udf(salt) if slow_fields else None
     out = []
@@ -48,10 +50,10 @@ def tokenize(
         if c in slow_fields:
             out.append(slow(clean[c]).alias(c))
         elif c in fields:
-            out.append(salted_sha256(clean[c], salt).alias(c))
+            out.append(salted_sha256(clean[c], salt_column).alias(c))
         else:
             out.append(clean[c].alias(c))
     for f in fields:
-        out.append(aes_encrypt_b64(clean[f], key_hex).alias(f"{f}{ENC_SUFFIX}"))
+        out.append(aes_encrypt_b64(clean[f], key_column).alias(f"{f}{ENC_SUFFIX}"))
     out.append(encryption_context(*context).alias(context_col))
     return df.select(*out)

@@ -13,7 +13,7 @@ def lake_count(spark: SparkSession, query: str) -> DataFrame:
     first column as a one-row DataFrame ``(n long)``.  The count stays a
     distributed aggregate; only the caller decides whether to collect it."""
     if is_leading_drop_alter(query):
-        raise ValueError(f"mistake? {query}")
+        raise ValueError(f"refused: a statement that drops or alters: {query}")
     df = spark.sql(query)
     first = df.columns[0]
     return df.select(F.col(first).cast("long").alias("n")).limit(1)

@@ -11,8 +11,8 @@ FEATS = ["f_chars", "f_words", "f_lines", "f_digit", "f_upper", "f_uniq"]
 
 
 def h(expr: str) -> str:
-    """32-bit md5 prefix as an integer (same rule as functions.hashing.hash_int)."""
-    return f"CAST(('0x' || substr(md5({expr}), 1, 8)) AS UBIGINT)"
+    """60-bit md5 prefix as an integer (same rule as functions.hashing.hash_int)."""
+    return f"CAST(('0x' || substr(md5({expr}), 1, 15)) AS UBIGINT)"
 
 
 def _feat_list(prefix: str = "", alias_prefix: str = "") -> str:
@@ -106,12 +106,12 @@ trainos AS (
 )"""
 
 
-def _knn(name: str, query: str, ref: str, k: int) -> str:
+def _knn(name: str, query: str, ref: str, k: int, feats=FEATS) -> str:
     return f"""
 {name} AS (
   SELECT * FROM (
-    SELECT q.tx_id AS query_id, r.tx_id AS ref_id, r.class AS class, {_dist('q', 'r')} AS distance,
-      row_number() OVER (PARTITION BY q.tx_id ORDER BY {_dist('q', 'r')}, r.tx_id) AS rank
+    SELECT q.tx_id AS query_id, r.tx_id AS ref_id, r.class AS class, {_dist('q', 'r', feats)} AS distance,
+      row_number() OVER (PARTITION BY q.tx_id ORDER BY {_dist('q', 'r', feats)}, r.tx_id) AS rank
     FROM {query} q CROSS JOIN {ref} r
   ) WHERE rank <= {k}
 )"""
@@ -181,6 +181,15 @@ toscore AS ({_scale('s', '(SELECT * FROM tx WHERE class = 3) s')})"""
         "SELECT prediction, count(*) AS n, CASE WHEN prediction = 1 THEN 'Licit' ELSE 'Illicit' END AS prediction_label "
         "FROM svote GROUP BY prediction"
     )
+    subset = ["f_chars", "f_digit", "f_uniq"]
+    q["save_load_score"] = with_(PREP, SMOTE, score, _knn("snn", "toscore", "trainos", 5, subset), _vote("svote", "snn", 5)) + (
+        "SELECT query_id AS tx_id, CAST(3 AS INTEGER) AS class, CAST(prediction AS INTEGER) AS fraud_prediction FROM svote"
+    )
+    q["stream_score"] = q["save_load_score"]
+    q["metrics_published"] = with_(PREP, SMOTE, _knn("nn", "test", "trainos", 5), *votes) + " UNION ALL ".join(
+        f"SELECT *, '{run}' AS run_id FROM ({acc_parts[i]})" for i, run in ((0, "run-1"), (1, "run-1"), (2, "run-2"))
+    )
+    q["lasso_single"] = lasso_single_sql()
     q.update(ops_sql())
     q.update(ml_sql())
     q.update(io_sql())
@@ -189,6 +198,30 @@ toscore AS ({_scale('s', '(SELECT * FROM tx WHERE class = 3) s')})"""
     return q
 
 
+def lasso_single_sql() -> str:
+    """The L1 problem of one feature has the closed form w = S(c, a) / G with
+    the soft threshold S; the penalty is the one of least mean held-out
+    squared error over five folds, of 100 from |c| down to |c| / 1000."""
+    fold = f"{h(chr(39) + '42:fold:' + chr(39) + ' || CAST(tx_id AS VARCHAR)')} % 5"
+    sums = "count(*)::DOUBLE AS n, sum(x) AS sx, sum(y) AS sy, sum(x * x) AS sxx, sum(x * y) AS sxy, sum(y * y) AS syy"
+    rows = " UNION ALL ".join(f"SELECT '{f}' AS feature, {fold} AS fold, {f} AS x, CAST(class AS DOUBLE) AS y FROM trainos" for f in FEATS)
+    soft = "sign({c}) * greatest(abs({c}) - {a}, 0) / nullif({g}, 0)"
+    return with_(PREP, SMOTE).rstrip() + f""", xy AS ({rows}),
+held AS (SELECT feature, fold, {sums} FROM xy GROUP BY ALL),
+tot AS (SELECT feature, {sums} FROM xy GROUP BY ALL),
+whole AS (SELECT feature, sxx / n - (sx / n) * (sx / n) AS g, sxy / n - (sx / n) * (sy / n) AS c FROM tot),
+grid AS (SELECT feature, g, c, i, pow(10, log10(abs(c)) + (log10(abs(c) * 0.001) - log10(abs(c))) * i / 99) AS a
+  FROM whole, generate_series(0, 99) AS s(i) WHERE abs(c) > 0),
+rest AS (SELECT h.*, (t.sx - h.sx) / (t.n - h.n) AS mx, (t.sy - h.sy) / (t.n - h.n) AS my, (t.sxx - h.sxx) / (t.n - h.n) AS mxx,
+  (t.sxy - h.sxy) / (t.n - h.n) AS mxy FROM held h JOIN tot t USING (feature)),
+fit AS (SELECT r.*, i, a, {soft.format(c='(mxy - mx * my)', a='a', g='(mxx - mx * mx)')} AS w FROM rest r JOIN grid USING (feature)),
+err AS (SELECT feature, i, a, avg((syy - 2 * b * sy - 2 * w * sxy + n * b * b + 2 * b * w * sx + w * w * sxx) / n) AS mse
+  FROM (SELECT *, my - mx * w AS b FROM fit) GROUP BY ALL),
+best AS (SELECT feature, arg_min(a, (mse, i)) AS a FROM err GROUP BY 1)
+SELECT w.feature, round(coalesce(a, 0), 6) AS alpha, round(coalesce({soft.format(c='c', a='a', g='g')}, 0), 6) + 0.0 AS coefficient,
+  coalesce(abs({soft.format(c='c', a='a', g='g')}) > 1e-9, false) AS selected FROM whole w LEFT JOIN best USING (feature)"""
+
+
 # ====================================================================== ops
 TSF = "'%Y-%m-%d %H:%M:%S.%f'"
 KL = "timezone('Asia/Kuala_Lumpur', ts AT TIME ZONE 'UTC')"
@@ -314,7 +347,7 @@ def ops_sql() -> dict[str, str]:
     q["latest_object"] = with_(INV) + (
         f"SELECT partition, n_objects, strftime(latest_mtime, {TSF}) AS latest_mtime, latest_path FROM ("
         "SELECT partition, count(*) OVER (PARTITION BY partition) AS n_objects, mtime AS latest_mtime, path AS latest_path, "
-        "row_number() OVER (PARTITION BY partition ORDER BY mtime DESC, path DESC) AS r FROM inv) WHERE r = 1"
+        "row_number() OVER (PARTITION BY partition ORDER BY mtime DESC, path) AS r FROM inv) WHERE r = 1"
     )
     q["input_settled"] = with_(INV) + (
         "SELECT coalesce(a.partition, m.partition) AS partition, coalesce(a.n, 0) AS n_objects, "
@@ -374,12 +407,12 @@ def ops_sql() -> dict[str, str]:
     q["time_slots_6h"] = with_(BOUNDS, _slots("slots", 6, "%Y-%m-%d %H:00")) + "SELECT idx, slot FROM slots"
     q["slot_coverage"] = with_(BOUNDS, _slots("slots", 1, "year-%Y_month-%m_day-%d_hour-%H")) + (
         "SELECT s.idx, s.slot, coalesce(c.n, 0) AS n_events FROM slots s LEFT JOIN "
-        "(SELECT date_trunc('hour', ts) AS slot_ts, count(*) AS n FROM events WHERE event_type = 'purchase' GROUP BY 1) c "
+        "(SELECT date_trunc('hour', ts) AS slot_ts, count(*) AS n FROM events GROUP BY 1) c "
         "ON s.slot_ts = c.slot_ts"
     )
     q["slot_coverage_6h"] = with_(BOUNDS, _slots("slots", 6, "%Y-%m-%d %H:00")) + (
         "SELECT s.idx, s.slot, CAST(coalesce(sum(c.n), 0) AS BIGINT) AS n_events FROM slots s LEFT JOIN "
-        "(SELECT date_trunc('hour', ts) AS hour_ts, count(*) AS n FROM events WHERE event_type = 'purchase' GROUP BY 1) c "
+        "(SELECT date_trunc('hour', ts) AS hour_ts, count(*) AS n FROM events GROUP BY 1) c "
         "ON c.hour_ts >= s.slot_ts AND c.hour_ts < s.slot_ts + INTERVAL 6 HOUR GROUP BY s.idx, s.slot"
     )
     q["local_time"] = (
@@ -417,6 +450,18 @@ def ops_sql() -> dict[str, str]:
         f"sha256({salt} || {_clean('nric')}) AS nric, {_clean('date')} AS date, "
         f"sha256({salt} || {_clean('cardnum')}) AS cardnum FROM personal"
     )
+    names = ["uuid", "name", "nric", "date", "cardnum", "name_enc", "nric_enc", "cardnum_enc", "aws_enc_ctx"]
+    q["tokenize_header"] = " UNION ALL ".join(f"SELECT {i} AS position, '{c}' AS name, count(*) AS n_right FROM customer" for i, c in enumerate(names))
+    q["probability_codes"] = "SELECT c_custkey, CAST(CASE WHEN c_custkey % 101 > 50 THEN 2 ELSE 1 END AS INTEGER) AS code FROM customer"
+    taken = "pk IN ('1-URGENT', '3-MEDIUM')"
+    q["consume_range"] = (
+        f"SELECT *, CAST(0 AS BIGINT) AS n_left FROM ({q['state_range']}) WHERE {taken} UNION ALL "
+        f"SELECT pk, NULL, NULL, count(*) FROM ({with_(ITEMS)} SELECT * FROM items) WHERE pk IS NULL OR NOT {taken} GROUP BY pk"
+    )
+    q["consume_attributes"] = (
+        f"SELECT * FROM ({q['state_attributes']}) WHERE {taken} UNION ALL "
+        f"SELECT pk, 'n_left', CAST(count(*) AS VARCHAR) FROM ({with_(ITEMS)} SELECT * FROM items) WHERE pk IS NULL OR NOT {taken} GROUP BY pk"
+    )
     q["tokenize_roundtrip"] = with_(PERSONAL) + (
         f"SELECT {_clean('uuid')} AS uuid, {_clean('name')} AS name_dec, {_clean('nric')} AS nric_dec, "
         f"{_clean('cardnum')} AS cardnum_dec FROM personal"
@@ -501,6 +546,8 @@ def stream_sql(q: dict[str, str]) -> dict[str, str]:
             f"SELECT strftime(date_trunc('hour', ts) + to_minutes(CAST(floor(minute(ts) / 15) * 15 AS BIGINT)), {TSF}) "
             "AS slot, count(*) AS n_events, round(sum(value), 6) AS total_value FROM events GROUP BY 1"
         ),
-        "stream_settled": q["latest_object"],
+        "stream_settled": (
+            f"SELECT s.*, l.latest_path FROM ({q['input_settled']}) s LEFT JOIN ({q['latest_object']}) l ON s.partition = l.partition"
+        ),
         "stream_logscan": q["log_alerts"],
     }

@@ -260,6 +260,37 @@ def q_lake_count_scalar(spark, sf_dir):
     return lake_count(spark, "SELECT count(*) AS n FROM events WHERE event_type = 'error'")
 
 
+def _consumed_keys(spark):
+    return spark.createDataFrame([("1-URGENT",), ("3-MEDIUM",)], "pk string")
+
+
+@register("consume_range")
+def q_consume_range(spark, sf_dir):
+    """JOB5 as a step: the ranges of the consumed keys, and how many items the
+    remainder, written and read back, has of each other key."""
+    from riskloom.fixtures import state_items
+    from riskloom.operators.lakeops import consume_range
+    from riskloom.session import scratch_dir
+
+    ranges, left = consume_range(scratch_dir(spark, "state"), state_items(spark, sf_dir), _consumed_keys(spark))
+    n = left.groupBy("pk").agg(F.count(F.lit(1)).alias("n_left"))
+    return ranges.withColumn("n_left", F.lit(0).cast("long")).unionByName(n, allowMissingColumns=True)
+
+
+@register("consume_attributes")
+def q_consume_attributes(spark, sf_dir):
+    """JOB6 as a step: the last attribute values of the consumed keys, and how
+    many items the remainder has of each other key."""
+    from riskloom.fixtures import state_items
+    from riskloom.operators.lakeops import consume_attributes
+    from riskloom.session import scratch_dir
+
+    wanted = ["custkey", "totalprice", "status", "absent"]
+    values, left = consume_attributes(scratch_dir(spark, "state"), state_items(spark, sf_dir), _consumed_keys(spark), wanted)
+    n = left.groupBy("pk").agg(F.lit("n_left").alias("attribute"), F.count(F.lit(1)).cast("string").alias("value"))
+    return values.unionByName(n)
+
+
 # ---------------------------------------------------------------- time slots and time functions
 SLOT_FORMAT = "year=%Y/month=%m/day=%d/hour=%H"
 
@@ -293,19 +324,17 @@ def q_slot_coverage(spark, sf_dir):
     from riskloom.sources.tables import read_table
 
     slots = time_slots(_event_hour_bounds(spark, sf_dir), "start", "end", SLOT_FORMAT, 1, True)
-    ev = read_table(spark, sf_dir, "events").where(F.col("event_type") == "purchase")
-    return slot_coverage(slots, ev)
+    return slot_coverage(slots, read_table(spark, sf_dir, "events"))
 
 
 @register("slot_coverage_6h")
 def q_slot_coverage_6h(spark, sf_dir):
-    """JOB8 with 6-hour slots: purchases per slot."""
+    """JOB8 with 6-hour slots: events per slot."""
     from riskloom.operators.timeslots import slot_coverage, time_slots
     from riskloom.sources.tables import read_table
 
     slots = time_slots(_event_hour_bounds(spark, sf_dir), "start", "end", "%Y-%m-%d %H:00", 6, False)
-    ev = read_table(spark, sf_dir, "events").where(F.col("event_type") == "purchase")
-    return slot_coverage(slots, ev, interval_hours=6)
+    return slot_coverage(slots, read_table(spark, sf_dir, "events"), interval_hours=6)
 
 
 @register("local_time")
@@ -376,12 +405,13 @@ def _demo_key() -> str:
     return secrets.token_hex(16)  # fresh AES-128 key per run; nothing stored
 
 
-def _demo_context(key_hex: str) -> tuple[str, str]:
+def _demo_context() -> tuple[str, str]:
+    """A wrapped key as a key service would return it: bytes that say nothing
+    about the data key."""
     import base64
-    import hashlib
+    import secrets
 
-    wrapped = base64.b64encode(hashlib.sha256(bytes.fromhex(key_hex)).digest()).decode()
-    return wrapped, "demo-key"
+    return base64.b64encode(secrets.token_bytes(32)).decode(), "demo-key"
 
 
 @register("tokenize_hash")
@@ -390,7 +420,7 @@ def q_tokenize_hash(spark, sf_dir):
     from riskloom.operators.tokenize import tokenize
 
     key = _demo_key()
-    t = tokenize(personal_data(spark, sf_dir), TOKEN_FIELDS, DEMO_SALT, key, _demo_context(key))
+    t = tokenize(personal_data(spark, sf_dir), TOKEN_FIELDS, DEMO_SALT, key, _demo_context())
     return t.select("uuid", "name", "nric", "date", "cardnum")
 
 
@@ -401,23 +431,47 @@ def q_tokenize_roundtrip(spark, sf_dir):
     from riskloom.operators.tokenize import tokenize
 
     key = _demo_key()
-    t = tokenize(personal_data(spark, sf_dir), TOKEN_FIELDS, DEMO_SALT, key, _demo_context(key))
+    t = tokenize(personal_data(spark, sf_dir), TOKEN_FIELDS, DEMO_SALT, key, _demo_context())
     return t.select("uuid", *[aes_decrypt_b64(f"{f}_enc", key).alias(f"{f}_dec") for f in TOKEN_FIELDS])
 
 
+@register("tokenize_header")
+def q_tokenize_header(spark, sf_dir):
+    """FN4/FN5: the columns of the tokenised table in order, with, for each, in
+    how many rows it holds what it should: the context, a decryptable field,
+    or a value as long as a digest."""
+    from riskloom.fixtures import personal_data
+    from riskloom.functions.hashing import aes_decrypt_b64, hidden
+    from riskloom.operators.tokenize import CONTEXT_COLUMN, ENC_SUFFIX, tokenize
+
+    key, context = _demo_key(), (_demo_context()[0], "demo-key")
+    source = personal_data(spark, sf_dir)
+    t = tokenize(source, TOKEN_FIELDS, DEMO_SALT, key, context)
+    hidden_key = hidden(spark, key)
+    back = t.join(source.select("uuid", *[F.col(f).alias(f"was_{f}") for f in TOKEN_FIELDS]), "uuid")
+
+    def right(c: str):
+        if c == CONTEXT_COLUMN:
+            return (F.col(c) == ":".join(context)) & F.col(c).endswith(":demo-key")
+        if c.endswith(ENC_SUFFIX):
+            return aes_decrypt_b64(c, hidden_key) == F.col(f"was_{c[: -len(ENC_SUFFIX)]}")
+        return F.length(c) == 64 if c in TOKEN_FIELDS else F.col(c).isNotNull()
+
+    counts = back.agg(*[F.sum(right(c).cast("long")).alias(f"c{i}") for i, c in enumerate(t.columns)])
+    rows = [F.struct(F.lit(i).alias("position"), F.lit(c).alias("name"), F.col(f"c{i}").alias("n_right")) for i, c in enumerate(t.columns)]
+    return counts.select(F.inline(F.array(*rows)))
+
+
 @register("tokenize_slow")
 def q_tokenize_slow(spark, sf_dir):
     from riskloom.fixtures import personal_data
     from riskloom.operators.tokenize import tokenize
 
     key = _demo_key()
-    return tokenize(personal_data(spark, sf_dir), TOKEN_FIELDS, DEMO_SALT, key, _demo_context(key), slow_fields=["cardnum"])
+    return tokenize(personal_data(spark, sf_dir), TOKEN_FIELDS, DEMO_SALT, key, _demo_context(), slow_fields=["cardnum"])
 
 
 # ---------------------------------------------------------------- L1 selection and trainers
-GBT_QUERY_ITERS = 20  # boosting rounds in the registered query (parameter default: 100)
-
-
 @register("gram_by_fold")
 def q_gram_by_fold(spark, sf_dir):
     from riskloom.operators.lasso import gram_by_fold
@@ -427,9 +481,6 @@ def q_gram_by_fold(spark, sf_dir):
     return g.select("fold", "n", *[F.round(c, 6).alias(c) for c in g.columns if c.startswith("s_")])
 
 
-EMBEDDING_DIM = 64  # width of the embeddings table (FIXTURES)
-
-
 @register("gram_vectors")
 def q_gram_vectors(spark, sf_dir):
     """AGG9 on a wide input: fold statistics of the embedding dimensions
@@ -437,8 +488,10 @@ def q_gram_vectors(spark, sf_dir):
     from riskloom.fixtures import vectors
     from riskloom.operators.lasso import gram_blocks
 
-    dims = [f"e{j}" for j in range(EMBEDDING_DIM)]
-    v = vectors(spark, sf_dir).select("vec_id", LABEL, *[F.col("embedding")[j].alias(d) for j, d in enumerate(dims)])
+    table = vectors(spark, sf_dir)
+    width = table.agg(F.max(F.size("embedding"))).first()[0] or 0
+    dims = [f"e{j}" for j in range(width)]
+    v = table.select("vec_id", LABEL, *[F.col("embedding")[j].alias(d) for j, d in enumerate(dims)])
     g = gram_blocks(v, dims, LABEL, "vec_id", folds=5, seed=42)
     return g.select("fold", "stat", F.round("value", 6).alias("value"))
 
@@ -483,7 +536,7 @@ def q_train_rf(spark, sf_dir):
 
 @register("train_gbt")
 def q_train_gbt(spark, sf_dir):
-    return _train_one(spark, sf_dir, "gbt", maxIter=GBT_QUERY_ITERS)
+    return _train_one(spark, sf_dir, "gbt")
 
 
 @register("train_mlp")
@@ -496,30 +549,82 @@ def q_model_selection(spark, sf_dir):
     from riskloom.session import scratch_dir
 
     p, _ = T.prepare(spark, sf_dir, labelled_only=True)
-    metrics, best, _ = T.training_run(
-        p, params={"gbt": {"maxIter": GBT_QUERY_ITERS}}, model_path=scratch_dir(spark, "best-model")
-    )
+    metrics, best, _ = T.training_run(p, model_path=scratch_dir(spark, "best-model"))
     return metrics.withColumn("is_best", F.col("model") == F.lit(best))
 
 
+#: A strict subset of the features, as an L1 selection would leave.
+SUBSET = ["f_chars", "f_digit", "f_uniq"]
+
+
+def _saved_knn(spark, sf_dir):
+    """(path of a saved 5-NN on SUBSET, the transactions).  A tree is saved
+    there first, so that the winner replaces another kind."""
+    from riskloom.operators.models import save_knn, save_model
+    from riskloom.session import scratch_dir
+
+    p, tx = T.prepare(spark, sf_dir)
+    train = T.oversampled_train(p)
+    path = scratch_dir(spark, "model")
+    tree, _ = T.train_model(p, train, "decision_tree", FEATURES, maxDepth=2)
+    save_model(tree, path, "decision_tree", FEATURES)
+    return save_knn(path, p.scaler, train, SUBSET, 5), tx
+
+
 @register("save_load_score")
 def q_save_load_score(spark, sf_dir):
-    """E2: persisted pipeline → load → required columns → score class-3 rows
-    → CSV out → read back → Licit/Illicit counts."""
-    from riskloom.operators.models import PREDICTION_CODE, load_model, save_model, score
+    """E2: saved winner → load → required columns → score class-3 rows → CSV
+    out → read back by name."""
+    from riskloom.operators.models import PREDICTION_CODE, load_and_score
     from riskloom.session import scratch_dir
     from riskloom.sources.sinks import write_csv
-    from riskloom.sources.tables import read_csv_table, require_columns
+    from riskloom.sources.tables import read_csv_table
+
+    path, tx = _saved_knn(spark, sf_dir)
+    rows = filter_classes(tx, T.SCORE_CLASSES).select(KEY, LABEL, *SUBSET)
+    out = write_csv(load_and_score(path, rows), scratch_dir(spark, "predictions"))
+    return read_csv_table(spark, out, schema=f"{PREDICTION_CODE} int, {KEY} long, {LABEL} int")
+
+
+@register("save_load_tree")
+def q_save_load_tree(spark, sf_dir):
+    """SNK3/ML13/ML14 with a tree winner: Licit/Illicit counts of class-3 rows."""
+    from riskloom.operators.models import PREDICTION_CODE, load_and_score, save_model
+    from riskloom.session import scratch_dir
 
     p, tx = T.prepare(spark, sf_dir)
+    model, _ = T.train_model(p, T.oversampled_train(p), "decision_tree", FEATURES)
+    path = save_model(model, scratch_dir(spark, "model"), "decision_tree", FEATURES)
+    return prediction_histogram(load_and_score(path, filter_classes(tx, T.SCORE_CLASSES)), PREDICTION_CODE)
+
+
+@register("metrics_published")
+def q_metrics_published(spark, sf_dir):
+    """SNK4: the k-NN metric rows of two runs, one published twice, read back."""
+    from riskloom.session import scratch_dir
+    from riskloom.sources.sinks import append_metrics
+
+    p, _ = T.prepare(spark, sf_dir, labelled_only=True)
+    path = scratch_dir(spark, "metrics")
+    for run, ks in (("run-1", (1, 3)), ("run-2", (5,)), ("run-1", (1, 3))):
+        append_metrics(T.knn_accuracy(p, ks), path, run)
+    return spark.read.schema("model string, k int, accuracy double, n_test long, run_id string").parquet(path)
+
+
+@register("lasso_single")
+def q_lasso_single(spark, sf_dir):
+    """ML4/ML5/AGG8 where the L1 problem has a closed form: one feature at a
+    time, the penalty of least held-out error, the coefficient, kept or not."""
+    from riskloom.operators.lasso import lasso_select
+
+    p, _ = T.prepare(spark, sf_dir, labelled_only=True)
     train = T.oversampled_train(p)
-    model, _ = T.train_model(p, train, "decision_tree", FEATURES)
-    path = save_model(model, scratch_dir(spark, "model"))
-    loaded = load_model(path)
-    rows = require_columns(filter_classes(tx, T.SCORE_CLASSES), FEATURES)
-    out = write_csv(score(loaded, rows, keep=[KEY, LABEL, *FEATURES]), scratch_dir(spark, "predictions"))
-    back = read_csv_table(spark, out, schema=f"{KEY} long, {LABEL} int, " + ", ".join(f"{f} double" for f in FEATURES) + f", {PREDICTION_CODE} int")
-    return prediction_histogram(back, PREDICTION_CODE)
+    out = None
+    for f in FEATURES:
+        alpha, chosen = lasso_select(train, [f], LABEL, KEY)
+        row = chosen.select("feature", F.round(F.lit(alpha), 6).alias("alpha"), F.round("coefficient", 6).alias("coefficient"), "selected")
+        out = row if out is None else out.unionByName(row)
+    return out
 
 
 # ---------------------------------------------------------------- file sources and sinks
@@ -686,54 +791,51 @@ STREAM_CHUNKS = 6
 def q_stream_buckets(spark, sf_dir):
     """STR4: hourly windows with a watermark over a file stream of events."""
     from riskloom.sources.tables import read_table
-    from riskloom.streaming.common import stage_chunks
+    from riskloom.streaming.common import Chunks
     from riskloom.streaming.jobs import stream_buckets
 
-    path, f = stage_chunks(read_table(spark, sf_dir, "events"), "ts", STREAM_CHUNKS, "stream-events")
-    out = stream_buckets(spark, path, f)
+    out = stream_buckets(spark, Chunks(read_table(spark, sf_dir, "events"), "ts", STREAM_CHUNKS, "stream-events"))
     return out.select(_ts_text("slot").alias("slot"), "n_events", F.round("total_value", 6).alias("total_value"))
 
 
 @register("stream_settled")
 def q_stream_settled(spark, sf_dir):
-    """STR2: per-partition latest object as streaming state (final state)."""
+    """STR2: the settled decision from streaming state and the stored marks."""
     from riskloom.fixtures import inventory
-    from riskloom.streaming.common import stage_chunks
+    from riskloom.operators.lakeops import marks_at
+    from riskloom.session import materialize
+    from riskloom.streaming.common import Chunks
     from riskloom.streaming.jobs import stream_settled
 
-    path, f = stage_chunks(inventory(spark, sf_dir), "mtime", STREAM_CHUNKS, "stream-inventory")
-    out = stream_settled(spark, path, f)
-    return out.select("partition", "n_objects", _ts_text("latest_mtime").alias("latest_mtime"), "latest_path")
+    inv = inventory(spark, sf_dir)
+    marks = materialize(marks_at(inv, SETTLED_CUTOFF), "marks")
+    out = stream_settled(spark, Chunks(inv, "mtime", STREAM_CHUNKS, "stream-inventory"), marks)
+    stamps = [_ts_text(c).alias(c) for c in ("latest_mtime", "stored_mark", "new_mark")]
+    return out.select("partition", "n_objects", "latest_path", *stamps, "settled")
 
 
 @register("stream_logscan")
 def q_stream_logscan(spark, sf_dir):
     """STR3: exception scan as per-log state across micro-batches."""
     from riskloom.fixtures import log_lines_from_events
-    from riskloom.streaming.common import stage_chunks
+    from riskloom.streaming.common import Chunks
     from riskloom.streaming.jobs import stream_logscan
 
     lines = log_lines_from_events(spark, sf_dir, with_ts=True)
-    path, f = stage_chunks(lines, "ts", STREAM_CHUNKS, "stream-logs")
-    return stream_logscan(spark, path, f)
+    return stream_logscan(spark, Chunks(lines, "ts", STREAM_CHUNKS, "stream-logs"))
 
 
 @register("stream_score")
 def q_stream_score(spark, sf_dir):
-    """STR1: persisted pipeline applied to a stream of rows to score."""
-    from riskloom.operators.models import PREDICTION_CODE, save_model
-    from riskloom.session import scratch_dir
-    from riskloom.streaming.common import stage_chunks
+    """STR1: a saved k-NN winner on a strict subset of the features, applied
+    to a stream of rows to score."""
+    from riskloom.streaming.common import Chunks
     from riskloom.streaming.jobs import stream_score
 
-    p, tx = T.prepare(spark, sf_dir)
-    train = T.oversampled_train(p)
-    model, _ = T.train_model(p, train, "decision_tree", FEATURES)
-    mpath = save_model(model, scratch_dir(spark, "stream-model"))
-    rows = filter_classes(tx, T.SCORE_CLASSES).withColumn("ts", F.timestamp_seconds(F.col(KEY)))
-    path, f = stage_chunks(rows, "ts", 3, "stream-rows")
-    scored = stream_score(spark, mpath, path, f, [KEY, LABEL])
-    return prediction_histogram(scored, PREDICTION_CODE)
+    mpath, tx = _saved_knn(spark, sf_dir)
+    rows = filter_classes(tx, T.SCORE_CLASSES).select(KEY, LABEL, *SUBSET, F.timestamp_seconds(F.col(KEY)).alias("ts"))
+    scored = stream_score(spark, mpath, Chunks(rows, "ts", 3, "stream-rows"), [KEY, LABEL])
+    return scored.select(KEY, LABEL, "fraud_prediction")
 
 
 @register("settled_marks")
@@ -761,24 +863,37 @@ def q_string_frame(spark, sf_dir):
 
 @register("probability_codes")
 def q_probability_codes(spark, sf_dir):
-    """FN20: class code from P(class 2) > 0.5, next to the model's own code."""
+    """FN20: class code from P(class index 1) > 0.5, P from a column of the data."""
+    from pyspark.ml.functions import array_to_vector
+
+    from riskloom.operators.models import probability_to_code
+    from riskloom.sources.tables import read_table
+
+    c = read_table(spark, sf_dir, "customer")
+    share = F.pmod(F.col("c_custkey"), F.lit(101)) / F.lit(100.0)
+    vec = c.select("c_custkey", array_to_vector(F.array(F.lit(1.0) - share, share)).alias("probability"))
+    return vec.select("c_custkey", probability_to_code("probability"))
+
+
+@register("tree_codes")
+def q_tree_codes(spark, sf_dir):
+    """FN20 next to a model's own codes: counts of each pair."""
     from riskloom.operators.models import PREDICTION_CODE, probability_to_code
 
     p, tx = T.prepare(spark, sf_dir)
     model, _ = T.train_model(p, T.oversampled_train(p), "decision_tree", FEATURES)
     scored = model.transform(filter_classes(tx, T.SCORE_CLASSES))
-    return scored.select(probability_to_code("probability").alias("threshold_code"), PREDICTION_CODE).groupBy(
-        "threshold_code", PREDICTION_CODE
-    ).agg(F.count(F.lit(1)).alias("n"))
+    pairs = scored.select(probability_to_code("probability").alias("threshold_code"), PREDICTION_CODE)
+    return pairs.groupBy("threshold_code", PREDICTION_CODE).agg(F.count(F.lit(1)).alias("n"))
 
 
 @register("stream_quarter_buckets")
 def q_stream_quarter_buckets(spark, sf_dir):
     """STR4: quarter-hour windows with a watermark over a file stream."""
     from riskloom.sources.tables import read_table
-    from riskloom.streaming.common import stage_chunks
+    from riskloom.streaming.common import Chunks
     from riskloom.streaming.jobs import stream_buckets
 
-    path, f = stage_chunks(read_table(spark, sf_dir, "events"), "ts", STREAM_CHUNKS, "stream-events-q")
-    out = stream_buckets(spark, path, f, watermark="15 minutes", window="15 minutes")
+    source = Chunks(read_table(spark, sf_dir, "events"), "ts", STREAM_CHUNKS, "stream-events-q")
+    out = stream_buckets(spark, source, watermark="15 minutes", window="15 minutes")
     return out.select(_ts_text("slot").alias("slot"), "n_events", F.round("total_value", 6).alias("total_value"))

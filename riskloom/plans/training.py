@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.fixtures import FEATURES, KEY, LABEL, transactions
-from riskloom.operators.knn import knn_join, knn_predict, majority_vote
+from riskloom.operators.knn import knn_join, knn_predict, knn_vote
 from riskloom.operators.prepare import PopulationScaler, PopulationScalerModel, filter_classes, hash_split
 from riskloom.operators.smote import oversample
 from riskloom.session import materialize
@@ -98,25 +98,14 @@ def knn_neighbours(p: Prepared, k: int = 5) -> DataFrame:
 def knn_accuracy(p: Prepared, ks: Sequence[int] = (5,)) -> DataFrame:
     """ML6 + ML11: one metric row per k: (model, k, accuracy, n_test).
 
-    The neighbour table is computed once for the largest k; smaller k take
-    the leading ranks of the same table.
+    One pass over the distances: each test row is returned once, with its
+    truth and the vote of every k, and one aggregate counts the hits.
     """
-    train = oversampled_train(p)
-    kmax = max(ks)
-    nn = knn_join(p.test, train, kmax, p.features, KEY, KEY, carry=LABEL)
-    truth = p.test.select(F.col(KEY).alias("query_id"), F.col(LABEL).alias("_truth"))
-    frames = []
-    for k in ks:
-        pred = majority_vote(nn.where(F.col("rank") <= k), LABEL)
-        m = pred.join(truth, "query_id").agg(
-            F.avg((F.col("prediction") == F.col("_truth")).cast("double")).alias("accuracy"),
-            F.count(F.lit(1)).alias("n_test"),
-        )
-        frames.append(m.select(F.lit(f"knn_k{k}").alias("model"), F.lit(k).alias("k"), "accuracy", "n_test"))
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+    voted = knn_vote(oversampled_train(p), p.test, ks, p.features, KEY, LABEL, keep=[LABEL])
+    hit = lambda k: F.avg((F.col(f"prediction_{k}") == F.col(LABEL)).cast("double"))
+    wide = voted.agg(*[hit(k).alias(f"a{k}") for k in ks], F.count(F.lit(1)).alias("n_test"))
+    row = lambda k: F.struct(F.lit(f"knn_k{k}").alias("model"), F.lit(k).alias("k"), F.col(f"a{k}").alias("accuracy"), F.col("n_test"))
+    return wide.select(F.inline(F.array(*[row(k) for k in ks])))
 
 
 def score_unlabelled(p: Prepared, tx: DataFrame, k: int = 5) -> DataFrame:
@@ -168,19 +157,16 @@ def training_run(
     with ThreadPoolExecutor(max_workers=max(1, len(models))) as pool:
         futures = {m: pool.submit(train_model, p, train, m, feats, **params.get(m, {})) for m in models}
         fitted = {m: f.result() for m, f in futures.items()}
-    nn = knn_join(p.test, train, k, feats, KEY, KEY, carry=LABEL)
-    knn_pred = majority_vote(nn, LABEL).join(
-        p.test.select(F.col(KEY).alias("query_id"), F.col(LABEL).alias("_truth")), "query_id"
-    )
-    knn_metric = knn_pred.agg(
-        F.avg((F.col("prediction") == F.col("_truth")).cast("double")).alias("accuracy"),
+    voted = knn_vote(train, p.test, [k], feats, KEY, LABEL, keep=[LABEL])
+    knn_metric = voted.agg(
+        F.avg((F.col(f"prediction_{k}") == F.col(LABEL)).cast("double")).alias("accuracy"),
         F.count(F.lit(1)).alias("n_test"),
     ).select(F.lit("knn").alias("model"), F.lit(MODEL_ORDINAL["knn"]).alias("ordinal"), "accuracy", "n_test")
-    metrics = union_metrics([knn_metric] + [fitted[m][1] for m in models]).cache()
+    metrics = materialize(union_metrics([knn_metric] + [fitted[m][1] for m in models]), "metrics")
     best = best_model(metrics).first()["model"]
     if model_path is not None:
         if best in fitted:
-            save_model(fitted[best][0], model_path)
+            save_model(fitted[best][0], model_path, best, feats, KEY, LABEL)
         else:
             from riskloom.operators.models import save_knn
 

@@ -40,8 +40,14 @@ def local_session(cores: int | str = "*", app: str = "riskloom") -> SparkSession
     return spark
 
 
+class SharedFolderMissing(RuntimeError):
+    """A cluster session names no shared folder for written intermediate tables."""
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder; set a temporary one only if unset."""
+    """Return the shared checkpoint folder.  Only a local session (tests) may
+    have none: it gets a temporary one.  On a cluster a folder of one
+    machine would give partial reads, so there the setting is required."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
@@ -49,6 +55,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     conf = spark.conf.get("spark.checkpoint.dir", None)
     if conf:
         sc.setCheckpointDir(conf)
+    elif not sc.master.startswith("local[") and sc.master != "local":
+        raise SharedFolderMissing(f"set spark.checkpoint.dir to a folder that all executors of {sc.master} share")
     else:
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="riskloom-ckpt-"))
     return sc.getCheckpointDir()

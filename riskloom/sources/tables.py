@@ -9,9 +9,9 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 # Index columns written by pandas (`Unnamed: 0`) or named by Spark (`_c0`)
 # for an empty CSV header cell.  Fixed values.
@@ -35,11 +35,19 @@ def read_csv_table(
     schema: StructType | str | None = None,
     drop_index: bool = True,
 ) -> DataFrame:
-    """SRC1: header CSV.  Explicit schema when given (no inference pass over
-    the data), inference otherwise."""
-    reader = spark.read.option("header", True)
-    reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
-    df = reader.csv(path)
+    """SRC1: header CSV.  With a schema (no inference pass over the data) its
+    columns are found by their names in the header, in whatever order the
+    file has them; a name that is missing, or a field that is not of its
+    type, raises.  Quoted fields may hold doubled quotes and line breaks
+    (RFC 4180); a file with such fields is one scan task."""
+    reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"').option("mode", "FAILFAST")
+    if schema is None:
+        df = reader.option("inferSchema", True).csv(path)
+        return drop_index_columns(df) if drop_index else df
+    wanted = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+    header = reader.csv(path).columns  # the names alone; every field text
+    df = reader.schema(StructType([wanted[c] if c in wanted.names else StructField(c, StringType()) for c in header])).option("enforceSchema", False).csv(path)
+    df = require_columns(df, wanted.names).select([F.col(f"`{c}`") for c in wanted.names])
     return drop_index_columns(df) if drop_index else df
 
 
@@ -141,12 +149,15 @@ def log_lines(spark: SparkSession, path: str) -> DataFrame:
     position in its block is its id minus the block's first id.  A gzip file
     is one block; a plain file may be split, and each block is offset by the
     lines of the earlier blocks of its file (one row per block: counted,
-    summed in block order, joined back after a size check).  The files are
-    read twice (block counts, then lines); no line is shuffled for this.
+    summed in block order, joined back after a size check).  Blocks and ids
+    depend on how a scan is split, so the files are read once, into a table
+    of (path, block, id, line), and both sides come from that table; a line
+    whose block has no offset raises.  No line is shuffled for this.
     """
     from pyspark.sql import Window
 
     from riskloom.operators.joins import broadcast_if_small
+    from riskloom.session import materialize
 
     raw = spark.read.option("lineSep", "\n").text(path).select(
         F.col("_metadata.file_path").alias("log_path"),
@@ -154,11 +165,13 @@ def log_lines(spark: SparkSession, path: str) -> DataFrame:
         F.monotonically_increasing_id().alias("_id"),
         F.regexp_replace("value", "\r$", "").alias("line"),
     )
+    raw = materialize(raw, "log-lines")
     blocks = raw.groupBy("log_path", "_block").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
     earlier = Window.partitionBy("log_path").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = blocks.select("log_path", "_block", "_first", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_off"))
-    j = raw.join(broadcast_if_small(offsets), ["log_path", "_block"])
-    return j.select("log_path", (F.col("_off") + F.col("_id") - F.col("_first")).cast("long").alias("line_no"), "line")
+    j = raw.join(broadcast_if_small(offsets), ["log_path", "_block"], "left")
+    known = F.when(F.col("_off").isNull(), F.raise_error(F.lit("a log line has no block offset"))).otherwise(F.col("_off"))
+    return j.select("log_path", (known + F.col("_id") - F.col("_first")).cast("long").alias("line_no"), "line")
 
 
 def state_items_for_key(items: DataFrame, key: str, key_col: str = "pk") -> DataFrame:
@@ -177,10 +190,6 @@ def columns_in_order(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.select([F.col(f"`{c}`") for c in cols])
 
 
-def col_or_lit(value) -> Column:
-    return value if isinstance(value, Column) else F.lit(value)
-
-
 SMALL_INPUT_BYTES = 1 << 30
 
 

@@ -1,88 +1,88 @@
-"""Shared pieces of the streaming jobs: staging a table as time-ordered file
-chunks, running a query to completion with ``availableNow``, an idempotent
-per-batch sink, and reading back the latest version of each key."""
+"""Shared pieces of the streaming jobs: feeding a table as time-ordered chunks,
+an idempotent per-batch sink, and reading back the latest version of each
+key."""
 
 from __future__ import annotations
 
-import math
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from riskloom.session import scratch_dir
+from riskloom.sources.sinks import clustered
 
 
-TARGET_FILE_BYTES = 128 * 1024 * 1024
+class Folder:
+    """A folder that files arrive in, as a stream source: one pass over what is there."""
 
+    def __init__(self, path: str, schema: StructType):
+        self.path, self.schema = path, schema
 
-def stage_chunks(df: DataFrame, ts: str, chunks: int, name: str, min_files: int | None = None) -> tuple[str, int]:
-    """Append ``df`` to a folder in ``chunks`` time-ordered writes of exactly
-    ``f`` files each, so a file stream with ``maxFilesPerTrigger=f`` sees
-    one chunk per micro-batch, in time order.
+    def passes(self) -> Iterator[str]:
+        yield self.path
 
-    ``f`` grows with the input (about 128 MB per file, at least one file per
-    core) and never exceeds the rows of the smallest chunk, so no writer
-    partition is empty.  Returns (folder, f).
+
+class Chunks(Folder):
+    """``df`` arriving in ``chunks`` time-ordered parts: each pass appends the
+    next part to the folder, so a job that is run once a pass (with one
+    checkpoint) sees a part as one micro-batch, whatever its files are.
+
+    Chunk ids are computed in one pass into a table partitioned by chunk,
+    rows of a chunk brought together and cut by bytes; a part is read back
+    from it through partition pruning.
     """
-    from riskloom.sources.tables import input_bytes
-
-    spark = df.sparkSession
-    path = scratch_dir(spark, name)
-    bounds = df.agg(F.min(ts).alias("lo"), F.max(ts).alias("hi")).first()
-    lo, hi = bounds["lo"], bounds["hi"]
-    step = (hi - lo) / chunks
-    conds = []
-    for k in range(chunks):
-        cond = F.col(ts) >= F.lit(lo + step * k)
-        if k < chunks - 1:
-            cond = cond & (F.col(ts) < F.lit(lo + step * (k + 1)))
-        conds.append(cond)
-    chunk_id = F.lit(chunks - 1)
-    for k in reversed(range(chunks - 1)):
-        chunk_id = F.when(conds[k], F.lit(k)).otherwise(chunk_id)
-    # chunk ids computed in one pass into a chunk-partitioned staging table;
-    # each chunk is then read back through partition pruning, so the input
-    # is scanned once instead of once per chunk
-    staged = scratch_dir(spark, f"{name}-staged")
-    df.withColumn("_chunk", chunk_id).write.partitionBy("_chunk").parquet(staged)
-    schema = StructType(df.schema.fields + [StructField("_chunk", IntegerType())])
-    table = spark.read.schema(schema).parquet(staged)
-    sizes = [r["n"] for r in table.groupBy("_chunk").agg(F.count(F.lit(1)).alias("n")).collect()]
-    want = max(min_files or spark.sparkContext.defaultParallelism, math.ceil(input_bytes(df) / chunks / TARGET_FILE_BYTES))
-    files = max(1, min([want] + sizes))
-    seen = 0
-    for k in range(chunks):
-        table.where(F.col("_chunk") == k).drop("_chunk").repartition(files).write.mode("append").parquet(path)
-        now = len(spark.read.parquet(path).inputFiles())
-        if now - seen not in (0, files):
-            raise RuntimeError(f"chunk {k} wrote {now - seen} files, expected {files}: micro-batches would not align")
-        seen = now
-    return path, files
-
-
-def run_available_now(query_builder, checkpoint_name: str, spark: SparkSession):
-    """Start a streaming query with the availableNow trigger and wait for it."""
-    q = query_builder(scratch_dir(spark, checkpoint_name))
-    q.awaitTermination()
-    return q
-
-
-def batch_sink(out_path: str):
-    """foreachBatch function: each micro-batch written to its own folder,
-    overwritten on replay, so a retried batch is idempotent."""
+
+    def __init__(self, df: DataFrame, ts: str, chunks: int, name: str):
+        spark = df.sparkSession
+        super().__init__(scratch_dir(spark, name), df.schema)
+        self.chunks = chunks
+        bounds = df.agg(F.min(ts).alias("lo"), F.max(ts).alias("hi")).first()
+        lo, hi = bounds["lo"], bounds["hi"]
+        chunk = F.lit(0)
+        if lo is not None:
+            step = (hi - lo) / chunks
+            chunk = F.lit(chunks - 1)
+            for k in reversed(range(chunks - 1)):
+                chunk = F.when(F.col(ts) < F.lit(lo + step * (k + 1)), F.lit(k)).otherwise(chunk)
+        staged = scratch_dir(spark, f"{name}-staged")
+        clustered(df.withColumn("_chunk", chunk), ["_chunk"]).write.partitionBy("_chunk").parquet(staged)
+        self.staged = spark.read.schema(StructType([*df.schema.fields, StructField("_chunk", IntegerType())])).parquet(staged)
+
+    def passes(self) -> Iterator[str]:
+        for k in range(self.chunks):
+            self.staged.where(F.col("_chunk") == k).drop("_chunk").write.mode("append").parquet(self.path)
+            yield self.path
+
+
+def file_stream(spark: SparkSession, source: Folder, path: str) -> DataFrame:
+    return spark.readStream.schema(source.schema).parquet(path)
+
+
+def run_passes(spark: SparkSession, source: Folder, name: str, start) -> None:
+    """``start(stream of the source, checkpoint folder)`` starts the query with
+    ``availableNow``; it is run once for each pass, resuming from its
+    checkpoint."""
+    checkpoint = scratch_dir(spark, f"{name}-ckpt")
+    for path in source.passes():
+        writer = start(file_stream(spark, source, path))
+        writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
+def batch_sink(out_path: str, change=None):
+    """foreachBatch function: each micro-batch (after ``change``) written to its
+    own folder, overwritten on replay, so a retried batch is idempotent."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite").parquet(
-            f"{out_path}/batch={batch_id}"
-        )
+        rows = batch if change is None else change(batch)
+        rows.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite").parquet(f"{out_path}/batch={batch_id}")
 
     return write
 
 
-def latest_versions(spark: SparkSession, out_path: str, keys: list[str], schema: str | None = None) -> DataFrame:
+def latest_versions(spark: SparkSession, out_path: str, keys: list[str]) -> DataFrame:
     """The last emitted row per key over all batch folders (update mode)."""
-    reader = spark.read.schema(schema + ", batch_id long") if schema else spark.read
-    rows = reader.parquet(out_path)
+    rows = spark.read.parquet(out_path)
     w = Window.partitionBy(*keys).orderBy(F.desc("batch_id"))
     return rows.withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r", "batch_id", "batch")

@@ -2,85 +2,76 @@
 
 * ``stream_buckets`` — tumbling event windows with a watermark (update mode).
 * ``stream_settled`` — per-partition object count and latest object as
-  streaming aggregation state (partial aggregation before the shuffle).
+  streaming aggregation state (partial aggregation before the shuffle), held
+  against the stored marks in every micro-batch.
 * ``stream_logscan`` — the three-phase exception scan (seek → in trace →
-  tail) per log, fed in line order across micro-batches: each batch advances
-  a versioned state table (one row per log, bounded message prefix) with
-  aggregates and size-checked joins, never a log's lines in one task.
-* ``stream_score`` — a persisted pipeline applied to a file stream.
-
-Every job writes through an idempotent per-batch sink and checkpoints in
-the shared checkpoint folder, so a restarted query resumes exactly.
+  tail) per log, fed in line order across micro-batches: each batch writes
+  the log states that changed and the message parts it found, with aggregates
+  and size-checked joins, never a log's lines in one task.
+* ``stream_score`` — whichever model was saved, applied to each micro-batch.
+
+Every job takes a source (``Folder`` or ``Chunks``), writes through an
+idempotent per-batch sink and checkpoints in the shared checkpoint folder, so
+a restarted query resumes exactly.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.session import scratch_dir
-from riskloom.streaming.common import batch_sink, latest_versions
-
-
-def _file_stream(spark: SparkSession, path: str, files_per_trigger: int) -> DataFrame:
-    schema = spark.read.parquet(path).schema
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
-
-
-def _run(stream: DataFrame, mode: str, out: str, spark: SparkSession, name: str) -> None:
-    q = (
-        stream.writeStream.outputMode(mode)
-        .foreachBatch(batch_sink(out))
-        .option("checkpointLocation", scratch_dir(spark, f"{name}-ckpt"))
-        .trigger(availableNow=True)
-        .start()
-    )
-    q.awaitTermination()
+from riskloom.streaming.common import Folder, batch_sink, latest_versions, run_passes
 
 
 # ------------------------------------------------------------------ STR4
-def stream_buckets(
-    spark: SparkSession, path: str, files_per_trigger: int, watermark: str = "1 hour", window: str = "1 hour"
-) -> DataFrame:
+def stream_buckets(spark: SparkSession, source: Folder, watermark: str = "1 hour", window: str = "1 hour") -> DataFrame:
     """Tumbling event-time windows: (slot, n_events, total_value) — final
     version per window."""
-    ev = _file_stream(spark, path, files_per_trigger)
-    agg = (
-        ev.withColumn("ts", F.col("ts").cast("timestamp"))  # event time must be a timestamp, not ntz
-        .withWatermark("ts", watermark)
-        .groupBy(F.window("ts", window).alias("w"))
-        .agg(F.count(F.lit(1)).alias("n_events"), F.sum("value").alias("total_value"))
-        .select(F.col("w.start").alias("slot"), "n_events", "total_value")
-    )
     out = scratch_dir(spark, "stream-buckets")
-    _run(agg, "update", out, spark, "stream-buckets")
+
+    def start(ev: DataFrame):
+        agg = (
+            ev.withColumn("ts", F.col("ts").cast("timestamp"))  # event time must be a timestamp, not ntz
+            .withWatermark("ts", watermark)
+            .groupBy(F.window("ts", window).alias("w"))
+            .agg(F.count(F.lit(1)).alias("n_events"), F.sum("value").alias("total_value"))
+            .select(F.col("w.start").alias("slot"), "n_events", "total_value")
+        )
+        return agg.writeStream.outputMode("update").foreachBatch(batch_sink(out))
+
+    run_passes(spark, source, "stream-buckets", start)
     return latest_versions(spark, out, ["slot"])
 
 
 # ------------------------------------------------------------------ STR2
-def stream_settled(spark: SparkSession, path: str, files_per_trigger: int) -> DataFrame:
-    """Per partition: object count and latest object (ties → greatest path),
-    kept as streaming aggregation state.
-
-    Both are algebraic, so each micro-batch is aggregated partially in its
-    scan tasks before the shuffle: a partition holding a third of the
-    objects sends one partial row per task, and the state is one row per
-    partition."""
-    inv = _file_stream(spark, path, files_per_trigger)
-    latest = F.max(F.struct(F.col("mtime").alias("t"), F.col("path").alias("p")))
-    st = (
-        inv.groupBy("partition")
-        .agg(F.count(F.lit(1)).alias("n_objects"), latest.alias("_l"))
-        .select("partition", "n_objects", F.col("_l.t").alias("latest_mtime"), F.col("_l.p").alias("latest_path"))
-    )
+def stream_settled(spark: SparkSession, source: Folder, marks: DataFrame) -> DataFrame:
+    """JOB4 on a stream: per partition the object count, the latest object
+    (ties → smallest path), the stored mark, whether it is settled and the
+    new mark; each micro-batch decides anew for the partitions it changed.
+
+    Count and latest are algebraic, so each micro-batch is aggregated
+    partially in its scan tasks before the shuffle: a partition holding a
+    third of the objects sends one partial row per task, and the state is
+    one row per partition.  ``marks`` (partition, stored_mark) is a table;
+    partitions that only it knows are reported as not settled."""
+    from riskloom.operators.lakeops import latest_aggregates, settle
+
     out = scratch_dir(spark, "stream-settled")
-    _run(st, "update", out, spark, "stream-settled")
-    return latest_versions(spark, out, ["partition"])
+
+    def start(inv: DataFrame):
+        state = inv.groupBy("partition").agg(*latest_aggregates())
+        return state.writeStream.outputMode("update").foreachBatch(batch_sink(out, lambda batch: settle(batch, marks, how="left")))
+
+    run_passes(spark, source, "stream-settled", start)
+    seen = latest_versions(spark, out, ["partition"])
+    silent = marks.join(seen, "partition", "left_anti")
+    return seen.unionByName(settle(seen.limit(0).select("partition", "n_objects", "latest_mtime", "latest_path"), silent))
 
 
 # ------------------------------------------------------------------ STR3
-MESSAGE_KEEP = 4096  # characters of message kept in state (alerts show 300)
-_SCAN_STATE = "log_id string, phase int, name string, message string, overflow boolean"
+_SCAN_STATE = "log_id string, phase int, name string"
+_SCAN_PARTS = "log_id string, exception_name string, part_no long, part string"
 
 
 def _before_all():
@@ -88,32 +79,29 @@ def _before_all():
     return F.lit(-(2**63)).cast("long")
 
 
-def scan_step(state: DataFrame, lines: DataFrame, cached: list | None = None) -> DataFrame:
-    """One micro-batch of the exception scan: (state, lines) → new state.
+def scan_step(state: DataFrame, lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """One micro-batch of the exception scan: (state, lines) → (state rows
+    that are new or changed, message parts of this batch).
 
     ``state`` holds one row per log that has passed its traceback line:
     phase 1 = looking for the ``Name: message`` line, phase 2 = appending
-    tail lines (``overflow`` once ``MESSAGE_KEEP`` characters are kept).
-    Lines of a log arrive in order across batches, so every line of this
-    batch follows the state.  Each step is an aggregate or a size-checked
-    join, as in the batch scan: a log with a third of the lines is
-    aggregated partially and never gathered into one task.  The measured
-    (persisted) one-row-per-log sides are appended to ``cached`` so the
-    caller can release them once the new state is written.
+    tail lines; a log changes its row twice at most.  Lines of a log arrive
+    in order across batches, so every line of this batch follows the state.
+    Each step is an aggregate or a size-checked join, as in the batch scan:
+    a log with a third of the lines is aggregated partially and never
+    gathered into one task.  Parts are those of ``log_exceptions``: the
+    whole message, however long.
     """
     from riskloom.functions.text import strip_spaces
     from riskloom.operators.joins import broadcast_if_small
-    from riskloom.operators.logscan import EXCEPTION_LINE, EXTRA_LINE, IGNORE_PATTERNS, TRACE_START
+    from riskloom.operators.logscan import EXCEPTION_LINE, TRACE_START, tail_filter
 
-    log, no, line = F.col("log_id"), F.col("line_no"), F.col("line")
+    no, line = F.col("line_no"), F.col("line")
     # phase 0 → 1: the first traceback line of logs not yet in the state
     t = lines.where(line.rlike(TRACE_START)).groupBy("log_id").agg(F.min("line_no").alias("_from"))
-    seek = state.where(F.col("phase") == 1).select("log_id", _before_all().alias("_from")).unionByName(
-        t.join(state.select("log_id"), "log_id", "left_anti")
-    )
-    seek = broadcast_if_small(seek)
-    if cached is not None:
-        cached.append(seek)
+    fresh = t.join(state.select("log_id"), "log_id", "left_anti").withColumn("fresh", F.lit(True))
+    waiting = state.where(F.col("phase") == 1).select("log_id", _before_all().alias("_from"), F.lit(False).alias("fresh"))
+    seek = broadcast_if_small(waiting.unionByName(fresh))
     # phase 1 → 2: the first exception line after it
     e = (
         lines.join(seek, "log_id")
@@ -121,127 +109,86 @@ def scan_step(state: DataFrame, lines: DataFrame, cached: list | None = None) ->
         .groupBy("log_id")
         .agg(F.min(F.struct(no.alias("n"), line.alias("l"))).alias("_e"))
     )
-    heads = e.select(
-        "log_id",
-        F.col("_e.n").alias("_from"),
-        strip_spaces(F.regexp_extract("_e.l", EXCEPTION_LINE, 1)).alias("name"),
-        strip_spaces(F.regexp_extract("_e.l", EXCEPTION_LINE, 2)).alias("message"),
+    heads = broadcast_if_small(
+        e.select(
+            "log_id",
+            F.col("_e.n").alias("_from"),
+            strip_spaces(F.regexp_extract("_e.l", EXCEPTION_LINE, 1)).alias("name"),
+            strip_spaces(F.regexp_extract("_e.l", EXCEPTION_LINE, 2)).alias("head"),
+        )
     )
-    # phase 2: tail lines after the exception line, at most MESSAGE_KEEP
-    # pieces per log (each adds at least one character), the limit taken
-    # per task before the shuffle
-    grow = state.where((F.col("phase") == 2) & ~F.col("overflow")).select(
-        "log_id", _before_all().alias("_from"), "name", "message"
-    ).unionByName(heads)
-    grow = broadcast_if_small(grow)
-    if cached is not None:
-        cached.append(grow)
-    keep = line.rlike(EXTRA_LINE)
-    for pat in IGNORE_PATTERNS:
-        keep = keep & ~line.rlike(pat)
-    pieces = (
-        lines.join(grow.select("log_id", "_from"), "log_id")
-        .where((no > F.col("_from")) & keep)
-        .withColumn("_r", F.row_number().over(Window.partitionBy("log_id").orderBy("line_no")))
-        .where(F.col("_r") <= MESSAGE_KEEP)
-        .groupBy("log_id")
-        .agg(F.array_sort(F.collect_list(F.struct(no.alias("n"), strip_spaces(line).alias("part")))).alias("_p"))
-    )
-    text = F.when(F.size("_p") > 0, F.concat_ws(" ", F.col("message"), F.transform("_p", lambda x: x["part"]))).otherwise(
-        F.col("message")
-    )
-    grown = grow.join(pieces, "log_id", "left").select(
-        "log_id",
-        F.lit(2).alias("phase"),
-        "name",
-        F.substring(text, 1, MESSAGE_KEEP).alias("message"),
-        F.coalesce(F.length(text) > MESSAGE_KEEP, F.lit(False)).alias("overflow"),
-    )
-    waiting = seek.join(heads.select("log_id"), "log_id", "left_anti").select(
-        "log_id", F.lit(1).alias("phase"), F.lit(None).cast("string").alias("name"),
-        F.lit(None).cast("string").alias("message"), F.lit(False).alias("overflow"),
+    # phase 2: tail lines after the exception line
+    open_ = state.where(F.col("phase") == 2).select("log_id", _before_all().alias("_from"), "name")
+    grow = broadcast_if_small(open_.unionByName(heads.select("log_id", "_from", "name")))
+    tail = lines.join(grow, "log_id").where((no > F.col("_from")) & tail_filter(line))
+    parts = heads.select("log_id", F.col("name").alias("exception_name"), F.lit(-1).cast("long").alias("part_no"), F.col("head").alias("part")).unionByName(
+        tail.select("log_id", F.col("name").alias("exception_name"), no.cast("long").alias("part_no"), strip_spaces(line).alias("part"))
     )
-    touched = seek.select("log_id").unionByName(grow.select("log_id"))
-    kept = state.join(touched, "log_id", "left_anti")
-    return kept.unionByName(waiting).unionByName(grown)
+    began = seek.where("fresh").join(heads.select("log_id"), "log_id", "left_anti").select("log_id", F.lit(1).alias("phase"), F.lit(None).cast("string").alias("name"))
+    changed = began.unionByName(heads.select("log_id", F.lit(2).alias("phase"), "name"))
+    return changed, parts
+
+
+def scan_state(spark: SparkSession, root: str, before: int | None = None) -> DataFrame:
+    """The state of every log from the changes of all batches (before one)."""
+    changes = spark.read.schema(_SCAN_STATE + ", batch_id long").parquet(f"{root}/state")
+    if before is not None:
+        changes = changes.where(F.col("batch_id") < before)
+    return changes.groupBy("log_id").agg(F.max("phase").alias("phase"), F.max("name").alias("name"))
+
 
+def begin_scan(spark: SparkSession, root: str) -> str:
+    """Write the empty version that the first batch starts from, so reading
+    the state never has to guess whether there is one: what cannot be read
+    raises."""
+    for name, schema in (("state", _SCAN_STATE), ("parts", _SCAN_PARTS)):
+        spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{root}/{name}/batch_id=-1")
+    return root
 
-def _scan_batches(state_root: str):
-    """foreachBatch function: state version b = step(latest version < b,
-    batch b), written as folder ``batch_id=b`` of the state table (a
-    replayed batch overwrites its own version from the same inputs)."""
+
+def scan_batch(root: str):
+    """foreachBatch function: the changes and parts of batch b from the state
+    before it, written as folders ``batch_id=b`` (a replayed batch overwrites
+    its own folders from the same inputs).  Parts come first: a state row is
+    there only if the parts that go with it are."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        state = _state_before(spark, state_root, batch_id)
         lines = batch.select("log_id", "line_no", "line").persist()
-        cached = [lines]
-        scan_step(state, lines, cached).write.mode("overwrite").parquet(f"{state_root}/batch_id={batch_id}")
-        for df in cached:  # nothing cached outlives its batch
-            df.unpersist()
+        changed, parts = scan_step(scan_state(spark, root, batch_id), lines)
+        parts.write.mode("overwrite").parquet(f"{root}/parts/batch_id={batch_id}")
+        changed.write.mode("overwrite").parquet(f"{root}/state/batch_id={batch_id}")
+        lines.unpersist()  # nothing cached outlives its batch
 
     return run
 
 
-def _state_before(spark: SparkSession, state_root: str, batch_id: int | None) -> DataFrame:
-    """The latest state version before ``batch_id`` (the last one if None).
-
-    Normally that is version ``batch_id - 1``, read from its own folder; the
-    listing of all versions is the fallback (first batch, final read)."""
-    if batch_id:
-        try:
-            return spark.read.schema(_SCAN_STATE).parquet(f"{state_root}/batch_id={batch_id - 1}")
-        except Exception:  # noqa: BLE001 — that version does not exist
-            pass
-    reader = spark.read.schema(_SCAN_STATE + ", batch_id long")
-    try:
-        versions = reader.parquet(state_root)
-    except Exception:  # noqa: BLE001 — no version written yet
-        return spark.createDataFrame([], _SCAN_STATE)
-    if batch_id is not None:
-        versions = versions.where(F.col("batch_id") < batch_id)
-    last = versions.agg(F.max("batch_id")).first()[0]
-    if last is None:
-        return spark.createDataFrame([], _SCAN_STATE)
-    return versions.where(F.col("batch_id") == last).drop("batch_id")
-
-
-def stream_logscan(spark: SparkSession, path: str, files_per_trigger: int) -> DataFrame:
-    """Alert rows per log (log_id, alias, message, priority, tags) from a
-    stream of (log_id, line_no, line), lines of a log arriving in order
-    across micro-batches."""
-    from riskloom.functions.text import strip_spaces
-    from riskloom.operators.logscan import default_payload
-
-    lines = _file_stream(spark, path, files_per_trigger)
-    state_root = scratch_dir(spark, "stream-logscan-state")
-    q = (
-        lines.writeStream.foreachBatch(_scan_batches(state_root))
-        .option("checkpointLocation", scratch_dir(spark, "stream-logscan-ckpt"))
-        .trigger(availableNow=True)
-        .start()
-    )
-    q.awaitTermination()
-    final = _state_before(spark, state_root, None).where(F.col("phase") == 2)
-    return final.select("log_id", *default_payload(F.col("name"), strip_spaces(F.col("message"))))
+def stream_log_parts(spark: SparkSession, source: Folder) -> DataFrame:
+    """The parts of every log's exception (as ``log_exceptions``) from a stream
+    of (log_id, line_no, line), lines of a log arriving in order across
+    micro-batches."""
+    root = begin_scan(spark, scratch_dir(spark, "stream-logscan"))
+    run_passes(spark, source, "stream-logscan", lambda lines: lines.writeStream.foreachBatch(scan_batch(root)))
+    return spark.read.schema(_SCAN_PARTS + ", batch_id long").parquet(f"{root}/parts").drop("batch_id")
+
+
+def stream_logscan(spark: SparkSession, source: Folder, **generator) -> DataFrame:
+    """Alert rows per log from the streamed parts; ``payload`` and
+    ``characters`` as in ``log_alerts``: a generator gets the whole message."""
+    from riskloom.operators.logscan import alerts
+
+    return alerts(stream_log_parts(spark, source), **generator)
 
 
 # ------------------------------------------------------------------ STR1
-def stream_score(spark: SparkSession, model_path: str, path: str, files_per_trigger: int, keep: list[str]) -> DataFrame:
-    """Continuous scoring: file stream → persisted pipeline → append sink."""
-    from riskloom.operators.models import PREDICTION_CODE, load_model
+def stream_score(spark: SparkSession, model_path: str, source: Folder, keep: list[str]) -> DataFrame:
+    """Continuous scoring: each micro-batch scored with the model under
+    ``model_path``, whichever kind it is."""
+    from riskloom.operators.models import load_model
 
     model = load_model(model_path)
-    rows = _file_stream(spark, path, files_per_trigger)
-    scored = model.transform(rows).select(*keep, PREDICTION_CODE)
     out = scratch_dir(spark, "stream-score")
-    q = (
-        scored.writeStream.outputMode("append")
-        .format("parquet")
-        .option("path", out)
-        .option("checkpointLocation", scratch_dir(spark, "stream-score-ckpt"))
-        .trigger(availableNow=True)
-        .start()
+    run_passes(
+        spark, source, "stream-score", lambda rows: rows.writeStream.outputMode("append").foreachBatch(batch_sink(out, lambda batch: model.score(batch, keep)))
     )
-    q.awaitTermination()
-    return spark.read.parquet(out)
+    return spark.read.parquet(out).drop("batch_id", "batch")

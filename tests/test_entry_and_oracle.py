@@ -7,20 +7,22 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
+from riskloom.plans.oracle import queries_sql
+from riskloom.plans.registry import REGISTRY
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
-# Queries without SQL oracle (model training, slow hash, rows-only checks).
+# Queries without SQL oracle (MLlib models, slow hash, rows-only checks).
 ROWS_ONLY = {
     "lasso_selection", "selection_summary", "train_decision_tree", "train_random_forest", "train_gbt",
-    "train_mlp", "model_selection", "save_load_score", "tokenize_slow", "stream_score", "probability_codes",
+    "train_mlp", "model_selection", "save_load_tree", "tokenize_slow", "tree_codes",
 }
 
 
 def test_registry_and_oracle_keys_agree():
-    q, s = E.queries(), E.oracle_sql()
-    assert set(s) <= set(q)
-    assert set(q) - set(s) == ROWS_ONLY
+    assert set(queries_sql()) <= set(REGISTRY) <= set(E.queries())
+    assert set(REGISTRY) - set(queries_sql()) == ROWS_ONLY
+    assert set(E.oracle_sql()) <= set(E.queries())
 
 
 def test_entry_runs(spark):
@@ -53,7 +55,7 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(queries_sql()))
 def test_query_matches_sql_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF_SMALL)
     s_rows = [tuple(r) for r in df.collect()]

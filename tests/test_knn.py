@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from riskloom.operators.knn import knn_join, knn_predict, majority_vote
+from riskloom.operators.knn import knn_join, knn_predict, knn_vote, majority_vote
 
 
 def _brute(q, r, k, exclude_self=False):
@@ -29,7 +29,7 @@ def points(spark):
     return pts, df
 
 
-@pytest.mark.parametrize("strategy", ["broadcast", "grid"])
+@pytest.mark.parametrize("strategy", ["broadcast", "cells"])
 def test_knn_matches_brute_force_with_ties(spark, points, strategy):
     pts, df = points
     q = df.where("id < 120")
@@ -43,7 +43,7 @@ def test_knn_matches_brute_force_with_ties(spark, points, strategy):
     assert got == want
 
 
-@pytest.mark.parametrize("strategy", ["broadcast", "grid"])
+@pytest.mark.parametrize("strategy", ["broadcast", "cells"])
 def test_knn_self_join_within_group(spark, points, strategy):
     pts, df = points
     kw = {} if strategy == "broadcast" else {"broadcast_max_bytes": 0, "block_rows": 64}
@@ -65,7 +65,7 @@ def test_knn_self_join_within_group(spark, points, strategy):
 
 def test_majority_vote_tie_goes_to_smaller_label(spark):
     nb = spark.createDataFrame(
-        [(1, 2), (1, 1), (2, 2), (2, 2), (2, 1), (3, 3)], "query_id long, class int"
+        [(1, 1, 2), (1, 2, 1), (2, 1, 2), (2, 2, 2), (2, 3, 1), (3, 1, 3)], "query_id long, rank int, class int"
     )
     out = {r["query_id"]: r["prediction"] for r in majority_vote(nb, "class").collect()}
     assert out == {1: 1, 2: 2, 3: 3}
@@ -89,3 +89,47 @@ def test_topk_block_exclude_self_small_blocks():
     # block containing query 1 itself: it is skipped, the other row kept
     qi, ri, di, rank = _topk_block(q_ids[:1], Q[:1], np.array([1, 11]), np.array([[0.0], [2.0]]), 5, 9, True)
     assert list(ri) == [1] and list(di) == [2.0]
+
+
+CELLS = {"broadcast_max_bytes": 0, "block_rows": 30}
+
+
+@pytest.mark.parametrize("kw", [{}, CELLS])
+def test_votes_of_all_k_equal_the_votes_of_the_neighbours(spark, points, kw):
+    pts, df = points
+    test, train = df.where("id < 120"), df.where("id >= 120")
+    got = {r["id"]: r for r in knn_vote(train, test, [1, 3, 5], ["x", "y", "z"], "id", "class", keep=["class", "x"], **kw).collect()}
+    nn = knn_join(test, train, 5, ["x", "y", "z"], "id", "id", carry="class")
+    for k in (1, 3, 5):
+        want = {r["query_id"]: r["prediction"] for r in majority_vote(nn.where(F.col("rank") <= k), "class").collect()}
+        assert {i: r[f"prediction_{k}"] for i, r in got.items()} == want
+    assert all(r["class"] == i % 2 + 1 and r["x"] == pts[i][0] for i, r in got.items())
+
+
+def test_cells_of_clustered_and_lonely_points(spark):
+    """Clusters far apart, fewer rows than k in some cells, a cell cut into blocks."""
+    rng = np.random.default_rng(4)
+    pts = {i: [float(x) for x in rng.normal(size=2) + 100 * (i % 4)] for i in range(400)} | {400: [5000.0, 5000.0], 401: [-5000.0, 0.0]}
+    df = spark.createDataFrame([(i, *v) for i, v in pts.items()], "id long, x double, y double").repartition(3)
+    rows = knn_join(df, df, 6, ["x", "y"], "id", "id", exclude_self=True, **CELLS).collect()
+    got = {}
+    for r in sorted(rows, key=lambda r: (r["query_id"], r["rank"])):
+        got.setdefault(r["query_id"], []).append(r["ref_id"])
+    assert got == _brute(pts, pts, 6, exclude_self=True)
+    few = knn_join(df.where("id < 3"), df.where("id in (0, 400)"), 6, ["x", "y"], "id", "id", **CELLS)
+    assert few.count() == 6
+
+
+@pytest.mark.parametrize("kw", [{}, CELLS])
+def test_missing_features_follow_the_policy(spark, kw):
+    df = spark.createDataFrame([(1, 1, 0.0), (2, 2, None), (3, 2, 5.0), (4, 1, float("nan"))], "id long, class int, x double")
+    with pytest.raises(ValueError, match="x"):
+        knn_predict(df, df, 1, ["x"], "id", "class", **kw)
+    with pytest.raises(ValueError, match="x"):
+        knn_join(df, df.where("id = 1"), 1, ["x"], "id", "id", **kw)
+    assert sorted(r[0] for r in knn_predict(df, df, 1, ["x"], "id", "class", nulls="skip", **kw).collect()) == [1, 3]
+
+
+def test_no_training_rows(spark):
+    df = spark.createDataFrame([(1, 1, 0.0)], "id long, class int, x double")
+    assert knn_predict(df.limit(0), df, 1, ["x"], "id", "class").count() == 0

@@ -101,3 +101,93 @@ def test_log_lines_positions_over_split_plain_and_gzip_files(spark, tmp_path):
             lines = lines[:-1]
         want = {i: l.removesuffix("\r") for i, l in enumerate(lines)}
         assert got[name] == want, name
+
+
+def test_latest_object_ties_go_to_the_first_listed(spark):
+    from riskloom.operators.lakeops import latest_objects
+
+    inv = spark.createDataFrame([("p", "b", _ts("2024-01-01")), ("p", "a", _ts("2024-01-01")), ("p", "0", _ts("2023-12-31")), ("q", "z", None)], "partition string, path string, mtime timestamp")
+    got = {r["partition"]: (r["n_objects"], r["latest_path"]) for r in latest_objects(inv).collect()}
+    assert got == {"p": (3, "a"), "q": (1, None)}
+
+
+def test_retention_excludes_below_the_root_only(spark):
+    old = _ts("2024-01-01")
+    inv = spark.createDataFrame([("/data/tmp/x/f", old), ("/data/tmp/x/tmp/f", old)], "path string, mtime timestamp")
+    got = [r["path"] for r in retention_candidates(inv, "2024-02-15 00:00:00", 30, ["tmp"], root="/data/tmp").collect()]
+    assert got == ["/data/tmp/x/f"]
+
+
+def test_consume_steps_return_and_write_the_remainder(spark, tmp_path):
+    from riskloom.operators.lakeops import consume_attributes, consume_range
+
+    items = spark.createDataFrame([("k", 1, "1", "2", "u1"), ("k", 2, "0", "3", None), ("j", 3, "5", "6", "u3"), (None, 4, "7", "8", "u4")], "pk string, seq long, min_ts string, max_ts string, u string")
+    keys = spark.createDataFrame([("k",), ("k",), ("absent",)], "pk string")
+    ranges, left = consume_range(str(tmp_path / "a"), items, keys)
+    assert [tuple(r) for r in ranges.collect()] == [("k", "0", "3")]
+    values, rest = consume_attributes(str(tmp_path / "b"), left, spark.createDataFrame([(None,)], "pk string"), ["u"])
+    assert [tuple(r) for r in values.collect()] == [(None, "u", "u4")]
+    assert [r["pk"] for r in rest.collect()] == ["j"] and left.count() == 2
+
+
+def test_line_numbers_do_not_depend_on_how_a_later_scan_is_split(spark, tmp_path):
+    from riskloom.sources.tables import log_lines
+
+    for k in range(12):
+        (tmp_path / f"f{k}.log").write_text("".join(f"{k}:{i}\n" for i in range(500)))
+    (tmp_path / "big.log").write_text("".join(f"big:{i}\n" for i in range(30_000)))
+    old = {c: spark.conf.get(c) for c in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+        lines = log_lines(spark, str(tmp_path))
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "300000")
+        rows = lines.collect()
+    finally:
+        for c, v in old.items():
+            spark.conf.set(c, v)
+    assert len(rows) == 36_000 and all(r["line"].endswith(f":{r['line_no']}") for r in rows)
+
+
+def test_csv_is_read_by_name_with_rfc_quoting(spark, tmp_path):
+    import pytest
+
+    from riskloom.sources.sinks import write_csv
+    from riskloom.sources.tables import read_csv_table
+
+    (tmp_path / "in.csv").write_text('class,note,txId\n2,"say ""hi""\nthere, you",7\n')
+    df = read_csv_table(spark, str(tmp_path / "in.csv"), "txId long, class int")
+    assert [tuple(r) for r in df.collect()] == [(7, 2)] and df.columns == ["txId", "class"]
+    texts = ['a "quoted" one', "two\nlines", "comma, and \\ backslash", "plain"]
+    source = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    back = read_csv_table(spark, write_csv(source, str(tmp_path / "out")), "text string, id long")
+    assert {r["id"]: r["text"] for r in back.collect()} == dict(enumerate(texts))
+    with pytest.raises(ValueError, match="absent"):
+        read_csv_table(spark, str(tmp_path / "in.csv"), "txId long, absent int")
+    (tmp_path / "bad.csv").write_text("a,b\nx,1\n")
+    with pytest.raises(Exception):  # noqa: B017
+        read_csv_table(spark, str(tmp_path / "bad.csv"), "a int, b int").collect()
+
+
+def test_database_guard_refuses_before_anything_is_sent(spark):
+    import pytest
+
+    from riskloom.sources.tables import jdbc_query
+
+    for text in ("DROP TABLE x", "select 1; Delete from x", "select dropped from t"):
+        with pytest.raises(ValueError, match="refused"):
+            jdbc_query(spark, "jdbc:none:", query=text)
+    with pytest.raises(ValueError, match="refused"):
+        jdbc_query(spark, "jdbc:none:", table="deleted_rows")
+    with pytest.raises(ValueError, match="table"):
+        jdbc_query(spark, "jdbc:none:", query="select 1", partition_column="id")
+
+
+def test_metrics_of_a_run_are_published_once(spark, tmp_path):
+    from riskloom.sources.sinks import append_metrics
+
+    path = str(tmp_path / "m")
+    rows = spark.createDataFrame([("knn", 0.5), ("gbt", 0.6)], "model string, accuracy double")
+    for run in ("a", "b", "a"):
+        append_metrics(rows, path, run)
+    assert spark.read.parquet(path).groupBy("run_id").count().orderBy("run_id").collect() == [("a", 2), ("b", 2)]

@@ -1,115 +1,129 @@
-from riskloom.operators.logscan import log_alerts, log_exceptions
-
-LOG_A = [
-    "INFO start",
-    "a.b.Err: dotted names do not end the trace",
-    "Traceback (most recent call last):",
-    '  File "x.py", line 1, in f',
-    "pkg.Mod.Error: dotted, skipped",
-    "KeyError:  'k'  ",
-    "    indented continuation is skipped",
-    "next line",
-    "INFO py4j.clientserver: Closing down clientserver connection",
-    "Traceback (most recent call last):",
-    "\tTabbed line skipped",
-    "ValueError: second",
-]
-LOG_B = ["INFO nothing here", "Traceback (most recent call last):", "  only frames"]
-LOG_C = ["Traceback (most recent call last):", "E: " + "x" * 290] + ["tail"] * 5
+import pytest
+from pyspark.sql import functions as F
+
+from riskloom.operators.logscan import alerts, log_alerts, log_exceptions
+
+# Sample logs and, stated by hand, the (name, message) each must give.
+LOGS = {
+    "usual": (
+        [
+            "INFO start", "a.b.Err: before the trace", "Traceback (most recent call last):", '  File "x.py", line 1, in f',
+            "KeyError:  'k'  ", "    indented, left out", "next line", "INFO py4j.clientserver: Closing down clientserver connection",
+            "Traceback (most recent call last):", "\tafter a tab, left out", "ValueError: second",
+        ],
+        ("KeyError", "'k' next line Traceback (most recent call last): ValueError: second"),
+    ),
+    "only frames": (["INFO nothing here", "Traceback (most recent call last):", "  only frames"], None),
+    "no trace": (["ValueError: without a trace", ""], None),
+    "dotted names": (["Traceback (most recent call last):", "pkg.Mod.Error: not a plain name", "Plain: taken"], ("Plain", "taken")),
+    "non-ASCII": (["Traceback (most recent call last):", "ÉchecDonnées: panne", "für Größe"], ("ÉchecDonnées", "panne für Größe")),
+    "blank lines": (["Traceback (most recent call last):", "E:", "", "  ", "first", "", "\r", "last", "", "\x0b"], ("E", "first  last")),
+    "empty message": (["Traceback (most recent call last):", "E:", ""], ("E", "")),
+    "colon in text": (["Traceback (most recent call last):", "E: a: b", "c: d"], ("E", "a: b c: d")),
+    "long": (["Traceback (most recent call last):", "E: " + "x" * 290, *["tail"] * 5], ("E", "x" * 290 + " tail tail tail tail tail")),
+}
+TRUNCATED = "x" * 290 + " tail tail" + "... truncated ..."
 
 
 def _lines(spark):
-    rows = []
-    for name, log in (("a", LOG_A), ("b", LOG_B), ("c", LOG_C)):
-        rows += [(name, i * 10, line) for i, line in enumerate(log)]
+    rows = [(name, i * 10, line) for name, (log, _) in LOGS.items() for i, line in enumerate(log)]
     return spark.createDataFrame(rows, "log_id string, line_no long, line string")
 
 
-def _reference_scan(lines):
-    """The scan written as a plain loop (test oracle)."""
-    import re
-
-    start, final, extra = re.compile(r"Traceback \(most recent call last\):"), re.compile(r"(\w+):(.*)"), re.compile(r"[^\t ].*")
-    ign = [re.compile(r".*?py4j\.clientserver.*?Closing down clientserver connection")]
-    pattern, name, message = start, None, None
-    for line in lines:
-        mt = pattern.match(line)
-        if mt is None:
-            continue
-        if pattern is start:
-            pattern = final
-        elif pattern is final:
-            name, message, pattern = mt.group(1).strip(), mt.group(2).strip(), extra
-        elif not any(i.match(line) for i in ign):
-            message += " " + mt.group(0).strip()
-    return (name, message.strip()) if name is not None else None
-
-
-def test_log_exceptions_match_loop(spark):
-    parts = log_exceptions(_lines(spark)).collect()
+def test_messages_are_the_parts_in_order(spark):
     got = {}
-    for r in sorted(parts, key=lambda r: (r["log_id"], r["part_no"])):
-        name, msg = got.get(r["log_id"], (r["exception_name"], None))
-        got[r["log_id"]] = (name, r["part"] if msg is None else msg + " " + r["part"])
-    got = {k: (n, m.strip()) for k, (n, m) in got.items()}
-    for name, log in (("a", LOG_A), ("b", LOG_B), ("c", LOG_C)):
-        assert got.get(name) == _reference_scan(log)
+    for r in sorted(log_exceptions(_lines(spark)).collect(), key=lambda r: (r["log_id"], r["part_no"])):
+        name, message = got.get(r["log_id"], (r["exception_name"], None))
+        got[r["log_id"]] = (name, r["part"] if message is None else message + " " + r["part"])
+    assert {k: (n, m.strip()) for k, (n, m) in got.items()} == {k: want for k, (_, want) in LOGS.items() if want}
 
 
-def test_log_alerts_truncate(spark):
-    alerts = {r["log_id"]: r for r in log_alerts(_lines(spark)).collect()}
-    assert set(alerts) == {"a", "c"}
-    assert alerts["a"]["alias"] == "KeyError"
-    assert alerts["a"]["message"] == "'k' next line Traceback (most recent call last): ValueError: second"
-    msg = "x" * 290 + " tail tail tail tail tail"
-    assert alerts["c"]["message"] == msg[:300] + "... truncated ..."
-    assert alerts["c"]["priority"] == "P3" and alerts["c"]["tags"] == ["airflow.data"]
+def test_default_alerts(spark):
+    got = {r["log_id"]: r for r in log_alerts(_lines(spark)).collect()}
+    want = {k: w for k, (_, w) in LOGS.items() if w}
+    assert set(got) == set(want)
+    for k, (name, message) in want.items():
+        assert (got[k]["alias"], got[k]["message"]) == (name, TRUNCATED if k == "long" else message)
+        assert got[k]["priority"] == "P3" and got[k]["tags"] == ["airflow.data"]
 
 
-def test_custom_payload_generator(spark):
-    from pyspark.sql import functions as F
+def test_a_prefix_of_the_parts_is_a_prefix_of_the_message(spark):
+    """Blank parts up to the cut must not be taken for the end of the message."""
+    rows = [("a", 0, "Traceback (most recent call last):"), ("a", 1, "E: x"), *[("a", 2 + i, "\r") for i in range(400)], ("a", 500, "y")]
+    (r,) = log_alerts(spark.createDataFrame(rows, "log_id string, line_no long, line string")).collect()
+    assert r["message"] == "x" + " " * 299 + "... truncated ..."
 
-    def payload(name, message):
-        return [F.upper(name).alias("title"), F.length(message).alias("size")]
 
-    rows = {r["log_id"]: r for r in log_alerts(_lines(spark), payload=payload).collect()}
-    assert rows["a"]["title"] == "KEYERROR" and rows["a"]["size"] == len(_reference_scan(LOG_A)[1])
+def _whole(name, message):
+    return [F.upper(name).alias("title"), message.alias("text")]
 
 
-def _stream_steps(spark, lines, cuts):
-    """Feed ``lines`` to ``scan_step`` in line-order batches split at ``cuts``."""
-    from pyspark.sql import functions as F
+def test_a_generator_gets_the_whole_message(spark):
+    rows = [("big", 0, "Traceback (most recent call last):"), ("big", 1, "E: head"), *[("big", 2 + i, f"piece {i}") for i in range(1000)]]
+    lines = spark.createDataFrame(rows, "log_id string, line_no long, line string").repartition(5)
+    (r,) = log_alerts(lines, payload=_whole).collect()
+    assert r["title"] == "E" and r["text"] == "head " + " ".join(f"piece {i}" for i in range(1000))
+    (r,) = log_alerts(lines, payload=_whole, characters=20).collect()
+    assert r["text"].startswith("head piece 0 piece 1 piece 2")
 
-    from riskloom.streaming.jobs import _SCAN_STATE, scan_step
 
-    state = spark.createDataFrame([], _SCAN_STATE)
+def _stream_steps(spark, root, lines, cuts):
+    """Feed ``lines`` to the stream's batches in line order, split at ``cuts``."""
+    from riskloom.streaming.jobs import begin_scan, scan_batch
+
+    run = scan_batch(begin_scan(spark, root))
     bounds = [None, *cuts, None]
-    for lo, hi in zip(bounds, bounds[1:]):
+    for b, (lo, hi) in enumerate(zip(bounds, bounds[1:])):
         cond = F.lit(True)
         if lo is not None:
             cond &= F.col("line_no") >= lo
         if hi is not None:
             cond &= F.col("line_no") < hi
-        state = spark.createDataFrame(scan_step(state, lines.where(cond)).collect(), _SCAN_STATE)
-    return state
-
-
-def test_stream_scan_steps_equal_batch_scan(spark):
-    from pyspark.sql import functions as F
-
-    from riskloom.functions.text import strip_spaces
-    from riskloom.operators.logscan import default_payload
-
-    hot_tail = ["Traceback (most recent call last):", "Big: head"] + [f"tail piece {i}" for i in range(3000)]
-    rows = [("hot", i, line) for i, line in enumerate(hot_tail)]
-    lines = _lines(spark).unionByName(spark.createDataFrame(rows, "log_id string, line_no long, line string"))
-    want = sorted(tuple(r) for r in log_alerts(lines).collect())
-    # cuts split a log between its traceback and exception lines (a: 20|30..50)
-    # and the hot log's tail across batches
-    for cuts in ([], [25, 55, 1000], [15, 35, 45, 65, 2000, 2500]):
-        state = _stream_steps(spark, lines, cuts)
-        assert state.where("phase = 1").select("log_id").collect() == [("b",)]
-        hot = state.where("log_id = 'hot'").first()
-        assert hot["overflow"] and len(hot["message"]) == 4096
-        got = state.where("phase = 2").select("log_id", *default_payload(F.col("name"), strip_spaces(F.col("message"))))
-        assert sorted(tuple(r) for r in got.collect()) == want
+        run(lines.where(cond), b)
+        run(lines.where(cond), b)  # a replayed batch changes nothing
+
+
+def test_stream_batches_equal_the_batch_scan(spark, tmp_path):
+    from riskloom.streaming.jobs import scan_state
+
+    hot = ["Traceback (most recent call last):", "Big: head"] + [f"tail piece {i}" for i in range(3000)]
+    lines = _lines(spark).unionByName(spark.createDataFrame([("hot", i, x) for i, x in enumerate(hot)], "log_id string, line_no long, line string"))
+    want = sorted(map(tuple, log_exceptions(lines).collect()))
+    # cuts split a log between its traceback and exception lines and the hot log's tail
+    for k, cuts in enumerate(([], [25, 55, 1000], [15, 35, 45, 65, 2000, 2500])):
+        root = str(tmp_path / f"s{k}")
+        _stream_steps(spark, root, lines, cuts)
+        parts = spark.read.parquet(f"{root}/parts").drop("batch_id")
+        assert sorted(map(tuple, parts.collect())) == want
+        assert [r[0] for r in scan_state(spark, root).where("phase = 1").collect()] == ["only frames"]
+        (r,) = alerts(parts.where("log_id = 'hot'"), payload=_whole).collect()
+        assert r["text"] == "head " + " ".join(f"tail piece {i}" for i in range(3000))
+
+
+def test_an_unreadable_state_version_raises(spark, tmp_path):
+    from riskloom.streaming.jobs import begin_scan, scan_batch
+
+    root = begin_scan(spark, str(tmp_path / "s"))
+    run = scan_batch(root)
+    run(_lines(spark), 0)
+    for f in (tmp_path / "s" / "state" / "batch_id=0").glob("*.parquet"):
+        f.write_bytes(b"not parquet")
+    for f in (tmp_path / "s" / "state" / "batch_id=0").glob(".*.crc"):
+        f.write_bytes(b"")
+    with pytest.raises(Exception):  # noqa: B017 - whatever the reader raises, not a fresh start
+        run(_lines(spark), 1)
+
+
+def test_sparse_chunks_are_micro_batches_of_their_own(spark):
+    """A chunk of one row must not shape the files of the others."""
+    import datetime as dt
+
+    from riskloom.streaming.common import Chunks
+
+    day = dt.datetime(2024, 1, 1)
+    rows = [(day + dt.timedelta(seconds=i % 3600), i) for i in range(20_000)] + [(day + dt.timedelta(hours=9), -1), (day + dt.timedelta(hours=30), -2)]
+    source = Chunks(spark.createDataFrame(rows, "ts timestamp, i long").repartition(4), "ts", 3, "sparse")
+    seen = [spark.read.parquet(p).count() for p in source.passes()]
+    assert seen == [20_001, 20_001, 20_002]
+    none = Chunks(spark.createDataFrame([], "ts timestamp, i long"), "ts", 3, "none")
+    assert [spark.read.schema(none.schema).parquet(p).count() for p in none.passes()] == [0, 0, 0]

@@ -14,10 +14,10 @@ def test_save_load_identical_predictions(spark, tmp_path):
     train = T.oversampled_train(p)
     model, metric = T.train_model(p, train, "decision_tree", FEATURES)
     assert metric.count() == 1
-    path = save_model(model, str(tmp_path / "m"))
+    path = save_model(model, str(tmp_path / "m"), "decision_tree", FEATURES)
     rows = filter_classes(tx, (3,))
     a = score(model, rows, keep=[KEY])
-    b = score(load_model(path), rows, keep=[KEY])
+    b = load_model(path).score(rows, keep=[KEY])
     assert a.exceptAll(b).count() == 0 and a.count() == rows.count()
     assert set(r[0] for r in a.select("fraud_prediction").distinct().collect()) <= {1, 2}
 
@@ -50,7 +50,7 @@ def test_tokenize_layout_and_rules(spark):
     r = out.first()
     assert r["name"] == hashlib.sha256(b"sAnn").hexdigest()  # newline stripped before hashing
     assert r["aws_enc_ctx"] == "wk:kid"
-    with pytest.raises(ValueError, match="slow hashing"):
+    with pytest.raises(ValueError, match="cardnum"):
         tokenize(df, ["name"], "s", key, ("wk", "kid"), slow_fields=["cardnum"])
 
 
@@ -63,18 +63,37 @@ def test_lake_count_guard(spark):
     assert lake_count_value(spark, "SELECT count(*) FROM no_such_table_xyz") == -1
 
 
-def test_knn_artifact_roundtrip(spark, tmp_path):
+def test_one_artefact_for_whichever_model_won(spark, tmp_path):
     from riskloom.fixtures import FEATURES, KEY, LABEL
     from riskloom.operators.knn import knn_predict
-    from riskloom.operators.models import load_knn_and_score, save_knn
+    from riskloom.operators.models import load_and_score, load_model, save_knn, save_model
     from riskloom.operators.prepare import filter_classes
     from riskloom.plans import training as T
 
     p, tx = T.prepare(spark, SF_SMALL)
     train = T.oversampled_train(p)
-    path = save_knn(str(tmp_path / "knn"), p.scaler, train, FEATURES, 5)
+    path, subset = str(tmp_path / "model"), FEATURES[:2]
+    tree, _ = T.train_model(p, train, "decision_tree", subset, maxDepth=3)
+    save_model(tree, path, "decision_tree", subset)
     rows = filter_classes(tx, (3,))
-    got = load_knn_and_score(path, rows).select(KEY, "fraud_prediction")
-    want = knn_predict(train, p.scaler.transform(rows.select(KEY, *FEATURES)), 5, FEATURES, KEY, LABEL)
-    assert got.exceptAll(want.withColumnRenamed("prediction", "fraud_prediction")).count() == 0
-    assert got.count() == rows.count()
+    assert load_model(path).kind == "decision_tree" and load_model(path).features == subset
+    few = rows.select(KEY, *subset)  # the columns the model needs and no more
+    assert load_and_score(path, few).count() == rows.count()
+    with pytest.raises(ValueError, match=subset[1]):
+        load_and_score(path, rows.drop(subset[1]))
+    save_knn(path, p.scaler, train, subset, 5)  # another kind replaces it whole
+    assert load_model(path).kind == "knn"
+    got = load_and_score(path, few)
+    want = knn_predict(train, p.scaler.restricted(subset).transform(few), 5, subset, KEY, LABEL)
+    assert got.columns == [KEY, *subset, "fraud_prediction"]
+    assert got.select(KEY, "fraud_prediction").exceptAll(want.withColumnRenamed("prediction", "fraud_prediction")).count() == 0
+    assert got.count() == rows.count() and got.select(KEY, *subset).exceptAll(few).count() == 0
+
+
+def test_unknown_parameters_raise():
+    from riskloom.operators.models import make_classifier
+
+    with pytest.raises(ValueError, match="depth"):
+        make_classifier("gbt", 3, depth=4)
+    with pytest.raises(ValueError, match="unknown model"):
+        make_classifier("svm", 3)

@@ -25,6 +25,37 @@ def test_knn_has_no_pair_join(spark):
         assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan, name
 
 
+def test_one_pass_votes_for_every_k_without_a_shuffle(spark):
+    from riskloom.plans.registry import REGISTRY
+
+    plan = _plan(REGISTRY["knn_accuracy"](spark, SF_SMALL))
+    final = plan.split("== Initial Plan ==")[0]
+    assert final.count("MapInPandas") == 1
+    assert "hashpartitioning" not in final.split("MapInPandas")[0]  # only the single-row aggregate above it
+
+
+def test_partitioned_writes_cluster_by_bytes(spark, tmp_path):
+    from riskloom.sources.sinks import clustered, overwrite_partitions
+
+    df = spark.range(0, 4000, 1, 40).selectExpr("id", "id % 4 as day")
+    plan = _plan(clustered(df, ["day"]))
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan
+    overwrite_partitions(df, str(tmp_path / "t"), ["day"])
+    assert len(list((tmp_path / "t").glob("day=*/*.parquet"))) <= 8  # not 40 tasks x 4 days
+
+
+def test_key_and_salt_stay_out_of_the_plan(spark):
+    from riskloom.operators.tokenize import tokenize
+
+    df = spark.createDataFrame([("Ann",)], "name string")
+    key, salt = "0123456789abcdef" * 2, "some-salt-text"
+    t = tokenize(df, ["name"], salt, key, ("wk", "kid"))
+    t.collect()
+    for mode in ("extended", "formatted"):
+        text = t._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString(mode))
+        assert key not in text and salt not in text and key.upper() not in text
+
+
 def test_alert_tail_limit_is_taken_before_the_shuffle(spark):
     plan = _plan(E.queries()["log_alerts"](spark, SF_SMALL))
     limits = [l for l in plan.split("\n") if "WindowGroupLimit" in l]

@@ -58,7 +58,7 @@ def test_labelled_transactions_same_on_both_label_paths(spark):
 
     sf = "/root/testdata/sf0.001"
     small = transactions(spark, sf, labelled_only=True)  # broadcast semi-join before the text work
-    large = transactions(spark, sf, labelled_only=True, broadcast_rows=0)  # features first, then the join
+    large = transactions(spark, sf, labelled_only=True, broadcast_bytes=0)  # features first, then the join
     assert "BroadcastHashJoin LeftSemi" not in large._jdf.queryExecution().executedPlan().toString()
     every = transactions(spark, sf).where("class in (1, 2)")
     assert small.count() == large.count() == every.count() > 0
@@ -71,3 +71,59 @@ def test_dense_index_with_known_group_counts(spark):
     a = dense_index(df, "k", group_col="g", group_counts=counts)
     b = dense_index(df, "k", group_col="g")
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_missing_value_policy(spark):
+    import pytest
+
+    from riskloom.operators.lasso import gram_blocks, gram_by_fold
+    from riskloom.operators.prepare import checked_features
+    from riskloom.operators.smote import smote
+
+    df = spark.createDataFrame([(i, 1 + (i > 9), float(i) if i % 3 else None) for i in range(30)], "tx_id long, class int, a double")
+    for run in (
+        lambda: PopulationScaler(inputCols=["a"]).fit(df), lambda: gram_by_fold(df, ["a"], "class", "tx_id"),
+        lambda: gram_blocks(df, ["a"], "class", "tx_id"), lambda: smote(df, ["a"]), lambda: checked_features(df, ["a"]),
+    ):
+        with pytest.raises(ValueError, match="a"):
+            run()
+    assert checked_features(df, ["a"], "skip").count() == 20 and checked_features(df, ["a"], "keep").count() == 30
+    assert gram_by_fold(df, ["a"], "class", "tx_id", nulls="skip").agg(F.sum("n")).first()[0] == 20
+    skipped = PopulationScaler(inputCols=["a"], nulls="skip").fit(df).getOrDefault("means")
+    assert skipped == PopulationScaler(inputCols=["a"], nulls="keep").fit(df).getOrDefault("means")
+
+
+def test_restricted_scaler_needs_only_its_columns(spark):
+    df = spark.createDataFrame([(1.0, 5.0), (3.0, 9.0)], "a double, b double")
+    m = PopulationScaler(inputCols=["a", "b"]).fit(df).restricted(["b"])
+    assert [r["b"] for r in m.transform(df.select("b")).collect()] == [-1.0, 1.0]
+
+
+def test_broadcast_sides_are_bounded_in_bytes(spark):
+    from riskloom.operators.joins import broadcast_if_small, fits
+
+    narrow = spark.range(1000)
+    assert fits(narrow, 1000 * 40) and not fits(narrow, 1000 * 40 - 41)
+    wide = spark.range(10).selectExpr("id", "repeat('x', 10000) as text", "array(id, id) as a")
+    assert not fits(wide, 90_000) and fits(wide, 110_000)
+    plan = lambda side: spark.range(5).join(side, "id")._jdf.queryExecution().optimizedPlan().toString()
+    assert "broadcast" in plan(broadcast_if_small(wide)) and "broadcast" not in plan(broadcast_if_small(wide, 1000))
+
+
+def test_a_cluster_session_must_name_a_shared_folder():
+    import pytest
+
+    from riskloom.session import SharedFolderMissing, ensure_checkpoint_dir
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(SharedFolderMissing, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Session())
