@@ -28,6 +28,9 @@ def _pair(a: str, b: str) -> str:
     return f"s_{a}__{b}"
 
 
+#: A smaller coefficient is zero but for rounding (the first penalty is the one at which all vanish).
+ZERO = 1e-9
+
 WIDE_FEATURES = 50  # above this, statistics are summed as numpy blocks
 
 
@@ -250,7 +253,7 @@ def lasso_select(
         G, c, _, _ = _centered(total)
         coef = _cd(G, c, alpha, _path(G, c, np.array([alpha]))[0], tol=1e-12).tolist()
         out = spark.createDataFrame(
-            [(f, float(w), bool(abs(w) > 0)) for f, w in zip(fcols, coef)],
+            [(f, float(w), bool(abs(w) > ZERO)) for f, w in zip(fcols, coef)],
             "feature string, coefficient double, selected boolean",
         )
         return alpha, out
@@ -267,7 +270,7 @@ def lasso_select(
     )
     coef = lr.fit(vec).coefficients.toArray().tolist()
     out = spark.createDataFrame(
-        [(f, float(w), bool(abs(w) > 0)) for f, w in zip(fcols, coef)],
+        [(f, float(w), bool(abs(w) > ZERO)) for f, w in zip(fcols, coef)],
         "feature string, coefficient double, selected boolean",
     )
     return alpha, out
