@@ -1,10 +1,9 @@
 """Exact dense row index (0..n-1 in key order) without a one-task window.
 
 A plain ``row_number() over (order by key)`` moves every row into a single
-partition.  Instead the key range is cut into value buckets at approximate
-quantiles, each bucket is numbered by its own window, and the exact offset of
-each bucket (a count per bucket, collected as a table of at most a few
-thousand numbers) is added.  The index is exact whatever the quantile error.
+partition.  Instead the rows are range-partitioned by key into a written
+table, each range is numbered by its own window, and the exact offset of
+each range (running sums over one row a range and group) is joined to it.
 """
 
 from __future__ import annotations
@@ -14,6 +13,9 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskloom.operators.joins import broadcast_if_small
+from riskloom.session import materialize
+
 
 def dense_index(
     df: DataFrame,
@@ -27,44 +29,22 @@ def dense_index(
     """Add ``out`` = 0-based rank of the (unique) ``order_col`` within ``group_col``.
 
     ``n_rows`` is the row count of ``df`` when the caller already has it
-    (it only sizes the buckets); ``group_counts`` ({group: rows}) are the
-    exact per-group counts, which are the bucket counts when one bucket
-    suffices.  Otherwise the offsets are counted exactly here."""
+    (it only sizes the ranges), ``group_counts`` ({group: rows}) the counts by
+    group."""
     if group_counts is not None and n_rows is None:
         n_rows = sum(group_counts.values())
     n = df.count() if n_rows is None else n_rows
     n_buckets = max(1, math.ceil(n / rows_per_bucket))
-    if n_buckets > 1:
-        probs = [i / n_buckets for i in range(1, n_buckets)]
-        bounds = sorted(set(df.approxQuantile(order_col, probs, 1.0 / (4 * n_buckets))))
-        arr = F.array(*[F.lit(b) for b in bounds])
-        bucket = F.size(F.filter(arr, lambda b: b < F.col(order_col)))
-    else:
-        bucket = F.lit(0)
-    keyed = df.withColumn("_bucket", bucket.cast("int"))
-    gcols = ([group_col] if group_col else []) + ["_bucket"]
-    if n_buckets == 1 and group_counts is not None:
-        counts = [{group_col: g, "_bucket": 0, "count": c} for g, c in group_counts.items()]
-    else:
-        counts = keyed.groupBy(*gcols).count().collect()
-    # exact offsets per (group, bucket), in bucket order within each group
-    offsets: dict[tuple, int] = {}
-    by_group: dict = {}
-    for r in counts:
-        g = r[group_col] if group_col else None
-        by_group.setdefault(g, []).append((r["_bucket"], r["count"]))
-    for g, items in by_group.items():
-        acc = 0
-        for b, c in sorted(items):
-            offsets[(g, b)] = acc
-            acc += c
-    if len(offsets) == 1:
-        off = F.lit(next(iter(offsets.values())))
-    else:
-        kv = []
-        for (g, b), o in offsets.items():
-            kv += [F.lit(f"{g}|{b}"), F.lit(o)]
-        key = F.concat_ws("|", F.col(group_col).cast("string") if group_col else F.lit("None"), F.col("_bucket").cast("string"))
-        off = F.element_at(F.create_map(*kv), key)
-    w = Window.partitionBy(*gcols).orderBy(order_col)
-    return keyed.withColumn(out, (off + F.row_number().over(w) - 1).cast("long")).drop("_bucket")
+    groups = [group_col] if group_col else []
+    if n_buckets == 1:
+        number = F.row_number().over(Window.partitionBy(*groups).orderBy(order_col))
+        return df.withColumn(out, (number - 1).cast("long"))
+    # written, so that a row's range stays what it was counted as
+    ranged = materialize(df.repartitionByRange(n_buckets, order_col).withColumn("_range", F.spark_partition_id()), "ranges")
+    keys = [*groups, "_range"]
+    earlier = Window.partitionBy(*groups).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = ranged.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    offsets = sizes.select(*keys, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"))
+    number = F.row_number().over(Window.partitionBy(*keys).orderBy(order_col))
+    placed = ranged.join(broadcast_if_small(offsets), keys)
+    return placed.withColumn(out, (F.col("_offset") + number - 1).cast("long")).select(*df.columns, out)

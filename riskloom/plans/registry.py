@@ -744,15 +744,13 @@ def q_file_inventory(spark, sf_dir):
 
 @register("catalog_table")
 def q_catalog_table(spark, sf_dir):
-    """SRC10: save as a catalog table (data in the shared folder), read it
-    back by name."""
-    import uuid
-
+    """SRC10: save as a catalog table (data in the shared folder; a later run
+    replaces it), read it back by name."""
     from riskloom.session import scratch_dir
     from riskloom.sources.tables import catalog_table, read_table
 
-    name = f"riskloom_events_{uuid.uuid4().hex[:8]}"
-    read_table(spark, sf_dir, "events").write.option("path", scratch_dir(spark, "catalog")).saveAsTable(name)
+    name = "riskloom_events"
+    read_table(spark, sf_dir, "events").write.mode("overwrite").option("path", scratch_dir(spark, "catalog")).saveAsTable(name)
     t = catalog_table(spark, name)
     return t.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 6).alias("total_value"))
 

@@ -190,34 +190,16 @@ def columns_in_order(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.select([F.col(f"`{c}`") for c in cols])
 
 
-SMALL_INPUT_BYTES = 1 << 30
-
-
-def input_bytes(df: DataFrame) -> int:
-    """Total size of the files behind ``df`` (listing only, no contents read)."""
-    files = df.inputFiles()
-    if not files:
-        return 0
-    if len(files) > 10_000:  # clearly not small: skip the size listing
-        return 1 << 62
-    spark = df.sparkSession
-    listing = spark.read.format("binaryFile").load(files).select("length")
-    return int(listing.agg(F.sum("length")).first()[0] or 0)
-
-
-def spread_small_input(df: DataFrame, max_bytes: int = SMALL_INPUT_BYTES) -> DataFrame:
+def spread_small_input(df: DataFrame) -> DataFrame:
     """Spread a small input over all cores before CPU-heavy per-row work.
 
-    A small file may hold a single row group, i.e. one scan task.  Below
-    ``max_bytes`` (measured from the file listing) a round-robin repartition
-    costs little and lets every core work; above it the scan's own splits
-    are kept and nothing is shuffled.
+    A small file may hold a single row group, i.e. one scan task.  A scan
+    with fewer splits than cores is smaller than that many split sizes: a
+    round-robin repartition then costs little and lets every core work.
+    Otherwise the scan's own splits are kept and nothing is shuffled.
     """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    if cores > 1 and input_bytes(df) <= max_bytes:
-        return df.repartition(cores)
-    return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def global_line_numbers(lines: DataFrame, log: str = "log_id", path: str = "log_path", pos: str = "line_no") -> DataFrame:
