@@ -38,8 +38,9 @@ COLUMNS = (
 _SCHEMA = pa.schema(
     [("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()), ("fingerprint", pa.string()), ("edited_fingerprint", pa.string())]
     + [(c, pa.float64()) for c in ("near_edited", "near_next", "contained_edited", "contained_next")]
-    + [("part", pa.int32()), ("edge", pa.string()), ("edge_text", pa.string())]
 )
+#: Ranges of ids for each shuffle partition: several, so that hashing them evens out.
+RANGES = 4
 
 
 def sketch(hashes: np.ndarray, scale: int = SCALE) -> np.ndarray:
@@ -80,68 +81,66 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - half] + following[:half]
 
 
-def _compare(keys: list, bodies: list[str], followings: list[str], scale: int, sketches: list[np.ndarray]) -> list[list]:
-    """The columns of documents whose next texts are at hand; ``sketches`` has those of ``bodies``
-    and then of ``followings``."""
+def _compare(keys: list, bodies: list[str], followings: list[str], scale: int, sketches: list[np.ndarray]) -> pa.RecordBatch:
+    """The rows of documents whose next texts are at hand; ``sketches`` has those of ``bodies`` and
+    then of ``followings``."""
     edits = [edited(t, f) for t, f in zip(bodies, followings, strict=True)]
     changed = [sketch(s, scale) for s in shingle_sets(pa.array(edits, pa.large_string()), WORDS, True)]
     own, nexts = sketches[: len(bodies)], sketches[len(bodies) :]
     near = [likeness(a, b) for a, b in zip(own, changed, strict=True)]
     far = [likeness(a, b) for a, b in zip(own, nexts, strict=True)]
-    return [
+    columns = [
         keys, [len(t) for t in bodies], [hashlib.sha256(t.encode()).hexdigest() for t in edits], [as_string(s) for s in own], [as_string(s) for s in changed],
         [x[0] for x in near], [x[0] for x in far], [x[1] for x in near], [x[1] for x in far],
     ]
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _SCHEMA, strict=True)], schema=_SCHEMA)
 
 
-def _rows(columns: list[list], extra: list[list]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip([*columns, *extra], _SCHEMA, strict=True)], schema=_SCHEMA)
+def _range_of(bounds: list[float]):
+    """The range of an id, counted down from the greatest ids; ids that are null come last."""
+    edges = np.array(sorted(set(bounds)))
+
+    @F.arrow_udf("int")
+    def place(ids: pa.Array) -> pa.Array:
+        at = len(edges) - np.searchsorted(edges, ids.fill_null(0).to_numpy(zero_copy_only=False).astype(float))
+        return pa.array(np.where(ids.is_null().to_numpy(zero_copy_only=False), len(edges) + 1, at).astype("int32"))
+
+    return place
 
 
 def fingerprints(docs: DataFrame, scale: int = SCALE, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row a document: COLUMNS.
 
-    The texts are range-partitioned by id and sorted once; a row's next text is the next row's, and
-    only the first and last row of each partition wait for a second, small join of neighbours."""
-    docs = texts(docs, id_col, text_col)
+    Ids are cut into ranges at approximate quantiles; each range lies in one task, sorted, where a
+    row's next text is the next row's.  A range's last row needs the first text of the range after
+    it: those few texts (one a range) are read beforehand and join their range as a border row.  So
+    texts are shuffled once and nothing is written in between."""
+    docs = texts(docs, id_col, text_col).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = RANGES * partitions
+    place = _range_of(docs.approxQuantile("doc_id", [i / n for i in range(1, n)], 1 / (4 * n)))
+    firsts = docs.select("doc_id", place("doc_id").alias("range")).groupBy("range").agg(F.max("doc_id").alias("first"))
+    firsts = materialize(firsts, "firsts")
+    texts_of = docs.join(F.broadcast(firsts), docs["doc_id"].eqNullSafe(firsts["first"])).groupBy("range").agg(F.min("text").alias("text"))
+    following = F.lead("text").over(Window.orderBy("range"))  # a row a range
+    lowest = F.min_by("text", "range").over(Window.partitionBy())
+    borders = texts_of.select("range", F.lit(None).cast("long").alias("doc_id"), F.coalesce(following, lowest).alias("text"), F.lit(True).alias("border"))
+    borders = materialize(borders, "borders")
 
     def walk(batches):
-        from pyspark import TaskContext
-
-        part, last = TaskContext.get().partitionId(), None
+        last = None  # (id, text, whether it is a border) of the row before
         for batch in batches:
             for chunk in text_chunks(batch):
-                keys, bodies = chunk.column("doc_id").to_pylist(), [t or "" for t in chunk.column("text").to_pylist()]
-                if last is None:  # the partition's first text, for the last row of the partition before
-                    yield _rows([[None]] * 9, [[part], ["first"], [bodies[0]]])
-                else:
-                    keys, bodies = [last[0], *keys], [last[1], *bodies]
-                last = keys[-1], bodies[-1]
-                if len(keys) > 1:
-                    own = [sketch(s, scale) for s in shingle_sets(pa.array(bodies, pa.large_string()), WORDS, True)]
-                    n = len(keys) - 1
-                    yield _rows(_compare(keys[:-1], bodies[:-1], bodies[1:], scale, own[:-1] + own[1:]), [[part] * n, [None] * n, [None] * n])
-        if last is not None:
-            yield _rows([[last[0]], *[[None]] * 8], [[part], ["last"], [last[1]]])
-
-    def finish(batches):
-        for batch in batches:
-            for chunk in text_chunks(batch):
-                keys = chunk.column("doc_id").to_pylist()
-                bodies, followings = chunk.column("text").to_pylist(), chunk.column("following").to_pylist()
-                own = [sketch(s, scale) for s in shingle_sets(pa.array(bodies + followings, pa.large_string()), WORDS, True)]
-                done = _rows(_compare(keys, bodies, followings, scale, own), [[0] * len(keys), [None] * len(keys), [None] * len(keys)])
-                yield done.select(_SCHEMA.names[:9])
-
+                rows = list(zip(*(chunk.column(c).to_pylist() for c in ("doc_id", "text", "border")), strict=True))
+                if last is not None:
+                    rows.insert(0, last)
+                last = rows[-1]
+                own = [sketch(s, scale) for s in shingle_sets(pa.array([r[1] for r in rows], pa.large_string()), WORDS, True)]
+                use = [i for i, r in enumerate(rows[:-1]) if not r[2]]
+                if use:
+                    yield _compare([rows[i][0] for i in use], [rows[i][1] for i in use], [rows[i + 1][1] for i in use], scale, [own[i] for i in use] + [own[i + 1] for i in use])
+
+    ranged = docs.select(place("doc_id").alias("range"), "doc_id", "text", F.lit(False).alias("border")).unionByName(borders)
     # Ids in descending order; sorting by text makes the order of repeated ids definite.
-    ordered = docs.repartitionByRange(F.desc_nulls_last("doc_id")).sortWithinPartitions(F.desc_nulls_last("doc_id"), "text")
-    walked = materialize(ordered.mapInArrow(walk, COLUMNS + ", part int, edge string, edge_text string"), "fingerprints")
-    # Two rows for each partition: number the partitions that have rows, join each to the next.
-    number = F.dense_rank().over(Window.orderBy("part")).alias("n")
-    edges = walked.filter("edge is not null").select("doc_id", "edge", "edge_text", number)
-    lasts = edges.filter("edge = 'last'").select("doc_id", F.col("edge_text").alias("text"), "n")
-    firsts = edges.filter("edge = 'first'").select(F.col("n").alias("m"), F.col("edge_text").alias("following"))
-    count = edges.agg(F.coalesce(F.max("n"), F.lit(1))).first()[0]
-    pairs = lasts.join(firsts, F.col("m") == F.col("n") % count + 1).select("doc_id", "text", "following")
-    inner = walked.filter("edge is null").select(*_SCHEMA.names[:9])
-    return inner.unionByName(pairs.mapInArrow(finish, COLUMNS))
+    ordered = ranged.repartition(partitions, "range").sortWithinPartitions("range", "border", F.desc_nulls_last("doc_id"), "text")
+    return ordered.mapInArrow(walk, COLUMNS)
