@@ -14,6 +14,8 @@ def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
     hung on the smallest node of its neighbourhood until every tree is a star.  A node's neighbours are
     reduced by ``min`` before they move, never gathered; rounds are written tables."""
     edges = materialize(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct(), "links")
+    if edges.isEmpty():
+        return edges.toDF("node", "component")
     size = None
     for _ in range(max_rounds):
         # Large star: every neighbour above a node goes to the smallest of the node's neighbours.

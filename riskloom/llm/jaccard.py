@@ -27,6 +27,8 @@ are read.
 from __future__ import annotations
 
 import math
+from bisect import bisect_right
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -37,10 +39,12 @@ from riskloom.llm.common import drop_ids, id_side, materialize, text_chunks, tex
 from riskloom.llm.components import components
 from riskloom.llm.words import mix, shingle_sets
 
-GROUPS = 32
+GROUPS = 128
+#: Counts are kept in a byte; this one stands for itself and all greater, and bounds nothing.
+FULL = 255
 LEAF = 16
-#: Sizes of a class lie within this factor.
-CLASS_FACTOR = 1.6
+#: The first size of a class is this many times that of the class below.
+CLASS_FACTOR = 1.25
 #: Points of a cell that one task searches by a tree; larger cells are split by their tree's order.
 CELL_POINTS = 4096
 
@@ -52,6 +56,7 @@ class Threshold:
 
     def __init__(self, percent: int):
         self.percent = percent
+        self.firsts = [1]
 
     def linked(self, shared: int, a: int, b: int) -> bool:
         return 100 * shared >= self.percent * (a + b - shared)
@@ -61,19 +66,20 @@ class Threshold:
         return (100 - self.percent) * smaller // self.percent
 
     def first_of_class(self, k: int) -> int:
-        return max(1, math.ceil(CLASS_FACTOR**k))
+        while len(self.firsts) <= k:
+            self.firsts.append(max(self.firsts[-1] + 1, math.ceil(self.firsts[-1] * CLASS_FACTOR)))
+        return self.firsts[k]
 
     def class_of(self, size: int) -> int:
-        k = max(0, int(math.log(size) / math.log(CLASS_FACTOR)) - 1)
-        while self.first_of_class(k + 1) <= size:
-            k += 1
-        return k
+        while self.firsts[-1] <= size:
+            self.first_of_class(len(self.firsts))
+        return bisect_right(self.firsts, size) - 1
 
     def blocks(self, k: int) -> tuple[int, int]:
         """(blocks, most differing shingles) of pairs whose smaller set is in class k.  Some blocks
         more than the pigeonhole needs keep enough of them filled."""
         d = self.differing(self.first_of_class(k + 1) - 1)
-        return d + 1 + d // 8 + (1 if d else 0), d
+        return d + 1 + d // 12 + (1 if d else 0), d
 
     def classes(self, size: int) -> list[int]:
         """The classes in which a set of this size meets others: its own as the smaller of a pair,
@@ -107,19 +113,27 @@ def cell_keys(hashes: np.ndarray, threshold: Threshold) -> np.ndarray:
     return np.concatenate(out)
 
 
-def count_vector(hashes: np.ndarray, groups: int = GROUPS) -> np.ndarray:
-    return np.bincount(((hashes * _GROUP) >> np.uint64(40)).astype(np.int64) % groups, minlength=groups)
+def count_vector(hashes: np.ndarray) -> np.ndarray:
+    counts = np.bincount(((hashes * _GROUP) >> np.uint64(40)).astype(np.int64) % GROUPS, minlength=GROUPS)
+    return np.minimum(counts, FULL).astype(np.uint8)
+
+
+def count_vectors(column: pa.Array) -> np.ndarray:
+    """A row of counts for each packed vector; a full count bounds nothing."""
+    counts = np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, GROUPS).astype(np.int32)
+    counts[counts == FULL] = 1 << 20
+    return counts
 
 
 class CountTree:
     """An R-tree over count vectors, packed bottom-up; nodes hold the greatest counts below them and
-    the least and greatest size, as sums of minima need no more."""
+    the least and greatest set size."""
 
-    def __init__(self, vectors: np.ndarray):
-        self.vectors, self.sizes = vectors, vectors.sum(1)
-        self.order = tile_order(vectors, self.sizes)
+    def __init__(self, vectors: np.ndarray, sizes: np.ndarray):
+        self.vectors, self.sizes = vectors, sizes
+        self.order = tile_order(vectors, sizes)
         self.levels = []  # from the leaves up: (greatest counts, least size, greatest size)
-        high, low, top = vectors[self.order], self.sizes[self.order], self.sizes[self.order]
+        high, low, top = vectors[self.order], sizes[self.order], sizes[self.order]
         while True:
             cut = np.arange(0, len(high), LEAF)
             high, low, top = np.maximum.reduceat(high, cut), np.minimum.reduceat(low, cut), np.maximum.reduceat(top, cut)
@@ -127,16 +141,16 @@ class CountTree:
             if len(high) == 1:
                 break
 
-    def search(self, vector: np.ndarray, percent: int) -> np.ndarray:
-        """Places of the points that may be linked with a point at ``vector``."""
-        size, at = int(vector.sum()), np.zeros(1, np.int64)
+    def search(self, vector: np.ndarray, size: int, percent: int) -> np.ndarray:
+        """Places of the points that may be linked with a set of ``size`` at ``vector``."""
+        at = np.zeros(1, np.int64)
         for level in range(len(self.levels) - 1, -2, -1):
             if level >= 0:
                 high, low, top = (x[at] for x in self.levels[level])
             else:
                 points = self.order[at]
                 high, low, top = self.vectors[points], self.sizes[points], self.sizes[points]
-            bound = np.minimum(high, vector).sum(1)
+            bound = np.minimum(high, vector).sum(1, dtype=np.int64)
             may = (bound * (100 + percent) >= percent * (size + low)) & (low * percent <= 100 * size) & (top * 100 >= percent * size)
             at = at[may]
             if level < 0:
@@ -194,36 +208,58 @@ def cell_rows(docs: DataFrame, words: int, threshold: Threshold) -> DataFrame:
     return docs.mapInArrow(cells, "cell long, s1 long")
 
 
-def stored_sets(docs: DataFrame, words: int) -> DataFrame:
-    """node, s1, s2, counts, hashes of documents (doc_id, text); the node is the doc_id."""
+def described(docs: DataFrame, words: int, what: str, of: Callable[[np.ndarray], bytes]) -> DataFrame:
+    """node, s1, s2 and the column ``what``, packed by ``of`` from the set, of documents (doc_id,
+    text); the node is the doc_id."""
 
-    def store(batches):
+    def pack(batches):
         for batch in batches:
             for chunk in text_chunks(batch):
                 sets = shingle_sets(chunk.column("text"), words, True)
                 names = [set_name(s) for s in sets]
-                vectors = [count_vector(s).astype("<i8").tobytes() for s in sets]
-                packed = [s.astype("<u8").tobytes() for s in sets]
-                yield pa.RecordBatch.from_arrays(
-                    [chunk.column("doc_id"), pa.array([a for a, _ in names], pa.int64()), pa.array([b for _, b in names], pa.int64()), pa.array(vectors, pa.binary()), pa.array(packed, pa.binary())],
-                    names=["node", "s1", "s2", "counts", "hashes"],
-                )
+                columns = [chunk.column("doc_id"), pa.array([a for a, _ in names], pa.int64()), pa.array([b for _, b in names], pa.int64()), pa.array([of(s) for s in sets], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["node", "s1", "s2", what])
+
+    return docs.mapInArrow(pack, f"node long, s1 long, s2 long, {what} binary")
+
+
+class Sets:
+    """The sets of chosen nodes, computed from their texts when they are asked for; ``points`` (s1, s2,
+    n, node) says which."""
 
-    return docs.mapInArrow(store, "node long, s1 long, s2 long, counts binary, hashes binary")
+    def __init__(self, docs: DataFrame, points: DataFrame, words: int):
+        self.docs, self.points, self.words = docs, points, words
 
+    def column(self, nodes: DataFrame, what: str, of: Callable[[np.ndarray], bytes]) -> DataFrame:
+        """A written table: node, n and ``what`` of ``nodes`` (one column)."""
+        wanted = materialize(nodes.select(F.col(nodes.columns[0]).alias("__node")).distinct(), "wanted")
+        own = self.docs.join(id_side(wanted), self.docs["doc_id"] == F.col("__node"), "left_semi")
+        found = described(own, self.words, what, of).join(self.points, ["s1", "s2", "node"])
+        return materialize(found.dropDuplicates(["node", "s1", "s2"]).select("node", "n", what), what)
 
-def verified(pairs: DataFrame, sets: DataFrame, threshold: Threshold) -> DataFrame:
-    """a, b of the pairs of nodes that are linked.  Vectors are held against each other before
-    hashes move, and each set is fetched by a join."""
-    percent = threshold.percent
 
-    def bounded(batches):
+def bounded(pairs: DataFrame, vectors: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that sizes and summed minima do not rule out."""
+    side = lambda x, key: vectors.select(F.col("node").alias(key), F.col("n").alias(f"{x}n"), F.col("counts").alias(f"{x}c"))
+
+    def may_link(batches):
         for batch in batches:
             if batch.num_rows:
-                x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<i8").reshape(-1, GROUPS) for c in ("xc", "yc"))
-                may = np.minimum(x, y).sum(1) * (100 + percent) >= percent * (x.sum(1) + y.sum(1))
+                x, y = (count_vectors(batch.column(c)) for c in ("xc", "yc"))
+                sizes = batch.column("xn").to_numpy() + batch.column("yn").to_numpy()
+                may = np.minimum(x, y).sum(1, dtype=np.int64) * (100 + percent) >= percent * sizes
                 yield pa.RecordBatch.from_arrays([c.filter(pa.array(may)) for c in batch.columns[:2]], names=["a", "b"])
 
+    near = pairs.join(side("x", "a"), "a").join(side("y", "b"), "b")
+    near = near.filter((F.col("xn") * percent <= F.col("yn") * 100) & (F.col("yn") * percent <= F.col("xn") * 100)).select("a", "b", "xn", "yn", "xc", "yc")
+    return near.mapInArrow(may_link, "a long, b long")
+
+
+def verified(pairs: DataFrame, sets: Sets, threshold: Threshold) -> DataFrame:
+    """a, b of the pairs of nodes that are linked, by their whole sets."""
+    pairs = materialize(pairs, "near")
+    whole = sets.column(pairs.select("a").union(pairs.select("b")), "hashes", lambda s: s.astype("<u8").tobytes())
+
     def linked(batches):
         for batch in batches:
             keep = []
@@ -232,45 +268,52 @@ def verified(pairs: DataFrame, sets: DataFrame, threshold: Threshold) -> DataFra
                 keep.append(threshold.linked(np.intersect1d(x, y, assume_unique=True).size, x.size, y.size))
             yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep, pa.bool_())) for c in batch.columns[:2]], names=["a", "b"])
 
-    side = lambda c, new, key: sets.select(F.col("node").alias(key), F.col(c).alias(new))
-    near = pairs.join(side("counts", "xc", "a"), "a").join(side("counts", "yc", "b"), "b").select("a", "b", "xc", "yc")
-    near = materialize(near.mapInArrow(bounded, "a long, b long"), "near")
-    whole = near.join(side("hashes", "xh", "a"), "a").join(side("hashes", "yh", "b"), "b").select("a", "b", "xh", "yh")
-    return materialize(whole.mapInArrow(linked, "a long, b long"), "linked")
+    side = lambda new, key: whole.select(F.col("node").alias(key), F.col("hashes").alias(new))
+    joined = pairs.join(side("xh", "a"), "a").join(side("yh", "b"), "b").select("a", "b", "xh", "yh")
+    return materialize(joined.mapInArrow(linked, "a long, b long"), "linked")
 
 
-def tree_pairs(cells: DataFrame, parts: DataFrame, sets: DataFrame, threshold: Threshold) -> DataFrame:
+def tree_pairs(cells: DataFrame, parts: DataFrame, vectors: DataFrame, percent: int) -> DataFrame:
     """a, b: pairs of a cell whose summed minima may reach the threshold and that are not yet in one
     part.  ``cells`` (cell, node), ``parts`` (node, part); a node without a part is its own."""
-    percent = threshold.percent
     placed = cells.join(parts, "node", "left").select("cell", "node", F.coalesce("part", "node").alias("part"))
     split = placed.groupBy("cell").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.count("*").alias("points")).filter("lo < hi")
-    open_ = placed.join(split.select("cell", "points"), "cell").join(sets.select("node", F.length("hashes").alias("n"), "counts"), "node")
-    # A cell of more points than a task should hold is cut into runs of sizes, each run met by itself
-    # and by those that come after it within the threshold's reach.
-    rank = F.row_number().over(Window.partitionBy("cell").orderBy("n", "node")) - 1
-    tiled = open_.withColumn("tile", F.when(F.col("points") > CELL_POINTS, F.floor(rank / CELL_POINTS)).otherwise(0).cast("long"))
-    tiled = materialize(tiled.select("cell", "tile", "node", "part", "n", "counts"), "tiles")
-    spans = tiled.groupBy("cell", "tile").agg(F.min("n").alias("least"), F.max("n").alias("most"))
-    left, right = spans.toDF("cell", "i", "il", "im"), spans.toDF("cell", "j", "jl", "jm")
-    meet = left.join(right, "cell").filter((F.col("i") <= F.col("j")) & (F.col("jl") * percent <= F.col("im") * 100)).select("cell", "i", "j")
-    one = tiled.join(meet, (tiled["cell"] == meet["cell"]) & (tiled["tile"] == meet["i"])).select(tiled["cell"], "i", "j", F.lit(True).alias("own"), "node", "part", "counts")
-    two = tiled.join(meet.filter("i < j"), (tiled["cell"] == meet["cell"]) & (tiled["tile"] == meet["j"])).select(tiled["cell"], "i", "j", F.lit(False).alias("own"), "node", "part", "counts")
-
-    def search(group: pa.Table) -> pa.Table:
-        counts = np.frombuffer(b"".join(group.column("counts").to_pylist()), "<i8").reshape(-1, GROUPS)
-        node, part = group.column("node").to_numpy(), group.column("part").to_numpy()
-        own = group.column("own").to_numpy(zero_copy_only=False)
+    open_ = materialize(placed.join(split.select("cell", "points"), "cell").join(vectors, "node"), "open")
+    schema = "a long, b long"
+
+    def search(group: pa.Table, own: np.ndarray) -> pa.Table:
+        """Pairs of an own point with another: of its own kind, or else of the other kind."""
+        counts = count_vectors(group.column("counts"))
+        node, part, size = (group.column(c).to_numpy() for c in ("node", "part", "n"))
         tree_side = np.flatnonzero(~own) if not own.all() else np.arange(len(node))
-        tree, a, b = CountTree(counts[tree_side]), [], []
+        tree, a, b = CountTree(counts[tree_side], size[tree_side]), [], []
         for i in np.flatnonzero(own):
-            found = tree_side[tree.search(counts[i], percent)]
+            found = tree_side[tree.search(counts[i], int(size[i]), percent)]
             found = found[(part[found] != part[i]) & ((node[found] > node[i]) | ~own[found])]
             a.append(np.minimum(node[found], node[i]))
             b.append(np.maximum(node[found], node[i]))
-        return pa.table({"a": np.concatenate(a), "b": np.concatenate(b)}) if a else pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
-
-    found = one.unionByName(two).groupBy("cell", "i", "j").applyInArrow(search, "a long, b long")
+        none = [np.zeros(0, np.int64)]
+        return pa.table({"a": np.concatenate(a or none), "b": np.concatenate(b or none)})
+
+    def search_cell(group: pa.Table) -> pa.Table:
+        return search(group, np.ones(group.num_rows, bool))
+
+    def search_tiles(group: pa.Table) -> pa.Table:
+        return search(group, group.column("own").to_numpy(zero_copy_only=False))
+
+    columns = ["node", "part", "n", "counts"]
+    found = open_.filter(F.col("points") <= CELL_POINTS).select("cell", *columns).groupBy("cell").applyInArrow(search_cell, schema)
+    large = open_.filter(F.col("points") > CELL_POINTS)
+    if not large.isEmpty():
+        # Cut into runs of sizes, each met by itself and by those after it within the threshold's reach.
+        rank = F.row_number().over(Window.partitionBy("cell").orderBy("n", "node")) - 1
+        tiled = materialize(large.select("cell", F.floor(rank / CELL_POINTS).cast("long").alias("tile"), *columns), "tiles")
+        spans = tiled.groupBy("cell", "tile").agg(F.min("n").alias("least"), F.max("n").alias("most"))
+        left, right = spans.toDF("cell", "i", "il", "im"), spans.toDF("cell", "j", "jl", "jm")
+        meet = left.join(right, "cell").filter((F.col("i") <= F.col("j")) & (F.col("jl") * percent <= F.col("im") * 100)).select("cell", "i", "j")
+        one = tiled.withColumnRenamed("tile", "i").join(meet, ["cell", "i"]).select("cell", "i", "j", F.lit(True).alias("own"), *columns)
+        two = tiled.withColumnRenamed("tile", "j").join(meet.filter("i < j"), ["cell", "j"]).select("cell", "i", "j", F.lit(False).alias("own"), *columns)
+        found = found.unionByName(one.unionByName(two).groupBy("cell", "i", "j").applyInArrow(search_tiles, schema))
     return found.distinct()
 
 
@@ -295,14 +338,12 @@ def jaccard_components(docs: DataFrame, words: int, percent: int, *, id_col="doc
     chosen = alike.groupBy("m1", "m2", "points", "leader").agg(F.min("cell").alias("cell")).filter("points > 1")
     cells = materialize(members.join(chosen.select("cell", "leader"), "cell"), "cells")
 
-    wanted = materialize(cells.select(F.col("node").alias("__node")).distinct(), "wanted")
-    own = docs.join(id_side(wanted), docs["doc_id"] == F.col("__node"), "left_semi")
-    sets = stored_sets(own, words).join(points, ["s1", "s2", "node"], "left_semi")
-    sets = materialize(sets.dropDuplicates(["node", "s1", "s2"]).drop("s1", "s2"), "stored")
-
-    stars = verified(cells.filter("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct(), sets, threshold)
+    sets = Sets(docs, points, words)
+    vectors = sets.column(cells.select("node"), "counts", lambda s: count_vector(s).tobytes())
+    hung = cells.filter("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
+    stars = verified(bounded(hung, vectors, percent), sets, threshold)
     parts = components(stars).select("node", F.col("component").alias("part"))
-    rest = verified(tree_pairs(cells.select("cell", "node"), parts, sets, threshold), sets, threshold)
+    rest = verified(tree_pairs(cells.select("cell", "node"), parts, vectors, percent), sets, threshold)
     labels = components(stars.union(rest).union(several))
 
     whole = named.join(points, ["s1", "s2", "n"], "left").join(labels, "node", "left")

@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from odd import empty, frame, prose, rows
 
@@ -89,12 +90,13 @@ def test_linked_sets_share_a_cell_and_are_found_by_the_tree(percent):
         other = base[rng.random(size) > rng.random() * 0.15]
         other = np.concatenate([other, rng.integers(0, 2**63, int(rng.integers(0, max(2, size // 10))), dtype=np.uint64)])
         sets.append((np.unique(base), np.unique(other)))
-    tree = jc.CountTree(np.array([jc.count_vector(b) for _, b in sets]))
+    vectors = jc.count_vectors(pa.array([jc.count_vector(b).tobytes() for _, b in sets]))
+    tree = jc.CountTree(vectors, np.array([b.size for _, b in sets]))
     for i, (a, b) in enumerate(sets):
         if b.size and threshold.linked(np.intersect1d(a, b).size, a.size, b.size):
             links += 1
             assert np.intersect1d(jc.cell_keys(a, threshold), jc.cell_keys(b, threshold)).size
-            assert i in tree.search(jc.count_vector(a), percent)
+            assert i in tree.search(jc.count_vectors(pa.array([jc.count_vector(a).tobytes()]))[0], a.size, percent)
     assert links > 50
 
 
@@ -112,3 +114,11 @@ def test_components_of_long_chains_and_stars(spark):
     got = dict(components(spark.createDataFrame(chain, "a long, b long")).collect())
     assert got == {**{i: 1 for i in range(1, 61)}, **{100 + i: 100 for i in range(50)}, 199: 199, 200: 199}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_full_counts_bound_nothing():
+    many = np.arange(60_000, dtype=np.uint64) * np.uint64(2654435761) << np.uint64(20)
+    packed = jc.count_vector(many)
+    assert packed.max() == jc.FULL and jc.count_vectors(pa.array([packed.tobytes()])).min() >= 255
+    tree = jc.CountTree(jc.count_vectors(pa.array([packed.tobytes()])), np.array([len(many)]))
+    assert tree.search(jc.count_vectors(pa.array([packed.tobytes()]))[0], len(many), 90).tolist() == [0]
