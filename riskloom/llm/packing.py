@@ -38,7 +38,7 @@ STEPS = 1000
 #: more loses this power of e of its weight.
 SHARE, RATE = 0.3, 0.3
 #: Pieces that a task numbers together, about.
-NUMBERED = 100_000
+NUMBERED = 10_000
 
 Configuration = tuple[tuple[int, int], ...]  # (length, how often), longest first
 
@@ -205,8 +205,10 @@ def pack(docs: DataFrame, path: str, end_id: int, sequence: int = SEQUENCE, *, i
     for row in cut.groupBy("length").count().collect():  # at most ``sequence`` rows
         histogram[row["length"] - 1] = row["count"]
     table = places(plan(histogram, sequence))
-    buckets = max(1, int(histogram.sum()) // NUMBERED)
-    hashed = cut.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(buckets)))
+    # As many buckets for a length as its pieces fill: at most ``sequence`` rows of sizes.
+    cuts = [(n + 1, max(1, -(-int(k) // NUMBERED))) for n, k in enumerate(histogram) if k]
+    cuts = docs.sparkSession.createDataFrame(cuts, "length long, cuts long")
+    hashed = cut.join(F.broadcast(cuts), "length").withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.col("cuts"))).drop("cuts")
     before = Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     sizes = hashed.groupBy("length", "bucket").agg(F.count("*").alias("n")).select("length", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
     within = Window.partitionBy("length", "bucket").orderBy("doc_id", "piece", "ids_crc32")
