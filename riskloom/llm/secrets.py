@@ -23,7 +23,7 @@ from re import _parser as rp
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import drop_ids, materialize, texts
+from riskloom.llm.common import MAX_BROADCAST_IDS, drop_ids, materialize, texts
 
 
 @dataclass(frozen=True)
@@ -127,10 +127,10 @@ def secret_spans(docs: DataFrame, rules: tuple[Rule, ...] = RULES, *, id_col: st
     if not indexed:
         return rows.select("doc_id", F.array_sort("__everywhere").alias("spans"))
 
-    low = F.lower("text")
     vocabulary = sorted({t for q in indexed.values() for alternative in q for t in alternative})
-    held = F.array_compact(F.array(*[F.when(F.contains(low, F.lit(t)), F.lit(t)) for t in vocabulary]))
-    posted = base.select("doc_id", "__h", F.explode(held).alias("trigram"))
+    lowered = base.select("doc_id", "__h", F.lower("text").alias("low"))  # once, not once a trigram
+    held = F.array_compact(F.array(*[F.when(F.contains("low", F.lit(t)), F.lit(t)) for t in vocabulary]))
+    posted = lowered.select("doc_id", "__h", F.explode(held).alias("trigram"))
     postings = materialize(posted, "postings")  # the inverted index, for any number of queries
 
     # Intersection, algebraic so that a document's postings meet as partial aggregates: a
@@ -144,21 +144,22 @@ def secret_spans(docs: DataFrame, rules: tuple[Rule, ...] = RULES, *, id_col: st
     met = met.join(F.broadcast(need), ["rule", "alt"]).filter("n = need")
     candidates = materialize(met.groupBy("doc_id", "__h").agg(F.collect_set("rule").alias("__rules")), "candidates")
 
-    # Only texts that hold some rule's full conjunction are moved to meet their candidate row.
-    some = F.lit(False)
-    for q in indexed.values():
-        for alternative in q:
+    # Candidates meet their texts: where they are counted to fit, every task gets their keys and no
+    # text moves; beyond that, only texts that hold some rule's full conjunction do.
+    left, side = base, candidates
+    if candidates.count() <= MAX_BROADCAST_IDS:
+        side = F.broadcast(candidates)
+    else:
+        low, some = F.lower("text"), F.lit(False)
+        for alternative in (x for q in indexed.values() for x in q):
             both = F.lit(True)
             for t in sorted(alternative):
                 both = both & F.contains(low, F.lit(t))
             some = some | both
-    left = base.filter(some).dropDuplicates(["doc_id", "__h"])
-    same = left["doc_id"].eqNullSafe(candidates["doc_id"]) & (left["__h"] == candidates["__h"])
-    verified = left.join(candidates, same).select(
-        left["doc_id"].alias("__id"),
-        left["__h"].alias("__g"),
-        F.concat(*[F.when(F.array_contains("__rules", rules.index(r)), found_spans(left["text"], r)).otherwise(empty) for r in indexed]).alias("__verified"),
-    )
+        left = base.filter(some)
+    same = left["doc_id"].eqNullSafe(side["doc_id"]) & (left["__h"] == side["__h"])
+    spans = F.concat(*[F.when(F.array_contains("__rules", rules.index(r)), found_spans(left["text"], r)).otherwise(empty) for r in indexed])
+    verified = left.join(side, same).select(left["doc_id"].alias("__id"), left["__h"].alias("__g"), spans.alias("__verified")).dropDuplicates(["__id", "__g"])
     joined = rows.join(verified, rows["doc_id"].eqNullSafe(verified["__id"]) & (rows["__h"] == verified["__g"]), "left")
     spans = F.array_sort(F.concat("__everywhere", F.coalesce("__verified", empty)))
     return joined.select("doc_id", spans.alias("spans"))
