@@ -19,8 +19,8 @@ from riskloom.llm.packing import pack
 from riskloom.llm.queries import word_bpe
 from riskloom.llm.secrets import without_secrets
 
-#: The least share of a document's letters in its own language; a document with less is a jumble.
-LEAST_SHARE = 0.5
+#: The least share of letters in a document's own language: with less, three or more languages share it and none leads.
+LEAST_SHARE = 0.34
 #: Near-duplicates: five-word shingles, Jaccard similarity in hundredths.
 SHINGLE_WORDS, SIMILAR_PERCENT = 5, 80
 
