@@ -7,11 +7,14 @@ Words are runs other than space and \\t \\n \\v \\f \\r, A-Z as a-z; shingles ar
    only where a benchmark shingle stands, in the place the item would have around it (moved inside the
    document); a document shorter than the item is one window.  This leaves out no window that
    could be verified at its place.
-2. Fingerprints.  64-bit SimHash of a window's and of an item's words, each word counted as often as
-   it stands there.
+2. Fingerprints.  64-bit SimHash of a window's and of an item's words, each word voting with the summed
+   weights of the shingles it stands in, so that words many items share count as little as in 4.
 3. Search.  The fingerprint is cut into ``BLOCKS``; two fingerprints within ``RADIUS`` bits differ by
    at most RADIUS // len(BLOCKS) bits in some block, so items are indexed under every block value that
-   near, windows look their own values up, and none within the radius is missed.
+   near, windows look their own values up, and none within the radius is missed.  A pair that 4 accepts
+   may still lie beyond the radius, so there is an exact way back: the accepted share at least
+   ``SIMILARITY`` of the item's weight, hence one of its heaviest shingles whose rest weighs less, and
+   windows are looked up by those too.  What is found does not depend on the radius.
 4. Verification.  Weighted Jaccard of the two shingle multisets, a shingle weighing one over the
    number of items that hold it (one if none does), at least ``SIMILARITY``.
 
@@ -60,9 +63,11 @@ def _shingle_hash(prefix: str = "", k: int = WORDS) -> Column:
     return F.xxhash64(*[F.col(f"{prefix}w{i}") for i in range(k)])
 
 
-def _votes(word: str) -> list[Column]:
-    """Aggregates: for each of 64 bits, how many more of a group's hashes have it than have not."""
-    return [F.sum(F.when(F.shiftright(F.col(word), b).bitwiseAND(F.lit(1)) == 1, 1).otherwise(-1)).alias(f"b{b}") for b in range(64)]
+def _votes(word: str, weight: str | None = None) -> list[Column]:
+    """Aggregates: for each of 64 bits, how many more of a group's hashes have it than have not, each
+    counted as 1 or with its ``weight``."""
+    one = F.col(weight) if weight else F.lit(1)
+    return [F.sum(F.when(F.shiftright(F.col(word), b).bitwiseAND(F.lit(1)) == 1, one).otherwise(-one)).alias(f"b{b}") for b in range(64)]
 
 
 def _packed() -> Column:
@@ -78,6 +83,22 @@ def fingerprints(rows: DataFrame, keys: list[str], words: str = "words") -> Data
     return rows.select(*keys, F.explode(words).alias("word")).groupBy(*keys).agg(*_votes("word")).select(*keys, _packed().alias("fingerprint"))
 
 
+def weighted_fingerprints(shingles: DataFrame, key: str) -> DataFrame:
+    """key + fingerprint of rows (key, s, n, weight): a shingle's words vote with its weight, n times."""
+    votes = shingles.select(key, (F.col("n") * F.col("weight")).alias("vote"), F.explode(F.array(*[F.col(f"s.w{i}") for i in range(WORDS)])).alias("word"))
+    return votes.groupBy(key).agg(*_votes("word", "vote")).select(key, _packed().alias("fingerprint"))
+
+
+def _heaviest(item_side: DataFrame, similarity: float) -> DataFrame:
+    """(item, shingle): of each item so many of its heaviest shingles that the others weigh less than
+    ``similarity`` of it."""
+    whole = Window.partitionBy("item")
+    before = whole.orderBy(F.desc("weight"), "shingle").rowsBetween(Window.unboundedPreceding, -1)
+    worth = F.col("n") * F.col("weight")
+    ranked = item_side.select("item", "shingle", F.coalesce(F.sum(worth).over(before), F.lit(0.0)).alias("before"), F.sum(worth).over(whole).alias("total"))
+    return ranked.filter(F.col("before") <= (1 - similarity + 1e-6) * F.col("total")).select("item", "shingle")
+
+
 def _blocks(fingerprint: Column) -> list[tuple[int, int, Column]]:
     """(block, its bits, its value) of a fingerprint."""
     out, at = [], 0
@@ -111,7 +132,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
     items = materialize(items.groupBy("item_id", "words").agg(F.lit(1).alias("one")).select("item_id", "words", F.xxhash64("item_id", "words").alias("item"), (F.size("words") - WORDS + 1).alias("size")), "items")
     placed = items.select("item", "size", F.posexplode(_shingles("words")).alias("place", "s")).select("item", "size", "place", _shingle_hash("s.").alias("shingle"))
     # Distinct benchmark shingles with the (size, place) of the windows they call for.
-    weights = placed.groupBy("shingle").agg((1.0 / F.countDistinct("item")).alias("weight"))
+    weights = materialize(placed.groupBy("shingle").agg((1.0 / F.countDistinct("item")).alias("weight")), "weights")
     calls = materialize(placed.select("shingle", "size", "place").distinct(), "calls")
     table = calls.groupBy("shingle").agg(F.collect_set(F.struct("size", "place")).alias("calls"))
     table = materialize(table, "shingles")
@@ -129,19 +150,22 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
     distinct = windows.groupBy("words").agg(F.lit(1).alias("one")).select("words", F.xxhash64("words", F.lit(1)).alias("window"))
     distinct = materialize(distinct, "distinct_windows")  # a passage in many documents is searched once
 
+    counted = lambda rows, key: rows.select(key, F.explode(_shingles("words")).alias("s")).select(key, "s", _shingle_hash("s.").alias("shingle")).groupBy(key, "shingle").agg(F.first("s").alias("s"), F.count("*").alias("n"))
+    weighed = lambda rows, key: counted(rows, key).join(_sized(weights), "shingle", "left").select(key, "shingle", "s", "n", F.coalesce("weight", F.lit(1.0)).alias("weight"))
+    window_side = materialize(weighed(distinct, "window"), "window_shingles")
+    item_side = materialize(weighed(items, "item"), "item_shingles")
+
     near = RADIUS // len(BLOCKS)
-    own = materialize(_block_rows(fingerprints(items, ["item"]), near), "index").withColumnRenamed("fingerprint", "item_print")
-    probe = _block_rows(fingerprints(distinct, ["window"]), 0)
+    own = materialize(_block_rows(weighted_fingerprints(item_side, "item"), near), "index").withColumnRenamed("fingerprint", "item_print")
+    probe = _block_rows(weighted_fingerprints(window_side, "window"), 0)
     met = probe.join(_sized(own), ["block", "value"]).filter(F.bit_count(F.col("fingerprint").bitwiseXOR(F.col("item_print"))) <= RADIUS)
-    pairs = materialize(met.select("window", "item").distinct(), "near_pairs")
+    back = window_side.select("window", "shingle").join(_sized(materialize(_heaviest(item_side, similarity), "heaviest")), "shingle")
+    pairs = materialize(met.select("window", "item").union(back.select("window", "item")).distinct(), "near_pairs")
 
-    counted = lambda rows, key: rows.select(key, F.explode(_shingles("words")).alias("s")).select(key, _shingle_hash("s.").alias("shingle")).groupBy(key, "shingle").agg(F.count("*").alias("n"))
-    window_side = materialize(counted(distinct.join(pairs.select("window").distinct(), "window", "left_semi"), "window").join(weights, "shingle", "left").select("window", "shingle", "n", F.coalesce("weight", F.lit(1.0)).alias("weight")), "window_shingles")
-    item_side = materialize(counted(items, "item").join(weights, "shingle").select("item", "shingle", F.col("n").alias("m"), "weight"), "item_shingles")
     total = lambda side, key, n: side.groupBy(key).agg(F.sum(F.col(n) * F.col("weight")).alias(f"{key}_total"))
-    shared = pairs.join(window_side.select("window", "shingle", "n"), "window").join(_sized(item_side), ["item", "shingle"])
+    shared = pairs.join(window_side.select("window", "shingle", "n"), "window").join(_sized(item_side.select("item", "shingle", F.col("n").alias("m"), "weight")), ["item", "shingle"])
     shared = shared.groupBy("window", "item").agg(F.sum(F.least("n", "m") * F.col("weight")).alias("shared"))
-    scored = shared.join(total(window_side, "window", "n"), "window").join(total(item_side, "item", "m"), "item")
+    scored = shared.join(total(window_side, "window", "n"), "window").join(total(item_side, "item", "n"), "item")
     scored = scored.select("window", "item", (F.col("shared") / (F.col("window_total") + F.col("item_total") - F.col("shared"))).alias("similarity"))
     kept = scored.filter(F.col("similarity") >= similarity - 1e-9).join(items.select("item", "item_id"), "item")
 

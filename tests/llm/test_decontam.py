@@ -100,3 +100,16 @@ def test_simhash_equals_the_vote(spark):
     for k, fingerprint in got:
         votes = [sum(1 if h >> b & 1 else -1 for h in hashes[k]) for b in range(64)]
         assert fingerprint % 2**64 == sum(1 << b for b in range(64) if votes[b] > 0)
+
+
+@pytest.mark.parametrize("header,body", [(16, 24), (60, 30)])
+def test_items_that_share_a_header_equal_brute_force(spark, header, body):
+    rng = random.Random(header)
+    draw = lambda n: " ".join(f"w{rng.randrange(400)}" for _ in range(n))
+    opening = draw(header)
+    bodies = [draw(body) for _ in range(50)]
+    items = [(i, f"{opening} {b}") for i, b in enumerate(bodies)]
+    docs = [(i, b) for i, b in enumerate(bodies)] + [(100 + i, f"{opening.split()[-1]} {b}") for i, b in enumerate(bodies)] + [(200, opening)]
+    found = {(r["doc_id"], r["item_id"], round(r["similarity"], 6), r["position"]) for r in dc.contaminated(frame(spark, docs), bench(spark, items)).collect()}
+    expected = brute(docs, items)
+    assert found == expected and len(expected) >= 100
