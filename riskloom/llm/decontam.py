@@ -145,9 +145,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
     start = F.greatest(F.lit(0), F.least(F.col("at") - F.col("call.place"), n - size))
     windows = hits.select("doc_id", start.alias("position"), F.slice("words", start + 1, size + (WORDS - 1)).alias("words"), size.alias("size"))
     # Equal windows of a document are one (the same place called for by several shingles): a map-side
-    # combine leaves one row for each before the shuffle.
-    windows = materialize(windows.groupBy("doc_id", "position", "size").agg(F.first("words").alias("words")), "windows")
-    distinct = windows.groupBy("words").agg(F.lit(1).alias("one")).select("words", F.xxhash64("words", F.lit(1)).alias("window"))
+    # combine leaves one row for each before the shuffle.  Rows of one doc_id may hold other words there.
+    windows = windows.withColumn("window", F.xxhash64("words", F.lit(1)))
+    windows = materialize(windows.groupBy("doc_id", "position", "size", "window").agg(F.first("words").alias("words")), "windows")
+    distinct = windows.groupBy("window").agg(F.first("words").alias("words")).select("words", "window")
     distinct = materialize(distinct, "distinct_windows")  # a passage in many documents is searched once
 
     counted = lambda rows, key: rows.select(key, F.explode(_shingles("words")).alias("s")).select(key, "s", _shingle_hash("s.").alias("shingle")).groupBy(key, "shingle").agg(F.first("s").alias("s"), F.count("*").alias("n"))
@@ -169,8 +170,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
     scored = scored.select("window", "item", (F.col("shared") / (F.col("window_total") + F.col("item_total") - F.col("shared"))).alias("similarity"))
     kept = scored.filter(F.col("similarity") >= similarity - 1e-9).join(items.select("item", "item_id"), "item")
 
-    placed_windows = windows.select("doc_id", "position", F.xxhash64("words", F.lit(1)).alias("window"))
-    best = placed_windows.join(kept, "window").groupBy("doc_id", "item_id").agg(F.max_by(F.struct("similarity", "position"), F.struct(F.round("similarity", 9), -F.col("position"))).alias("best"))
+    best = windows.select("doc_id", "position", "window").join(kept, "window").groupBy("doc_id", "item_id").agg(F.max_by(F.struct("similarity", "position"), F.struct(F.round("similarity", 9), -F.col("position"))).alias("best"))
     return best.select("doc_id", "item_id", F.round("best.similarity", 9).alias("similarity"), F.col("best.position").cast("long").alias("position"))
 
 

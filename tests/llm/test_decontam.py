@@ -113,3 +113,10 @@ def test_items_that_share_a_header_equal_brute_force(spark, header, body):
     found = {(r["doc_id"], r["item_id"], round(r["similarity"], 6), r["position"]) for r in dc.contaminated(frame(spark, docs), bench(spark, items)).collect()}
     expected = brute(docs, items)
     assert found == expected and len(expected) >= 100
+
+
+def test_rows_of_one_id_keep_all_their_passages(spark):
+    items = [(i, prose(40 + i, 30)) for i in range(8)]
+    docs = [(7, text) for _, text in items] + [(7, " ".join(text.split()[:5]) + " " + prose(60 + i, 25)) for i, text in items]
+    got = dc.contaminated(frame(spark, docs), bench(spark, items)).collect()
+    assert sorted((r["doc_id"], r["item_id"], r["similarity"], r["position"]) for r in got) == [(7, i, 1.0, 0) for i in range(8)]
