@@ -19,8 +19,9 @@ Words are runs other than space and \\t \\n \\v \\f \\r, A-Z as a-z; shingles ar
    number of items that hold it (one if none does), at least ``SIMILARITY``.
 
 One row per (doc_id, item_id) found: doc_id, item_id, similarity (the best window's), position (its
-first word).  Null texts and ids are passed over: a null text holds nothing, and a null item_id or an
-item of fewer than five words cannot be identified.  Repeated documents and items give one row per
+first word).  An item of one to four words is its own one shingle: documents that hold its words in a
+row have it with similarity 1, at the first such place.  Null texts and ids and items without a word are
+passed over: a null text holds nothing, a null item_id cannot be identified.  Repeated documents and items give one row per
 pair of ids, equal passages at several places the best, then the first.  Empty tables give no row.
 """
 
@@ -127,7 +128,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
     ship_package(docs.sparkSession)
     hashed = lambda text: F.transform(word_array(text), lambda w: F.xxhash64(w))
     items = benchmark.select(F.col(item_col).cast("long").alias("item_id"), hashed(F.col(item_text_col)).alias("words"))
-    items = items.filter(F.col("item_id").isNotNull() & (F.size("words") >= WORDS))
+    items = items.filter(F.col("item_id").isNotNull() & (F.size("words") > 0))
+    short, items = items.filter(F.size("words") < WORDS), items.filter(F.size("words") >= WORDS)
     # A repeated item_id with other words is another item of that id.
     items = materialize(items.groupBy("item_id", "words").agg(F.lit(1).alias("one")).select("item_id", "words", F.xxhash64("item_id", "words").alias("item"), (F.size("words") - WORDS + 1).alias("size")), "items")
     placed = items.select("item", "size", F.posexplode(_shingles("words")).alias("place", "s")).select("item", "size", "place", _shingle_hash("s.").alias("shingle"))
@@ -171,7 +173,29 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
     kept = scored.filter(F.col("similarity") >= similarity - 1e-9).join(items.select("item", "item_id"), "item")
 
     best = windows.select("doc_id", "position", "window").join(kept, "window").groupBy("doc_id", "item_id").agg(F.max_by(F.struct("similarity", "position"), F.struct(F.round("similarity", 9), -F.col("position"))).alias("best"))
-    return best.select("doc_id", "item_id", F.round("best.similarity", 9).alias("similarity"), F.col("best.position").cast("long").alias("position"))
+    best = best.select("doc_id", "item_id", F.round("best.similarity", 9).alias("similarity"), F.col("best.position").cast("long").alias("position"))
+    runs = _short_runs(base, materialize(short.distinct(), "short_items"))
+    if runs is None:
+        return best
+    # An item_id may have short and long items.
+    leading = F.max_by(F.struct("similarity", "position"), F.struct("similarity", -F.col("position"))).alias("best")
+    return best.union(runs).groupBy("doc_id", "item_id").agg(leading).select("doc_id", "item_id", "best.similarity", "best.position")
+
+
+def _short_runs(base: DataFrame, short: DataFrame) -> DataFrame | None:
+    """doc_id, item_id, similarity 1, position of the items of fewer than ``WORDS`` words, None if there
+    are none: runs of words of an item's length are looked up by their hash."""
+    out = None
+    for k in [r[0] for r in short.select(F.size("words")).distinct().collect()]:
+        own = short.filter(F.size("words") == k).select("item_id", F.xxhash64(*[F.get("words", F.lit(i)) for i in range(k)]).alias("run"))
+        runs = base.select("doc_id", F.posexplode(_shingles("words", k)).alias("at", "s")).select("doc_id", "at", _shingle_hash("s.", k).alias("run"))
+        found = runs.join(_sized(own), "run").groupBy("doc_id", "item_id").agg(F.min("at").alias("position"))
+        out = found if out is None else out.union(found)
+    if out is None:
+        return None
+    # An item_id may have items of several lengths.
+    first = out.groupBy("doc_id", "item_id").agg(F.min("position").cast("long").alias("position"))
+    return first.select("doc_id", "item_id", F.lit(1.0).alias("similarity"), "position")
 
 
 #: A side of so many rows of a few longs is broadcast; beyond it a shuffle join is planned.

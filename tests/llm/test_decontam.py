@@ -120,3 +120,10 @@ def test_rows_of_one_id_keep_all_their_passages(spark):
     docs = [(7, text) for _, text in items] + [(7, " ".join(text.split()[:5]) + " " + prose(60 + i, 25)) for i, text in items]
     got = dc.contaminated(frame(spark, docs), bench(spark, items)).collect()
     assert sorted((r["doc_id"], r["item_id"], r["similarity"], r["position"]) for r in got) == [(7, i, 1.0, 0) for i in range(8)]
+
+
+def test_items_of_fewer_than_five_words(spark):
+    items = [(1, "Quux"), (2, "blue\tquux tree"), (3, "one two three four"), (4, " "), (5, prose(15, 12)), (5, "blue")]
+    docs = [(10, "a blue quux\ntree, a blue QUUX tree"), (11, "quux"), (12, "one two x three four"), (13, "x one Two three four " + items[4][1]), (14, None)]
+    got = dc.contaminated(frame(spark, docs), bench(spark, items)).collect()
+    assert sorted(tuple(r) for r in got) == [(10, 1, 1.0, 2), (10, 2, 1.0, 5), (10, 5, 1.0, 1), (11, 1, 1.0, 0), (13, 3, 1.0, 1), (13, 5, 1.0, 5)]
