@@ -11,6 +11,11 @@ different ones, and the key's holder can undo it.  A card gets the check digit o
 phone number keeps its country code; separators stay where they were.  Equal e-mail addresses (letters
 of either case) get equal keyed-hash addresses.  What is not valid stays as it is.
 
+Numbers that follow each other after a space or hyphen are read together and apart: cards are searched in
+every run of groups of such a sequence, those in a usual layout first (one group, 4-4-4-4, 4-6-4 or 4-6-5),
+then from the left, the longest first.  A phone number of a country in ``NATIONAL`` has just that many digits,
+another up to 15 in whole groups.  A sequence whose pseudonyms can be read in more than one way may not be undone.
+
 Null texts stay null with zero counts; other columns are not read; repeated rows come back as they came;
 an empty table gives no row.  Texts without a digit or @ are passed through untouched.
 """
@@ -30,15 +35,28 @@ KEY_MARK = "feistel-key:"
 #: Days from 1900-01-01 that a date may be moved among: 270 x 270, up to 2099-08-04.
 FIRST_DAY, DAYS_SIDE = "1900-01-01", 270
 
+#: Digits after the country code where all numbers have the same count.
+NATIONAL = {"1": 10, "7": 10, "31": 9, "33": 9, "34": 9, "41": 9, "44": 10, "45": 8, "47": 8, "48": 9, "61": 9, "86": 11, "91": 10}
+
+#: A card in a usual layout, which a phone number does not run into.
+USUAL_CARD = r"(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{4}|[0-9]{4}([ -])[0-9]{6}\2[0-9]{4,5})"
+_NO_CARD = r"(?![ .-](?:[0-9]{13,19}|[0-9]{4}[ -][0-9]{4}[ -][0-9]{4}[ -][0-9]{4}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{4,5})(?![0-9]))"
+#: A further digit of a phone number; a group has two at the least.
+_DIGIT = rf"(?:{_NO_CARD}(?:[ .-]\(?(?=[0-9]{{2}})|\((?=[0-9]{{2}}))?[0-9]\)?)"
+_ABROAD = "|".join(rf"\+{code}{_DIGIT}{{{n}}}(?![0-9])" for code, n in NATIONAL.items()) + rf"|\+[0-9]{_DIGIT}{{9,14}}(?![0-9])"
+_LOCAL = r"(?<![0-9-])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9-])"
+
 #: What a match of each kind looks like; possessive runs keep a scan linear.
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
     "ip": r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?!\.?[0-9])",
     "date": r"(?<![0-9-])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9-])|(?<![0-9.])[0-9]{2}\.[0-9]{2}\.[0-9]{4}(?![0-9])|(?<![0-9/])[0-9]{2}/[0-9]{2}/[0-9]{4}(?![0-9/])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
-    "phone": r"\+[0-9]{1,3}[ .-]?\(?[0-9]{2,4}\)?(?:[ .-]?[0-9]{2,4}){2,4}(?![0-9])|(?<![0-9-])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9-])",
-    "card": r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])",
+    "phone": rf"{_ABROAD}|{_LOCAL}",
 }
+#: All groups of digits in a row, 13 digits or more, up to one that begins a value of another kind.
+_APART = "|".join(f"(?:{p})" for p in (PATTERNS["email"], PATTERNS["ip"], PATTERNS["date"], PATTERNS["ssn"], _LOCAL))
+PATTERNS["card"] = rf"(?<![0-9])(?=[0-9](?:[ -]?[0-9]){{12}})[0-9]++(?:[ -](?!{_APART})[0-9]++)*+"
 KINDS = tuple(PATTERNS)
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 
@@ -121,6 +139,58 @@ def _kind(m: Column) -> Column:
     return out.when(n.between(13, 19), F.when(luhn_digit(F.substring(d, F.lit(1), n - 1)) == F.substring(d, -1, 1), "card"))
 
 
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+#: The groups of a card, one digit each at the least.
+CARD_GROUPS = 19
+
+
+def _cards(groups: Column) -> Column:
+    """array<struct(start, end, rank)>: the runs of ``groups`` that are cards, from the left, the longest
+    first; rank 0 in a usual layout, else 1."""
+
+    def read(s: Column) -> Column:
+        right = lambda d: F.when(F.length(d).between(13, 19), luhn_digit(F.substring(d, F.lit(1), F.length(d) - 1)) == F.substring(d, -1, 1))
+        return F.when(_let(_digits(s), right), F.when(s.rlike(rf"^{USUAL_CARD}[ -]?$"), 0).otherwise(1))
+
+    def from_(i: Column) -> Column:
+        counts = F.sequence(F.least(F.lit(CARD_GROUPS), F.size(groups) - i + 1), F.lit(1), F.lit(-1))
+        runs = F.transform(counts, lambda c: F.struct(i.alias("start"), (i + c).alias("end"), read(F.array_join(F.slice(groups, i, c), "")).alias("rank")))
+        return F.filter(runs, lambda c: c["rank"].isNotNull())
+
+    return F.flatten(F.transform(F.sequence(F.lit(1), F.size(groups)), from_))
+
+
+def _apart(cards: Column) -> Column:
+    """From the left, the ``cards`` that begin after the end of the last taken."""
+    start = F.struct(F.lit(1).alias("at"), F.array().cast("array<struct<start:int,end:int,rank:int>>").alias("out"))
+    step = lambda acc, c: F.when(c["start"] >= acc["at"], F.struct(c["end"].alias("at"), F.concat(acc["out"], F.array(c)).alias("out"))).otherwise(acc)
+    return F.aggregate(cards, start, step, lambda acc: acc["out"])
+
+
+def _readings(m: Column) -> Column:
+    """The parts of a match: of digit groups in a row the cards and what is between them, else the match."""
+
+    def cut(groups: Column, taken: Column) -> Column:
+        text = lambda a, b: F.array_join(F.slice(groups, a, b - a), "")
+        start = F.struct(F.lit(1).alias("at"), F.array().cast("array<string>").alias("out"))
+        step = lambda acc, c: F.struct(c["end"].alias("at"), F.concat(acc["out"], F.array(text(acc["at"], c["start"]), text(c["start"], c["end"]))).alias("out"))
+        parts = F.aggregate(taken, start, step, lambda acc: F.concat(acc["out"], F.array(text(acc["at"], F.size(groups) + 1))))
+        return F.filter(parts, lambda p: p != "")
+
+    def choose(cards: Column) -> Column:
+        usual = _apart(F.filter(cards, lambda c: c["rank"] == 0))
+        free = lambda u: F.filter(cards, lambda c: (c["rank"] == 1) & ~F.exists(u, lambda x: (x["start"] < c["end"]) & (c["start"] < x["end"])))
+        return _let(usual, lambda u: F.array_sort(F.concat(u, _apart(free(u)))))
+
+    groups = F.regexp_extract_all(m, F.lit("[0-9]+[ -]?"), F.lit(0))
+    several = _let(groups, lambda g: _let(_let(_cards(g), choose), lambda taken: cut(g, taken)))
+    return F.when(m.rlike("^[0-9]+(?:[ -][0-9]+)++$") & (F.length(_digits(m)) >= 13), several).otherwise(F.array(m))
+
+
 def _format(m: Column) -> Column:
     return F.when(F.contains(m, F.lit("/")), "MM/dd/yyyy").when(F.contains(m, F.lit(".")), "dd.MM.yyyy").otherwise("yyyy-MM-dd")
 
@@ -171,10 +241,11 @@ def pseudonymise(docs: DataFrame, key: str, *, id_col: str = "doc_id", text_col:
     some = F.regexp_like("text", F.lit("[0-9@]"))
     none = F.array().cast("array<string>")
     found = docs.withColumn("found", F.when(some, F.regexp_extract_all("text", F.lit(ANY), F.lit(0))).otherwise(none))
-    new = F.transform("found", lambda m: pseudonym(m, key, undo))
+    found = found.withColumn("parts", F.transform("found", _readings))
+    new = F.transform("parts", lambda parts: F.array_join(F.transform(parts, lambda m: pseudonym(m, key, undo)), ""))
     pieces = F.split("text", ANY, -1)
     woven = F.array_join(F.flatten(F.transform(F.arrays_zip(pieces.alias("piece"), new.alias("new")), lambda x: F.array(x["piece"], F.coalesce(x["new"], F.lit(""))))), "")
-    kinds = F.transform("found", lambda m: _kind(m))
+    kinds = F.transform(F.flatten("parts"), lambda m: _kind(m))
     of = lambda kind: F.filter("kinds", lambda k: k == kind)
     counts = [F.size(of(kind)).cast("long").alias(f"n_{kind}") for kind in KINDS]
     found = found.withColumn("kinds", F.coalesce(kinds, none))

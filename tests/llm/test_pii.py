@@ -75,3 +75,20 @@ def test_day_range():
 def test_key_is_not_shown(spark):
     plan = pii.pseudonymise(frame(spark), KEY)._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("extended"))
     assert KEY[12:] not in plan
+
+
+def test_numbers_beside_a_value_do_not_hide_it(spark):
+    card, solid, phone = "4111 1111 1111 1111", "4111111111111111", "+1 555 123 4567"
+    alone = run(spark, [card, solid, phone, "+49 30 1234 5678"])
+    new = {v: alone[i]["text"] for i, v in enumerate([card, solid, phone, "+49 30 1234 5678"])}
+    cases = [
+        (card, "{} 12/27"), (card, "{} 123"), (solid, "2 {}"), (card, "1234 {} 99"), (card, "12 {} 12.34"), (solid, "17-{}-5 123456"), (card, "1 2 3 4 5 6 7 8 9 10 11 {} 12 13 14"), (card, "+5 {}"),
+        (phone, "{} 2024 12"), (phone, "{} 2024"), ("+49 30 1234 5678", "{} 2024 12"),
+    ]
+    got = run(spark, [f"x {c.format(v)} y" for v, c in cases])
+    for i, (v, c) in enumerate(cases):
+        assert got[i]["text"] == f"x {c.format(new[v])} y" and sum(got[i][f"n_{k}"] for k in pii.KINDS) == 1
+    mixed = f"{card} 2024-02-29 {phone} {solid} 123-45-6789 {card} 42.144.35.254"
+    r = run(spark, [mixed])[0]
+    assert (r["n_card"], r["n_date"], r["n_phone"], r["n_ssn"], r["n_ip"]) == (3, 1, 1, 1, 1) and r["text"].count(new[card]) == 2 and new[phone] in r["text"] and new[solid] in r["text"]
+    assert run(spark, [r["text"]], undo=True)[0]["text"] == mixed
