@@ -30,19 +30,33 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return keep_identified(docs, learn(docs.filter(F.col("lang").isNotNull())), LEAST_SHARE)
 
 
+def _named(docs: DataFrame, stage: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``stage``, which drops documents by their ids, over ``docs`` of which those without an id have one
+    of their own for it, beyond all others.  The ids are written, so that a retry gives the same ones."""
+    own = F.col("doc_id").cast("long")
+    last, missing = docs.agg(F.max(own), F.count_if(own.isNull())).first()
+    if not missing:
+        return stage(docs)
+    kind, first = docs.schema["doc_id"].dataType, 0 if last is None else max(last + 1, 0)
+    ids = docs.filter(own.isNull()).withColumns({"doc_id": F.lit(first).cast("long") + F.monotonically_increasing_id(), "__unnamed": F.lit(True)})
+    known = docs.filter(own.isNotNull()).withColumns({"doc_id": own, "__unnamed": F.lit(False)})
+    kept = stage(known.unionByName(materialize(ids, "unnamed")))
+    return kept.withColumn("doc_id", F.when(~F.col("__unnamed"), F.col("doc_id")).cast(kind)).drop("__unnamed")
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near and exact copies, that of the smallest id."""
-    return keep_one(docs, SHINGLE_WORDS, SIMILAR_PERCENT)
+    return _named(docs, lambda named: keep_one(named, SHINGLE_WORDS, SIMILAR_PERCENT))
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no passage of the benchmark."""
-    return decontaminate(docs, table(spark, sf_dir, "benchmark"))
+    return _named(docs, lambda named: decontaminate(named, table(spark, sf_dir, "benchmark")))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no secret is found."""
-    return without_secrets(docs)
+    return _named(docs, without_secrets)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -68,3 +68,14 @@ def test_stages_equal_plain_code(spark, tmp_path):
 
 def test_shape():
     assert [n for n, _ in cp.STAGES] == ["language", "near_duplicates", "benchmark_passages", "secrets", "packing"] and cp.ORACLE_SQL is None
+
+
+def test_documents_without_an_id_are_filtered_too(spark, tmp_path):
+    spark.createDataFrame([(1, ITEM)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    known, lone = sentence(70, 40, EN), sentence(71, 40, EN)
+    docs = frame(spark, [(7, known), (None, known), (None, lone), (None, lone), (None, lone + " tail"), (None, ITEM), (None, sentence(72, 30, EN) + " " + SECRETS[0])])
+    for stage, left in ((cp.near_duplicates, 4), (cp.benchmark_passages, 3), (cp.secrets, 2)):
+        docs, columns = cp.materialize(stage(spark, docs, str(tmp_path)), "step"), docs.columns
+        assert docs.columns == columns and docs.count() == left, stage.__name__
+    got = [tuple(r) for r in docs.select("doc_id", "text").collect()]
+    assert (7, known) in got and [k for k, t in got if t.startswith(lone)] == [None]
