@@ -91,6 +91,33 @@ def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), words=3, percent=90)
 
 
+def op11_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The words of all documents, every 97th run a code point short, grouped by spelling."""
+    from riskloom.llm.variants import CORRUPTED, spelling_variants
+
+    return spelling_variants(table(spark, sf_dir, "documents"), corrupted=CORRUPTED)
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters keep, remove and share in every part, for every order and step."""
+    from riskloom.llm.audit import filter_audit
+
+    return filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def byte_bpe() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids and decoded text of every document, as digests."""
+    from riskloom.llm.bpe import round_trip
+
+    return round_trip(table(spark, sf_dir, "documents"), byte_bpe())
+
+
 QUERIES = {
     "op1_id_store": op1_id_store,
     "op2_secret_scan": op2_secret_scan,
@@ -102,4 +129,7 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_packing": op9_packing,
     "op10_jaccard": op10_jaccard,
+    "op11_variants": op11_variants,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_byte_bpe": op13_byte_bpe,
 }
