@@ -33,24 +33,30 @@ import codecs
 import hashlib
 import json
 import os
-from collections.abc import Iterable, Iterator
-from itertools import islice
+from collections.abc import Callable, Iterable, Iterator
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
 from riskloom.llm.common import text_chunks, texts
+from riskloom.llm.words import text_bytes
 
 #: Pre-tokens, and their ids, that a worker keeps; beyond either it forgets them all and begins anew.
-KEEP_PARTS, KEEP_IDS = 400_000, 4_000_000
+KEEP_PARTS, KEEP_IDS = 800_000, 8_000_000
 #: Compatibility answers that a worker keeps.
 KEEP_PAIRS = 1_000_000
-#: Pre-tokens handled at a time.
+#: Bytes of text whose new pre-tokens are encoded in one walk.
+WALK_BYTES = 4 << 20
+#: Pre-tokens of a long text handled at a time.
 BLOCK_PARTS = 1 << 16
 #: Characters up to this one are of the same class in every version of Unicode that is in use.
 SETTLED = "ԯ"
+#: Texts of up to this many bytes, of settled characters only, are cut together, by array operations.
+TOGETHER = 1 << 20
 
 #: Fixed value: the pattern of byte-level pre-tokens.
 PATTERN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -204,9 +210,10 @@ class ByteBpe:
             text = token["content"]
             self.added[text] = token["id"]
             self.bytes_of[token["id"]] = bytes(map(letters.__getitem__, text)) if all(c in letters for c in text) else text.encode()
+        self.size_of = {t: len(b) for t, b in self.bytes_of.items()}
         by_length = sorted(self.added, key=len, reverse=True)
         self.stops = regex.compile("(" + "|".join(map(regex.escape, by_length)) + ")") if by_length else None
-        self.path, self.classes, self._library = path, {}, None
+        self.path, self.classes, self._library, self._bytes = path, {}, None, None
         self._forget()
 
     def _forget(self) -> None:
@@ -216,33 +223,56 @@ class ByteBpe:
 
     def last_tokens(self, part: bytes) -> list[int]:
         """The last token of the encoding of every prefix of ``part`` (of 1, 2, ... bytes)."""
+        return self.walk([part], lambda last, _: list(last))[0]
+
+    def walk(self, parts: list[bytes], result: Callable[[list[int], int], list[int]]) -> list[list[int]]:
+        """``result`` of the last tokens of each part's prefixes.  Parts that follow each other share what
+        they have in common, so sorted ones cost little more than the tree of their prefixes."""
         auto, known, compatible = self.automaton, self.merges.known, self.merges.compatible
         next_, link, length, string, up = auto.next, auto.link, auto.length, auto.string, auto.up
-        state = matched = 0
         last: list[int] = []
-        for end, letter in enumerate(part, 1):
-            while letter not in next_[state]:
-                state = link[state]
-                matched = length[state]
-            state = next_[state][letter]
-            matched += 1
-            at = state if matched == length[state] and string[state] >= 0 else up[state]
-            while (before := end - length[at]) > 0:
-                token = string[at]
-                apart = known.get(last[before - 1] << 32 | token)
-                if apart or (apart is None and compatible(last[before - 1], token)):
+        stops = [(0, 0)]  # the automaton's state and the length matched after each byte
+        before, out = b"", []
+        for part in parts:
+            shared = 0
+            for x, y in zip(before, part, strict=False):
+                if x != y:
                     break
-                at = up[at]
-            last.append(string[at])
-        return last
+                shared += 1
+            del last[shared:], stops[shared + 1 :]
+            state, matched = stops[shared]
+            for end in range(shared + 1, len(part) + 1):
+                letter = part[end - 1]
+                while letter not in next_[state]:
+                    state = link[state]
+                    matched = length[state]
+                state = next_[state][letter]
+                matched += 1
+                at = state if matched == length[state] and string[state] >= 0 else up[state]
+                while (start := end - length[at]) > 0:
+                    pair = last[start - 1] << 32 | string[at]
+                    if (apart := known.get(pair)) or (apart is None and compatible(last[start - 1], string[at])):
+                        break
+                    at = up[at]
+                last.append(string[at])
+                stops.append((state, matched))
+            before = part
+            out.append(result(last, len(part)))
+        return out
+
+    def _back(self, last: list[int], end: int) -> list[int]:
+        """The ids, by the back-pointers of the prefixes."""
+        size, out = self.size_of, []
+        while end:
+            token = last[end - 1]
+            out.append(token)
+            end -= size[token]
+        out.reverse()
+        return out
 
     def part_ids(self, part: bytes) -> list[int]:
-        """The ids of one pre-token, by the back-pointers of its prefixes."""
-        last, out, end = self.last_tokens(part), [], len(part)
-        while end:
-            out.append(last[end - 1])
-            end -= len(self.bytes_of[out[-1]])
-        return out[::-1]
+        """The ids of one pre-token."""
+        return self.walk([part], self._back)[0]
 
     def _library_cut(self, text: str) -> list[str]:
         if self._library is None:
@@ -272,15 +302,28 @@ class ByteBpe:
             else:
                 yield from (m.group() for m in PATTERN.finditer(piece))
 
+    def _ready(self) -> None:
+        """Room in the store, made by forgetting everything."""
+        if len(self.slot) > KEEP_PARTS or self.at[len(self.slot)] > KEEP_IDS:
+            self._forget()
+
+    def _gather(self, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(the ids of parts by slot, in order, and where each part's end)."""
+        sizes = self.at[slots + 1] - self.at[slots]
+        to = np.cumsum(sizes)
+        return self.ids[np.repeat(self.at[slots] - to + sizes, sizes) + np.arange(to[-1])], to
+
     def _learn(self, new: list[str | int]) -> None:
-        found = [[p] if isinstance(p, int) else self.part_ids(p.encode()) for p in new]
+        words = sorted(p.encode() for p in new if not isinstance(p, int))
+        ids = dict(zip(words, self.walk(words, self._back), strict=True))
+        found = [[p] if isinstance(p, int) else ids[p.encode()] for p in new]
         n, used = len(self.slot), int(self.at[len(self.slot)])
         ends = used + np.cumsum([len(x) for x in found])
         while n + len(new) + 1 > len(self.at):
             self.at = np.concatenate([self.at, np.zeros(len(self.at), np.int64)])
         while ends[-1] > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros(len(self.ids), np.uint32)])
-        self.ids[used : ends[-1]] = np.concatenate([np.asarray(x, np.uint32) for x in found])
+        self.ids[used : ends[-1]] = np.fromiter(chain.from_iterable(found), np.uint32, int(ends[-1]) - used)
         self.at[n + 1 : n + 1 + len(new)] = ends
         self.slot.update(zip(new, range(n, n + len(new)), strict=True))
 
@@ -288,14 +331,47 @@ class ByteBpe:
         """The ids of a text, in blocks."""
         parts = self.parts(text)
         while block := list(islice(parts, BLOCK_PARTS)):
-            if len(self.slot) > KEEP_PARTS or self.at[len(self.slot)] > KEEP_IDS:
-                self._forget()
+            self._ready()
             if new := [p for p in dict.fromkeys(block) if p not in self.slot]:
                 self._learn(new)
-            slots = np.fromiter(map(self.slot.__getitem__, block), np.int64, len(block))
-            sizes = self.at[slots + 1] - self.at[slots]
-            to = np.cumsum(sizes)
-            yield self.ids[np.repeat(self.at[slots] - to + sizes, sizes) + np.arange(to[-1])]
+            yield self._gather(np.fromiter(map(self.slot.__getitem__, block), np.int64, len(block)))[0]
+
+    def encode_together(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts in order, offsets of the n + 1 texts) of a column of settled, non-null texts
+        without added tokens: pre-tokens are cut by arrays and looked up once each."""
+        data, at = text_bytes(column)
+        if not data.size:
+            return np.zeros(0, np.uint32), np.zeros(len(at), np.int64)
+        starts = part_starts(data, at)
+        ends = np.append(starts, data.size).astype(np.int32)
+        coded = pa.StringArray.from_buffers(len(starts), pa.py_buffer(ends.tobytes()), pa.py_buffer(data.tobytes())).dictionary_encode()
+        parts = coded.dictionary.to_pylist()
+        self._ready()
+        if new := [p for p in parts if p not in self.slot]:
+            self._learn(new)
+        slots = np.fromiter(map(self.slot.__getitem__, parts), np.int64, len(parts))
+        ids, to = self._gather(slots[coded.indices.to_numpy()])
+        return ids, np.append(0, to)[np.searchsorted(starts, at)]
+
+    def apart(self, column: pa.Array) -> np.ndarray:
+        """Which texts :meth:`encode_together` must not be given."""
+        texts = column.fill_null("") if column.null_count else column
+        long = pc.greater(pc.binary_length(texts), TOGETHER).to_numpy(zero_copy_only=False)
+        other = pc.match_substring_regex(texts, f"[^\\x00-{SETTLED}]").to_numpy(zero_copy_only=False)
+        for token in self.added:
+            other = other | pc.match_substring(texts, token).to_numpy(zero_copy_only=False)
+        return long | other
+
+    def token_bytes(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(the bytes of ids in order, where each one's end)."""
+        if self._bytes is None:
+            size = max(self.bytes_of) + 1
+            all_ = [self.bytes_of.get(t, b"") for t in range(size)]
+            self._bytes = np.frombuffer(b"".join(all_), np.uint8), np.append(0, np.cumsum([len(x) for x in all_]))
+        data, at = self._bytes
+        sizes = at[ids.astype(np.int64) + 1] - at[ids]
+        to = np.cumsum(sizes)
+        return data[np.repeat(at[ids] - to + sizes, sizes) + np.arange(to[-1] if len(to) else 0)], to
 
     def decode(self, blocks: Iterable[np.ndarray]) -> Iterator[str]:
         """The text of ids given in blocks, in as many pieces."""
@@ -305,6 +381,61 @@ class ByteBpe:
         yield reader.decode(b"", True)
 
 
+_OTHER, _LETTER, _NUMBER, _SPACE = range(4)
+
+
+def _classes() -> np.ndarray:
+    """The class of every settled character in the pattern."""
+    out = np.full(ord(SETTLED) + 1, _OTHER, np.uint8)
+    for name, pattern in ((_LETTER, r"\p{L}"), (_NUMBER, r"\p{N}"), (_SPACE, r"\s")):
+        own = regex.compile(pattern)
+        out[[c for c in range(len(out)) if own.match(chr(c))]] = name
+    return out
+
+
+_CLASS = _classes()
+
+
+def part_starts(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Where the pre-tokens of texts begin, as byte places: ``data`` is their UTF-8, of one or two bytes
+    a character, ``at`` their n + 1 offsets.  It is the pattern's cut, read off the classes of characters:
+    a run of letters, numbers or others is a part, with the one blank before it; white space before other
+    text gives up its last character, which is a part of its own unless it is that blank; an apostrophe
+    that begins a part takes s, t, re, ve, m, ll or d with it."""
+    place = np.flatnonzero((data & 0xC0) != 0x80)  # of the characters' first bytes
+    first = data[place].astype(np.int32)
+    second = data[np.minimum(place + 1, data.size - 1)]
+    char = np.where(first < 0x80, first, (first & 0x1F) << 6 | (second & 0x3F))
+    kind = _CLASS[char]
+    n = len(char)
+    text_start = np.zeros(n + 1, bool)
+    text_start[np.searchsorted(place, at)] = True
+    space = kind == _SPACE
+    change = np.ones(n, bool)
+    change[1:] = (kind[1:] != kind[:-1]) | text_start[1:n]
+    # The last white-space character before other text of the same text leaves its run.
+    leaves = space.copy()
+    leaves[-1] = False
+    leaves[:-1] &= ~space[1:] & ~text_start[1:n]
+    blank = leaves & (char == 32)
+    start = change | leaves
+    after_blank = np.zeros(n, bool)
+    after_blank[1:] = blank[:-1]
+    start &= ~after_blank
+    # Contractions: an apostrophe that begins a part and is followed by letters.
+    for quote in np.flatnonzero(start & (char == 39)):
+        tail = char[quote + 1 : quote + 3].tolist()
+        if not tail or text_start[quote + 1]:
+            continue
+        size = 1 if chr(tail[0]) in "stmd" else 2 if len(tail) == 2 and not text_start[quote + 2] and chr(tail[0]) + chr(tail[1]) in ("re", "ve", "ll") else 0
+        if size:
+            start[quote + 1] = False
+            end = quote + 1 + size
+            if end < n and kind[end] == _LETTER and not text_start[end]:
+                start[end] = True
+    return place[start]
+
+
 _ENCODERS: dict[str, ByteBpe] = {}
 
 
@@ -345,7 +476,7 @@ def round_trip(docs: DataFrame, tokenizer: str, *, id_col="doc_id", text_col="te
     decoded text) and same_text (whether it is the text) of every row, encoded and decoded in one pass
     without the ids leaving their task."""
 
-    def row(own: ByteBpe, text: str) -> tuple[int, str, str, bool]:
+    def alone(own: ByteBpe, text: str) -> tuple[int, str, str, bool]:
         count, ids_hash, text_hash, size = 0, hashlib.sha256(), hashlib.sha256(), 0
 
         def counted():
@@ -362,11 +493,27 @@ def round_trip(docs: DataFrame, tokenizer: str, *, id_col="doc_id", text_col="te
             text_hash.update(piece.encode())
         return count, ids_hash.hexdigest(), text_hash.hexdigest(), same and size == len(text)
 
+    def together(own: ByteBpe, column: pa.Array) -> list[tuple[int, str, str, bool]]:
+        ids, at = own.encode_together(column)
+        raw, ends = own.token_bytes(ids)
+        data, data_at = text_bytes(column)
+        ids, byte_at = ids.astype("<u4"), np.append(0, ends)[at]
+        out = []
+        for k in range(len(column)):
+            back = raw[byte_at[k] : byte_at[k + 1]].tobytes()
+            text = back.decode("utf-8", "replace").encode()
+            same = text == data[data_at[k] : data_at[k + 1]].tobytes()
+            out.append((int(at[k + 1] - at[k]), hashlib.sha256(ids[at[k] : at[k + 1]]).hexdigest(), hashlib.sha256(text).hexdigest(), same))
+        return out
+
     def run(batches):
         own = encoder(tokenizer)
         for batch in batches:
-            for chunk in text_chunks(batch):
-                rows = [row(own, t or "") for t in chunk.column("text").to_pylist()]
+            for chunk in text_chunks(batch, limit=WALK_BYTES):
+                column = chunk.column("text").fill_null("")
+                apart = own.apart(column)
+                rows = iter(together(own, column.filter(pa.array(~apart))))
+                rows = [alone(own, column[k].as_py()) if odd else next(rows) for k, odd in enumerate(apart)]
                 columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.string(), pa.string(), pa.bool_()), strict=True)]
                 yield pa.RecordBatch.from_arrays([chunk.column("doc_id"), *columns], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "same_text"])
 
