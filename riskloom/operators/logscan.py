@@ -13,8 +13,9 @@ Plan (no whole log ever gathered into one task or row):
 3. lines ⋈ e → tail pieces.  The full message is the ordered parts
    (``log_exceptions``).  A generator is given the whole message, unless it
    says how many leading characters it reads (the default one does): then
-   the pieces beyond them are left out by a row-number limit that Spark
-   evaluates partially before the shuffle (window group limit).
+   the fold has two levels.  Characters are counted per (log, block of
+   lines), running sums over a log's blocks tell which of them come before
+   those characters are reached, and only their pieces meet (``leading_parts``).
 """
 
 from __future__ import annotations
@@ -28,6 +29,9 @@ from riskloom.functions.text import TRUNCATE_AT, strip_spaces, truncate_message
 from riskloom.operators.joins import broadcast_if_small
 from riskloom.session import materialize
 
+#: Line numbers of a block of the two-level message fold.
+BLOCK_LINES = 4096
+
 # Line patterns of the scan.  Fixed values.
 TRACE_START = r"^Traceback \(most recent call last\):"
 EXCEPTION_LINE = r"(?sU)^(\w+):(.*)"
@@ -101,12 +105,29 @@ def default_payload(name: Column, message: Column) -> list[Column]:
     ]
 
 
+def leading_parts(parts: DataFrame, characters: int, log: str = "log_id", block_lines: int = BLOCK_LINES) -> DataFrame:
+    """The parts (log, part_no, part) that the first ``characters`` of each
+    log's message can come from, each cut to as many characters.
+
+    The lines of a log are counted by blocks, partially in their scan tasks,
+    and only the counts of a log's blocks (one row for ``block_lines`` line
+    numbers) are ordered and summed up.  Blocks that begin within the first
+    ``characters`` are kept: as every part adds one character at least, what is
+    kept of a log is one block and ``characters`` parts, whatever its size."""
+    blocks = parts.select(log, "part_no", F.floor(F.col("part_no") / block_lines).alias("_block"), F.substring("part", 1, characters).alias("part"))
+    sizes = blocks.groupBy(log, "_block").agg(F.sum(F.length("part") + 1).alias("_chars"))
+    earlier = Window.partitionBy(log).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    begin = sizes.withColumn("_begin", F.coalesce(F.sum("_chars").over(earlier), F.lit(0)))
+    first = begin.where(F.col("_begin") < characters).select(log, "_block")
+    return blocks.join(broadcast_if_small(first), [log, "_block"], "left_semi").drop("_block")
+
+
 def messages(parts: DataFrame, log: str = "log_id", characters: int | None = None) -> DataFrame:
     """(log, exception_name, message) from ordered parts.
 
     The whole message is one value, as a generator that reads all of it must
-    be given; with ``characters`` only its first so many are needed, and
-    since every part adds at least one, no more parts than that are moved.
+    be given; with ``characters`` only the parts that its first so many come
+    from are put together (the message is right up to there at least).
     Blank parts at either end are cut off first, so a prefix of the parts is
     a prefix of the stripped message."""
     blank = F.col("part") == ""
@@ -118,8 +139,7 @@ def messages(parts: DataFrame, log: str = "log_id", characters: int | None = Non
     ends = broadcast_if_small(ends)
     inner = parts.select(log, "part_no", "part").join(ends.select(log, "_first", "_last"), log).where(F.col("part_no").between(F.col("_first"), F.col("_last")))
     if characters is not None:
-        w = Window.partitionBy(log).orderBy("part_no")
-        inner = inner.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= characters + 1)
+        inner = leading_parts(inner, characters, log)
     joined = inner.groupBy(log).agg(F.array_sort(F.collect_list(F.struct("part_no", "part"))).alias("_p"))
     text = F.coalesce(F.array_join(F.transform("_p", lambda s: s["part"]), " "), F.lit(""))
     return ends.join(joined, log, "left").select(log, "exception_name", text.alias("message"))

@@ -546,8 +546,29 @@ def stream_sql(q: dict[str, str]) -> dict[str, str]:
             f"SELECT strftime(date_trunc('hour', ts) + to_minutes(CAST(floor(minute(ts) / 15) * 15 AS BIGINT)), {TSF}) "
             "AS slot, count(*) AS n_events, round(sum(value), 6) AS total_value FROM events GROUP BY 1"
         ),
-        "stream_settled": (
-            f"SELECT s.*, l.latest_path FROM ({q['input_settled']}) s LEFT JOIN ({q['latest_object']}) l ON s.partition = l.partition"
-        ),
+        "stream_settled": pokes_sql(6),
         "stream_logscan": q["log_alerts"],
     }
+
+
+def pokes_sql(passes: int) -> str:
+    """The settled check replayed poke by poke: objects arrive in passes of
+    equal time, and each poke compares with the mark that the last one left."""
+    return with_("RECURSIVE " + INV.strip()).rstrip() + f""",
+span AS (SELECT min(mtime) AS lo, CAST(round_even((epoch_us(max(mtime)) - epoch_us(min(mtime))) / {passes}.0, 0) AS BIGINT) AS step FROM inv),
+arrived AS (SELECT inv.*, CASE WHEN step = 0 THEN {passes - 1} ELSE least({passes - 1}, (epoch_us(mtime) - epoch_us(lo)) // step) END AS pass FROM inv, span),
+start AS (SELECT partition, max(mtime) AS mark FROM inv WHERE mtime <= TIMESTAMP '2024-01-20 12:00:00' GROUP BY 1),
+known AS (SELECT partition, min(pass) AS since FROM (SELECT partition, pass FROM arrived UNION ALL SELECT partition, 0 FROM start) GROUP BY 1),
+listed AS (
+  SELECT k.partition, p.pass, count(a.path) AS n, max(a.mtime) AS latest, arg_min(a.path, (-epoch_us(a.mtime), a.path)) AS path
+  FROM known k JOIN range(0, {passes}) AS p(pass) ON p.pass >= k.since LEFT JOIN arrived a ON a.partition = k.partition AND a.pass <= p.pass GROUP BY 1, 2),
+pokes AS (
+  SELECT l.partition, l.pass, l.n, l.latest, l.path, s.mark AS stored, coalesce(l.n > 0 AND l.latest <= s.mark, false) AS settled,
+    CASE WHEN l.n > 0 AND NOT coalesce(l.latest <= s.mark, false) THEN l.latest ELSE s.mark END AS mark
+  FROM listed l JOIN known k ON k.partition = l.partition AND k.since = l.pass LEFT JOIN start s ON s.partition = l.partition
+  UNION ALL
+  SELECT l.partition, l.pass, l.n, l.latest, l.path, p.mark, coalesce(l.n > 0 AND l.latest <= p.mark, false),
+    CASE WHEN l.n > 0 AND NOT coalesce(l.latest <= p.mark, false) THEN l.latest ELSE p.mark END
+  FROM pokes p JOIN listed l ON l.partition = p.partition AND l.pass = p.pass + 1)
+SELECT pass, partition, n AS n_objects, path AS latest_path, strftime(latest, {TSF}) AS latest_mtime, strftime(stored, {TSF}) AS stored_mark,
+  strftime(mark, {TSF}) AS new_mark, settled FROM pokes"""

@@ -798,7 +798,8 @@ def q_stream_buckets(spark, sf_dir):
 
 @register("stream_settled")
 def q_stream_settled(spark, sf_dir):
-    """STR2: the settled decision from streaming state and the stored marks."""
+    """STR2: six pokes of the settled check, each against the marks that the
+    one before stored; one row a (pass, partition)."""
     from riskloom.fixtures import inventory
     from riskloom.operators.lakeops import marks_at
     from riskloom.session import materialize
@@ -809,7 +810,7 @@ def q_stream_settled(spark, sf_dir):
     marks = materialize(marks_at(inv, SETTLED_CUTOFF), "marks")
     out = stream_settled(spark, Chunks(inv, "mtime", STREAM_CHUNKS, "stream-inventory"), marks)
     stamps = [_ts_text(c).alias(c) for c in ("latest_mtime", "stored_mark", "new_mark")]
-    return out.select("partition", "n_objects", "latest_path", *stamps, "settled")
+    return out.select("pass", "partition", "n_objects", "latest_path", *stamps, "settled")
 
 
 @register("stream_logscan")

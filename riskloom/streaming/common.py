@@ -60,14 +60,24 @@ def file_stream(spark: SparkSession, source: Folder, path: str) -> DataFrame:
     return spark.readStream.schema(source.schema).parquet(path)
 
 
-def run_passes(spark: SparkSession, source: Folder, name: str, start) -> None:
-    """``start(stream of the source, checkpoint folder)`` starts the query with
-    ``availableNow``; it is run once for each pass, resuming from its
-    checkpoint."""
+def passes(spark: SparkSession, source: Folder, name: str) -> Iterator:
+    """For each pass over the source a function that runs it: given
+    ``start(stream of the source)`` it starts that query with ``availableNow``,
+    resuming from the checkpoint of the passes before, and waits for its end."""
     checkpoint = scratch_dir(spark, f"{name}-ckpt")
     for path in source.passes():
-        writer = start(file_stream(spark, source, path))
-        writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+        def run(start, path=path) -> None:
+            writer = start(file_stream(spark, source, path))
+            writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+        yield run
+
+
+def run_passes(spark: SparkSession, source: Folder, name: str, start) -> None:
+    """Run the query that ``start`` makes once for each pass."""
+    for run in passes(spark, source, name):
+        run(start)
 
 
 def batch_sink(out_path: str, change=None):

@@ -1,13 +1,15 @@
 """Streaming forms of the batch jobs (STR1-STR4).
 
 * ``stream_buckets`` — tumbling event windows with a watermark (update mode).
-* ``stream_settled`` — per-partition object count and latest object as
-  streaming aggregation state (partial aggregation before the shuffle), held
-  against the stored marks in every micro-batch.
+* ``stream_settled`` — the settled check poked once a pass: every pass reads
+  the listing and the marks that the last one stored, decides for every
+  partition, changed or not, and stores the marks for the next.
 * ``stream_logscan`` — the three-phase exception scan (seek → in trace →
   tail) per log, fed in line order across micro-batches: each batch writes
   the log states that changed and the message parts it found, with aggregates
-  and size-checked joins, never a log's lines in one task.
+  and size-checked joins, never a log's lines in one task.  The states are
+  written whole every few batches, so a batch reads as many folders after a
+  year as on the first day.
 * ``stream_score`` — whichever model was saved, applied to each micro-batch.
 
 Every job takes a source (``Folder`` or ``Chunks``), writes through an
@@ -21,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.session import scratch_dir
-from riskloom.streaming.common import Folder, batch_sink, latest_versions, run_passes
+from riskloom.streaming.common import Folder, batch_sink, latest_versions, passes, run_passes
 
 
 # ------------------------------------------------------------------ STR4
@@ -45,28 +47,79 @@ def stream_buckets(spark: SparkSession, source: Folder, watermark: str = "1 hour
 
 
 # ------------------------------------------------------------------ STR2
-def stream_settled(spark: SparkSession, source: Folder, marks: DataFrame) -> DataFrame:
-    """JOB4 on a stream: per partition the object count, the latest object
-    (ties → smallest path), the stored mark, whether it is settled and the
-    new mark; each micro-batch decides anew for the partitions it changed.
+_POKE = "partition string, n_objects long, latest_mtime timestamp, latest_path string, stored_mark timestamp, settled boolean, new_mark timestamp"
+
+
+def begin_pokes(spark: SparkSession, root: str, marks: DataFrame) -> str:
+    """Write the version that the first poke starts from: nothing listed yet,
+    ``marks`` (partition, stored_mark) stored."""
+    none = lambda t: F.lit(None).cast(t)
+    start = marks.select(
+        F.col("partition").cast("string").alias("partition"), F.lit(0).cast("long").alias("n_objects"), none("timestamp").alias("latest_mtime"),
+        none("string").alias("latest_path"), none("timestamp").alias("stored_mark"), F.lit(False).alias("settled"),
+        F.col("stored_mark").cast("timestamp").alias("new_mark"),
+    )
+    start.write.mode("overwrite").parquet(f"{root}/pokes/pass=-1")
+    return root
+
+
+def listed_batch(root: str, number: int):
+    """foreachBatch function of pass ``number``: what a micro-batch adds to
+    each partition's listing, one row a partition, in a folder of its own that
+    a replay overwrites."""
+    from riskloom.operators.lakeops import latest_aggregates
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        added = batch.groupBy("partition").agg(*latest_aggregates())
+        added.write.mode("overwrite").parquet(f"{root}/listed/pass={number}/batch_id={batch_id}")
+
+    return run
 
-    Count and latest are algebraic, so each micro-batch is aggregated
-    partially in its scan tasks before the shuffle: a partition holding a
-    third of the objects sends one partial row per task, and the state is
-    one row per partition.  ``marks`` (partition, stored_mark) is a table;
-    partitions that only it knows are reported as not settled."""
-    from riskloom.operators.lakeops import latest_aggregates, settle
 
-    out = scratch_dir(spark, "stream-settled")
+def poke(spark: SparkSession, root: str, number: int) -> None:
+    """Pass ``number`` of the settled check: the listing as the last pass knew
+    it and what this pass added, held against the marks that the last pass
+    stored.  One row a partition, written as the version that the next pass
+    reads; done again it writes the same rows, as it reads no version but the
+    one before."""
+    from riskloom.operators.lakeops import settle
 
-    def start(inv: DataFrame):
-        state = inv.groupBy("partition").agg(*latest_aggregates())
-        return state.writeStream.outputMode("update").foreachBatch(batch_sink(out, lambda batch: settle(batch, marks, how="left")))
+    last = spark.read.schema(_POKE).parquet(f"{root}/pokes/pass={number - 1}")
+    listing = last.select("partition", "n_objects", "latest_mtime", "latest_path")
+    folder = f"{root}/listed/pass={number}"
+    if _exists(spark, folder):  # a pass without new objects has no micro-batch
+        added = spark.read.schema("partition string, n_objects long, latest_mtime timestamp, latest_path string").parquet(folder)
+        listing = listing.unionByName(added.select(*listing.columns))
+    age = -F.unix_micros("latest_mtime")
+    first = F.min(F.when(F.col("latest_mtime").isNotNull(), F.struct(age.alias("a"), F.col("latest_path").alias("p"))))
+    known = listing.groupBy("partition").agg(F.sum("n_objects").alias("n_objects"), F.max("latest_mtime").alias("latest_mtime"), first["p"].alias("latest_path"))
+    marks = last.where(F.col("new_mark").isNotNull()).select("partition", F.col("new_mark").alias("stored_mark"))
+    settle(known, marks).write.mode("overwrite").parquet(f"{root}/pokes/pass={number}")
 
-    run_passes(spark, source, "stream-settled", start)
-    seen = latest_versions(spark, out, ["partition"])
-    silent = marks.join(seen, "partition", "left_anti")
-    return seen.unionByName(settle(seen.limit(0).select("partition", "n_objects", "latest_mtime", "latest_path"), silent))
+
+def _exists(spark: SparkSession, folder: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
+def stream_settled(spark: SparkSession, source: Folder, marks: DataFrame) -> DataFrame:
+    """JOB4 on a stream, poked after every pass: one row a (pass, partition)
+    with the object count, the latest object (ties → smallest path), the mark
+    stored before, whether the partition is settled and the mark stored now.
+
+    A partition that a pass did not touch is poked like any other, so it
+    settles in the first pass that finds it as the pass before left it.
+    Partitions that only ``marks`` (partition, stored_mark) knows are reported
+    as not settled.  Count and latest are algebraic: a micro-batch is
+    aggregated partially in its scan tasks, and a pass reads its own rows and
+    one version of one row a partition, however many passes went before."""
+    root = begin_pokes(spark, scratch_dir(spark, "stream-settled"), marks)
+    number = -1
+    for number, run in enumerate(passes(spark, source, "stream-settled")):
+        run(lambda inv, number=number: inv.writeStream.foreachBatch(listed_batch(root, number)))
+        poke(spark, root, number)
+    pokes = spark.read.schema(_POKE + ", pass long").parquet(f"{root}/pokes")
+    return pokes.where(F.col("pass") >= 0)
 
 
 # ------------------------------------------------------------------ STR3
@@ -129,11 +182,21 @@ def scan_step(state: DataFrame, lines: DataFrame) -> tuple[DataFrame, DataFrame]
     return changed, parts
 
 
-def scan_state(spark: SparkSession, root: str, before: int | None = None) -> DataFrame:
-    """The state of every log from the changes of all batches (before one)."""
-    changes = spark.read.schema(_SCAN_STATE + ", batch_id long").parquet(f"{root}/state")
-    if before is not None:
-        changes = changes.where(F.col("batch_id") < before)
+#: The states of all logs are written whole after every so many batches.
+SNAPSHOT_EVERY = 16
+
+
+def state_folders(root: str, batch_id: int, every: int = SNAPSHOT_EVERY) -> list[str]:
+    """What holds the state before a batch: the last whole writing of it, and
+    the changes of the batches since, ``every`` folders at most."""
+    whole = batch_id // every * every - 1  # batches are numbered without gaps
+    first = f"{root}/whole/batch_id={whole}" if whole >= 0 else f"{root}/state/batch_id=-1"
+    return [first, *[f"{root}/state/batch_id={b}" for b in range(whole + 1, batch_id)]]
+
+
+def scan_state(spark: SparkSession, root: str, before: int, every: int = SNAPSHOT_EVERY) -> DataFrame:
+    """The state of every log before a batch; a folder that is missing raises."""
+    changes = spark.read.schema(_SCAN_STATE).parquet(*state_folders(root, before, every))
     return changes.groupBy("log_id").agg(F.max("phase").alias("phase"), F.max("name").alias("name"))
 
 
@@ -146,19 +209,25 @@ def begin_scan(spark: SparkSession, root: str) -> str:
     return root
 
 
-def scan_batch(root: str):
+def scan_batch(root: str, every: int = SNAPSHOT_EVERY):
     """foreachBatch function: the changes and parts of batch b from the state
     before it, written as folders ``batch_id=b`` (a replayed batch overwrites
     its own folders from the same inputs).  Parts come first: a state row is
-    there only if the parts that go with it are."""
+    there only if the parts that go with it are.  After the last batch of
+    ``every`` the state is written whole, from folders that are complete by
+    then; only later batches read it."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         lines = batch.select("log_id", "line_no", "line").persist()
-        changed, parts = scan_step(scan_state(spark, root, batch_id), lines)
+        changed, parts = scan_step(scan_state(spark, root, batch_id, every), lines)
         parts.write.mode("overwrite").parquet(f"{root}/parts/batch_id={batch_id}")
         changed.write.mode("overwrite").parquet(f"{root}/state/batch_id={batch_id}")
         lines.unpersist()  # nothing cached outlives its batch
+        if (batch_id + 1) % every == 0:
+            changes = spark.read.schema(_SCAN_STATE).parquet(*state_folders(root, batch_id, every), f"{root}/state/batch_id={batch_id}")
+            whole = changes.groupBy("log_id").agg(F.max("phase").alias("phase"), F.max("name").alias("name"))
+            whole.write.mode("overwrite").parquet(f"{root}/whole/batch_id={batch_id}")
 
     return run
 

@@ -67,11 +67,26 @@ def test_a_generator_gets_the_whole_message(spark):
     assert r["text"].startswith("head piece 0 piece 1 piece 2")
 
 
+def test_of_a_hot_log_one_block_and_the_leading_characters_are_put_together(spark):
+    """A log of a million tail lines over 1,000 partitions: its blocks are
+    counted, and no more than a block and 301 parts meet."""
+    from riskloom.operators.logscan import BLOCK_LINES, leading_parts, messages
+
+    hot = spark.range(1_000_000, numPartitions=1000).select(F.lit("hot").alias("log_id"), F.lit("E").alias("exception_name"), (F.col("id") * 7).alias("part_no"), F.concat(F.lit("p"), F.col("id").cast("string")).alias("part"))
+    other = spark.createDataFrame([("small", "X", -1, ""), ("small", "X", 5, "a" * 400), ("small", "X", 9000, "b"), ("sparse", "Y", -1, "y"), *[("sparse", "Y", k * 10 * BLOCK_LINES, "z") for k in range(400)]], "log_id string, exception_name string, part_no long, part string")
+    parts = hot.unionByName(other)
+    kept = {r["log_id"]: r["count"] for r in leading_parts(parts, 301).groupBy("log_id").count().collect()}
+    assert kept["hot"] <= BLOCK_LINES + 301 and kept["sparse"] <= 302 and kept["small"] == 2
+    got = {r["log_id"]: r["message"] for r in messages(parts, characters=301).collect()}
+    assert got["hot"][:301] == " ".join(f"p{i}" for i in range(200))[:301]
+    assert got["sparse"][:301] == "y" + " z" * 150 and got["small"][:301] == "a" * 301
+
+
 def _stream_steps(spark, root, lines, cuts):
     """Feed ``lines`` to the stream's batches in line order, split at ``cuts``."""
     from riskloom.streaming.jobs import begin_scan, scan_batch
 
-    run = scan_batch(begin_scan(spark, root))
+    run = scan_batch(begin_scan(spark, root), every=3)
     bounds = [None, *cuts, None]
     for b, (lo, hi) in enumerate(zip(bounds, bounds[1:])):
         cond = F.lit(True)
@@ -95,11 +110,30 @@ def test_stream_batches_equal_the_batch_scan(spark, tmp_path):
         _stream_steps(spark, root, lines, cuts)
         parts = spark.read.parquet(f"{root}/parts").drop("batch_id")
         assert sorted(map(tuple, parts.collect())) == want
-        assert [r[0] for r in scan_state(spark, root).where("phase = 1").collect()] == ["only frames"]
+        assert [r[0] for r in scan_state(spark, root, len(cuts) + 1, 3).where("phase = 1").collect()] == ["only frames"]
         (r,) = alerts(parts.where("log_id = 'hot'"), payload=_whole).collect()
         assert r["text"] == "head " + " ".join(f"tail piece {i}" for i in range(3000))
 
 
+def test_a_batch_reads_as_many_folders_however_many_went_before(spark, tmp_path):
+    from riskloom.streaming.jobs import begin_scan, scan_batch, scan_state, state_folders
+
+    assert max(len(state_folders("r", b, 16)) for b in range(400)) == 16
+    assert state_folders("r", 37, 16) == ["r/whole/batch_id=31", *[f"r/state/batch_id={b}" for b in range(32, 37)]]
+    root = begin_scan(spark, str(tmp_path / "s"))
+    run, states = scan_batch(root, every=4), []
+    for b in range(14):
+        rows = [(f"log{b}", 0, "Traceback (most recent call last):"), (f"log{b - 3}", 1, "Late: found"), ("quiet", b, "INFO nothing")]
+        lines = spark.createDataFrame(rows, "log_id string, line_no long, line string")
+        run(lines, b)
+        if b in (3, 7, 9):
+            run(lines, b)  # replayed, the whole writing of the state too
+        read = scan_state(spark, root, b + 1, 4)
+        states.append({r["log_id"]: r["phase"] for r in read.collect()})
+        assert len({"/".join(f.split("/")[:-1]) for f in read.inputFiles()}) <= 4
+    assert states == [{f"log{k}": 2 if k + 3 <= b else 1 for k in range(b + 1)} for b in range(14)]
+
+
 def test_an_unreadable_state_version_raises(spark, tmp_path):
     from riskloom.streaming.jobs import begin_scan, scan_batch
 
