@@ -15,8 +15,13 @@ Jaccard similarity of their sets is at least the threshold t.
    an R-tree whose nodes hold the greatest counts below them; a search goes down where the summed
    minima still reach what the threshold asks.
 4. Verification on the whole shingle sets.  A cell's points are first held against the cell's
-   smallest, which joins a group of near copies by as many pairs as it has members; then only cells
-   that still hold separate parts are searched by their trees, and only pairs across parts verified.
+   smallest, which joins a group of near copies by as many pairs as it has members.  Cells that still
+   hold separate parts are bundled by their smallest point, so that two points that share many cells meet
+   in few bundles, and each bundle is searched by one tree: first on the packed counts, which leaves the
+   points that may be linked across parts; then, with those points' whole sets at hand, on as many groups
+   as the sets are large, every pair that is left being verified there and then unless it is joined
+   already.  Only links that join two parts are put out: fewer than a bundle has points.
+   Bundles too large for a task are searched cell by cell, their pairs verified after a shuffle.
 5. Components of the links.
 
 Null ids: their rows come back with a null component and link nothing.  Rows that share an id are one
@@ -47,6 +52,10 @@ LEAF = 16
 CLASS_FACTOR = 1.25
 #: Points of a cell that one task searches by a tree; larger cells are split by their tree's order.
 CELL_POINTS = 4096
+#: Points and shingles (8 bytes each) of a bundle that one task searches; larger ones go by cells.
+BUNDLE_POINTS, BUNDLE_SHINGLES = 4096, 1 << 23
+#: The most groups of a bundle's count vectors.
+BUNDLE_GROUPS = 4096
 
 _GROUP, _BLOCK = np.uint64(0xA24BAED4963EE407), np.uint64(0x9FB21C651E98DF25)
 
@@ -113,9 +122,12 @@ def cell_keys(hashes: np.ndarray, threshold: Threshold) -> np.ndarray:
     return np.concatenate(out)
 
 
+def group_counts(hashes: np.ndarray, groups: int) -> np.ndarray:
+    return np.bincount(((hashes * _GROUP) >> np.uint64(40)).astype(np.int64) % groups, minlength=groups)
+
+
 def count_vector(hashes: np.ndarray) -> np.ndarray:
-    counts = np.bincount(((hashes * _GROUP) >> np.uint64(40)).astype(np.int64) % GROUPS, minlength=GROUPS)
-    return np.minimum(counts, FULL).astype(np.uint8)
+    return np.minimum(group_counts(hashes, GROUPS), FULL).astype(np.uint8)
 
 
 def count_vectors(column: pa.Array) -> np.ndarray:
@@ -273,12 +285,76 @@ def verified(pairs: DataFrame, sets: Sets, threshold: Threshold) -> DataFrame:
     return materialize(joined.mapInArrow(linked, "a long, b long"), "linked")
 
 
-def tree_pairs(cells: DataFrame, parts: DataFrame, vectors: DataFrame, percent: int) -> DataFrame:
-    """a, b: pairs of a cell whose summed minima may reach the threshold and that are not yet in one
-    part.  ``cells`` (cell, node), ``parts`` (node, part); a node without a part is its own."""
+def open_cells(cells: DataFrame, parts: DataFrame) -> DataFrame:
+    """A written table: cell, node, part of the cells that hold separate parts.  ``cells`` (cell, node),
+    ``parts`` (node, part); a node without a part is its own."""
     placed = cells.join(parts, "node", "left").select("cell", "node", F.coalesce("part", "node").alias("part"))
-    split = placed.groupBy("cell").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.count("*").alias("points")).filter("lo < hi")
-    open_ = materialize(placed.join(split.select("cell", "points"), "cell").join(vectors, "node"), "open")
+    split = placed.groupBy("cell").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).filter("lo < hi")
+    return materialize(placed.join(split.select("cell"), "cell"), "open")
+
+
+def bundles(cells: DataFrame, points: DataFrame) -> DataFrame:
+    """A written table: leader, node, part, large of the points of ``cells`` (cell, node, part).  A
+    bundle is the cells of one smallest point; it is large if one task should not search it."""
+    first = cells.groupBy("cell").agg(F.min("node").alias("leader"))
+    rows = materialize(cells.join(first, "cell").select("leader", "node", "part").distinct(), "bundles")
+    load = rows.join(points.groupBy("node").agg(F.max("n").alias("n")), "node").groupBy("leader").agg(F.count("*").alias("points"), F.sum("n").alias("shingles"))
+    large = (F.col("points") > BUNDLE_POINTS) | (F.col("shingles") > BUNDLE_SHINGLES)
+    return materialize(rows.join(load.select("leader", large.alias("large")), "leader"), "loads")
+
+
+def may_link(rows: DataFrame, vectors: DataFrame, percent: int) -> DataFrame:
+    """leader, node, part of the points that the packed counts of their bundle let be linked with a
+    point of another part."""
+
+    def search(group: pa.Table) -> pa.Table:
+        counts = count_vectors(group.column("counts"))
+        part, size = group.column("part").to_numpy(), group.column("n").to_numpy()
+        tree, keep = CountTree(counts, size), np.zeros(len(part), bool)
+        for i in range(len(part)):
+            found = tree.search(counts[i], int(size[i]), percent)
+            keep[i] = (part[found] != part[i]).any()
+        return group.select(["leader", "node", "part"]).filter(pa.array(keep))
+
+    own = rows.join(vectors, "node").select("leader", "node", "part", "n", "counts")
+    return own.groupBy("leader").applyInArrow(search, "leader long, node long, part long")
+
+
+def spanning_links(part: np.ndarray, sets: list[np.ndarray], threshold: Threshold) -> list[tuple[int, int]]:
+    """Links (as places) that join the parts of a bundle as far as its sets are linked."""
+    size = np.array([len(x) for x in sets], np.int64)
+    groups = min(max(1 << int(size.mean()).bit_length(), GROUPS), BUNDLE_GROUPS)
+    counts = np.array([group_counts(x, groups) for x in sets]).astype(np.int32)
+    tree, label, links = CountTree(counts, size), np.unique(part, return_inverse=True)[1], []
+    for i in range(len(sets)):
+        found = tree.search(counts[i], int(size[i]), threshold.percent)
+        for j in np.sort(found[(found > i) & (label[found] != label[i])]):
+            if label[j] != label[i] and threshold.linked(np.intersect1d(sets[i], sets[j], assume_unique=True).size, size[i], size[j]):
+                links.append((i, int(j)))
+                label[label == label[j]] = label[i]
+    return links
+
+
+def bundle_links(rows: DataFrame, vectors: DataFrame, sets: Sets, threshold: Threshold) -> DataFrame:
+    """a, b: a written table of links that join parts, at most one fewer than a bundle has points."""
+    left = materialize(may_link(rows, vectors, threshold.percent), "may")
+    whole = sets.column(left.select("node"), "hashes", lambda s: s.astype("<u8").tobytes())
+
+    def search(group: pa.Table) -> pa.Table:
+        node = group.column("node").to_numpy()
+        own = [np.frombuffer(x.as_buffer(), "<u8") for x in group.column("hashes")]
+        links = np.array(spanning_links(group.column("part").to_numpy(), own, threshold), np.int64).reshape(-1, 2)
+        return pa.table({"a": node[links[:, 0]], "b": node[links[:, 1]]})
+
+    met = left.join(whole.select("node", "hashes"), "node").select("leader", "node", "part", "hashes")
+    return materialize(met.groupBy("leader").applyInArrow(search, "a long, b long"), "linked")
+
+
+def tree_pairs(cells: DataFrame, vectors: DataFrame, percent: int) -> DataFrame:
+    """a, b: pairs of a cell whose summed minima may reach the threshold and that are not yet in one
+    part.  ``cells``: cell, node, part of cells that hold separate parts."""
+    points = cells.groupBy("cell").agg(F.count("*").alias("points"))
+    open_ = materialize(cells.join(points, "cell").join(vectors, "node"), "open")
     schema = "a long, b long"
 
     def search(group: pa.Table, own: np.ndarray) -> pa.Table:
@@ -330,8 +406,8 @@ def jaccard_components(docs: DataFrame, words: int, percent: int, *, id_col="doc
 
     rows = cell_rows(docs.filter("doc_id is not null"), words, threshold)
     by_cell = Window.partitionBy("cell")
-    met = rows.withColumn("lo", F.min("s1").over(by_cell)).withColumn("hi", F.max("s1").over(by_cell)).filter("lo < hi").select("cell", "s1").distinct()
-    members = materialize(met.join(points.select("s1", "node"), "s1").select("cell", "node").distinct(), "members")
+    shared = rows.withColumn("lo", F.min("s1").over(by_cell)).withColumn("hi", F.max("s1").over(by_cell)).filter("lo < hi").select("cell", "s1").distinct()
+    members = materialize(shared.join(points.select("s1", "node"), "s1").select("cell", "node").distinct(), "members")
     # The same points often meet in many cells: of cells with the same members one is enough.
     mark = lambda seed: F.bit_xor(F.xxhash64("node", F.lit(seed)))
     alike = members.groupBy("cell").agg(mark(1).alias("m1"), mark(2).alias("m2"), F.count("*").alias("points"), F.min("node").alias("leader"))
@@ -343,7 +419,13 @@ def jaccard_components(docs: DataFrame, words: int, percent: int, *, id_col="doc
     hung = cells.filter("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
     stars = verified(bounded(hung, vectors, percent), sets, threshold)
     parts = components(stars).select("node", F.col("component").alias("part"))
-    rest = verified(tree_pairs(cells.select("cell", "node"), parts, vectors, percent), sets, threshold)
+    apart = open_cells(cells.select("cell", "node"), parts)
+    met = bundles(apart, points)
+    rest = bundle_links(met.filter("not large"), vectors, sets, threshold)
+    large = met.filter("large").select("leader").distinct()
+    if not large.isEmpty():
+        first = apart.groupBy("cell").agg(F.min("node").alias("leader")).join(large, "leader")
+        rest = rest.union(verified(tree_pairs(apart.join(first.select("cell"), "cell"), vectors, percent), sets, threshold))
     labels = components(stars.union(rest).union(several))
 
     whole = named.join(points, ["s1", "s2", "n"], "left").join(labels, "node", "left")

@@ -63,8 +63,48 @@ def test_components_equal_brute_force(spark, k, percent):
     assert sorted(map(tuple, got), key=key) == sorted(brute(data, k, percent), key=key)
 
 
+def chains(seed, n):
+    """Texts of which each is linked with the next only, and families that are near but not linked."""
+    words = [f"w{seed}x{i}" for i in range(60)]
+    for i in range(n):
+        yield " ".join(words[3 * i % 30 :] + [f"v{seed}x{i}x{k}" for k in range(3 * i % 30)])
+    for i in range(n):
+        yield " ".join(words[:40] + [f"u{seed}x{i}x{k}" for k in range(5)])
+
+
+@pytest.mark.parametrize("points", [1, 4, 4096])
+def test_bundles_of_any_size_equal_brute_force(spark, monkeypatch, points):
+    monkeypatch.setattr(jc, "BUNDLE_POINTS", points)
+    data = [(i, t) for i, t in enumerate([*near_copies(17, 25, 80, 9), *near_copies(18, 20, 40, 5), *chains(1, 12), *chains(2, 9)])]
+    got = jc.jaccard_components(frame(spark, data), 5, 80)
+    assert sorted(map(tuple, got.collect())) == sorted(brute(data, 5, 80))
+
+
+def test_a_bundle_puts_out_no_more_links_than_join_its_parts():
+    rng = random.Random(3)
+    words = [t.split() for t in near_copies(21, 60, 100, 4)] + [t.split() for t in near_copies(22, 60, 100, 4)]
+    sets = [np.unique(np.array([hash(tuple(w[i : i + 5])) & (2**64 - 1) for i in range(len(w) - 4)], np.uint64)) for w in words]
+    part = np.array([rng.randrange(100) for _ in sets])
+    links = jc.spanning_links(part, sets, jc.Threshold(80))
+    joined = {p: p for p in set(part.tolist())}
+
+    def root(x):
+        while joined[x] != x:
+            x = joined[x]
+        return x
+
+    for i, j in links:
+        assert jc.Threshold(80).linked(np.intersect1d(sets[i], sets[j]).size, len(sets[i]), len(sets[j])) and root(part[i]) != root(part[j])
+        joined[root(part[i])] = root(part[j])
+    for i in range(len(sets)):
+        for j in range(i):
+            if jc.Threshold(80).linked(np.intersect1d(sets[i], sets[j]).size, len(sets[i]), len(sets[j])):
+                assert root(part[i]) == root(part[j])
+
+
 def test_split_cells_and_empty_tables(spark, monkeypatch):
     monkeypatch.setattr(jc, "CELL_POINTS", 3)
+    monkeypatch.setattr(jc, "BUNDLE_POINTS", 2)
     data = [(i, t) for i, t in enumerate([*near_copies(7, 14, 30, 3), *near_copies(8, 14, 10, 1)])]
     got = jc.jaccard_components(frame(spark, data), 3, 90).collect()
     assert sorted(map(tuple, got)) == sorted(brute(data, 3, 90))
