@@ -45,8 +45,11 @@ def strip_newlines(col) -> Column:
 
 def hidden(spark, value: str) -> Column:
     """``value`` as a scalar subquery over a one-row table: a key or salt that
-    no plan text, event log or literal shows."""
-    return spark.createDataFrame([(value,)], "hidden string").scalar()
+    no plan text, event log or literal shows.  The row comes as Arrow data, so
+    the table is local to the plan and no job or Python worker reads it."""
+    import pyarrow as pa
+
+    return spark.createDataFrame(pa.table({"hidden": pa.array([value], pa.string())})).scalar()
 
 
 def _text(x: str | Column) -> Column:

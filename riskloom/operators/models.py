@@ -67,6 +67,13 @@ def training_frame(df: DataFrame, label: str = "class") -> DataFrame:
     return df.withColumn(LABEL_IDX, (F.col(label) - 1).cast("double"))
 
 
+def separate_xy(df: DataFrame, features: Sequence[str], key: str, label: str = "class") -> DataFrame:
+    """PRJ12: key, the feature vector in the order of ``features`` and the
+    0-based label.  A missing value raises when it is read."""
+    assembler = VectorAssembler(inputCols=list(features), outputCol=FEATURES_VEC, handleInvalid="error")
+    return assembler.transform(training_frame(df, label)).select(key, FEATURES_VEC, LABEL_IDX)
+
+
 def fit_pipeline(
     train: DataFrame,
     features: Sequence[str],

@@ -4,6 +4,7 @@ AGG10)."""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark import keyword_only
@@ -14,7 +15,7 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.functions.hashing import hash_bucket
+from riskloom.functions.hashing import hash_bucket, hash_int
 
 
 NULL_POLICIES = ("raise", "skip", "keep")
@@ -81,6 +82,53 @@ def hash_split(
     return df.withColumn(out, side)
 
 
+#: Buckets counted at a time, and hashes of a bucket ordered at the end, in :func:`exact_split`.
+SPLIT_BITS, SPLIT_ORDERED = 16, 10_000
+HASH_BITS = 60
+
+
+def exact_split(
+    df: DataFrame, key: str, test_fraction: float = 0.8, seed: int = 42, out: str = "split", ordered: int = SPLIT_ORDERED
+) -> DataFrame:
+    """ML2 with a test part of exactly ceil(test_fraction * n) rows: those of
+    the smallest md5(seed:key), ties by the key.
+
+    The row at that rank is found by selection: rows are counted by the first
+    bits of the hash, the bucket that holds the rank is counted by the next,
+    until it has no more than ``ordered`` hashes to put in order.  Only the
+    key column is read, counts (2^16 a round) are all that moves, and nothing
+    is sorted as a whole; the split itself is a comparison in place.  Keys
+    that are null belong to the train part and are not counted; rows that
+    share a key share a side, so repeats of the border key move the size."""
+    h = hash_int(seed, F.col(key))
+    rows = df.where(F.col(key).isNotNull()).select(h.alias("h"), F.col(key).alias("k"))
+    bits, below = HASH_BITS, 0
+    n = None
+    while True:
+        shift = max(bits - SPLIT_BITS, 0)
+        counts = rows.groupBy(F.shiftright("h", shift).alias("b")).agg(F.count(F.lit(1)).alias("n")).collect()
+        if n is None:
+            n = sum(r["n"] for r in counts)
+            rank = math.ceil(round(test_fraction * n, 6))
+        if rank == 0:
+            return df.withColumn(out, F.lit("train"))
+        for r in sorted(counts):
+            if below + r["n"] >= rank:
+                break
+            below += r["n"]
+        rows = rows.where(F.shiftright("h", shift) == r["b"])
+        bits = shift
+        if r["n"] <= ordered or not shift:
+            break
+    # at most ``ordered`` rows, or the few keys of one 60-bit hash
+    for border in rows.groupBy("h", "k").agg(F.count(F.lit(1)).alias("n")).orderBy("h", "k").limit(rank - below).collect():
+        below += border["n"]
+        if below >= rank:
+            break
+    test = F.col(key).isNotNull() & ((h < border["h"]) | ((h == border["h"]) & (F.col(key) <= F.lit(border["k"]))))
+    return df.withColumn(out, F.when(test, F.lit("test")).otherwise(F.lit("train")))
+
+
 class _ScalerParams(HasInputCols):
     decimals = Param(Params._dummy(), "decimals", "round outputs to this many decimals (-1: no rounding)",
                      typeConverter=TypeConverters.toInt)

@@ -151,6 +151,18 @@ def queries_sql() -> dict[str, str]:
     )
     q["scaled_features"] = with_(PREP) + f"SELECT tx_id, class, {feats} FROM scaled"
     q["hash_split"] = with_(PREP) + "SELECT tx_id, class, split FROM split"
+    q["exact_split"] = with_(TX) + (
+        f"SELECT tx_id, class, CASE WHEN row_number() OVER (ORDER BY {h("'42:' || CAST(tx_id AS VARCHAR)")}, tx_id) "
+        "<= ceil(round(0.8 * count(*) OVER (), 6)) THEN 'test' ELSE 'train' END AS split FROM tx WHERE class IN (1, 2)"
+    )
+    q["exact_split_events"] = (
+        "SELECT split, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS ids FROM (SELECT event_id, CASE WHEN row_number() OVER ("
+        f"ORDER BY {h("'50000:' || CAST(event_id AS VARCHAR)")}, event_id) <= ceil(round(0.7 * count(*) OVER (), 6)) "
+        "THEN 'test' ELSE 'train' END AS split FROM events) GROUP BY split"
+    )
+    q["separated_xy"] = with_(TX) + " UNION ALL ".join(
+        f"SELECT tx_id, CAST(class - 1 AS INTEGER) AS label, {i} AS position, {f} AS value FROM tx WHERE class IN (1, 2)" for i, f in enumerate(FEATS)
+    )
     q["smote_rows"] = with_(PREP, SMOTE) + f"SELECT tx_id, class, {feats}, is_synthetic FROM synth"
     q["smote_union"] = with_(PREP, SMOTE) + (
         "SELECT class, count(*) AS n, CAST(sum(CAST(is_synthetic AS INTEGER)) AS BIGINT) AS n_synthetic "
@@ -190,6 +202,7 @@ toscore AS ({_scale('s', '(SELECT * FROM tx WHERE class = 3) s')})"""
         f"SELECT *, '{run}' AS run_id FROM ({acc_parts[i]})" for i, run in ((0, "run-1"), (1, "run-1"), (2, "run-2"))
     )
     q["lasso_single"] = lasso_single_sql()
+    q["selected_of_total"] = f"SELECT CAST(sum(CAST(selected AS INTEGER)) AS BIGINT) AS n_selected, count(*) AS n_total FROM ({lasso_single_sql()})"
     q.update(ops_sql())
     q.update(ml_sql())
     q.update(io_sql())
@@ -515,6 +528,11 @@ def io_sql() -> dict[str, str]:
     q["gzip_lines"] = with_(LOGLINES) + (
         "SELECT log_id, row_number() OVER (PARTITION BY log_id ORDER BY line_no) - 1 AS line_no, line FROM loglines"
     )
+    q["csv_splits"] = (
+        "SELECT event_type, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS ids, round(sum(value), 4) AS total_value, "
+        "CAST(sum(length(props)) AS BIGINT) AS props_length FROM events GROUP BY event_type"
+    )
+    q["listed_files"] = with_(LOGLINES) + "SELECT log_id, CAST(sum(strlen(line) + 1) AS BIGINT) AS bytes, true AS fresh FROM loglines GROUP BY log_id"
     q["file_inventory"] = "SELECT DISTINCT strftime(ts, '%Y-%m-%d') AS log_id, true AS listed FROM events"
     q["catalog_table"] = "SELECT event_type, count(*) AS n, round(sum(value), 6) AS total_value FROM events GROUP BY event_type"
     vdist = "round(list_distance(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), 9)"

@@ -76,6 +76,36 @@ def q_hash_split(spark, sf_dir):
     return p.split.select(KEY, LABEL, "split")
 
 
+@register("exact_split")
+def q_exact_split(spark, sf_dir):
+    """ML2 with an exact test size: ceil(0.8 n) of the labelled rows."""
+    from riskloom.operators.prepare import exact_split
+
+    df = filter_classes(transactions(spark, sf_dir, labelled_only=True), T.TRAIN_CLASSES).select(KEY, LABEL)
+    return exact_split(df, KEY, 0.8, 42)
+
+
+@register("exact_split_events")
+def q_exact_split_events(spark, sf_dir):
+    """ML2 with an exact test size over the largest keyed table."""
+    from riskloom.operators.prepare import exact_split
+    from riskloom.sources.tables import read_table
+
+    split = exact_split(read_table(spark, sf_dir, "events").select("event_id"), "event_id", 0.7, 50000, ordered=64)
+    return split.groupBy("split").agg(F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("ids"))
+
+
+@register("separated_xy")
+def q_separated_xy(spark, sf_dir):
+    """PRJ12: the entries of the assembled feature vectors, with the label."""
+    from pyspark.ml.functions import vector_to_array
+
+    from riskloom.operators.models import separate_xy
+
+    xy = separate_xy(filter_classes(transactions(spark, sf_dir, labelled_only=True), T.TRAIN_CLASSES), FEATURES, KEY, LABEL)
+    return xy.select(KEY, F.col("label_idx").cast("int").alias("label"), F.posexplode(vector_to_array("features")).alias("position", "value"))
+
+
 @register("smote_rows")
 def q_smote_rows(spark, sf_dir):
     from riskloom.operators.smote import smote
@@ -503,6 +533,14 @@ def q_lasso_selection(spark, sf_dir):
     return sel.select("feature", F.round("coefficient", 6).alias("coefficient"), "selected", F.lit(alpha).alias("alpha"))
 
 
+@register("selected_of_total")
+def q_selected_of_total(spark, sf_dir):
+    """AGG8 over the one-feature L1 problems, which have a closed form."""
+    from riskloom.operators.lasso import selection_summary
+
+    return selection_summary(q_lasso_single(spark, sf_dir))
+
+
 @register("selection_summary")
 def q_selection_summary(spark, sf_dir):
     from riskloom.operators.lasso import selection_summary
@@ -644,6 +682,39 @@ def q_csv_roundtrip(spark, sf_dir):
     return columns_in_order(back, [KEY, LABEL, *FEATURES])
 
 
+@register("csv_splits")
+def q_csv_splits(spark, sf_dir):
+    """SRC1 where no field holds a line break: one large file, read in splits."""
+    from riskloom.session import scratch_dir
+    from riskloom.sources.sinks import write_csv
+    from riskloom.sources.tables import read_csv_table, read_table
+
+    events = read_table(spark, sf_dir, "events").select("event_id", "event_type", "user_id", "value", "props")
+    path = write_csv(events, scratch_dir(spark, "events-csv"))
+    back = read_csv_table(spark, path, "event_id long, event_type string, user_id long, value double, props string", lines_in_fields=False)
+    return back.groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("ids"), F.round(F.sum("value"), 4).alias("total_value"), F.sum(F.length("props")).alias("props_length")
+    )
+
+
+@register("listed_files")
+def q_listed_files(spark, sf_dir):
+    """SRC6: every log's files listed by prefix in tasks: files and bytes of
+    plain-text logs, all written and listed within the hour."""
+    from riskloom.fixtures import log_lines_from_events
+    from riskloom.session import scratch_dir
+    from riskloom.sources.sinks import clustered
+    from riskloom.sources.tables import list_prefixes
+
+    base = scratch_dir(spark, "plain-logs")
+    lines = log_lines_from_events(spark, sf_dir).select("log_id", "line")
+    clustered(lines, ["log_id"]).write.partitionBy("log_id").text(base)
+    found = list_prefixes(lines.select(F.concat(F.lit(f"{base}/log_id="), "log_id").alias("prefix")))
+    data = found.where(F.col("name").startswith("part-"))
+    fresh = F.col("mtime").between(F.current_timestamp() - F.expr("interval 1 hour"), F.current_timestamp() + F.expr("interval 1 minute"))
+    return data.groupBy(F.regexp_extract("path", r"log_id=([^/]+)", 1).alias("log_id")).agg(F.sum("length").alias("bytes"), F.min(fresh).alias("fresh"))
+
+
 def _events_by_partition_date(spark, sf_dir):
     from riskloom.functions.timefns import partition_date_parts
     from riskloom.sources.tables import read_table
@@ -657,10 +728,11 @@ def q_partition_scan(spark, sf_dir):
     """SRC5 + FN16: a year=/month=/day= lake table, one day read through
     partition pruning."""
     from riskloom.session import scratch_dir
+    from riskloom.sources.sinks import clustered
     from riskloom.sources.tables import read_day_partition
 
     base = scratch_dir(spark, "lake-events")
-    _events_by_partition_date(spark, sf_dir).write.partitionBy("year", "month", "day").parquet(base)
+    clustered(_events_by_partition_date(spark, sf_dir), ["year", "month", "day"]).write.partitionBy("year", "month", "day").parquet(base)
     schema = "event_id long, event_type string, value double, year string, month string, day string"
     df = read_day_partition(spark, base, "2024", "01", "10", schema=schema)
     return df.select("event_id", "event_type", "value", "year", "month", "day")

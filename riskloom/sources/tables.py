@@ -34,13 +34,17 @@ def read_csv_table(
     path: str,
     schema: StructType | str | None = None,
     drop_index: bool = True,
+    lines_in_fields: bool = True,
 ) -> DataFrame:
     """SRC1: header CSV.  With a schema (no inference pass over the data) its
     columns are found by their names in the header, in whatever order the
     file has them; a name that is missing, or a field that is not of its
     type, raises.  Quoted fields may hold doubled quotes and line breaks
-    (RFC 4180); a file with such fields is one scan task."""
-    reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"').option("mode", "FAILFAST")
+    (RFC 4180).  A file that may have a line break inside a field cannot be
+    cut, so it is one scan task; a caller that declares that none has
+    (``lines_in_fields=False``) gets every file read in splits, and a field
+    that breaks the promise raises for its wrong number of columns."""
+    reader = spark.read.option("header", True).option("multiLine", lines_in_fields).option("escape", '"').option("mode", "FAILFAST")
     if schema is None:
         df = reader.option("inferSchema", True).csv(path)
         return drop_index_columns(df) if drop_index else df
@@ -123,6 +127,36 @@ def read_day_partition(
     return df.where((F.col("year") == year) & (F.col("month") == month) & (F.col("day") == day))
 
 
+def list_prefixes(prefixes: DataFrame, column: str = "prefix") -> DataFrame:
+    """SRC6 for many prefixes: (prefix, path, name, mtime, length) of every
+    file below each of ``prefixes`` (URIs; file, HDFS, S3 or GCS by scheme).
+
+    Each prefix is listed by the task that holds its row, page by page as the
+    store gives them, so the listing of a lake never gathers on the driver.  A
+    prefix that is not there has no files; nulls are passed over; one that
+    is given twice is listed once."""
+
+    def listed(batches):
+        import pandas as pd
+        import pyarrow.fs as pafs
+
+        for batch in batches:
+            for prefix in batch["prefix"]:
+                uri = "file:///" + prefix[5:].lstrip("/") if prefix.startswith("file:") else prefix
+                fs, root = pafs.FileSystem.from_uri(uri)
+                found = fs.get_file_info(pafs.FileSelector(root, recursive=True, allow_not_found=True))
+                files = [f for f in found if f.type == pafs.FileType.File]
+                for k in range(0, len(files), 10_000):
+                    some = files[k : k + 10_000]
+                    yield pd.DataFrame(
+                        {"prefix": prefix, "path": [f.path for f in some], "name": [f.base_name for f in some],
+                         "mtime": pd.to_datetime([f.mtime_ns // 1000 for f in some], unit="us", utc=True), "length": [f.size for f in some]}
+                    )
+
+    own = prefixes.select(F.col(column).cast("string").alias("prefix")).where("prefix is not null").distinct()
+    return own.mapInPandas(listed, "prefix string, path string, name string, mtime timestamp, length long")
+
+
 def file_inventory(spark: SparkSession, path: str, recursive: bool = True) -> DataFrame:
     """SRC6: object listing (path, name, modified time, length) without reading
     file contents: the binaryFile source prunes the `content` column."""
