@@ -16,7 +16,6 @@ from dataclasses import dataclass
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
-    GBTClassifier,
     MultilayerPerceptronClassifier,
     RandomForestClassifier,
 )
@@ -24,6 +23,7 @@ from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskloom.operators.boosting import BoostedTrees
 from riskloom.operators.prepare import PopulationScalerModel
 from riskloom.sources.tables import require_columns
 
@@ -39,7 +39,7 @@ MODEL_ORDINAL = {"knn": 0, "decision_tree": 1, "random_forest": 2, "gbt": 3, "ml
 PARAMETERS = {
     "decision_tree": {"maxDepth": 30, "maxBins": 256},
     "random_forest": {"numTrees": 100, "maxDepth": 30, "maxBins": 128},
-    "gbt": {"maxIter": 100, "maxDepth": 6, "stepSize": 0.3},
+    "gbt": {"maxIter": 100, "maxDepth": 6, "stepSize": 0.3, "penalty": 1.0, "leastHessian": 1.0, "maxBins": 256},
     "mlp": {"maxIter": 50, "blockSize": 128},
 }
 
@@ -58,7 +58,8 @@ def make_classifier(name: str, n_features: int, seed: int = 42, **params):
     if name == "random_forest":
         return RandomForestClassifier(featureSubsetStrategy="sqrt", **settings)
     if name == "gbt":
-        return GBTClassifier(**settings)
+        settings.pop("seed")  # it draws nothing
+        return BoostedTrees(**settings)
     return MultilayerPerceptronClassifier(layers=[n_features, 64, 32, 2], **settings)
 
 

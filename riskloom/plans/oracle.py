@@ -163,6 +163,17 @@ def queries_sql() -> dict[str, str]:
     q["separated_xy"] = with_(TX) + " UNION ALL ".join(
         f"SELECT tx_id, CAST(class - 1 AS INTEGER) AS label, {i} AS position, {f} AS value FROM tx WHERE class IN (1, 2)" for i, f in enumerate(FEATS)
     )
+    q["boosted_stump"] = with_(TX).rstrip() + """,
+x AS (SELECT tx_id, class - 1 AS y, floor(coalesce(f_uniq, 0) * 20) AS x0, floor(coalesce(f_digit, 0) * 200) AS x1 FROM tx WHERE class IN (1, 2)),
+long AS (SELECT 0 AS f, x0 AS v, y FROM x UNION ALL SELECT 1, x1, y FROM x),
+cells AS (SELECT f, v, sum(0.5 - y)::DOUBLE AS g, count(*) * 0.25::DOUBLE AS h FROM long GROUP BY f, v),
+cuts AS (SELECT f, v, sum(g) OVER w AS lg, sum(h) OVER w AS lh, sum(g) OVER (PARTITION BY f) AS g, sum(h) OVER (PARTITION BY f) AS h FROM cells WINDOW w AS (PARTITION BY f ORDER BY v)),
+best AS (SELECT * FROM (SELECT *, lg * lg / (lh + 1) + (g - lg) * (g - lg) / (h - lh + 1) - g * g / (h + 1) AS gain FROM cuts WHERE lh >= 1 AND h - lh >= 1)
+  WHERE gain > 1e-6 ORDER BY gain DESC, f, v LIMIT 1),
+tot AS (SELECT sum(0.5 - y)::DOUBLE AS g, count(*) * 0.25::DOUBLE AS h FROM x),
+m AS (SELECT tx_id, CASE WHEN best.f IS NULL THEN -0.3 * tot.g / (tot.h + 1) WHEN (CASE best.f WHEN 0 THEN x0 ELSE x1 END) <= best.v THEN -0.3 * lg / (lh + 1)
+  ELSE -0.3 * (best.g - lg) / (best.h - lh + 1) END AS m FROM x CROSS JOIN tot LEFT JOIN best ON true)
+SELECT tx_id, round(1 / (1 + exp(-m)), 6) AS p, CAST(m > 0 AS INTEGER) AS prediction FROM m"""
     q["smote_rows"] = with_(PREP, SMOTE) + f"SELECT tx_id, class, {feats}, is_synthetic FROM synth"
     q["smote_union"] = with_(PREP, SMOTE) + (
         "SELECT class, count(*) AS n, CAST(sum(CAST(is_synthetic AS INTEGER)) AS BIGINT) AS n_synthetic "

@@ -572,6 +572,22 @@ def q_train_rf(spark, sf_dir):
     return _train_one(spark, sf_dir, "random_forest")
 
 
+@register("boosted_stump")
+def q_boosted_stump(spark, sf_dir):
+    """ML9 where it has a closed form: one round, one split of two features of
+    few values, the probability of every labelled row."""
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.functions import vector_to_array
+
+    from riskloom.operators.boosting import BoostedTrees
+
+    tx = filter_classes(transactions(spark, sf_dir, labelled_only=True), T.TRAIN_CLASSES)
+    steps = [F.floor(F.coalesce(F.col(f), F.lit(0.0)) * n).cast("double").alias(f"x_{f}") for f, n in (("f_uniq", 20), ("f_digit", 200))]
+    rows = VectorAssembler(inputCols=["x_f_uniq", "x_f_digit"], outputCol="features").transform(tx.select(KEY, (F.col(LABEL) - 1).alias("y"), *steps))
+    scored = BoostedTrees(labelCol="y", maxIter=1, maxDepth=1).fit(rows).transform(rows)
+    return scored.select(KEY, F.round(vector_to_array("probability")[1], 6).alias("p"), F.col("prediction").cast("int").alias("prediction"))
+
+
 @register("train_gbt")
 def q_train_gbt(spark, sf_dir):
     return _train_one(spark, sf_dir, "gbt")
