@@ -157,8 +157,8 @@ def bin_edges(rows: DataFrame, p: int, n_bins: int) -> list[list[float]]:
     """The values that features are cut at, ascending: a bin ends with its edge, and the last is the
     greatest value.  One aggregate for all features, and one for those of few values."""
     x = lambda f: F.col("x")[f]
-    grid = [float(q) for q in (np.arange(n_bins) + 1) / n_bins]
-    stats = rows.agg(*[F.percentile_approx(x(f), grid, 10_000).alias(f"q{f}") for f in range(p)], *[F.approx_count_distinct(x(f)).alias(f"d{f}") for f in range(p)],
+    grid = ", ".join(f"{q}D" for q in (np.arange(n_bins) + 1) / n_bins)
+    stats = rows.agg(*[F.expr(f"percentile_approx(x[{f}], array({grid}), 10000)").alias(f"q{f}") for f in range(p)], *[F.approx_count_distinct(x(f)).alias(f"d{f}") for f in range(p)],
                      *[F.max(x(f)).alias(f"m{f}") for f in range(p)]).first()
     edges = []
     for f in range(p):
@@ -189,54 +189,70 @@ def _unpacked(row, p: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.frombuffer(row["bins"], np.uint8).reshape(-1, p), np.frombuffer(row["label"], np.uint8), np.frombuffer(row["margin"], np.float64)
 
 
+def grow_tree(passed, depth: int, step: float, penalty: float, least: float) -> Tree:
+    """One tree, level by level; ``passed(tree, nodes)`` gives the sums of the rows at ``nodes``."""
+    tree = Tree()
+    nodes = [tree.add(0.0)]
+    for level in range(max(depth, 1)):
+        sums = passed(tree, nodes)
+        if level == 0:
+            g, h = (float(x[0, 0].sum()) / UNIT for x in sums)
+            tree.value[0] = -step * g / (h + penalty) if h + penalty else 0.0
+        if depth == 0:
+            break
+        after = []
+        for node, split in zip(nodes, best_splits(sums, penalty, least), strict=True):
+            if split is None:
+                continue
+            f, b, lg, lh, rg, rh = split
+            children = [tree.add(float(-step * g / (h + penalty))) for g, h in ((lg, lh), (rg, rh))]
+            tree.feature[node], tree.cut[node] = f, b
+            tree.left[node], tree.right[node] = children
+            after += children
+        nodes = after
+        if not nodes:
+            break
+    return tree
+
+
 def boost(table: DataFrame, sizes: list[int], rounds: int, depth: int, step: float, penalty: float, least: float) -> list[Tree]:
-    """The trees, cut by bin number."""
+    """The trees, cut by bin number.  Where all rows are one block there are no sums of other tasks to
+    wait for, so its task grows the next ``CARRY`` trees in one go; sums being exact, they are the same."""
     p, n_bins = len(sizes), max(sizes)
+    shape = (depth, step, penalty, least)
+    alone = table.count() == 1
     trees: list[Tree] = []
-    recent: list[Tree] = []  # not yet in the table's margins
-    held = table.rdd.persist()
-
-    def passed(tree: Tree, nodes: list[int]) -> np.ndarray:
-        since = list(recent)
-
-        def sums(part):
-            out = np.zeros((2, len(nodes), p, n_bins))
-            for row in part:
-                bins, label, margin = _unpacked(row, p)
-                out += level_sums(bins, label, sum((t.margins(bins) for t in since), margin), tree, nodes, n_bins)
-            yield out
-
-        return held.mapPartitions(sums).treeReduce(np.add)
 
-    for number in range(rounds):
-        if number and number % CARRY == 0:
+    def in_one_task(part):
+        for row in part:
+            bins, label, margin = _unpacked(row, p)
+            for _ in range(min(CARRY, rounds - len(trees))):
+                tree = grow_tree(lambda t, nodes: level_sums(bins, label, margin, t, nodes, n_bins), *shape)  # noqa: B023
+                margin = margin + tree.margins(bins)
+                yield tree
+
+    def by_passes(held, recent: list[Tree]):
+        def passed(tree: Tree, nodes: list[int]) -> np.ndarray:
+            def sums(part):
+                out = np.zeros((2, len(nodes), p, n_bins))
+                for row in part:
+                    bins, label, margin = _unpacked(row, p)
+                    out += level_sums(bins, label, sum((t.margins(bins) for t in recent), margin), tree, nodes, n_bins)
+                yield out
+
+            return held.mapPartitions(sums).treeReduce(np.add)
+
+        for _ in range(min(CARRY, rounds - len(trees))):
+            recent.append(grow_tree(passed, *shape))
+        return recent
+
+    while len(trees) < rounds:
+        held = table.rdd.persist()
+        recent = held.mapPartitions(in_one_task).collect() if alone else by_passes(held, [])
+        held.unpersist()
+        trees = [*trees, *recent]
+        if len(trees) < rounds:
             table = carried(table, recent, p)
-            held.unpersist()
-            held, recent = table.rdd.persist(), []
-        tree = Tree()
-        nodes = [tree.add(0.0)]
-        for level in range(max(depth, 1)):
-            sums = passed(tree, nodes)
-            if level == 0:
-                g, h = (float(x[0, 0].sum()) / UNIT for x in sums)
-                tree.value[0] = -step * g / (h + penalty) if h + penalty else 0.0
-            if depth == 0:
-                break
-            after = []
-            for node, split in zip(nodes, best_splits(sums, penalty, least), strict=True):
-                if split is None:
-                    continue
-                f, b, lg, lh, rg, rh = split
-                children = [tree.add(float(-step * g / (h + penalty))) for g, h in ((lg, lh), (rg, rh))]
-                tree.feature[node], tree.cut[node] = f, b
-                tree.left[node], tree.right[node] = children
-                after += children
-            nodes = after
-            if not nodes:
-                break
-        trees.append(tree)
-        recent.append(tree)
-    held.unpersist()
     return trees
 
 
