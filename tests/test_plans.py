@@ -56,10 +56,16 @@ def test_key_and_salt_stay_out_of_the_plan(spark):
         assert key not in text and salt not in text and key.upper() not in text
 
 
-def test_alert_tail_limit_is_taken_before_the_shuffle(spark):
+def test_alert_fold_orders_counts_of_blocks_and_no_lines(spark):
+    """The one window of the alert fold runs over (log, block) sums that are partially made in the scan."""
+    from riskloom.operators.logscan import leading_parts
+
+    parts = spark.createDataFrame([("a", 1, "x")], "log_id string, part_no long, part string")
+    lines = leading_parts(parts, 301)._jdf.queryExecution().optimizedPlan().toString().split("\n")
     plan = _plan(E.queries()["log_alerts"](spark, SF_SMALL))
-    limits = [l for l in plan.split("\n") if "WindowGroupLimit" in l]
-    assert any("Partial" in l for l in limits) and any("Final" in l for l in limits)
+    assert "row_number" not in plan and "WindowGroupLimit" not in plan
+    windows = [i for i, text in enumerate(lines) if "Window" in text]
+    assert all("Aggregate" in lines[i + 1] for i in windows)
 
 
 def test_settled_check_aggregates_partially(spark):
