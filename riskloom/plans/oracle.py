@@ -7,6 +7,8 @@ statements against the pre-registered parquet views.
 
 from __future__ import annotations
 
+import math
+
 FEATS = ["f_chars", "f_words", "f_lines", "f_digit", "f_upper", "f_uniq"]
 
 
@@ -174,6 +176,33 @@ tot AS (SELECT sum(0.5 - y)::DOUBLE AS g, count(*) * 0.25::DOUBLE AS h FROM x),
 m AS (SELECT tx_id, CASE WHEN best.f IS NULL THEN -0.3 * tot.g / (tot.h + 1) WHEN (CASE best.f WHEN 0 THEN x0 ELSE x1 END) <= best.v THEN -0.3 * lg / (lh + 1)
   ELSE -0.3 * (best.g - lg) / (best.h - lh + 1) END AS m FROM x CROSS JOIN tot LEFT JOIN best ON true)
 SELECT tx_id, round(1 / (1 + exp(-m)), 6) AS p, CAST(m > 0 AS INTEGER) AS prediction FROM m"""
+    values = " UNION ALL ".join(f"SELECT tx_id, {i} AS f, coalesce({f}, 0) AS v, class - 1 AS y, w FROM x" for i, f in enumerate(FEATS))
+    cuts = """,
+long AS ({values}),
+cells AS (SELECT f, v, sum(w) AS c, sum(w * y) AS c1 FROM long GROUP BY f, v),
+run AS (SELECT f, v, lead(v) OVER o AS nx, (sum(c) OVER o)::DOUBLE AS ln, (sum(c1) OVER o)::DOUBLE AS l1, (sum(c) OVER (PARTITION BY f))::DOUBLE AS n,
+  (sum(c1) OVER (PARTITION BY f))::DOUBLE AS n1 FROM cells WINDOW o AS (PARTITION BY f ORDER BY v)),
+sides AS (SELECT *, ln - l1 AS l0, n1 - l1 AS r1, (n - ln) - (n1 - l1) AS r0, n - ln AS rn FROM run WHERE nx IS NOT NULL),
+cut AS (SELECT *, (l0 * l0 + l1 * l1) / ln + (r0 * r0 + r1 * r1) / rn AS score, CASE WHEN v / 2 + nx / 2 < nx THEN v / 2 + nx / 2 ELSE v END AS threshold FROM sides
+  QUALIFY row_number() OVER (PARTITION BY f ORDER BY score DESC, v) = 1)""".replace("{values}", values)
+    q["exact_split_points"] = with_(TX).rstrip() + ", x AS (SELECT *, 1 AS w FROM tx WHERE class IN (1, 2))" + cuts + """
+SELECT CAST(f AS INTEGER) AS f, round(score, 6) AS score, round(threshold, 9) AS threshold, CAST(ln AS BIGINT) AS n_left, CAST(l1 AS BIGINT) AS n1_left,
+  CAST(n AS BIGINT) AS n, CAST(n1 AS BIGINT) AS n1, row_number() OVER (ORDER BY score DESC, f) = 1 AS taken FROM cut"""
+    # a row weighs as many of Poisson(1)'s cumulative shares of 2^32 as its draw reaches
+    shares, term, total = [], math.exp(-1), 0.0
+    for k in range(13):
+        total += term
+        term /= k + 1
+        shares.append(int(total * 2**32))
+    drawn = "CAST(('0x' || substr(md5('42:weight:0:' || tx_id), 1, 8)) AS UBIGINT)"
+    worth = " + ".join(f"CAST({drawn} >= {s} AS INTEGER)" for s in shares if s < 2**32)
+    sample = f", every AS (SELECT * FROM tx WHERE class IN (1, 2)), x AS (SELECT * FROM (SELECT *, {worth} AS w FROM every) WHERE w > 0)"
+    q["forest_votes"] = with_(TX).rstrip() + sample + cuts + """,
+offered AS (SELECT * FROM cut QUALIFY row_number() OVER (ORDER BY md5('42:draw:0::' || f), f) <= 2),
+best AS (SELECT * FROM offered ORDER BY score DESC, f LIMIT 1),
+told AS (SELECT tx_id, (CASE best.f """ + " ".join(f"WHEN {i} THEN coalesce({f}, 0)" for i, f in enumerate(FEATS)) + """ END) <= best.threshold AS goes_left, best.* FROM every, best),
+leaf AS (SELECT tx_id, round((CASE WHEN goes_left THEN l1 / ln ELSE r1 / rn END) * 1048576) / 1048576 AS p FROM told)
+SELECT tx_id, round(p, 5) AS p, CAST(p > 0.5 AS INTEGER) + 1 AS prediction FROM leaf"""
     q["smote_rows"] = with_(PREP, SMOTE) + f"SELECT tx_id, class, {feats}, is_synthetic FROM synth"
     q["smote_union"] = with_(PREP, SMOTE) + (
         "SELECT class, count(*) AS n, CAST(sum(CAST(is_synthetic AS INTEGER)) AS BIGINT) AS n_synthetic "

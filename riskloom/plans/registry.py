@@ -588,6 +588,60 @@ def q_boosted_stump(spark, sf_dir):
     return scored.select(KEY, F.round(vector_to_array("probability")[1], 6).alias("p"), F.col("prediction").cast("int").alias("prediction"))
 
 
+def _split_rows(spark, sf_dir):
+    """The labelled transactions with a 0-based label; no features are missing."""
+    tx = filter_classes(transactions(spark, sf_dir, labelled_only=True), T.TRAIN_CLASSES)
+    return tx.select(KEY, (F.col(LABEL) - 1).alias("y"), *[F.coalesce(F.col(f), F.lit(0.0)).alias(f) for f in FEATURES])
+
+
+@register("exact_split_points")
+def q_exact_split_points(spark, sf_dir):
+    """ML7, the first split: every feature's best place between two distinct values, and which one is taken."""
+    from riskloom.operators import exacttree as X
+
+    own = X.vectors(_split_rows(spark, sf_dir), FEATURES, KEY, "y")
+    root = own.select(F.lit(0).alias("tree"), F.lit("").alias("path"), "x", F.lit(1).alias("w"), "y")
+    cuts = T.materialize(X.cuts_of_features(root, X.value_ranges(own, len(FEATURES))), "cuts")
+    taken = X.chosen_cuts(cuts, None, 0).select("tree", "path", F.col("feature").alias("f"), F.lit(True).alias("t"))
+    return cuts.join(taken, ["tree", "path", "f"], "left").select(
+        "f", F.round(-F.col("best.cost"), 6).alias("score"), F.round(X.between(F.col("best.v"), F.col("best.next")), 9).alias("threshold"),
+        F.col("best.ln").alias("n_left"), F.col("best.l1").alias("n1_left"), F.col("best.n").alias("n"), F.col("best.n1").alias("n1"),
+        F.coalesce("t", F.lit(False)).alias("taken"),
+    )
+
+
+@register("forest_votes")
+def q_forest_votes(spark, sf_dir):
+    """ML8 where SQL can follow it: a forest of one tree of one level, its bootstrap weights and drawn
+    features; the vote for every labelled row."""
+    from riskloom.operators import exacttree as X
+
+    rows = _split_rows(spark, sf_dir)
+    nodes = X.grow(rows, FEATURES, KEY, "y", bootstrap=True, draw=2, max_depth=1)
+    return X.predict(nodes, rows, FEATURES).select(KEY, F.round("p", 5).alias("p"), (F.col("prediction") + 1).alias("prediction"))
+
+
+def _exact_scores(spark, sf_dir, **options):
+    from riskloom.operators import exacttree as X
+
+    p, _ = T.prepare(spark, sf_dir, labelled_only=True)
+    nodes = X.grow(T.oversampled_train(p).withColumn("y", F.col(LABEL) - 1), p.features, KEY, "y", **options)
+    scored = X.predict(nodes, p.test, p.features)
+    return scored.select(KEY, LABEL, F.round("p", 6).alias("p"), (F.col("prediction") + 1).alias("prediction"))
+
+
+@register("exact_tree")
+def q_exact_tree(spark, sf_dir):
+    """ML7: a tree of exact splits and no depth limit, trained on the oversampled rows; the test rows scored."""
+    return _exact_scores(spark, sf_dir)
+
+
+@register("exact_forest")
+def q_exact_forest(spark, sf_dir):
+    """ML8: 100 such trees, each on rows and features of its own draw."""
+    return _exact_scores(spark, sf_dir, trees=100, bootstrap=True, draw=int(len(FEATURES) ** 0.5))
+
+
 @register("train_gbt")
 def q_train_gbt(spark, sf_dir):
     return _train_one(spark, sf_dir, "gbt")
