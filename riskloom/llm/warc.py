@@ -10,6 +10,7 @@ response and holds the payload; the others are revisits that name it.  Null html
 A row without an id or of the same id as the smallest is a response; a null url leaves the header out,
 and control characters in one are escaped.  Repeated rows give a record each, an empty table none.
 Files appear under their names only when whole and the tables between the steps are written ones.
+An archive that was cut anywhere within a gzip member, its trailer included, or followed by other bytes raises.
 """
 
 from __future__ import annotations
@@ -68,17 +69,24 @@ def headers(head: bytes) -> dict[str, str]:
 
 
 def inflated(blocks: Iterable[bytes]) -> Iterator[bytes]:
-    """The contents of a gzip stream of any number of members, a block at a time."""
-    stream = zlib.decompressobj(31)
+    """The contents of a gzip stream of any number of members, a block at a time.  A stream that ends
+    before its last member's trailer, holds no member, or goes on with bytes that are no gzip raises."""
+    stream, whole = zlib.decompressobj(31), False
     for data in blocks:
         while data:
+            if stream.eof:
+                stream = zlib.decompressobj(31)
             out = stream.decompress(data, BLOCK)
+            whole = stream.eof
             if out:
                 yield out
-            data = stream.unconsumed_tail
-            if stream.eof:
-                data = stream.unused_data
-                stream = zlib.decompressobj(31)
+            data = stream.unused_data if whole else stream.unconsumed_tail
+    # with a full output buffer and no input left, the end may still be inside the stream
+    while not whole and (out := stream.decompress(b"", BLOCK)):
+        whole = stream.eof
+        yield out
+    if not (whole or stream.eof):
+        raise ValueError("the archive ends inside a gzip member")
 
 
 def records(blocks: Iterable[bytes]) -> Iterator[tuple[dict[str, str], bytes, Iterator[bytes]]]:

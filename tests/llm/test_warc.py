@@ -1,6 +1,7 @@
 import gzip
 import hashlib
 import random
+import zlib
 
 import pytest
 from odd import prose
@@ -72,3 +73,16 @@ def test_streams_of_any_block_size_and_member_count(size):
         assert got == [(r[0], r[1] + r[2]) for r in made]
     with pytest.raises(ValueError):
         list((f, list(p)) for f, _, p in wa.records([b"".join(made[0])[:-9]]))
+
+
+@pytest.mark.parametrize("size", [7, 1 << 20])
+def test_cut_archives_raise(size):
+    made = [b"".join(wa.record(i, f"u{i}", bytes([65 + i]) * n, "0" * 64, None)) for i, n in enumerate((200, 5 << 20))]
+    stream = zlib.compressobj(9, zlib.DEFLATED, 31)
+    border = stream.compress(made[0]) + stream.flush(zlib.Z_FULL_FLUSH)
+    whole = border + stream.compress(made[1]) + stream.flush()
+    read = lambda data: [b"".join(p) for _, _, p in wa.records(wa.inflated([data[i : i + size] for i in range(0, len(data), size)]))]
+    assert [len(r) for r in read(whole)] == [len(r) - r.index(b"\r\n\r\n") - 4 for r in made]
+    for bad in (border, whole[:-1], whole[:-8], whole[:-9], whole + whole[:5], whole + b"\0" * 20, whole + b"x", b""):
+        with pytest.raises((ValueError, zlib.error)):
+            read(bad)
