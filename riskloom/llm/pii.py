@@ -1,15 +1,18 @@
 """Format-preserving pseudonyms of personal data (operator 6, DataFrame functions only).
 
 Found and validated: card numbers (13 to 19 digits with a right Luhn check digit), phone numbers (with a
-country code, or 3-3-4 digits), 3-2-4 social security numbers, IPv4 addresses (bytes up to 255), dates
-(Y-M-D, D.M.Y, M/D/Y; real days of the range below) and e-mail addresses.
+country code, or 3-3-4 digits), 3-2-4 social security numbers, IPv4 addresses (bytes up to 255, without
+leading zeros), dates (Y-M-D, Y/M/D, D.M.Y, M/D/Y; real days of the range below) and e-mail addresses.
 
 A number or date is a value of a finite set a x b (digits: 10^u x 10^v; address: 2^16 x 2^16; date: 270
 x 270 days from 1900-01-01) and is moved by a keyed Feistel permutation of just that set, so a
 pseudonym has the same format, equal values have equal pseudonyms in all documents, different values
 different ones, and the key's holder can undo it.  A card gets the check digit of its new digits, a
-phone number keeps its country code; separators stay where they were.  Equal e-mail addresses (letters
-of either case) get equal keyed-hash addresses.  What is not valid stays as it is.
+phone number keeps its country code, read from its digits, so that a number is linked however it is
+spaced; 3-3-4 digits are a number of country code 1.  Separators stay where they were.  Equal e-mail
+addresses (letters of either case) get equal keyed-hash addresses.  What is not valid stays as it is, and
+so do ten digits without a separator, national numbers with a leading zero, phone numbers with a group of one digit, days or months of one digit and
+dates outside the range.
 
 Numbers that follow each other after a space or hyphen are read together and apart: cards are searched in
 every run of groups of such a sequence, those in a usual layout first (one group, 4-4-4-4, 4-6-4 or 4-6-5),
@@ -27,6 +30,7 @@ import hashlib
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from riskloom.functions.hashing import hidden
 from riskloom.llm.common import texts
 
 ROUNDS = 8
@@ -35,6 +39,9 @@ KEY_MARK = "feistel-key:"
 #: Days from 1900-01-01 that a date may be moved among: 270 x 270, up to 2099-08-04.
 FIRST_DAY, DAYS_SIDE = "1900-01-01", 270
 
+#: Country codes of one and two digits (ITU-T E.164); all others have three.
+SHORT_CODES = "[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]"
+
 #: Digits after the country code where all numbers have the same count.
 NATIONAL = {"1": 10, "7": 10, "31": 9, "33": 9, "34": 9, "41": 9, "44": 10, "45": 8, "47": 8, "48": 9, "61": 9, "86": 11, "91": 10}
 
@@ -50,7 +57,7 @@ _LOCAL = r"(?<![0-9-])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
     "ip": r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?!\.?[0-9])",
-    "date": r"(?<![0-9-])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9-])|(?<![0-9.])[0-9]{2}\.[0-9]{2}\.[0-9]{4}(?![0-9])|(?<![0-9/])[0-9]{2}/[0-9]{2}/[0-9]{4}(?![0-9/])",
+    "date": r"(?<![0-9-])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9-])|(?<![0-9.])[0-9]{2}\.[0-9]{2}\.[0-9]{4}(?![0-9])|(?<![0-9/])(?:[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{4}/[0-9]{2}/[0-9]{2})(?![0-9/])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "phone": rf"{_ABROAD}|{_LOCAL}",
 }
@@ -66,12 +73,16 @@ def key_of(secret: str) -> str:
     return KEY_MARK + hashlib.sha256(secret.encode()).hexdigest()
 
 
-def permute(x: Column, a: Column, b: Column, tweak: Column, key: str, undo: bool = False) -> Column:
+def _key(key: str | Column) -> Column:
+    return key if isinstance(key, Column) else F.lit(key)
+
+
+def permute(x: Column, a: Column, b: Column, tweak: Column, key: str | Column, undo: bool = False) -> Column:
     """The keyed permutation of 0 .. a * b - 1: ``ROUNDS`` Feistel rounds that add a keyed hash of one
     half to the other, modulo its own size.  ``undo`` inverts it."""
 
     def keyed(i: Column, half: Column) -> Column:
-        text = F.concat_ws("|", F.lit(key), tweak, a.cast("string"), b.cast("string"), i.cast("string"), half.cast("string"))
+        text = F.concat_ws("|", _key(key), tweak, a.cast("string"), b.cast("string"), i.cast("string"), half.cast("string"))
         return F.conv(F.substring(F.sha2(text, 256), 1, 15), 16, 10).cast("long")
 
     def step(acc: Column, i: Column) -> Column:
@@ -94,12 +105,12 @@ def _power(n: Column) -> Column:
     return F.get(F.array(*[F.lit(10**i).cast("long") for i in range(19)]), n)
 
 
-def permute_digits(digits: Column, tweak: str, key: str, undo: bool = False) -> Column:
+def permute_digits(digits: Column, tweak: str | Column, key: str | Column, undo: bool = False) -> Column:
     """A string of up to 18 digits moved within all strings of its length."""
     n = F.length(digits)
     half = (n - n % 2) / 2
     low = F.ceil(n / 2).cast("int")
-    moved = permute(digits.cast("long"), _power(half.cast("int")), _power(low), F.lit(tweak), key, undo)
+    moved = permute(digits.cast("long"), _power(half.cast("int")), _power(low), tweak if isinstance(tweak, Column) else F.lit(tweak), key, undo)
     return F.lpad(moved.cast("string"), n, "0")
 
 
@@ -132,7 +143,7 @@ def _kind(m: Column) -> Column:
     n = F.length(d)
     octets = F.split(m, r"\.")
     out = F.when(F.contains(m, F.lit("@")), "email")
-    out = out.when(m.rlike(rf"^(?:{PATTERNS['ip']})$"), F.when(F.forall(octets, lambda o: F.try_to_number(o, F.lit("999")) <= 255), "ip"))
+    out = out.when(m.rlike(rf"^(?:{PATTERNS['ip']})$"), F.when(F.forall(octets, lambda o: (F.try_to_number(o, F.lit("999")) <= 255) & ~o.rlike("^0[0-9]")), "ip"))
     out = out.when(m.rlike(rf"^(?:{PATTERNS['date']})$"), F.when(_day(m).between(0, DAYS_SIDE**2 - 1), "date"))
     out = out.when(m.rlike(rf"^(?:{PATTERNS['ssn']})$"), "ssn")
     out = out.when(m.rlike(rf"^(?:{PATTERNS['phone']})$") & n.between(10, 15), "phone")
@@ -191,15 +202,14 @@ def _readings(m: Column) -> Column:
     return F.when(m.rlike("^[0-9]+(?:[ -][0-9]+)++$") & (F.length(_digits(m)) >= 13), several).otherwise(F.array(m))
 
 
-def _format(m: Column) -> Column:
-    return F.when(F.contains(m, F.lit("/")), "MM/dd/yyyy").when(F.contains(m, F.lit(".")), "dd.MM.yyyy").otherwise("yyyy-MM-dd")
+_YEAR_FIRST = "^[0-9]{4}/"
 
 
 def _iso(m: Column) -> Column:
     part = lambda i, n: F.substring(m, i, n)
     us = F.concat_ws("-", part(7, 4), part(1, 2), part(4, 2))
     de = F.concat_ws("-", part(7, 4), part(4, 2), part(1, 2))
-    return F.when(F.contains(m, F.lit("/")), us).when(F.contains(m, F.lit(".")), de).otherwise(m)
+    return F.when(m.rlike(_YEAR_FIRST), F.translate(m, "/", "-")).when(F.contains(m, F.lit("/")), us).when(F.contains(m, F.lit(".")), de).otherwise(m)
 
 
 def _day(m: Column) -> Column:
@@ -207,22 +217,25 @@ def _day(m: Column) -> Column:
     return F.datediff(F.try_to_date(_iso(m), "yyyy-MM-dd"), F.lit(FIRST_DAY).cast("date"))
 
 
-def pseudonym(m: Column, key: str, undo: bool = False) -> Column:
+def pseudonym(m: Column, key: str | Column, undo: bool = False) -> Column:
     """The pseudonym of one match; a match that is not valid stays."""
     d = _digits(m)
     n = F.length(d)
     small = lambda v: F.lit(v).cast("long")
     body = permute_digits(F.substring(d, F.lit(1), n - 1), "card", key, undo)
     card = refill(m, F.concat(body, luhn_digit(body)))
-    code = F.length(F.regexp_extract(m, r"^\+([0-9]{1,3}(?=[ .(-]))?", 1))
-    phone = refill(m, F.concat(F.substring(d, F.lit(1), code), permute_digits(F.substring(d, code + 1, n - code), "phone", key, undo)))
+    code = F.when(~m.startswith("+"), F.lit("")).when(d.rlike(f"^(?:{SHORT_CODES})"), F.regexp_extract(d, f"^(?:{SHORT_CODES})", 0)).otherwise(F.substring(d, 1, 3))
+    rest = F.substring(d, F.length(code) + 1, n)
+    country = F.concat(F.lit("phone"), F.when(code == "", F.lit("1")).otherwise(code))
+    phone = refill(m, F.concat(code, permute_digits(rest, country, key, undo)))
     address = F.aggregate(F.split(m, r"\."), small(0), lambda acc, o: acc * 256 + o.cast("long"))
     moved = permute(address, small(65536), small(65536), F.lit("ip"), key, undo)
     ip = F.array_join(F.transform(F.array(*[F.lit(s) for s in (24, 16, 8, 0)]), lambda s: F.pmod(F.call_function("shiftright", moved, s), small(256)).cast("string")), ".")
     day = permute(_day(m).cast("long"), small(DAYS_SIDE), small(DAYS_SIDE), F.lit("date"), key, undo).cast("int")
     moved_day = F.date_add(F.lit(FIRST_DAY).cast("date"), day)
-    date = F.when(F.contains(m, F.lit("/")), F.date_format(moved_day, "MM/dd/yyyy")).when(F.contains(m, F.lit(".")), F.date_format(moved_day, "dd.MM.yyyy")).otherwise(F.date_format(moved_day, "yyyy-MM-dd"))
-    hashed = lambda s: F.sha2(F.concat(F.lit(key), F.lit("|"), F.lower(s)), 256)
+    shown = lambda pattern: F.date_format(moved_day, pattern)
+    date = F.when(m.rlike(_YEAR_FIRST), shown("yyyy/MM/dd")).when(F.contains(m, F.lit("/")), shown("MM/dd/yyyy")).when(F.contains(m, F.lit(".")), shown("dd.MM.yyyy")).otherwise(shown("yyyy-MM-dd"))
+    hashed = lambda s: F.sha2(F.concat(_key(key), F.lit("|"), F.lower(s)), 256)
     email = F.concat(F.lit("u"), F.substring(hashed(m), 1, 12), F.lit("@m"), F.substring(hashed(F.substring_index(m, "@", -1)), 1, 8), F.lit(".example"))
     kind = _kind(m)
     out = F.when(kind == "card", card).when(kind == "phone", phone).when(kind == "ssn", refill(m, permute_digits(d, "ssn", key, undo)))
@@ -234,15 +247,13 @@ def pseudonymise(docs: DataFrame, key: str, *, id_col: str = "doc_id", text_col:
 
     One narrow pass: the pieces between matches and the pseudonyms alternate; no shuffle, no join.
     ``undo`` turns pseudonyms back, but for e-mail addresses."""
-    spark = docs.sparkSession
-    if not spark.conf.get("spark.sql.redaction.string.regex", None):
-        spark.conf.set("spark.sql.redaction.string.regex", KEY_MARK + "[0-9a-f]+")  # keeps keys out of plans shown or logged
-    docs = texts(docs, id_col, text_col)
+    secret = F.col("__key")  # in no plan, whatever the session redacts
+    docs = texts(docs, id_col, text_col).withColumn("__key", hidden(docs.sparkSession, key))
     some = F.regexp_like("text", F.lit("[0-9@]"))
     none = F.array().cast("array<string>")
     found = docs.withColumn("found", F.when(some, F.regexp_extract_all("text", F.lit(ANY), F.lit(0))).otherwise(none))
     found = found.withColumn("parts", F.transform("found", _readings))
-    new = F.transform("parts", lambda parts: F.array_join(F.transform(parts, lambda m: pseudonym(m, key, undo)), ""))
+    new = F.transform("parts", lambda parts: F.array_join(F.transform(parts, lambda m: pseudonym(m, secret, undo)), ""))
     pieces = F.split("text", ANY, -1)
     woven = F.array_join(F.flatten(F.transform(F.arrays_zip(pieces.alias("piece"), new.alias("new")), lambda x: F.array(x["piece"], F.coalesce(x["new"], F.lit(""))))), "")
     kinds = F.transform(F.flatten("parts"), lambda m: _kind(m))
