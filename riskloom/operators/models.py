@@ -1,4 +1,4 @@
-"""MLlib classifiers, full-pipeline persistence and batch scoring
+"""Classifiers (MLlib's tree and forest, own boosting and dense net), full-pipeline persistence and batch scoring
 (ML7-ML10, ML13, ML14, FN20, PRJ12, SNK3, JON3).
 
 Labels are trained as ``class - 1`` for every model and predictions are
@@ -14,16 +14,13 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import (
-    DecisionTreeClassifier,
-    MultilayerPerceptronClassifier,
-    RandomForestClassifier,
-)
+from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.operators.boosting import BoostedTrees
+from riskloom.operators.densenet import DenseNet
 from riskloom.operators.prepare import PopulationScalerModel
 from riskloom.sources.tables import require_columns
 
@@ -40,11 +37,11 @@ PARAMETERS = {
     "decision_tree": {"maxDepth": 30, "maxBins": 256},
     "random_forest": {"numTrees": 100, "maxDepth": 30, "maxBins": 128},
     "gbt": {"maxIter": 100, "maxDepth": 6, "stepSize": 0.3, "penalty": 1.0, "leastHessian": 1.0, "maxBins": 256},
-    "mlp": {"maxIter": 50, "blockSize": 128},
+    "mlp": {"epochs": 50, "batchRows": 10},
 }
 
 
-def make_classifier(name: str, n_features: int, seed: int = 42, **params):
+def make_classifier(name: str, seed: int = 42, **params):
     """ML7-ML10 estimators with the reference's intent as defaults; a
     parameter that the model does not have raises."""
     if name not in PARAMETERS:
@@ -60,7 +57,7 @@ def make_classifier(name: str, n_features: int, seed: int = 42, **params):
     if name == "gbt":
         settings.pop("seed")  # it draws nothing
         return BoostedTrees(**settings)
-    return MultilayerPerceptronClassifier(layers=[n_features, 64, 32, 2], **settings)
+    return DenseNet(**settings)
 
 
 def training_frame(df: DataFrame, label: str = "class") -> DataFrame:
@@ -91,7 +88,7 @@ def fit_pipeline(
     score raw rows that have just those columns.
     """
     assembler = VectorAssembler(inputCols=list(features), outputCol=FEATURES_VEC, handleInvalid="error")
-    clf = make_classifier(model, len(features), seed, **params)
+    clf = make_classifier(model, seed, **params)
     to_code = SQLTransformer(statement=f"SELECT *, CAST(prediction + 1 AS INT) AS {PREDICTION_CODE} FROM __THIS__")
     fitted = Pipeline(stages=[assembler, clf, to_code]).fit(training_frame(train, label))
     stages = ([scaler.restricted(features)] if scaler is not None else []) + list(fitted.stages)

@@ -94,6 +94,6 @@ def test_unknown_parameters_raise():
     from riskloom.operators.models import make_classifier
 
     with pytest.raises(ValueError, match="depth"):
-        make_classifier("gbt", 3, depth=4)
+        make_classifier("gbt", depth=4)
     with pytest.raises(ValueError, match="unknown model"):
-        make_classifier("svm", 3)
+        make_classifier("svm")
