@@ -908,6 +908,16 @@ def q_knn_vectors(spark, sf_dir):
     return knn_join(v, v, 5, ["embedding"], "vec_id", "vec_id", exclude_self=True, carry=LABEL)
 
 
+@register("knn_vectors_approx")
+def q_knn_vectors_approx(spark, sf_dir):
+    """JON1, approximate: 5 near other vectors of each vector by random projections, distances exact."""
+    from riskloom.fixtures import vectors
+    from riskloom.operators.annjoin import approximate_knn_join
+
+    v = vectors(spark, sf_dir)
+    return approximate_knn_join(v, v, 5, "embedding", "vec_id", "vec_id", exclude_self=True)
+
+
 @register("knn_vectors_accuracy")
 def q_knn_vectors_accuracy(spark, sf_dir):
     """ML6 on embeddings: hash split 80/20 (train 20%), 5-NN class votes."""

@@ -16,7 +16,7 @@ TABLES = "region nation customer supplier part orders lineitem events documents
 ROWS_ONLY = {
     "lasso_selection", "selection_summary", "train_decision_tree", "train_random_forest", "train_gbt",
     "train_mlp", "model_selection", "save_load_tree", "tokenize_slow", "tree_codes",
-    "exact_tree", "exact_forest",
+    "exact_tree", "exact_forest", "knn_vectors_approx",
 }
 
 
