@@ -5,11 +5,16 @@ of the sequence's size but for the last.  A configuration is a multiset of lengt
 The program over the histogram of lengths (at most as many rows as a sequence has tokens, whatever the
 corpus) asks for the fewest configurations that cover every length as often as it occurs:
 
+* pricing: an unbounded knapsack by dynamic programming gives the greatest price of a configuration; the
+  walk back from each length gives configurations within a tolerance of it, many from one knapsack;
 * multiplicative weights: a length's price is its tokens times a weight that falls exponentially with
-  how often it has been covered; each step covers the scarcest length of a configuration a little more;
-* pricing: an unbounded knapsack by dynamic programming finds the configuration of the greatest price;
-* rounding: the fractional solution, scaled to cover the volume once, enters in whole sequences as long
-  as there are pieces for them; what is left is packed best-fit, longest first.
+  how often it has been covered.  A round covers each length at most once by configurations near the
+  greatest price; tolerance and step are halved from phase to phase;
+* gap: prices over the greatest price are a dual solution, so each round gives a lower bound; the rounds'
+  mean, scaled so that every length is covered, is a solution.  They end within ``GAP`` of each other;
+* rounding: the solution enters in whole sequences as long as there are pieces for them, then whole
+  configurations of what is left by their prices; a last remainder is packed best-fit, longest first.
+  Of several roundings the plan takes the one of fewest sequences (``report`` says what came from where).
 
 The pieces of a length are numbered across the cluster (hashed buckets with offsets, so a length that a
 third of all pieces share is numbered by many tasks) and take their places from the plan.
@@ -32,11 +37,12 @@ from riskloom.llm.common import materialize, text_chunks, texts
 from riskloom.llm.tokens import encoder
 
 SEQUENCE = 2048
-#: Steps of the weights; each is one knapsack, whatever the number of documents.
-STEPS = 1000
-#: A step covers the scarcest length of its configuration by this share, and a length covered once
-#: more loses this power of e of its weight.
-SHARE, RATE = 0.3, 0.3
+#: The program counts as solved within this share of its lower bound.
+GAP = 0.01
+#: Phases of the weights: tolerance and step start here and are halved from phase to phase, the rounds doubled.
+START, PHASES, FIRST_ROUNDS = 0.1, 5, 8
+#: Shares of the greatest price that whole configurations of what is left may lack, one after the other.
+WHOLE = (0.0, 0.001, 0.004, 0.016)
 #: Pieces that a task numbers together, about.
 NUMBERED = 10_000
 
@@ -63,70 +69,98 @@ def pieces(docs: DataFrame, path: str, end_id: int, sequence: int = SEQUENCE, *,
     return texts(docs, id_col, text_col).mapInArrow(cut, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
-def best_configuration(price: np.ndarray, capacity: int) -> np.ndarray:
-    """The knapsack by dynamic programming: choice[c] is the last length of the configuration of the
-    greatest price within c tokens (0: it is that of c - 1).  price[l - 1] is that of length l, 0 if
-    it is not there; a length may be used any number of times."""
+def knapsack(price: np.ndarray, capacity: int) -> np.ndarray:
+    """value[c]: the greatest price of pieces of at most c tokens together, by dynamic programming.
+    price[l - 1] is that of length l, 0 if it is not there; a length may be used any number of times."""
     value = np.zeros(capacity + 1)
-    choice = np.zeros(capacity + 1, np.int64)
-    backward = np.ascontiguousarray(price[::-1])  # backward[capacity - l] is the price of l
+    lengths = np.flatnonzero(price) + 1
+    worth = price[lengths - 1]
+    within = np.searchsorted(lengths, np.arange(capacity + 1), "right")
     for c in range(1, capacity + 1):
-        sums = value[:c] + backward[capacity - c :]  # place i: the last piece is of length c - i
-        i = int(sums.argmax())
-        if sums[i] > value[c - 1]:
-            value[c], choice[c] = sums[i], c - i
-        else:
-            value[c] = value[c - 1]
-    return choice
-
-
-def configuration(choice: np.ndarray, left: np.ndarray) -> dict[int, int]:
-    """The configuration that ``choice`` names, with no more pieces of a length than are left; in the
-    place of those that are not there, the longest ones that fit."""
-    out: dict[int, int] = {}
-    free = left.copy()
-    c = len(choice) - 1
-    while c > 0:
-        length = int(choice[c])
-        if not length:
-            c -= 1
-            continue
-        if not free[length - 1]:
-            some = np.flatnonzero(free[:c])
-            if not some.size:
-                break
-            length = int(some[-1]) + 1
-        free[length - 1] -= 1
+        k = within[c]
+        value[c] = max(value[c - 1], (value[c - lengths[:k]] + worth[:k]).max()) if k else value[c - 1]
+    return value
+
+
+def configuration(value: np.ndarray, price: np.ndarray, room: np.ndarray, first: int, slack: float, need: np.ndarray | None = None) -> dict[int, int] | None:
+    """A configuration with a piece of length ``first`` whose price is at most ``slack`` below the greatest
+    one, value[-1], with no more pieces of a length than ``room`` has; None if the walk back through the
+    knapsack finds none.  Of the pieces that keep within the slack it takes the longest, or, given
+    ``need``, those of which the greatest share is still there."""
+    out = {first: 1}
+    room[first - 1] -= 1
+    c = len(value) - 1 - first
+    slack += price[first - 1] + value[c] - value[-1]
+    while c > 0 and slack > -1e-9:
+        lost = np.where((room[:c] > 0) & (price[:c] > 0), value[c] - price[:c] - value[c - 1 :: -1], np.inf)
+        fits = np.flatnonzero(lost <= slack + 1e-9)
+        if not fits.size:
+            break
+        length = int(fits[-1] if need is None else fits[(room[fits] / need[fits]).argmax()]) + 1
+        slack -= max(lost[length - 1], 0.0)
         out[length] = out.get(length, 0) + 1
+        room[length - 1] -= 1
         c -= length
-    return out
+    for length, a in out.items():
+        room[length - 1] += a
+    return out if value[c] <= slack + 1e-9 else None
 
 
-def fractional(count: np.ndarray, capacity: int, steps: int = STEPS) -> dict[Configuration, float]:
-    """A fractional solution of the program: configurations and how often each is used, together as
-    many tokens as ``count`` has."""
-    used: dict[Configuration, float] = {}
+def one_round(price: np.ndarray, left: np.ndarray, tolerance: float, *, spread: bool) -> tuple[dict[Configuration, int], float]:
+    """Whole configurations of at least 1 - ``tolerance`` of the greatest price, with no more pieces than
+    are ``left`` (reduced by them), and the greatest price; ``spread``: they cover lengths evenly."""
+    capacity = len(price)
+    value = knapsack(price, capacity)
+    slack, need = tolerance * value[-1], np.maximum(left, 1).astype(float) if spread else None
+    made: dict[Configuration, int] = {}
+    for length in (np.flatnonzero((left > 0) & (price > 0))[::-1] + 1).tolist():
+        while left[length - 1] and price[length - 1] + value[capacity - length] >= value[-1] - slack - 1e-9:
+            chosen = configuration(value, price, left, length, slack, need)
+            if chosen is None:
+                break
+            times = min(int(left[n - 1]) // a for n, a in chosen.items())
+            key = tuple(sorted(chosen.items(), reverse=True))
+            made[key] = made.get(key, 0) + times
+            for n, a in chosen.items():
+                left[n - 1] -= a * times
+    return made, float(value[-1])
+
+
+def fractional(count: np.ndarray) -> tuple[dict[Configuration, float], float, np.ndarray]:
+    """A solution of the program that covers every length of ``count``, a lower bound of the program's
+    value and the last prices.  The sum of the solution is at most 1 + ``GAP`` times the bound, unless
+    ``PHASES`` end first."""
     some = count > 0
-    if not some.any():
-        return used
-    length, need, covered = np.arange(1, capacity + 1), np.maximum(count, 1), np.zeros(capacity)
-    for _ in range(steps):
-        price = np.where(some, length * np.exp(-RATE * np.maximum(covered - covered[some].min(), 0)), 0.0)
-        chosen = configuration(best_configuration(price, capacity), count)
-        step = SHARE * min(int(count[n - 1]) / a for n, a in chosen.items())
-        for n, a in chosen.items():
-            covered[n - 1] += step * a / need[n - 1]
-        key = tuple(sorted(chosen.items(), reverse=True))
-        used[key] = used.get(key, 0.0) + step
-    once = float((covered * count * length).sum() / (count * length).sum())
-    return {key: x / once for key, x in used.items()}
+    log, bound = np.log(np.arange(1, len(count) + 1)), 0.0
+    best: dict[Configuration, float] = {}
+    for phase in range(PHASES if some.any() else 0):
+        tolerance = START / 2**phase
+        used: dict[Configuration, int] = {}
+        covered, total = np.zeros(len(count)), 0
+        for _ in range(FIRST_ROUNDS << phase):
+            price = np.where(some, np.exp(log - log[some].max()), 0.0)
+            left = count.copy()
+            made, greatest = one_round(price, left, tolerance, spread=True)
+            bound = max(bound, float((price * count).sum()) / greatest)
+            share = np.where(some, (count - left) / np.maximum(count, 1), 0.0)
+            covered += share
+            log -= tolerance * share
+            for key, times in made.items():
+                used[key] = used.get(key, 0) + times
+                total += times
+            scarcest = float(covered[some].min())
+            if scarcest and (not best or total / scarcest < sum(best.values())):
+                best = {key: x / scarcest for key, x in used.items()}
+            if best and sum(best.values()) <= (1 + GAP) * bound:
+                return best, bound, price
+    return best, bound, price if some.any() else np.zeros(len(count))
 
 
 def rounded(solution: dict[Configuration, float], left: np.ndarray) -> dict[Configuration, int]:
     """Whole sequences of a fractional solution, most used first; ``left`` is reduced by their pieces."""
     made: dict[Configuration, int] = {}
     for key, x in sorted(solution.items(), key=lambda c: -c[1]):
-        times = min(int(x), *(int(left[n - 1]) // a for n, a in key))
+        times = min(int(x + 1e-9), *(int(left[n - 1]) // a for n, a in key))
         if times > 0:
             made[key] = times
             for n, a in key:
@@ -134,6 +168,26 @@ def rounded(solution: dict[Configuration, float], left: np.ndarray) -> dict[Conf
     return made
 
 
+def roundings(count: np.ndarray, solution: dict[Configuration, float], price: np.ndarray) -> list[tuple[dict[Configuration, int], np.ndarray]]:
+    """(whole sequences, pieces left) of several roundings of the program.  The solution enters in whole
+    sequences or not at all; of what is left, of whose configurations less than one is used, whole ones
+    enter by the last prices or by the first (the lengths), the dearest first, up to some tolerance."""
+    out = []
+    for start in (solution, {}) if solution else ():
+        for worth in (price, np.arange(1.0, len(count) + 1)):
+            left = count.copy()
+            made = rounded(start, left)
+            for tolerance in WHOLE:
+                _add(made, one_round(np.where(left > 0, worth, 0.0), left, tolerance, spread=False)[0])
+                out.append((dict(made), left.copy()))
+    return out
+
+
+def _add(made: dict[Configuration, int], more: dict[Configuration, int]) -> None:
+    for key, times in more.items():
+        made[key] = made.get(key, 0) + times
+
+
 def best_fit(count: np.ndarray, capacity: int) -> dict[Configuration, int]:
     """Best-fit decreasing over a histogram; equal sequences are handled together."""
     free: list[int] = []  # the free sizes there are, ascending
@@ -172,15 +226,29 @@ def best_fit(count: np.ndarray, capacity: int) -> dict[Configuration, int]:
 
 def plan(count: np.ndarray, capacity: int = SEQUENCE) -> list[tuple[Configuration, int]]:
     """Configurations and how often each is made, for a histogram (count[l - 1] pieces of length l)."""
+    return report(count, capacity)["plan"]
+
+
+def report(count: np.ndarray, capacity: int = SEQUENCE) -> dict:
+    """The ``plan``, and where it comes from: the program's ``value`` and lower ``bound`` (full pieces
+    included), sequences ``by_program`` and of the ``remainder`` (best-fit), and those of best-fit alone,
+    which is never better than the plan."""
     left = count.astype(np.int64).copy()
-    made: dict[Configuration, int] = {}
-    if left[capacity - 1]:
-        made[((capacity, 1),)] = int(left[capacity - 1])
-        left[capacity - 1] = 0
-    for more in (rounded(fractional(left, capacity), left), best_fit(left, capacity)):
-        for key, times in more.items():
-            made[key] = made.get(key, 0) + times
-    return sorted(made.items(), key=lambda c: (-c[1], c[0]))
+    whole = int(left[capacity - 1])
+    left[capacity - 1] = 0
+    alone = best_fit(left, capacity)
+    solution, bound, price = fractional(left)
+    tried = [({}, alone)]
+    for made, rest in roundings(left, solution, price):
+        tried.append((made, best_fit(rest, capacity)))
+    # The fewest sequences, and of equally many those with the most from the program.
+    made, remainder = min(tried, key=lambda t: (sum(t[0].values()) + sum(t[1].values()), sum(t[1].values())))
+    value, by = sum(solution.values()), sum(made.values())
+    _add(made, remainder)
+    if whole:
+        _add(made, {((capacity, 1),): whole})
+    planned = sorted(made.items(), key=lambda c: (-c[1], c[0]))
+    return {"plan": planned, "value": value + whole, "bound": bound + whole, "by_program": by + whole, "remainder": sum(remainder.values()), "best_fit": sum(alone.values()) + whole}
 
 
 def places(planned: list[tuple[Configuration, int]]) -> np.ndarray:

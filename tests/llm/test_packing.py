@@ -52,8 +52,10 @@ def test_pricing_equals_all_configurations(seed):
     rng = np.random.default_rng(seed)
     capacity = int(rng.integers(3, 13))
     price = np.where(rng.random(capacity) < 0.6, rng.random(capacity), 0)
-    chosen = pk.configuration(pk.best_configuration(price, capacity), np.full(capacity, 100))
-    assert sum(n * a for n, a in chosen.items()) <= capacity
+    value = pk.knapsack(price, capacity)
+    found = [pk.configuration(value, price, np.full(capacity, 100), n, 0.0) for n in np.flatnonzero(price) + 1]
+    chosen = next((c for c in found if c), {})
+    assert all(sum(n * a for n, a in c.items()) <= capacity for c in found if c)
     every = itertools.product(*(range(capacity // n + 1) for n in range(1, capacity + 1)))
     best = max(sum(a * p for a, p in zip(c, price)) for c in every if sum(a * n for a, n in zip(c, range(1, capacity + 1))) <= capacity)
     assert sum(a * price[n - 1] for n, a in chosen.items()) == pytest.approx(best)
@@ -81,3 +83,55 @@ def test_plans_place_every_piece_in_few_sequences():
         large = int(count[50:].sum())  # no two of them fit together
         assert used <= max(-(-volume // 100), large) * 1.01 + 2 or count[33] == 999
     assert sum(t for _, t in pk.plan(np.array([0] * 33 + [999] + [0] * 65 + [7]), 100)) == 500 + 7
+
+
+def value_of_the_program(count):
+    """The program's value by brute force: the best of all vertices.  What is left of a configuration
+    without some piece is one too, so covering each length exactly is enough."""
+    capacity, lengths = len(count), [int(n) + 1 for n in np.flatnonzero(count)]
+    every = [c for c in itertools.product(*(range(capacity // n + 1) for n in lengths)) if any(c) and sum(a * n for a, n in zip(c, lengths)) <= capacity]
+    need, best = np.array([count[n - 1] for n in lengths], float), np.inf
+    for basis in itertools.combinations(every, len(lengths)):
+        matrix = np.array(basis, float).T
+        if abs(np.linalg.det(matrix)) > 1e-9:
+            x = np.linalg.solve(matrix, need)
+            if (x >= -1e-9).all():
+                best = min(best, x.sum())
+    return best
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_solution_covers_every_length_within_the_gap_of_the_bound(seed):
+    rng = np.random.default_rng(seed)
+    count = np.zeros(20, np.int64)
+    count[rng.choice(np.arange(4, 16), 3, replace=False)] = rng.integers(50, 500, 3)
+    solution, bound, _ = pk.fractional(count)
+    value = value_of_the_program(count)
+    covered = np.zeros(20)
+    for key, x in solution.items():
+        assert sum(n * a for n, a in key) <= 20
+        for n, a in key:
+            covered[n - 1] += a * x
+    assert (covered >= count - 1e-6).all()
+    assert bound <= value + 1e-6 and value <= sum(solution.values()) + 1e-6
+    assert sum(solution.values()) <= bound * 1.05  # the stated gap is 0.01 unless the phases end first
+
+
+def test_fewer_sequences_than_best_fit_and_most_from_the_program():
+    few = np.zeros(200, np.int64)
+    few[[n - 1 for n in (29, 42, 50, 67, 80, 99)]] = 2000
+    r = pk.report(few, 200)
+    assert sum(t for _, t in r["plan"]) < r["best_fit"] and r["by_program"] > 0.9 * sum(t for _, t in r["plan"])
+    assert -(-r["bound"] // 1) <= sum(t for _, t in r["plan"]) <= r["bound"] * 1.03
+    for count in histograms():
+        r = pk.report(count, 100)
+        used = sum(t for _, t in r["plan"])
+        assert used <= r["best_fit"] and used == r["by_program"] + r["remainder"] and used >= r["bound"] - 1e-6
+        assert not used or r["by_program"] > used / 2
+
+
+def test_a_few_documents_are_packed_by_the_program():
+    rng = random.Random(3)
+    count = np.bincount([min(2048, int(rng.lognormvariate(5.5, 1)) + 1) for _ in range(800)], minlength=2049)[1:]
+    r = pk.report(count)
+    assert r["by_program"] > 0.9 * (r["by_program"] + r["remainder"])
