@@ -19,7 +19,8 @@ Words are runs other than space and \\t \\n \\v \\f \\r, A-Z as a-z; shingles ar
    number of items that hold it (one if none does), at least ``SIMILARITY``.
 
 One row per (doc_id, item_id) found: doc_id, item_id, similarity (the best window's), position (its
-first word).  An item of one to four words is its own one shingle: documents that hold its words in a
+first word), found_by (``fingerprint`` if the search met any accepted window of the pair, else ``heaviest``;
+``run`` if only a short item's words).  An item of one to four words is its own one shingle: documents that hold its words in a
 row have it with similarity 1, at the first such place.  Null texts and ids and items without a word are
 passed over: a null text holds nothing, a null item_id cannot be identified.  Repeated documents and items give one row per
 pair of ids, equal passages at several places the best, then the first.  Empty tables give no row.
@@ -125,6 +126,11 @@ def _block_rows(found: DataFrame, near: int) -> DataFrame:
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, *, id_col="doc_id", text_col="text", item_col="item_id", item_text_col="text") -> DataFrame:
     """doc_id, item_id, similarity, position of every benchmark passage found."""
+    return passages(docs, benchmark, similarity, id_col=id_col, text_col=text_col, item_col=item_col, item_text_col=item_text_col).drop("found_by")
+
+
+def passages(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, *, id_col="doc_id", text_col="text", item_col="item_id", item_text_col="text") -> DataFrame:
+    """doc_id, item_id, similarity, position, found_by of every benchmark passage found."""
     ship_package(docs.sparkSession)
     hashed = lambda text: F.transform(word_array(text), lambda w: F.xxhash64(w))
     items = benchmark.select(F.col(item_col).cast("long").alias("item_id"), hashed(F.col(item_text_col)).alias("words"))
@@ -133,23 +139,22 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
     # A repeated item_id with other words is another item of that id.
     items = materialize(items.groupBy("item_id", "words").agg(F.lit(1).alias("one")).select("item_id", "words", F.xxhash64("item_id", "words").alias("item"), (F.size("words") - WORDS + 1).alias("size")), "items")
     placed = items.select("item", "size", F.posexplode(_shingles("words")).alias("place", "s")).select("item", "size", "place", _shingle_hash("s.").alias("shingle"))
-    # Distinct benchmark shingles with the (size, place) of the windows they call for.
+    # Benchmark shingles, and the (size, place) of the windows each calls for, a row of its own each.
     weights = materialize(placed.groupBy("shingle").agg((1.0 / F.countDistinct("item")).alias("weight")), "weights")
     calls = materialize(placed.select("shingle", "size", "place").distinct(), "calls")
-    table = calls.groupBy("shingle").agg(F.collect_set(F.struct("size", "place")).alias("calls"))
-    table = materialize(table, "shingles")
-
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), hashed(F.col(text_col)).alias("words")).filter("doc_id is not null")
-    laid = base.select("doc_id", "words", F.posexplode(_shingles("words")).alias("at", "s")).select("doc_id", "words", "at", _shingle_hash("s.").alias("shingle"))
-    hits = laid.join(_sized(table), "shingle").select("doc_id", "words", "at", F.explode("calls").alias("call"))
-    n = F.size("words") - WORDS + 1
-    size = F.least(F.col("call.size"), n)
-    start = F.greatest(F.lit(0), F.least(F.col("at") - F.col("call.place"), n - size))
-    windows = hits.select("doc_id", start.alias("position"), F.slice("words", start + 1, size + (WORDS - 1)).alias("words"), size.alias("size"))
-    # Equal windows of a document are one (the same place called for by several shingles): a map-side
-    # combine leaves one row for each before the shuffle.  Rows of one doc_id may hold other words there.
-    windows = windows.withColumn("window", F.xxhash64("words", F.lit(1)))
-    windows = materialize(windows.groupBy("doc_id", "position", "size", "window").agg(F.first("words").alias("words")), "windows")
+    base = base.select("doc_id", F.xxhash64("words", F.lit(2)).alias("row"), "words")  # rows of one doc_id may hold other words
+    n = (F.size("words") - WORDS + 1).alias("n")
+    laid = base.select("doc_id", "row", n, F.posexplode(_shingles("words")).alias("at", "s")).select("doc_id", "row", "n", "at", _shingle_hash("s.").alias("shingle"))
+    size = F.least("size", "n")
+    start = F.greatest(F.lit(0), F.least(F.col("at") - F.col("place"), F.col("n") - size))
+    # The same place is called for by several shingles: a map-side combine leaves one row for each before
+    # the shuffle.  Only then are windows cut from the words, of the documents that have any.
+    spans = laid.join(_sized(calls), "shingle").select("doc_id", "row", start.alias("position"), size.alias("size")).distinct()
+    spans = materialize(spans, "spans")
+    windows = base.join(_sized(spans), ["doc_id", "row"]).select("doc_id", "position", F.slice("words", F.col("position") + 1, F.col("size") + (WORDS - 1)).alias("words"))
+    windows = windows.select("doc_id", "position", F.xxhash64("words", F.lit(1)).alias("window"), "words")
+    windows = materialize(windows, "windows")
     distinct = windows.groupBy("window").agg(F.first("words").alias("words")).select("words", "window")
     distinct = materialize(distinct, "distinct_windows")  # a passage in many documents is searched once
 
@@ -162,24 +167,28 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
     own = materialize(_block_rows(weighted_fingerprints(item_side, "item"), near), "index").withColumnRenamed("fingerprint", "item_print")
     probe = _block_rows(weighted_fingerprints(window_side, "window"), 0)
     met = probe.join(_sized(own), ["block", "value"]).filter(F.bit_count(F.col("fingerprint").bitwiseXOR(F.col("item_print"))) <= RADIUS)
+    met = materialize(met.select("window", "item").distinct(), "met")
     back = window_side.select("window", "shingle").join(_sized(materialize(_heaviest(item_side, similarity), "heaviest")), "shingle")
-    pairs = materialize(met.select("window", "item").union(back.select("window", "item")).distinct(), "near_pairs")
+    back = back.select("window", "item").distinct().join(met, ["window", "item"], "left_anti")
+    pairs = materialize(met.withColumn("met", F.lit(True)).union(back.withColumn("met", F.lit(False))), "near_pairs")
 
     total = lambda side, key, n: side.groupBy(key).agg(F.sum(F.col(n) * F.col("weight")).alias(f"{key}_total"))
     shared = pairs.join(window_side.select("window", "shingle", "n"), "window").join(_sized(item_side.select("item", "shingle", F.col("n").alias("m"), "weight")), ["item", "shingle"])
-    shared = shared.groupBy("window", "item").agg(F.sum(F.least("n", "m") * F.col("weight")).alias("shared"))
+    shared = shared.groupBy("window", "item", "met").agg(F.sum(F.least("n", "m") * F.col("weight")).alias("shared"))
     scored = shared.join(total(window_side, "window", "n"), "window").join(total(item_side, "item", "n"), "item")
-    scored = scored.select("window", "item", (F.col("shared") / (F.col("window_total") + F.col("item_total") - F.col("shared"))).alias("similarity"))
+    scored = scored.select("window", "item", "met", (F.col("shared") / (F.col("window_total") + F.col("item_total") - F.col("shared"))).alias("similarity"))
     kept = scored.filter(F.col("similarity") >= similarity - 1e-9).join(items.select("item", "item_id"), "item")
 
-    best = windows.select("doc_id", "position", "window").join(kept, "window").groupBy("doc_id", "item_id").agg(F.max_by(F.struct("similarity", "position"), F.struct(F.round("similarity", 9), -F.col("position"))).alias("best"))
-    best = best.select("doc_id", "item_id", F.round("best.similarity", 9).alias("similarity"), F.col("best.position").cast("long").alias("position"))
+    leading = F.max_by(F.struct("similarity", "position"), F.struct(F.round("similarity", 9), -F.col("position"))).alias("best")
+    best = windows.select("doc_id", "position", "window").join(kept, "window").groupBy("doc_id", "item_id").agg(leading, F.bool_or("met").alias("met"))
+    by = F.when(F.col("met"), "fingerprint").otherwise("heaviest").alias("found_by")
+    best = best.select("doc_id", "item_id", F.round("best.similarity", 9).alias("similarity"), F.col("best.position").cast("long").alias("position"), by)
     runs = _short_runs(base, materialize(short.distinct(), "short_items"))
     if runs is None:
         return best
     # An item_id may have short and long items.
-    leading = F.max_by(F.struct("similarity", "position"), F.struct("similarity", -F.col("position"))).alias("best")
-    return best.union(runs).groupBy("doc_id", "item_id").agg(leading).select("doc_id", "item_id", "best.similarity", "best.position")
+    both = best.union(runs.withColumn("found_by", F.lit("run"))).groupBy("doc_id", "item_id").agg(leading, F.min("found_by").alias("found_by"))
+    return both.select("doc_id", "item_id", "best.similarity", "best.position", "found_by")
 
 
 def _short_runs(base: DataFrame, short: DataFrame) -> DataFrame | None:
@@ -198,7 +207,7 @@ def _short_runs(base: DataFrame, short: DataFrame) -> DataFrame | None:
     return first.select("doc_id", "item_id", F.lit(1.0).alias("similarity"), "position")
 
 
-#: A side of so many rows of a few longs is broadcast; beyond it a shuffle join is planned.
+#: A side of so many rows of at most five numbers (8 MB) is broadcast; beyond it a shuffle join is planned.
 MAX_SIDE_ROWS = 200_000
 
 

@@ -44,10 +44,10 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every benchmark passage in a document: doc_id, item_id, similarity, position."""
-    from riskloom.llm.decontam import contaminated
+    """Every benchmark passage in a document: doc_id, item_id, similarity, position, found_by."""
+    from riskloom.llm.decontam import passages
 
-    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 #: The pseudonym key of the registered query; a real run passes its own secret.

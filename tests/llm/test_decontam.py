@@ -127,3 +127,47 @@ def test_items_of_fewer_than_five_words(spark):
     docs = [(10, "a blue quux\ntree, a blue QUUX tree"), (11, "quux"), (12, "one two x three four"), (13, "x one Two three four " + items[4][1]), (14, None)]
     got = dc.contaminated(frame(spark, docs), bench(spark, items)).collect()
     assert sorted(tuple(r) for r in got) == [(10, 1, 1.0, 2), (10, 2, 1.0, 5), (10, 5, 1.0, 1), (11, 1, 1.0, 0), (13, 3, 1.0, 1), (13, 5, 1.0, 5)]
+
+
+def replaced(rng, text, share):
+    return " ".join(f"x{rng.randrange(10**6)}" if rng.random() < share else w for w in text.split())
+
+
+def test_the_fingerprints_alone_find_nine_pairs_in_ten(spark):
+    rng = random.Random(5)
+    items = [(i, prose(300 + i, 20 + i)) for i in range(40)]
+    docs = [(100 * k + i, prose(1000 + 100 * k + i, 15) + " " + replaced(rng, text, share) + " " + prose(2000 + i, 15)) for k, share in enumerate((0.0, 0.01, 0.02, 0.03)) for i, text in items]
+    found = dc.passages(frame(spark, docs), bench(spark, items)).collect()
+    # Changed words at a passage's ends leave windows beside its place that are as similar.
+    assert {(r["doc_id"], r["item_id"], round(r["similarity"], 6)) for r in found} == {p[:3] for p in brute(docs, items)}
+    by = Counter(r["found_by"] for r in found)
+    print("found by", dict(by))
+    assert by["fingerprint"] >= 0.9 * len(found) and len(found) >= 90
+
+
+def test_without_the_way_back_the_fingerprints_give_the_pairs(spark, monkeypatch):
+    rng = random.Random(6)
+    items = [(i, prose(400 + i, 40)) for i in range(20)]
+    docs = [(i, replaced(rng, text, 0.01)) for i, text in items]
+    whole = dc.passages(frame(spark, docs), bench(spark, items)).collect()
+    monkeypatch.setattr(dc, "_heaviest", lambda item_side, similarity: item_side.select("item", "shingle").limit(0))
+    alone = dc.passages(frame(spark, docs), bench(spark, items)).collect()
+    key = lambda r: (r["doc_id"], r["item_id"])
+    assert {key(r) for r in alone} == {key(r) for r in whole if r["found_by"] == "fingerprint"} and alone
+    monkeypatch.setattr(dc, "RADIUS", -1)
+    assert dc.passages(frame(spark, docs), bench(spark, items)).count() == 0
+
+
+def test_a_long_text_without_broadcasts(spark, monkeypatch):
+    items = [(i, prose(500 + i, 30)) for i in range(10)]
+    docs = [(1, prose(7, 20_000) + " " + items[3][1] + " " + prose(8, 20_000)), (2, items[4][1])]
+    want = sorted((r["doc_id"], r["item_id"], r["position"]) for r in dc.passages(frame(spark, docs), bench(spark, items)).collect())
+    monkeypatch.setattr(dc, "MAX_SIDE_ROWS", -1)
+    setting = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "-1")
+    try:
+        got = dc.passages(frame(spark, docs), bench(spark, items)).collect()
+    finally:
+        spark.conf.set(setting, before)
+    assert sorted((r["doc_id"], r["item_id"], r["position"]) for r in got) == want and {(1, 3), (2, 4)} <= {w[:2] for w in want}
