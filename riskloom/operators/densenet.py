@@ -8,8 +8,12 @@ visits every row once, ``batchRows`` rows a step, in an order of its own.
   copies of one row spread over all blocks.  Copies are counted first and made again in pieces.
 * A step takes the next slice of every block: tasks sum the gradients of their slices, and the sums are added
   up on their way to the driver, which sees some thousand numbers.  This works on an RDD as boosting does: a
-  partition's state is a numpy block.  Every step is a pass, so a table of several blocks wants large batches.
+  partition's state is a numpy block.  Every such step is a pass.
 * A table of one block has no other task's sums to wait for: its task runs ``CARRY`` epochs in one go.
+* Several blocks and more than ``MOST_PASSES`` steps an epoch (small batches) would be all waiting.  There
+  the weights go from block to block, in an order of each epoch's own: a task sees one block, takes its
+  steps of ``batchRows`` rows and hands on weights and Adam's sums.  Steps follow each other, as mini-batches
+  do, so the time is in proportion to the rows and no shorter with more machines.
 * Gradients are added as whole multiples of 2^-32, so their sums are exact and weights do not depend on the
   order in which tasks end, nor on repeated tasks.
 
@@ -40,6 +44,8 @@ BLOCK_ROWS = 100_000
 #: Copies of a row that are made in one piece.
 COPIES = 10_000
 CARRY = 10
+#: Passes over a table of several blocks that an epoch may take.
+MOST_PASSES = 100
 UNIT = float(1 << 32)
 STEP, DECAY, DECAY_SQUARE, TINY = 1e-3, 0.9, 0.999, 1e-7
 
@@ -64,28 +70,42 @@ def first_weights(widths: Sequence[int], seed: int) -> np.ndarray:
 
 def forward(flat: np.ndarray, widths: Sequence[int], x: np.ndarray) -> list[np.ndarray]:
     """What each layer puts out; the last are probabilities."""
-    out, told = [x], layers(flat, widths)
-    for k, (w, b) in enumerate(told):
-        z = out[-1] @ w + b
-        if k < len(told) - 1:
-            out.append(np.maximum(z, 0))
-        else:
-            e = np.exp(z - z.max(1, keepdims=True))
-            out.append(e / e.sum(1, keepdims=True))
-    return out
+    return through(layers(flat, widths), x)
+
+
+def through(told: list[tuple[np.ndarray, np.ndarray]], x: np.ndarray) -> list[np.ndarray]:
+    out = [x]
+    for w, b in told[:-1]:
+        z = out[-1] @ w
+        z += b
+        out.append(np.maximum(z, 0, out=z))
+    z = out[-1] @ told[-1][0]
+    z += told[-1][1]
+    z -= z.max(1, keepdims=True)
+    e = np.exp(z, out=z)
+    e /= e.sum(1, keepdims=True)
+    return [*out, e]
 
 
 def gradient(flat: np.ndarray, widths: Sequence[int], x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """The sum over rows of the cross-entropy's gradient."""
-    out, told = forward(flat, widths, x), layers(flat, widths)
     total = np.zeros_like(flat)
-    back = out[-1].copy()
+    put_gradient(layers(flat, widths), layers(total, widths), x, y)
+    return total
+
+
+def put_gradient(told, total, x: np.ndarray, y: np.ndarray) -> None:
+    """The gradient of layers ``told`` into the arrays of ``total``."""
+    out = through(told, x)
+    back = out[-1]
     back[np.arange(len(y)), y] -= 1
     for k in range(len(told) - 1, -1, -1):
-        w, b = layers(total, widths)[k]
-        w[:], b[:] = out[k].T @ back, back.sum(0)
-        back = (back @ told[k][0].T) * (out[k] > 0)
-    return total
+        w, b = total[k]
+        np.matmul(out[k].T, back, out=w)
+        np.add.reduce(back, 0, out=b)
+        if k:
+            back = back @ told[k][0].T
+            back *= out[k] > 0
 
 
 class Adam:
@@ -93,19 +113,66 @@ class Adam:
         self.mean, self.square, self.steps = np.zeros(size), np.zeros(size), 0
 
     def moved(self, flat: np.ndarray, g: np.ndarray) -> np.ndarray:
+        flat = flat.copy()
+        self.move(flat, g)
+        return flat
+
+    def move(self, flat: np.ndarray, g: np.ndarray) -> None:
+        """``flat`` itself takes the step."""
         self.steps += 1
-        self.mean = DECAY * self.mean + (1 - DECAY) * g
-        self.square = DECAY_SQUARE * self.square + (1 - DECAY_SQUARE) * g * g
+        self.mean *= DECAY
+        self.mean += (1 - DECAY) * g
+        part = (1 - DECAY_SQUARE) * g
+        part *= g
+        self.square *= DECAY_SQUARE
+        self.square += part
         size = STEP * np.sqrt(1 - DECAY_SQUARE**self.steps) / (1 - DECAY**self.steps)
-        return flat - size * self.mean / (np.sqrt(self.square) + TINY)
+        root = np.sqrt(self.square, out=part)
+        root += TINY
+        move = size * self.mean
+        move /= root
+        flat -= move
+
+
+def in_order(block, widths: Sequence[int], seed: int, epoch: int) -> tuple[np.ndarray, np.ndarray]:
+    """A block's rows in ``epoch``'s order."""
+    x, y = np.frombuffer(block["x"]).reshape(-1, widths[0]), np.frombuffer(block["y"], np.uint8)
+    at = np.random.default_rng([seed, epoch, block["block"]]).permutation(len(y))
+    return x[at], y[at]
+
+
+def units(x: np.ndarray, y: np.ndarray, flat: np.ndarray, widths: Sequence[int]) -> np.ndarray:
+    """Gradient units and the row count of some rows."""
+    g = gradient(flat, widths, x, y) if len(y) else np.zeros_like(flat)
+    return np.append(np.rint(g * UNIT), len(y)).astype(np.int64)
 
 
 def slice_sum(block, flat: np.ndarray, widths: Sequence[int], seed: int, epoch: int, step: int, rows: int) -> np.ndarray:
     """Gradient units and the row count of a block's ``step``-th ``rows`` rows in ``epoch``'s order."""
-    x, y = np.frombuffer(block["x"]).reshape(-1, widths[0]), np.frombuffer(block["y"], np.uint8)
-    at = np.random.default_rng([seed, epoch, block["block"]]).permutation(len(y))[step * rows : (step + 1) * rows]
-    g = gradient(flat, widths, x[at], y[at]) if len(at) else np.zeros_like(flat)
-    return np.append(np.rint(g * UNIT), len(at)).astype(np.int64)
+    x, y = in_order(block, widths, seed, epoch)
+    return units(x[step * rows : (step + 1) * rows], y[step * rows : (step + 1) * rows], flat, widths)
+
+
+def mean(sums: np.ndarray) -> np.ndarray:
+    return sums[:-1] / UNIT / sums[-1]
+
+
+def stepped(block, flat: np.ndarray, adam: Adam, widths: Sequence[int], seed: int, epoch: int, rows: int) -> np.ndarray:
+    """The weights after a visit to a block, ``rows`` rows a step: as by ``slice_sum``, but the rows are put in
+    order once and the arrays are kept from step to step."""
+    x, y = in_order(block, widths, seed, epoch)
+    flat = flat.copy()
+    g = np.zeros_like(flat)
+    told, total = layers(flat, widths), layers(g, widths)
+    for k in range(0, len(y), rows):
+        some = y[k : k + rows]
+        put_gradient(told, total, x[k : k + rows], some)
+        g *= UNIT
+        np.rint(g, out=g)
+        g /= UNIT
+        g /= len(some)
+        adam.move(flat, g)
+    return flat
 
 
 def blocks(rows: DataFrame, n: int) -> DataFrame:
@@ -134,16 +201,14 @@ def train(table: DataFrame, widths: Sequence[int], epochs: int, batch_rows: int,
     rows = max(1, batch_rows // n_blocks)
     steps = range(-(-longest // rows))
     flat, adam = first_weights(widths, seed), Adam(len(first_weights(widths, seed)))
-
-    def mean(sums: np.ndarray) -> np.ndarray:
-        return sums[:-1] / UNIT / sums[-1]
+    if n_blocks > 1 and len(steps) > MOST_PASSES:
+        return handed_on(table, widths, epochs, batch_rows, seed)
 
     def run_alone(part):
         for block in part:
             at = flat
             for e in range(epoch, min(epoch + CARRY, epochs)):
-                for s in steps:
-                    at = adam.moved(at, mean(slice_sum(block, at, widths, seed, e, s, rows)))
+                at = stepped(block, at, adam, widths, seed, e, rows)
             yield at, adam
 
     held = table.rdd.persist()
@@ -158,6 +223,24 @@ def train(table: DataFrame, widths: Sequence[int], epochs: int, batch_rows: int,
     return flat
 
 
+def handed_on(table: DataFrame, widths: Sequence[int], epochs: int, rows: int, seed: int) -> np.ndarray:
+    """The weights after ``epochs`` in which they go from block to block, each in a partition of its own."""
+    names = sorted(r["block"] for r in table.select("block").collect())
+    place = {b: i for i, b in enumerate(names)}
+    held = table.rdd.keyBy(lambda r: r["block"]).partitionBy(len(names), lambda b: place[b]).values().persist()
+    flat, adam = first_weights(widths, seed), Adam(len(first_weights(widths, seed)))
+
+    def visit(part):
+        for block in part:
+            yield stepped(block, flat, adam, widths, seed, epoch, rows), adam
+
+    for epoch in range(epochs):
+        for i in np.random.default_rng([seed, epoch]).permutation(len(names)):
+            ((flat, adam),) = held.context.runJob(held, visit, [int(i)])
+    held.unpersist()
+    return flat
+
+
 class _Net(HasFeaturesCol, HasLabelCol, HasPredictionCol, HasProbabilityCol, HasSeed):
     epochs = Param(Params._dummy(), "epochs", "times that every row is visited", typeConverter=TypeConverters.toInt)
     batchRows = Param(Params._dummy(), "batchRows", "rows a step", typeConverter=TypeConverters.toInt)

@@ -65,6 +65,35 @@ def test_several_blocks_by_a_plain_loop(spark, monkeypatch):
     assert (N.train(table, widths, 2, 32, 5) == flat).all()
 
 
+def test_small_batches_over_several_blocks_hand_the_weights_on(spark, monkeypatch):
+    """A job a block and epoch, not a job a step; whole batches of batchRows rows, by a plain loop."""
+    monkeypatch.setattr(N, "BLOCK_ROWS", 400)
+    df = frame(spark, 1500).selectExpr("array(a, b) as x", "y")
+    table = N.blocks(df, 1500)
+    made = sorted(table.collect(), key=lambda r: r["block"])
+    widths = [2, *N.HIDDEN, 2]
+    flat, adam = N.first_weights(widths, 5), N.Adam(len(N.first_weights(widths, 5)))
+    for epoch in range(2):
+        for i in np.random.default_rng([5, epoch]).permutation(len(made)):
+            for step in range(-(-made[i]["n"] // 10)):
+                total = N.slice_sum(made[i], flat, widths, 5, epoch, step, 10)
+                flat = adam.moved(flat, total[:-1] / N.UNIT / total[-1])
+    passes = []
+    monkeypatch.setattr(N, "slice_sum", lambda *a: passes.append(a))
+    assert len(made) == 4 and (N.train(table, widths, 2, 10, 5) == flat).all()
+    assert (N.train(table.repartition(7), widths, 2, 10, 5) == flat).all() and not passes
+
+
+def test_a_visit_orders_a_block_once(monkeypatch):
+    rng, calls = np.random.default_rng(3), []
+    block = {"block": 0, "n": 200, "x": rng.normal(size=(200, 2)).tobytes(), "y": rng.integers(0, 2, 200).astype(np.uint8).tobytes()}
+    plain = N.in_order
+    monkeypatch.setattr(N, "in_order", lambda *a: calls.append(a) or plain(*a))
+    widths = [2, *N.HIDDEN, 2]
+    N.stepped(block, N.first_weights(widths, 1), N.Adam(len(N.first_weights(widths, 1))), widths, 1, 0, 10)
+    assert len(calls) == 1
+
+
 def test_saved_and_what_cannot_be_learned_raises(spark, tmp_path):
     df = frame(spark, 40)
     fitted = Pipeline(stages=[DenseNet(labelCol="y", epochs=1)]).fit(df)
