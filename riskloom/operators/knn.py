@@ -19,6 +19,12 @@ Cost: both are exact, so at worst (data without structure, where no cell can
 be ruled out) every row is still compared with every row, in bounded tasks;
 with structure a query row is compared with the few cells near it.
 
+A task compares blocks of few features by a tree of boxes (:class:`BoxTree`):
+a query row meets the leaves whose boxes its k-th distance so far reaches, so
+a task's time grows with its query rows, not with their product with the
+reference.  Of equal reference rows only those of the k + 1 smallest ids can
+be among k neighbours; the others are left out first.
+
 Missing features follow ``checked_features``: raise (default), skip or keep.
 Ties: distances are rounded to ``decimals`` places and ties broken by the
 smaller reference id, so results are deterministic and repeatable in SQL.
@@ -43,6 +49,118 @@ DEFAULT_BLOCK_ROWS = 20_000
 #: Pivots of the cells: about a cell for each block of reference rows, within these bounds.
 LEAST_PIVOTS, MOST_PIVOTS = 8, 2048
 _CHUNK_CELLS = 2_000_000  # distance-matrix cells per numpy chunk
+#: Reference rows from which a tree is worth it, rows of its leaves, and the most features it is used for.
+TREE_ROWS, LEAF_ROWS, TREE_FEATURES = 2_048, 32, 16
+#: Query rows that search a tree together.
+TOGETHER = 2_048
+#: Rows that a task sends to cells at a time: a query row counts once for each block of all cells.
+ROUTED = 50_000
+
+
+def _first_copies(r_ids: np.ndarray, R: np.ndarray, n: int) -> np.ndarray:
+    """Places, ascending, of the rows of the ``n`` smallest ids among those of equal features."""
+    order = np.lexsort((r_ids, *R.T))
+    ids, rows = r_ids[order], R[order]
+    other = np.r_[True, (rows[1:] != rows[:-1]).any(axis=1)]
+    seen = np.cumsum(other | np.r_[True, ids[1:] != ids[:-1]])
+    return np.sort(order[seen - np.maximum.accumulate(np.where(other, seen, 0)) < n])
+
+
+def _exact_distances(Q: np.ndarray, R: np.ndarray, decimals: int) -> np.ndarray:
+    """Rounded distances of paired rows, accumulated left to right as in SQL."""
+    d2 = np.zeros(np.broadcast_shapes(Q.shape, R.shape)[:-1])
+    for j in range(Q.shape[-1]):
+        diff = Q[..., j] - R[..., j]
+        d2 += diff * diff
+    return np.round(np.sqrt(d2), decimals)
+
+
+class BoxTree:
+    """A balanced k-d tree over reference rows: halved at the median of the widest feature down to leaves
+    of about ``LEAF_ROWS`` rows; every node has the box of its rows."""
+
+    def __init__(self, r_ids: np.ndarray, R: np.ndarray, copies: int):
+        self.at = _first_copies(r_ids, R, copies)  # place in the caller's arrays, in tree order at the end
+        R = R[self.at]
+        self.depth = max(0, math.ceil(math.log2(max(1, len(R)) / max(LEAF_ROWS, 2 * copies))))
+        order, edges = np.arange(len(R)), np.array([0, len(R)])
+        for _ in range(self.depth):
+            cuts = (edges[:-1] + edges[1:]) // 2
+            for a, cut, b in zip(edges[:-1], cuts, edges[1:], strict=True):
+                own = R[order[a:b]]
+                widest = int((own.max(axis=0) - own.min(axis=0)).argmax())
+                order[a:b] = order[a:b][np.argpartition(own[:, widest], cut - a)]
+            edges = np.sort(np.r_[edges, cuts])
+        self.at, self.R, self.ids, self.edges = self.at[order], R[order], r_ids[self.at[order]], edges
+        self.width = int(np.diff(edges).max())
+        low, high = np.minimum.reduceat(self.R, edges[:-1]), np.maximum.reduceat(self.R, edges[:-1])
+        self.boxes = [(low, high)]  # from the root down
+        while len(low) > 1:
+            low, high = np.minimum(low[::2], low[1::2]), np.maximum(high[::2], high[1::2])
+            self.boxes.insert(0, (low, high))
+
+    def _away(self, level: int, node: np.ndarray, Q: np.ndarray) -> np.ndarray:
+        """Distances of paired rows and nodes' boxes."""
+        low, high = self.boxes[level]
+        gap = np.maximum(np.maximum(low[node] - Q, Q - high[node]), 0.0)
+        return np.sqrt(np.einsum("ij,ij->i", gap, gap))
+
+    def _met(self, q_ids, Q, leaf, decimals, exclude_self) -> tuple[np.ndarray, np.ndarray]:
+        """(rows of paired leaves, their distances); places beyond a leaf and the row itself are infinitely far."""
+        rows = self.edges[leaf][:, None] + np.arange(self.width)
+        none = rows >= self.edges[leaf + 1][:, None]
+        rows[none] = 0
+        dist = _exact_distances(Q[:, None, :], self.R[rows], decimals)
+        if exclude_self:
+            none |= self.ids[rows] == q_ids[:, None]
+        dist[none] = np.inf
+        return rows, dist
+
+    def search(self, q_ids: np.ndarray, Q: np.ndarray, k: int, decimals: int, exclude_self: bool):
+        """(query_index, ref_index, distance) of all that may be among the k nearest."""
+        step, unit = max(1, _CHUNK_CELLS // (self.width * Q.shape[1])), 10.0 ** (-decimals)
+        leaf = np.zeros(len(Q), np.int64)
+        for level in range(1, self.depth + 1):
+            leaf = 2 * leaf
+            leaf += self._away(level, leaf + 1, Q) < self._away(level, leaf, Q)
+        bound = np.full(len(Q), np.inf)
+        if self.width >= k:
+            for s in range(0, len(Q), step):
+                own = slice(s, s + step)
+                bound[own] = np.partition(self._met(q_ids[own], Q[own], leaf[own], decimals, exclude_self)[1], k - 1, axis=1)[:, k - 1]
+        out = []
+        for s in range(0, len(Q), TOGETHER):
+            q = np.arange(s, min(s + TOGETHER, len(Q)))
+            node = np.zeros(len(q), np.int64)
+            for level in range(1, self.depth + 1):
+                q, node = np.repeat(q, 2), (2 * node[:, None] + np.arange(2)).ravel()
+                near = self._away(level, node, Q[q]) <= bound[q] * (1 + 1e-12) + unit
+                q, node = q[near], node[near]
+            for t in range(0, len(q), step):
+                some = q[t : t + step]
+                rows, dist = self._met(q_ids[some], Q[some], node[t : t + step], decimals, exclude_self)
+                i, j = np.nonzero((dist <= bound[some][:, None]) & (dist < np.inf))
+                out.append((some[i], self.at[rows[i, j]], dist[i, j]))
+        return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+
+
+def _tree(r_ids: np.ndarray, R: np.ndarray, k: int) -> BoxTree | None:
+    """The tree of a reference block, where it is of use."""
+    if len(r_ids) < TREE_ROWS or R.shape[1] > TREE_FEATURES or not np.isfinite(R).all():
+        return None
+    return BoxTree(r_ids, R, k + 1)
+
+
+def _ranked(qi: np.ndarray, ri: np.ndarray, di: np.ndarray, r_ids: np.ndarray, k: int):
+    """The first k of every query by distance, id and place, with their ranks."""
+    order = np.lexsort((ri, r_ids[ri], di, qi))
+    qi, ri, di = qi[order], ri[order], di[order]
+    if len(qi) == 0:
+        return qi, ri, di, qi
+    starts = np.r_[0, np.flatnonzero(np.diff(qi)) + 1]
+    rank = np.arange(len(qi)) - np.repeat(starts, np.diff(np.r_[starts, len(qi)])) + 1
+    keep = rank <= k
+    return qi[keep], ri[keep], di[keep], rank[keep]
 
 
 def _topk_block(
@@ -53,15 +171,18 @@ def _topk_block(
     k: int,
     decimals: int,
     exclude_self: bool,
+    tree: BoxTree | None = None,
 ):
     """Exact top-k of one query block against one reference block (sorted by id).
 
-    Returns (query_index, ref_index, distance, rank) arrays.
+    Returns (query_index, ref_index, distance, rank) arrays.  ``tree``: the reference block's, if it has one.
     """
     m = len(r_ids)
     if m == 0 or len(q_ids) == 0:
         e = np.empty(0, dtype=np.int64)
         return e, e, np.empty(0), e
+    if tree is not None and np.isfinite(Q).all():
+        return _ranked(*tree.search(q_ids, Q, k, decimals, exclude_self), r_ids, k)
     out_q, out_r, out_d = [], [], []
     step = max(1, _CHUNK_CELLS // m)
     half = 0.5 * 10.0 ** (-decimals)
@@ -84,34 +205,12 @@ def _topk_block(
         if exclude_self:
             sel &= np.isfinite(approx)
         rows, cols = np.nonzero(sel)
-        # 2) exact distances, accumulated left to right as in SQL, for the
-        #    candidates only; then rounded and ordered by (distance, id)
-        d2 = np.zeros(len(rows))
-        for j in range(Q.shape[1]):
-            diff = Qc[rows, j] - R[cols, j]
-            d2 += diff * diff
-        dist = np.round(np.sqrt(d2), decimals)
-        order = np.lexsort((r_ids[cols], dist, rows))
-        rows, cols, dist = rows[order], cols[order], dist[order]
-        if len(rows):
-            starts = np.r_[0, np.flatnonzero(np.diff(rows)) + 1]
-            pos = np.arange(len(rows)) - np.repeat(starts, np.diff(np.r_[starts, len(rows)]))
-            keep = pos < kk
-            rows, cols, dist = rows[keep], cols[keep], dist[keep]
+        # 2) exact distances for the candidates only; then rounded and ordered by (distance, id)
+        rows, cols, dist, _ = _ranked(rows, cols, _exact_distances(Qc[rows], R[cols], decimals), r_ids, kk)
         out_q.append(rows + s)
         out_r.append(cols)
         out_d.append(dist)
-    qi = np.concatenate(out_q)
-    ri = np.concatenate(out_r)
-    di = np.concatenate(out_d)
-    order = np.lexsort((r_ids[ri], di, qi))
-    qi, ri, di = qi[order], ri[order], di[order]
-    if len(qi) == 0:
-        return qi, ri, di, qi
-    starts = np.r_[0, np.flatnonzero(np.diff(qi)) + 1]
-    first = np.repeat(starts, np.diff(np.r_[starts, len(qi)]))
-    rank = np.arange(len(qi)) - first + 1
-    return qi, ri, di, rank
+    return _ranked(np.concatenate(out_q), np.concatenate(out_r), np.concatenate(out_d), r_ids, kk)
 
 
 def _out_schema(carry: str | None) -> str:
@@ -188,18 +287,20 @@ def knn_join(
     return _knn_cells(qry, ref, k, fcols, within, exclude_self, carry, decimals, block_rows)
 
 
-def _reference_groups(pdf: pd.DataFrame, fcols, within, carry) -> dict:
+def _reference_groups(pdf: pd.DataFrame, fcols, within, carry, k: int) -> dict:
+    """{group: (ids, carried values, features, tree)}"""
     groups = {}
     keyed = pdf.groupby("_w", sort=False) if within else [(None, pdf)]
     for w, g in keyed:
         g = g.sort_values("_rid", kind="stable")
-        groups[w] = (g["_rid"].to_numpy(dtype="int64"), g["_c"].to_numpy() if carry else None, _matrix(g, fcols) if len(g) else np.zeros((0, 1)))
+        ids, R = g["_rid"].to_numpy(dtype="int64"), _matrix(g, fcols) if len(g) else np.zeros((0, 1))
+        groups[w] = (ids, g["_c"].to_numpy() if carry else None, R, _tree(ids, R, k))
     return groups
 
 
 def _knn_broadcast(qry, pdf, k, fcols, within, exclude_self, carry, decimals) -> DataFrame:
     # ``pdf`` was collected under a row limit: the broadcast side is bounded.
-    bc = qry.sparkSession.sparkContext.broadcast(_reference_groups(pdf, fcols, within, carry))
+    bc = qry.sparkSession.sparkContext.broadcast(_reference_groups(pdf, fcols, within, carry, k))
 
     def run(batches):
         table = bc.value
@@ -209,9 +310,9 @@ def _knn_broadcast(qry, pdf, k, fcols, within, exclude_self, carry, decimals) ->
             for w, g in parts:
                 if w not in table or not len(g):
                     continue
-                r_ids, r_carry, R = table[w]
+                r_ids, r_carry, R, tree = table[w]
                 q_ids = g["_qid"].to_numpy(dtype="int64")
-                qi, ri, di, rank = _topk_block(q_ids, _matrix(g, fcols), r_ids, R, k, decimals, exclude_self)
+                qi, ri, di, rank = _topk_block(q_ids, _matrix(g, fcols), r_ids, R, k, decimals, exclude_self, tree)
                 outs.append(_frame(q_ids, r_ids, r_carry, qi, ri, di, rank, carry))
             if outs:
                 yield pd.concat(outs, ignore_index=True)
@@ -233,6 +334,8 @@ def _distances(X: np.ndarray, P: np.ndarray) -> np.ndarray:
 
 def _knn_cells(qry, ref, k, fcols, within, exclude_self, carry, decimals, block_rows) -> DataFrame:
     spark = qry.sparkSession
+    by_id = Window.partitionBy(*(["_w"] if within else []), *fcols).orderBy("_rid")
+    ref = materialize(ref.withColumn("_i", F.dense_rank().over(by_id)).where(F.col("_i") <= k + 1).drop("_i"), "reference")
     n_ref = ref.count()
     P = _pivots(ref, fcols, min(max(LEAST_PIVOTS, math.ceil(n_ref / block_rows)), MOST_PIVOTS))
     w = ["_w"] if within else []
@@ -267,27 +370,31 @@ def _knn_cells(qry, ref, k, fcols, within, exclude_self, carry, decimals, block_
 
         def run(batches):
             for b in batches:
-                for g, part in b.groupby("_w", sort=False, dropna=False) if within else [(None, b)]:
-                    if g not in cells or not len(part):
+                for g, group in b.groupby("_w", sort=False, dropna=False) if within else [(None, b)]:
+                    if g not in cells or not len(group):
                         continue
                     ids, ns, rs = cells[g]
-                    ids = ids.astype("int64")
-                    d = _distances(_matrix(part, fcols), P[ids])
-                    order = np.argsort(d, axis=1, kind="stable")
-                    before = np.cumsum(ns[order], axis=1) - ns[order]
-                    near = np.zeros(d.shape, bool)
-                    np.put_along_axis(near, order, before < need, axis=1)
-                    if first:
-                        go = near
-                    else:
-                        bound = part["_bound"].to_numpy(dtype="float64")[:, None]
-                        slack = 2.0 * 10.0 ** (-decimals) + 1e-7 * (1.0 + d)
-                        go = ~near & (d - rs[None, :] <= bound + slack)
-                    rows, cols = np.nonzero(go)
-                    n = np.array([blocks[g, c] for c in ids])[cols]
-                    rows, cols, block = np.repeat(rows, n), np.repeat(cols, n), np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                    out = part.iloc[rows][["_qid", *w, *fcols]].reset_index(drop=True)
-                    yield out.assign(_cell=ids[cols].astype("int32"), _block=block.astype("int32"))
+                    ids, cuts = ids.astype("int64"), np.array([blocks[g, c] for c in ids])
+                    # So many rows at a time that those they become, and the distances to the pivots, are bounded.
+                    few = max(1, ROUTED // int(cuts.sum()))
+                    for s in range(0, len(group), few):
+                        part = group.iloc[s : s + few]
+                        d = _distances(_matrix(part, fcols), P[ids])
+                        order = np.argsort(d, axis=1, kind="stable")
+                        before = np.cumsum(ns[order], axis=1) - ns[order]
+                        near = np.zeros(d.shape, bool)
+                        np.put_along_axis(near, order, before < need, axis=1)
+                        if first:
+                            go = near
+                        else:
+                            bound = part["_bound"].to_numpy(dtype="float64")[:, None]
+                            slack = 2.0 * 10.0 ** (-decimals) + 1e-7 * (1.0 + d)
+                            go = ~near & (d - rs[None, :] <= bound + slack)
+                        rows, cols = np.nonzero(go)
+                        n = cuts[cols]
+                        rows, cols, block = np.repeat(rows, n), np.repeat(cols, n), np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                        out = part.iloc[rows][["_qid", *w, *fcols]].reset_index(drop=True)
+                        yield out.assign(_cell=ids[cols].astype("int32"), _block=block.astype("int32"))
 
         return run
 
@@ -308,7 +415,8 @@ def _knn_cells(qry, ref, k, fcols, within, exclude_self, carry, decimals, block_
                 return pd.DataFrame({c: [] for c in ["query_id", "ref_id", "rank", "distance"] + ([carry] if carry else [])})
             rp = rp.sort_values("_rid", kind="stable")
             r_ids, q_ids = rp["_rid"].to_numpy(dtype="int64"), qp["_qid"].to_numpy(dtype="int64")
-            qi, ri, di, rank = _topk_block(q_ids, _matrix(qp, fcols), r_ids, _matrix(rp, rf), k, decimals, exclude_self)
+            R = _matrix(rp, rf)
+            qi, ri, di, rank = _topk_block(q_ids, _matrix(qp, fcols), r_ids, R, k, decimals, exclude_self, _tree(r_ids, R, k))
             return _frame(q_ids, r_ids, rp["_c"].to_numpy() if carry else None, qi, ri, di, rank, carry)
 
         keys = [*sides, "_cut"]
@@ -382,18 +490,18 @@ def knn_vote(
         near = _knn_cells(qry.drop(*[f"_k{i}" for i in range(len(keep))]), ref, max(ks), fcols, None, False, "_label", decimals, block_rows)
         joined = qry.join(votes(near, "_label", ks).withColumnRenamed("query_id", "_qid"), "_qid") if keep else votes(near, "_label", ks).withColumnRenamed("query_id", "_qid")
         return joined.select(*out, *named)
-    bc = qry.sparkSession.sparkContext.broadcast(_reference_groups(pdf, fcols, None, "_c"))
+    bc = qry.sparkSession.sparkContext.broadcast(_reference_groups(pdf, fcols, None, "_c", max(ks)))
     types = dict(qry.dtypes)
     carried = ["_qid", *[f"_k{i}" for i in range(len(keep))]]
     schema = ", ".join([f"{c} {types[c]}" for c in carried] + [f"{n} int" for n in named])
 
     def run(batches):
-        r_ids, labels, R = bc.value[None]
+        r_ids, labels, R, tree = bc.value[None]
         for b in batches:
             if not len(b) or not len(r_ids):
                 continue
             q_ids = b["_qid"].to_numpy(dtype="int64")
-            qi, ri, _, rank = _topk_block(q_ids, _matrix(b, fcols), r_ids, R, max(ks), decimals, False)
+            qi, ri, _, rank = _topk_block(q_ids, _matrix(b, fcols), r_ids, R, max(ks), decimals, False, tree)
             rows = b[carried].copy()
             for k, name in zip(ks, named):
                 rows[name] = _vote_block(labels[ri], qi, rank, len(b), k).astype("int32")

@@ -133,3 +133,65 @@ def test_missing_features_follow_the_policy(spark, kw):
 def test_no_training_rows(spark):
     df = spark.createDataFrame([(1, 1, 0.0)], "id long, class int, x double")
     assert knn_predict(df.limit(0), df, 1, ["x"], "id", "class").count() == 0
+
+
+@pytest.mark.parametrize("exclude_self", [False, True])
+@pytest.mark.parametrize("features", [1, 3, 6])
+def test_a_tree_finds_what_all_distances_find(features, exclude_self, monkeypatch):
+    from riskloom.operators import knn as K
+
+    rng = np.random.default_rng(features)
+    R = np.round(rng.normal(size=(3000, features)) * [3, 1, 1, 1, 1, 1][:features], 1)  # ties and copies
+    R[::3] = R[0]  # a thousand copies
+    ids = np.sort(rng.choice(5000, 3000))  # some ids repeat
+    Q, q_ids = np.vstack([R[::5], rng.normal(size=(400, features)) * 9]), np.r_[ids[::5], np.arange(9000, 9400)]
+    tree = K._tree(ids, R, 5)
+    met, plain = [], tree._met
+    monkeypatch.setattr(tree, "_met", lambda q, *a: met.append(len(q)) or plain(q, *a))
+    got = K._topk_block(q_ids, Q, ids, R, 5, 9, exclude_self, tree)
+    want = K._topk_block(q_ids, Q, ids, R, 5, 9, exclude_self)
+    assert all((a == b).all() for a, b in zip((ids[got[1]], *got[::2], got[3]), (ids[want[1]], *want[::2], want[3]), strict=True))
+    assert sum(met) * tree.width < len(Q) * len(R) / 3  # far from all pairs
+
+
+def test_a_tree_needs_few_finite_features_and_many_rows():
+    from riskloom.operators import knn as K
+
+    R = np.random.default_rng(1).normal(size=(K.TREE_ROWS, 2))
+    assert K._tree(np.arange(len(R)), R, 3) is not None
+    assert K._tree(np.arange(len(R) - 1), R[1:], 3) is None
+    assert K._tree(np.arange(len(R)), np.where(R == R[5], np.nan, R), 3) is None
+    assert K._tree(np.arange(len(R)), np.zeros((len(R), K.TREE_FEATURES + 1)), 3) is None
+
+
+def test_rows_are_routed_in_bounded_pieces(spark, monkeypatch):
+    """A query row that reaches every cell becomes many rows; a task holds few of them at a time."""
+    from riskloom.operators import knn as K
+
+    seen = []
+    rng = np.random.default_rng(5)
+    df = spark.createDataFrame([(i, [float(c) for c in r]) for i, r in enumerate(rng.normal(size=(900, 24)))], "id long, v array<double>")
+    monkeypatch.setattr(K, "ROUTED", 64)
+    plain = type(df).mapInPandas
+
+    def counted(self, fn, schema, *a, **kw):
+        if "_block" not in schema:
+            return plain(self, fn, schema, *a, **kw)
+        seen.append(max((len(out) for out in fn(iter([self.toPandas()]))), default=0))
+        return plain(self, fn, schema, *a, **kw)
+
+    monkeypatch.setattr(type(df), "mapInPandas", counted)
+    got = knn_join(df, df, 4, ["v"], "id", "id", exclude_self=True, broadcast_max_bytes=0, block_rows=40)
+    want = knn_join(df, df, 4, ["v"], "id", "id", exclude_self=True)
+    order = lambda x: sorted(tuple(r) for r in x.select("query_id", "ref_id", "rank", "distance").collect())
+    assert order(got) == order(want)
+    assert len(seen) == 2 and max(seen) <= 64
+
+
+def test_cells_keep_of_many_copies_those_of_small_ids(spark):
+    df = spark.createDataFrame([(i, 0.0 if i < 500 else float(i)) for i in range(600)], "id long, x double")
+    rows = knn_join(df, df, 2, ["x"], "id", "id", exclude_self=True, **CELLS).where("query_id < 500").collect()
+    got = {}
+    for r in sorted(rows, key=lambda r: (r["query_id"], r["rank"])):
+        got.setdefault(r["query_id"], []).append(r["ref_id"])
+    assert got == {i: {0: [1, 2], 1: [0, 2]}.get(i, [0, 1]) for i in range(500)}
