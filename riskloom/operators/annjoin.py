@@ -12,6 +12,7 @@ projections lie nearest to their thresholds; distances to what it finds there ar
 * A bucket over ``hot`` times its due is split by further bits of the code, until its parts are small or the
   bits run out.  Buckets are searched in tasks of a block of queries and a block of rows; both blocks are
   bounded whatever the bucket.
+* A task takes the distances of its blocks together, by one matrix product and then exactly for the nearest.
 * Only the k best of a task leave it; a query's lists are merged by id.
 
 Empty tables give no row; a query with no candidate has none.  Null vectors and ids are left out; query rows
@@ -26,6 +27,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.functions.hashing import hash_int
+from riskloom.operators.joins import broadcast_if_small
+from riskloom.operators.knn import _topk_block
 from riskloom.session import materialize
 
 SAMPLE_ROWS = 10_000
@@ -52,8 +55,8 @@ def _code(bits: np.ndarray) -> np.ndarray:
     return bits.astype(np.int64) @ (1 << np.arange(CODE_BITS - 1, -1, -1, dtype=np.int64))
 
 
-def codes(rows: DataFrame, planes: Planes, tables: int, bits: int, probes: int) -> DataFrame:
-    """id, vec, table, code: the code of every row in every table, and of ``probes`` turned bits."""
+def codes(rows: DataFrame, planes: Planes, tables: int, bits: int, probes: int, vec: bool = True) -> DataFrame:
+    """id, vec (if asked for), table, code: the code of every row in every table, and of ``probes`` turned bits."""
     held = rows.sparkSession.sparkContext.broadcast(planes)
 
     def run(batches):
@@ -67,9 +70,9 @@ def codes(rows: DataFrame, planes: Planes, tables: int, bits: int, probes: int)
                 near = np.argsort(np.abs(m[:, :bits]), axis=1, kind="stable")[:, : min(probes, bits)]
                 turned = [own, *[own ^ (np.int64(1) << (CODE_BITS - 1 - near[:, j]).astype(np.int64)) for j in range(near.shape[1])]]
                 for code in turned:
-                    yield pd.DataFrame({"id": b["id"], "vec": b["vec"], "table": t, "code": code})
+                    yield pd.DataFrame({"id": b["id"], **({"vec": b["vec"]} if vec else {}), "table": t, "code": code})
 
-    return rows.mapInPandas(run, "id long, vec array<double>, table int, code long")
+    return rows.mapInPandas(run, f"id long, {'vec array<double>, ' if vec else ''}table int, code long")
 
 
 def _first(code, n):
@@ -112,12 +115,14 @@ def approximate_knn_join(
     def placed(df: DataFrame) -> DataFrame:
         df = df.withColumn("top", _first(F.col("code"), F.lit(bits))).join(depth, ["table", "top"], "left")
         df = df.withColumn("depth", F.coalesce("depth", F.lit(bits)))
-        return df.select("id", "vec", "table", "depth", _first(F.col("code"), F.col("depth")).alias("bucket"))
+        return df.withColumn("bucket", _first(F.col("code"), F.col("depth"))).drop("top", "code")
 
     by = ["table", "depth", "bucket"]
-    ref, asked = placed(ref), materialize(placed(codes(rows(query, query_id), planes, tables, bits, probes)), "asked")
+    # A query row has many codes: they are counted without its vector and made again with it, never written.
+    ask = lambda vec: placed(codes(rows(query, query_id), planes, tables, bits, probes, vec))
+    ref, asked = placed(ref), ask(True)
     size = lambda df, name: df.groupBy(*by).agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias(name))
-    blocks = materialize(size(ref, "r_blocks").join(size(asked, "q_blocks"), by), "blocks")
+    blocks = broadcast_if_small(size(ref, "r_blocks").join(size(ask(False), "q_blocks"), by))
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     mine = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
     key = [*by, "q", "r"]
@@ -128,17 +133,13 @@ def approximate_knn_join(
     def near(q: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
         if not len(q) or not len(r):
             return pd.DataFrame({"query_id": [], "ref_id": [], "distance": [], "seen": []})
+        seen = len(r)
         r = r.sort_values("id", kind="stable")
-        ids, there = r["id"].to_numpy(), np.stack(r["vec"].to_numpy())
-        out = []
-        for i, v in zip(q["id"].to_numpy(), q["vec"], strict=True):
-            gap = np.sqrt(((there - v) ** 2).sum(1)).round(decimals)
-            if exclude_self:
-                gap = np.where(ids == i, np.inf, gap)
-            best = np.argsort(gap, kind="stable")[:k]
-            best = best[gap[best] < np.inf]
-            out.append(pd.DataFrame({"query_id": i, "ref_id": ids[best], "distance": gap[best], "seen": [len(ids), *[0] * (len(best) - 1)][: len(best)]}))
-        return pd.concat(out, ignore_index=True)
+        q_ids, asks, ids, there = q["id"].to_numpy(), np.stack(q["vec"].to_numpy()), r["id"].to_numpy(), np.stack(r["vec"].to_numpy())
+        told, known = np.isfinite(asks).all(1), np.isfinite(there).all(1)  # others are near nothing
+        q_ids, asks, ids, there = q_ids[told], asks[told], ids[known], there[known]
+        qi, ri, gap, rank = _topk_block(q_ids, asks, ids, there, k, decimals, exclude_self)
+        return pd.DataFrame({"query_id": q_ids[qi], "ref_id": ids[ri], "distance": gap, "seen": np.where(rank == 1, seen, 0)})
 
     found = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInPandas(near, PAIR + ", seen long")
     found = found.groupBy("query_id", "ref_id").agg(F.min("distance").alias("distance"), F.sum("seen").alias("seen"))

@@ -59,3 +59,27 @@ def test_odd_rows(spark):
     assert sorted(map(tuple, got)) == [(1, 3, 1), (3, 1, 1)]
     assert A.approximate_knn_join(df, df.limit(0), 2, "v", "k", "k").count() == 0
     assert A.approximate_knn_join(df.limit(0), df, 2, "v", "k", "k").count() == 0
+
+
+def test_a_task_takes_its_distances_together(spark):
+    """Frames made grow with the groups, not with the query rows; vectors that are not finite are near nothing."""
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(300, 8))
+    x[7, 2], x[8, 1] = np.nan, np.inf
+    df = frame(spark, x)
+    got = {(r["query_id"], r["ref_id"], r["rank"]): (r["distance"], r["n_candidates"]) for r in A.approximate_knn_join(df, df, 4, "v", "k", "k", exclude_self=True, bucket_rows=1000, tables=1, probes=0).collect()}
+    gap = np.sqrt(((x[:, None, :] - x[None]) ** 2).sum(2)).round(9)
+    gap[~(gap < np.inf)] = np.inf
+    np.fill_diagonal(gap, np.inf)
+    assert not {q for q, *_ in got} & {7, 8}
+    for (q, r, rank), (d, n) in got.items():
+        assert d == gap[q, r] and 1 <= n <= 300 and rank in (1, 2, 3, 4)
+
+
+def test_vectors_of_queries_are_not_written_with_every_code(spark, monkeypatch):
+    written, plain = [], A.materialize
+    monkeypatch.setattr(A, "materialize", lambda df, name: written.append((name, df.columns)) or plain(df, name))
+    df = frame(spark, np.random.default_rng(7).normal(size=(60, 4)))
+    A.approximate_knn_join(df, df, 2, "v", "k", "k", exclude_self=True)
+    assert "vec" in dict(written)["reference"] and [name for name, columns in written if "vec" in columns and name not in ("reference", "index")] == []
+    assert "asked" not in dict(written)
