@@ -1,6 +1,7 @@
 """Second-order boosting against a plain version, and its properties."""
 
 import json
+import pickle
 
 import numpy as np
 import pytest
@@ -99,3 +100,22 @@ def test_what_cannot_be_learned_raises(spark):
     for bad in (df.limit(0), df.selectExpr("k", "features", "y + 1 as y"), df.selectExpr("k", "features", "cast(null as int) as y")):
         with pytest.raises(ValueError):
             BoostedTrees(labelCol="y", maxIter=1).fit(bad)
+
+
+def test_splits_are_found_in_tasks_and_no_sums_come_to_the_driver(spark, monkeypatch):
+    from pyspark import RDD
+
+    from riskloom.operators import boosting as B
+
+    rng = np.random.default_rng(8)
+    x = rng.integers(0, 30, size=(400, 3)).astype(float)
+    rows = spark.createDataFrame([([float(c) for c in r], int(r[0] + r[1] > 30)) for r in x], "x array<double>, y int")
+    edges = B.bin_edges(rows, 3, 256)
+    sizes, shape = [len(e) for e in edges], (3, 4, 0.3, 1.0, 1.0)
+    alone = B.boost(B.blocks(rows, edges, 1), sizes, *shape)
+    came, plain = [], RDD.collect
+    monkeypatch.setattr(RDD, "collect", lambda self: came.append(plain(self)) or came[-1])
+    monkeypatch.setattr(RDD, "treeReduce", lambda *a, **k: pytest.fail("sums of all bins on the driver"))
+    apart = B.boost(B.blocks(rows, edges, 4), sizes, *shape)
+    assert [t.__dict__ for t in apart] == [t.__dict__ for t in alone]
+    assert came and max(len(pickle.dumps(c)) for c in came) < 20_000
