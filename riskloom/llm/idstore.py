@@ -29,6 +29,8 @@ from riskloom.llm.tokens import encoder
 SAMPLE_DOCUMENTS = 512
 DICTIONARY_BYTES = 64 << 10
 SHARD_BYTES = 64 << 20
+#: Bytes of text encoded at a time: a word that repeats in them is looked up once.
+ENCODE_BYTES = 8 << 20
 LEVEL = 3
 MAGIC = b"IDSHARD1"
 INDEX = np.dtype([("doc_id", "<i8"), ("null_id", "?"), ("offset", "<i8"), ("length", "<i8"), ("n_tokens", "<i8")])
@@ -42,7 +44,7 @@ def _width(path: str) -> str:
 
 def _documents(batch: pa.RecordBatch, path: str, end_id: int) -> Iterator[tuple[object, np.ndarray]]:
     """(doc_id, its ids with the end id) of every row."""
-    for part in text_chunks(batch):
+    for part in text_chunks(batch, limit=ENCODE_BYTES):
         ids, at = encoder(path).encode(part.column("text"))
         for key, a, b in zip(part.column("doc_id").to_pylist(), at[:-1], at[1:], strict=True):
             yield key, np.append(ids[a:b], np.uint32(end_id))
@@ -95,7 +97,7 @@ def write_store(docs: DataFrame, path: str, end_id: int, *, id_col="doc_id", tex
         width, packer = _width(path), zstandard.ZstdCompressor(level=LEVEL, dict_data=dictionary)
         schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("frame", pa.binary())])
         for batch in batches:
-            for part in text_chunks(batch, limit=8 << 20):
+            for part in text_chunks(batch, limit=ENCODE_BYTES):
                 keys, sizes, frames = [], [], []
                 for key, ids in _documents(part, path, end_id):
                     keys.append(key)

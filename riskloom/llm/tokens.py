@@ -16,6 +16,8 @@ import pyarrow.compute as pc
 
 #: Parts whose ids a worker keeps; when there are more, it forgets them all and begins anew.
 KEEP_PARTS = 600_000
+#: Runs of letters whose ids a worker keeps besides, for parts that differ in case or stops only.
+KEEP_HEADS = 150_000
 
 _ENCODERS: dict[str, WordEncoder] = {}
 
@@ -37,6 +39,7 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.byte_letters = _byte_letters()
         self.tails: dict[str, list[int]] = {"": []}
+        self.heads: dict[str, list[int]] = {}
         self.reset()
 
     def reset(self) -> None:
@@ -65,7 +68,12 @@ class WordEncoder:
             if len(self.tails) > 10_000:
                 self.tails = {"": []}
             self.tails[tail] = self.tokenizer.encode(tail, add_special_tokens=False).ids
-        return [t.id for t in self.tokenizer.model.tokenize(head)] + self.tails[tail]
+        ids = self.heads.get(head)
+        if ids is None:  # a word comes with and without stops, in lower and upper case
+            if len(self.heads) >= KEEP_HEADS:
+                self.heads = {}
+            ids = self.heads[head] = [t.id for t in self.tokenizer.model.tokenize(head)]
+        return ids + self.tails[tail] if tail else ids
 
     def _learn(self, parts: list[str]) -> None:
         found = [self._part(w) for w in parts]
@@ -94,7 +102,7 @@ class WordEncoder:
         if not len(words):
             return np.zeros(0, np.uint32), np.zeros(len(column) + 1, np.int64)
         coded = words.dictionary_encode()
-        parts = coded.dictionary.to_pylist()
+        parts = coded.dictionary.to_numpy(zero_copy_only=False).tolist()  # strings made in one go
         new = [p for p in parts if p not in self.slot]
         if new and len(self.slot) + len(new) > KEEP_PARTS:
             self.reset()
