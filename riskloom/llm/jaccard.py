@@ -54,8 +54,10 @@ CLASS_FACTOR = 1.25
 CELL_POINTS = 4096
 #: Points and shingles (8 bytes each) of a bundle that one task searches; larger ones go by cells.
 BUNDLE_POINTS, BUNDLE_SHINGLES = 4096, 1 << 23
-#: The most groups of a bundle's count vectors.
-BUNDLE_GROUPS = 4096
+#: The most groups of a bundle's count vectors, and counts (4 bytes each) of a bundle.
+BUNDLE_GROUPS, BUNDLE_COUNTS = 4096, 1 << 22
+#: Bytes of text whose shingles are made at a time.
+CHUNK_BYTES = 1 << 18
 
 _GROUP, _BLOCK = np.uint64(0xA24BAED4963EE407), np.uint64(0x9FB21C651E98DF25)
 
@@ -190,7 +192,7 @@ def document_sets(docs: DataFrame, words: int) -> DataFrame:
 
     def name(batches):
         for batch in batches:
-            for chunk in text_chunks(batch):
+            for chunk in text_chunks(batch, limit=CHUNK_BYTES):
                 sets = shingle_sets(chunk.column("text"), words, True)
                 names = [set_name(s) for s in sets]
                 yield pa.RecordBatch.from_arrays(
@@ -206,7 +208,7 @@ def cell_rows(docs: DataFrame, words: int, threshold: Threshold) -> DataFrame:
 
     def cells(batches):
         for batch in batches:
-            for chunk in text_chunks(batch):
+            for chunk in text_chunks(batch, limit=CHUNK_BYTES):
                 keys, names, seen = [], [], set()
                 for s in shingle_sets(chunk.column("text"), words, True):
                     if s.size and (name := set_name(s)[0]) not in seen:
@@ -226,7 +228,7 @@ def described(docs: DataFrame, words: int, what: str, of: Callable[[np.ndarray],
 
     def pack(batches):
         for batch in batches:
-            for chunk in text_chunks(batch):
+            for chunk in text_chunks(batch, limit=CHUNK_BYTES):
                 sets = shingle_sets(chunk.column("text"), words, True)
                 names = [set_name(s) for s in sets]
                 columns = [chunk.column("doc_id"), pa.array([a for a, _ in names], pa.int64()), pa.array([b for _, b in names], pa.int64()), pa.array([of(s) for s in sets], pa.binary())]
@@ -324,7 +326,11 @@ def spanning_links(part: np.ndarray, sets: list[np.ndarray], threshold: Threshol
     """Links (as places) that join the parts of a bundle as far as its sets are linked."""
     size = np.array([len(x) for x in sets], np.int64)
     groups = min(max(1 << int(size.mean()).bit_length(), GROUPS), BUNDLE_GROUPS)
-    counts = np.array([group_counts(x, groups) for x in sets]).astype(np.int32)
+    while groups > GROUPS and groups * len(sets) > BUNDLE_COUNTS:  # fewer groups only let more pairs through to their sets
+        groups //= 2
+    counts = np.empty((len(sets), groups), np.int32)
+    for i, x in enumerate(sets):
+        counts[i] = group_counts(x, groups)
     tree, label, links = CountTree(counts, size), np.unique(part, return_inverse=True)[1], []
     for i in range(len(sets)):
         found = tree.search(counts[i], int(size[i]), threshold.percent)

@@ -57,6 +57,9 @@ _SCRIPT = _script_table()
 _LETTER = np.zeros(256, bool)
 _LETTER[0x61:0x7B] = _LETTER[0x80:] = True
 
+#: Bytes of text labelled at a time: what is made of them is some hundred times as large.
+CHUNK_BYTES = 1 << 18
+
 _MODELS: dict[str, Model] = {}
 
 
@@ -197,13 +200,13 @@ def predicted(text: Column, uri: str) -> Column:
 
     @F.arrow_udf(RESULT)
     def run(column: pa.Array) -> pa.Array:
-        model, out = Model.load(uri), []
+        model, done = Model.load(uri), []
         batch = pa.RecordBatch.from_arrays([column], names=["text"])
-        for chunk in text_chunks(batch):
-            own = chunk.column("text")
+        for chunk in text_chunks(batch, limit=CHUNK_BYTES):
+            own, out = chunk.column("text"), []
             real = pc.fill_null(pc.match_substring_regex(own, r"\pL"), False).to_pylist()
             if not model.langs:
-                out += [{"lang_pred": UNKNOWN, "score": 0.0, "spans": []}] * len(own)
+                done.append(pa.array([{"lang_pred": UNKNOWN, "score": 0.0, "spans": []}] * len(own), kind))
                 continue
             for letters, labels, sizes in zip(real, *model.label(own), strict=True):
                 if not letters or not len(labels):
@@ -214,7 +217,8 @@ def predicted(text: Column, uri: str) -> Column:
                 cuts = np.concatenate([[0], np.flatnonzero(np.diff(labels)) + 1, [len(labels)]])
                 spans = [{"lang": model.langs[labels[a]], "start": int(a), "end": int(b)} for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
                 out.append({"lang_pred": model.langs[best], "score": float(share[best] / share.sum()), "spans": spans})
-        return pa.array(out, kind)
+            done.append(pa.array(out, kind))
+        return pa.concat_arrays(done) if done else pa.array([], kind)
 
     return run(text)
 
