@@ -8,7 +8,7 @@ texts that follow in the same Python worker.
 from __future__ import annotations
 
 import os
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -103,13 +103,15 @@ class WordEncoder:
             return np.zeros(0, np.uint32), np.zeros(len(column) + 1, np.int64)
         coded = words.dictionary_encode()
         parts = coded.dictionary.to_numpy(zero_copy_only=False).tolist()  # strings made in one go
-        new = [p for p in parts if p not in self.slot]
-        if new and len(self.slot) + len(new) > KEEP_PARTS:
+        slots = np.fromiter(map(self.slot.get, parts, repeat(-1)), np.int64, len(parts))
+        missing = np.flatnonzero(slots < 0)
+        if len(missing) and len(self.slot) + len(missing) > KEEP_PARTS:
             self.reset()
-            new = parts
-        if new:
-            self._learn(new)
-        slots = np.array([self.slot[p] for p in parts], np.int64)[coded.indices.to_numpy()]
+            missing = np.arange(len(parts))
+        if len(missing):
+            slots[missing] = len(self.slot) + np.arange(len(missing))
+            self._learn([parts[i] for i in missing.tolist()])
+        slots = slots[coded.indices.to_numpy()]
         lens = self.at[slots + 1] - self.at[slots]
         to = np.concatenate([[0], np.cumsum(lens)])
         from_ = np.repeat(self.at[slots] - to[:-1], lens) + np.arange(to[-1])

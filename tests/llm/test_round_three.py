@@ -42,3 +42,15 @@ def test_a_bundles_count_vectors_are_bounded(monkeypatch):
     got = J.spanning_links(part, sets, threshold)
     assert got == want and len(want) == 48
     assert sizes[0] > 20_000 >= sizes[1]
+
+
+def test_parts_forgotten_are_learned_again(monkeypatch):
+    tokens = pytest.importorskip("public_tokenizers")
+    from riskloom.llm import tokens as own
+
+    monkeypatch.setattr(own, "KEEP_PARTS", 4)
+    e = own.WordEncoder(tokens.path("word_bpe_49k.json"))
+    for text in ("one two three", "two three four", "five six seven one", "a b c d e f a", "one two a $$ 12"):
+        ids, at = e.encode(pa.array([text, "two"]))
+        assert list(ids[: at[1]]) == e.tokenizer.encode(text, add_special_tokens=False).ids
+        assert list(ids[at[1] :]) == e.tokenizer.encode("two", add_special_tokens=False).ids
