@@ -9,9 +9,12 @@ Jaccard similarity of their sets is at least the threshold t.
    shingles into more than D blocks leaves a block in which both agree, so points meet in a cell for
    every (size class, block, sum of the block's hashes); a block that is empty counts only for sets
    with too few others.  No linked pair is missed, and a passage that many documents share fills a
-   block alone only by chance.
-3. Count vectors.  Each point's shingles are hashed into ``GROUPS`` groups; the counts are its place.
-   Two points share at most the sum, over the groups, of the smaller count.  In a cell the points are in
+   block alone only by chance.  These rows, many a document, are the most that is shuffled: they hold a
+   short name of the set, and points whose short names are equal meet in a cell of their own.
+3. Count vectors.  Each point's shingles are hashed into groups, more of them for larger sets (with few a
+   group would hold so many that any two large sets look alike); the counts are its place.  A vector folds
+   to fewer groups, so that points of any two sizes compare.  Two points share at most the sum, over the
+   groups, of the smaller count.  In a cell the points are in
    an R-tree whose nodes hold the greatest counts below them; a search goes down where the summed
    minima still reach what the threshold asks.
 4. Verification on the whole shingle sets.  A cell's points are first held against the cell's
@@ -21,7 +24,8 @@ Jaccard similarity of their sets is at least the threshold t.
    points that may be linked across parts; then, with those points' whole sets at hand, on as many groups
    as the sets are large, every pair that is left being verified there and then unless it is joined
    already.  Only links that join two parts are put out: fewer than a bundle has points.
-   Bundles too large for a task are searched cell by cell, their pairs verified after a shuffle.
+   Bundles too large for a task are searched cell by cell on ``GROUPS`` groups, their pairs held against
+   the packed counts again and verified after a shuffle.
 5. Components of the links.
 
 Null ids: their rows come back with a null component and link nothing.  Rows that share an id are one
@@ -37,6 +41,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -44,7 +49,8 @@ from riskloom.llm.common import drop_ids, id_side, materialize, text_chunks, tex
 from riskloom.llm.components import components
 from riskloom.llm.words import mix, shingle_sets
 
-GROUPS = 128
+#: The least groups of a packed count vector, the most, and the shingles of a group on average (up to the most groups).
+GROUPS, MOST_GROUPS, GROUP_SHINGLES = 128, 1 << 15, 4
 #: Counts are kept in a byte; this one stands for itself and all greater, and bounds nothing.
 FULL = 255
 LEAF = 16
@@ -56,6 +62,8 @@ CELL_POINTS = 4096
 BUNDLE_POINTS, BUNDLE_SHINGLES = 4096, 1 << 23
 #: The most groups of a bundle's count vectors, and counts (4 bytes each) of a bundle.
 BUNDLE_GROUPS, BUNDLE_COUNTS = 4096, 1 << 22
+#: Bits of the short names of sets (of ``s1``, the lowest), 32 at most.
+NAME_BITS = 32
 #: Bytes of text whose shingles are made at a time.
 CHUNK_BYTES = 1 << 18
 
@@ -128,15 +136,43 @@ def group_counts(hashes: np.ndarray, groups: int) -> np.ndarray:
     return np.bincount(((hashes * _GROUP) >> np.uint64(40)).astype(np.int64) % groups, minlength=groups)
 
 
-def count_vector(hashes: np.ndarray) -> np.ndarray:
-    return np.minimum(group_counts(hashes, GROUPS), FULL).astype(np.uint8)
+def groups_of(size: int) -> int:
+    """The groups, a power of two, of the packed vector of a set of ``size``."""
+    groups = GROUPS
+    while groups < MOST_GROUPS and groups * GROUP_SHINGLES < size:
+        groups *= 2
+    return groups
 
 
-def count_vectors(column: pa.Array) -> np.ndarray:
-    """A row of counts for each packed vector; a full count bounds nothing."""
-    counts = np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, GROUPS).astype(np.int32)
-    counts[counts == FULL] = 1 << 20
-    return counts
+def count_vector(hashes: np.ndarray, groups: int = GROUPS) -> np.ndarray:
+    return np.minimum(group_counts(hashes, groups), FULL).astype(np.uint8)
+
+
+def widths(column: pa.Array) -> np.ndarray:
+    """The groups of each packed vector."""
+    return pc.binary_length(column).to_numpy().astype(np.int64)
+
+
+def count_vectors(column: pa.Array, groups: int | None = None) -> np.ndarray:
+    """A row of counts for each packed vector, all folded to ``groups`` (those of the shortest, or fewer
+    where there are many vectors); a full count bounds nothing."""
+    width = widths(column)
+    if groups is None:
+        groups = int(width.min())
+        while groups > GROUPS and groups * len(width) > BUNDLE_COUNTS:
+            groups //= 2
+    packed, out = column.to_pylist(), np.empty((len(width), groups), np.int32)
+    for w in np.unique(width):
+        for at in pieces(np.flatnonzero(width == w), BUNDLE_COUNTS // int(w)):
+            counts = np.frombuffer(b"".join([packed[i] for i in at]), np.uint8).reshape(-1, w).astype(np.int32)
+            counts[counts == FULL] = 1 << 20
+            out[at] = counts.reshape(len(at), -1, groups).sum(1)
+    return out
+
+
+def pieces(places: np.ndarray, size: int) -> list[np.ndarray]:
+    size = max(1, size)
+    return [places[i : i + size] for i in range(0, len(places), size)]
 
 
 class CountTree:
@@ -204,7 +240,8 @@ def document_sets(docs: DataFrame, words: int) -> DataFrame:
 
 
 def cell_rows(docs: DataFrame, words: int, threshold: Threshold) -> DataFrame:
-    """cell, s1: the cells of every set; sets that repeat within a chunk come once."""
+    """cell, name: the cells of every set by its short name; sets that repeat within a chunk come once."""
+    cut = 64 - NAME_BITS
 
     def cells(batches):
         for batch in batches:
@@ -215,11 +252,22 @@ def cell_rows(docs: DataFrame, words: int, threshold: Threshold) -> DataFrame:
                         seen.add(name)
                         own = cell_keys(s, threshold)
                         keys.append(own)
-                        names.append(np.full(len(own), name, np.int64))
+                        names.append(np.full(len(own), name, np.int64) << cut >> cut)
                 if keys:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(names))], names=["cell", "s1"])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(names).astype(np.int32))], names=["cell", "name"])
 
-    return docs.mapInArrow(cells, "cell long, s1 long")
+    return docs.mapInArrow(cells, "cell long, name int")
+
+
+def shared_cells(rows: DataFrame, points: DataFrame) -> DataFrame:
+    """cell, node of the cells (``rows``: cell, name) in which different points meet."""
+    by_cell = Window.partitionBy("cell")
+    shared = rows.withColumn("lo", F.min("name").over(by_cell)).withColumn("hi", F.max("name").over(by_cell)).filter("lo < hi").select("cell", "name").distinct()
+    short = points.select(F.shiftright(F.shiftleft("s1", 64 - NAME_BITS), 64 - NAME_BITS).cast("int").alias("name"), "node")
+    # A cell that holds one name may still hold several points of that name.
+    alike = short.groupBy("name").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo < hi").select("name")
+    same = short.join(alike, "name").select(F.xxhash64("name").alias("cell"), "node")
+    return shared.join(short, "name").select("cell", "node").union(same).distinct()
 
 
 def described(docs: DataFrame, words: int, what: str, of: Callable[[np.ndarray], bytes]) -> DataFrame:
@@ -259,9 +307,13 @@ def bounded(pairs: DataFrame, vectors: DataFrame, percent: int) -> DataFrame:
     def may_link(batches):
         for batch in batches:
             if batch.num_rows:
-                x, y = (count_vectors(batch.column(c)) for c in ("xc", "yc"))
+                x, y = batch.column("xc"), batch.column("yc")
                 sizes = batch.column("xn").to_numpy() + batch.column("yn").to_numpy()
-                may = np.minimum(x, y).sum(1, dtype=np.int64) * (100 + percent) >= percent * sizes
+                groups, may = np.minimum(widths(x), widths(y)), np.zeros(batch.num_rows, bool)
+                for g in np.unique(groups):
+                    for at in pieces(np.flatnonzero(groups == g), BUNDLE_COUNTS // int(g)):
+                        shared = np.minimum(*(count_vectors(c.take(pa.array(at)), int(g)) for c in (x, y))).sum(1, dtype=np.int64)
+                        may[at] = shared * (100 + percent) >= percent * sizes[at]
                 yield pa.RecordBatch.from_arrays([c.filter(pa.array(may)) for c in batch.columns[:2]], names=["a", "b"])
 
     near = pairs.join(side("x", "a"), "a").join(side("y", "b"), "b")
@@ -269,6 +321,19 @@ def bounded(pairs: DataFrame, vectors: DataFrame, percent: int) -> DataFrame:
     return near.mapInArrow(may_link, "a long, b long")
 
 
+def narrow(vectors: DataFrame) -> DataFrame:
+    """``vectors`` (node, n, counts) folded to ``GROUPS`` groups."""
+
+    def fold(batches):
+        for batch in batches:
+            for at in pieces(np.arange(batch.num_rows), BUNDLE_COUNTS // GROUPS):
+                part = batch.slice(at[0], len(at))
+                counts = np.minimum(count_vectors(part.column("counts"), GROUPS), FULL).astype(np.uint8)
+                yield pa.RecordBatch.from_arrays([part.column("node"), part.column("n"), pa.array([c.tobytes() for c in counts], pa.binary())], names=["node", "n", "counts"])
+
+    return vectors.select("node", "n", "counts").mapInArrow(fold, "node long, n long, counts binary")
+
+
 def verified(pairs: DataFrame, sets: Sets, threshold: Threshold) -> DataFrame:
     """a, b of the pairs of nodes that are linked, by their whole sets."""
     pairs = materialize(pairs, "near")
@@ -310,7 +375,7 @@ def may_link(rows: DataFrame, vectors: DataFrame, percent: int) -> DataFrame:
     point of another part."""
 
     def search(group: pa.Table) -> pa.Table:
-        counts = count_vectors(group.column("counts"))
+        counts = count_vectors(group.column("counts").combine_chunks())
         part, size = group.column("part").to_numpy(), group.column("n").to_numpy()
         tree, keep = CountTree(counts, size), np.zeros(len(part), bool)
         for i in range(len(part)):
@@ -365,7 +430,7 @@ def tree_pairs(cells: DataFrame, vectors: DataFrame, percent: int) -> DataFrame:
 
     def search(group: pa.Table, own: np.ndarray) -> pa.Table:
         """Pairs of an own point with another: of its own kind, or else of the other kind."""
-        counts = count_vectors(group.column("counts"))
+        counts = count_vectors(group.column("counts").combine_chunks())
         node, part, size = (group.column(c).to_numpy() for c in ("node", "part", "n"))
         tree_side = np.flatnonzero(~own) if not own.all() else np.arange(len(node))
         tree, a, b = CountTree(counts[tree_side], size[tree_side]), [], []
@@ -411,9 +476,7 @@ def jaccard_components(docs: DataFrame, words: int, percent: int, *, id_col="doc
     several = filled.join(repeated, "doc_id").join(points, ["s1", "s2", "n"]).select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
 
     rows = cell_rows(docs.filter("doc_id is not null"), words, threshold)
-    by_cell = Window.partitionBy("cell")
-    shared = rows.withColumn("lo", F.min("s1").over(by_cell)).withColumn("hi", F.max("s1").over(by_cell)).filter("lo < hi").select("cell", "s1").distinct()
-    members = materialize(shared.join(points.select("s1", "node"), "s1").select("cell", "node").distinct(), "members")
+    members = materialize(shared_cells(rows, points), "members")
     # The same points often meet in many cells: of cells with the same members one is enough.
     mark = lambda seed: F.bit_xor(F.xxhash64("node", F.lit(seed)))
     alike = members.groupBy("cell").agg(mark(1).alias("m1"), mark(2).alias("m2"), F.count("*").alias("points"), F.min("node").alias("leader"))
@@ -421,7 +484,7 @@ def jaccard_components(docs: DataFrame, words: int, percent: int, *, id_col="doc
     cells = materialize(members.join(chosen.select("cell", "leader"), "cell"), "cells")
 
     sets = Sets(docs, points, words)
-    vectors = sets.column(cells.select("node"), "counts", lambda s: count_vector(s).tobytes())
+    vectors = sets.column(cells.select("node"), "counts", lambda s: count_vector(s, groups_of(len(s))).tobytes())
     hung = cells.filter("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
     stars = verified(bounded(hung, vectors, percent), sets, threshold)
     parts = components(stars).select("node", F.col("component").alias("part"))
@@ -431,7 +494,8 @@ def jaccard_components(docs: DataFrame, words: int, percent: int, *, id_col="doc
     large = met.filter("large").select("leader").distinct()
     if not large.isEmpty():
         first = apart.groupBy("cell").agg(F.min("node").alias("leader")).join(large, "leader")
-        rest = rest.union(verified(tree_pairs(apart.join(first.select("cell"), "cell"), vectors, percent), sets, threshold))
+        pairs = tree_pairs(apart.join(first.select("cell"), "cell"), narrow(vectors), percent)
+        rest = rest.union(verified(bounded(pairs, vectors, percent), sets, threshold))
     labels = components(stars.union(rest).union(several))
 
     whole = named.join(points, ["s1", "s2", "n"], "left").join(labels, "node", "left")
