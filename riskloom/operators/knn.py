@@ -26,6 +26,9 @@ reference.  Of equal reference rows only those of the k + 1 smallest ids can
 be among k neighbours; the others are left out first.
 
 Missing features follow ``checked_features``: raise (default), skip or keep.
+In the vote a query row that is kept is as far from one reference row as from
+any other, its distances being unknown: the ``k`` smallest ids vote for it, as
+in SQL, where they tie.
 Ties: distances are rounded to ``decimals`` places and ties broken by the
 smaller reference id, so results are deterministic and repeatable in SQL.
 """
@@ -41,7 +44,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.functions.hashing import hash_int
-from riskloom.operators.prepare import checked_features
+from riskloom.operators.prepare import any_missing, checked_features
 from riskloom.session import materialize
 
 DEFAULT_BROADCAST_MAX_BYTES = 64 * 1024 * 1024
@@ -237,13 +240,13 @@ def _matrix(df_or_pdf, features: Sequence[str]) -> np.ndarray:
     return df_or_pdf[cols].to_numpy(dtype="float64")
 
 
-def _inputs(query, reference, features, query_id, ref_id, within, carry, keep, nulls):
+def _inputs(query, reference, features, query_id, ref_id, within, carry, keep, nulls, query_nulls=None):
     """(query, reference, feature columns) under internal names, checked."""
     fcols = list(features)
     extra = lambda name, c: [F.col(c).alias(name)] if c else []
     ref = checked_features(reference, fcols, nulls).select(F.col(ref_id).alias("_rid"), *extra("_w", within), *extra("_c", carry), *fcols)
     kept = [F.col(c).alias(f"_k{i}") for i, c in enumerate(keep)]
-    qry = checked_features(query, fcols, nulls).select(F.col(query_id).alias("_qid"), *extra("_w", within), *fcols, *kept)
+    qry = checked_features(query, fcols, query_nulls or nulls).select(F.col(query_id).alias("_qid"), *extra("_w", within), *fcols, *kept)
     return qry, ref, fcols
 
 
@@ -476,20 +479,41 @@ def knn_vote(
     broadcast_max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES,
     block_rows: int = DEFAULT_BLOCK_ROWS,
     nulls: str = "raise",
+    query_nulls: str | None = None,
 ) -> DataFrame:
     """ML6: (id, *keep, prediction_<k> for every k) for every test row, all k
     from one pass over the distances.  In the broadcast form the vote is
     taken where the distances are, and the kept columns travel along: one
     row in, one row out, no shuffle.  Without training rows there is no vote
-    and no row."""
-    qry, ref, fcols = _inputs(test, train, features, id_col, id_col, None, label, keep, nulls)
+    and no row.  ``query_nulls``: the policy of the test rows, where it is
+    another than that of the training rows."""
+    query_nulls = nulls if query_nulls is None else query_nulls
+    qry, ref, fcols = _inputs(test, train, features, id_col, id_col, None, label, keep, nulls, query_nulls)
     pdf = _bounded_reference(ref, fcols, broadcast_max_bytes)
     out = [F.col("_qid").alias(id_col), *[F.col(f"_k{i}").alias(c) for i, c in enumerate(keep)]]
     named = [f"prediction_{k}" for k in ks]
+    if query_nulls == "keep":
+        lost = _without_distances(qry, ref, pdf, ks, fcols).select(*out, *named)
+        qry = checked_features(qry, fcols, "skip")
+        return _voted(qry, ref, pdf, ks, fcols, keep, decimals, block_rows).select(*out, *named).unionByName(lost)
+    return _voted(qry, ref, pdf, ks, fcols, keep, decimals, block_rows).select(*out, *named)
+
+
+def _without_distances(qry: DataFrame, ref: DataFrame, pdf: pd.DataFrame | None, ks: Sequence[int], fcols: list[str]) -> DataFrame:
+    """The query rows with a missing feature and their votes, those of the smallest reference ids."""
+    near = ref.select("_rid", "_c").orderBy("_rid", "_c").limit(max(ks)).toPandas() if pdf is None else pdf.sort_values(["_rid", "_c"]).head(max(ks))
+    rows = qry.where(any_missing(qry, fcols)).where(F.lit(len(near) > 0))
+    labels, rank, one = near["_c"].to_numpy(), np.arange(1, len(near) + 1), np.zeros(len(near), np.int64)
+    vote = lambda k: int(_vote_block(labels, one, rank, 1, k)[0]) if len(near) else None
+    return rows.withColumns({f"prediction_{k}": F.lit(vote(k)).cast("int") for k in ks})
+
+
+def _voted(qry, ref, pdf, ks, fcols, keep, decimals, block_rows) -> DataFrame:
+    """The query rows and their votes from the distances."""
+    named = [f"prediction_{k}" for k in ks]
     if pdf is None:
         near = _knn_cells(qry.drop(*[f"_k{i}" for i in range(len(keep))]), ref, max(ks), fcols, None, False, "_label", decimals, block_rows)
-        joined = qry.join(votes(near, "_label", ks).withColumnRenamed("query_id", "_qid"), "_qid") if keep else votes(near, "_label", ks).withColumnRenamed("query_id", "_qid")
-        return joined.select(*out, *named)
+        return qry.join(votes(near, "_label", ks).withColumnRenamed("query_id", "_qid"), "_qid") if keep else votes(near, "_label", ks).withColumnRenamed("query_id", "_qid")
     bc = qry.sparkSession.sparkContext.broadcast(_reference_groups(pdf, fcols, None, "_c", max(ks)))
     types = dict(qry.dtypes)
     carried = ["_qid", *[f"_k{i}" for i in range(len(keep))]]
@@ -507,7 +531,7 @@ def knn_vote(
                 rows[name] = _vote_block(labels[ri], qi, rank, len(b), k).astype("int32")
             yield rows
 
-    return qry.mapInPandas(run, schema).select(*out, *named)
+    return qry.mapInPandas(run, schema)
 
 
 def knn_predict(

@@ -171,7 +171,8 @@ class LoadedModel:
 
     def score(self, rows: DataFrame, keep: Sequence[str] | None = None) -> DataFrame:
         """ML14: ``rows`` (their columns ``keep``, or all) + the predicted
-        class code.  The columns it needs are the model's own (PRJ6)."""
+        class code.  The columns it needs are the model's own (PRJ6).  A
+        k-NN scores rows with missing features too."""
         from riskloom.operators.knn import knn_vote
 
         keep = list(rows.columns if keep is None else keep)
@@ -182,7 +183,9 @@ class LoadedModel:
         scaler = PopulationScalerModel.load(f"{self.path}/scaler")
         raw = {c: f"_raw_{c}" for c in keep}
         scaled = scaler.transform(rows.select(F.col(self.key), *self.features, *[F.col(c).alias(raw[c]) for c in keep if c != self.key]))
-        voted = knn_vote(reference, scaled, [self.k], self.features, self.key, self.label, keep=[raw[c] for c in keep if c != self.key])
+        voted = knn_vote(
+            reference, scaled, [self.k], self.features, self.key, self.label, keep=[raw[c] for c in keep if c != self.key], query_nulls="keep"
+        )
         return voted.select(*[F.col(c if c == self.key else raw[c]).alias(c) for c in keep], F.col(f"prediction_{self.k}").alias(PREDICTION_CODE))
 
 

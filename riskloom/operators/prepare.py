@@ -6,6 +6,8 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
@@ -31,10 +33,7 @@ def checked_features(df: DataFrame, features: Sequence[str], nulls: str = "raise
         return df
     missing = [_missing(df, f) for f in features]
     if nulls == "skip":
-        whole = ~missing[0]
-        for m in missing[1:]:
-            whole = whole & ~m
-        return df.where(whole)
+        return df.where(~any_missing(df, features))
     row = df.agg(*[F.coalesce(F.bool_or(m), F.lit(False)).alias(f"m{i}") for i, m in enumerate(missing)]).first()
     bad = [f for i, f in enumerate(features) if row[f"m{i}"]]
     if bad:
@@ -42,6 +41,11 @@ def checked_features(df: DataFrame, features: Sequence[str], nulls: str = "raise
     return df
 
 
+def any_missing(df: DataFrame, features: Sequence[str]):
+    """Whether a row has a NULL or NaN value in one of ``features``; never NULL itself."""
+    return reduce(or_, [_missing(df, f) for f in features])
+
+
 def _missing(df: DataFrame, feature: str):
     c = F.col(f"`{feature}`")
     if dict(df.dtypes)[feature].startswith("array"):

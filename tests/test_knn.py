@@ -130,6 +130,21 @@ def test_missing_features_follow_the_policy(spark, kw):
     assert sorted(r[0] for r in knn_predict(df, df, 1, ["x"], "id", "class", nulls="skip", **kw).collect()) == [1, 3]
 
 
+@pytest.mark.parametrize("kw", [{}, CELLS])
+def test_for_a_query_row_without_a_feature_the_smallest_ids_vote(spark, kw):
+    train = spark.createDataFrame([(5, 1, 0.0, 0.0), (2, 2, 9.0, 9.0), (-3, 1, 8.0, 8.0), (7, 2, 1.0, 1.0), (9, 2, 2.0, 2.0)], "id long, class int, x double, y double")
+    rows = [(1, 0.4, 0.4, "a"), (2, None, 1.0, "b"), (3, 1.0, float("nan"), None), (4, None, None, "d"), (5, 8.2, 8.2, "e")]
+    test = spark.createDataFrame(rows, "id long, x double, y double, t string")
+    voted = knn_vote(train, test, [1, 2, 5], ["x", "y"], "id", "class", keep=["t"], query_nulls="keep", **kw)
+    assert sorted(map(tuple, voted.collect())) == [
+        (1, "a", 1, 1, 2), (2, "b", 1, 1, 2), (3, None, 1, 1, 2), (4, "d", 1, 1, 2), (5, "e", 1, 1, 2)]
+    far = train.where("id > 0")  # now the smallest id is of class 2
+    assert sorted(map(tuple, knn_predict(far, test, 1, ["x", "y"], "id", "class", query_nulls="keep", **kw).collect())) == [(1, 1), (2, 2), (3, 2), (4, 2), (5, 2)]
+    assert knn_predict(train.limit(0), test, 1, ["x", "y"], "id", "class", query_nulls="keep").count() == 0
+    with pytest.raises(ValueError, match="x"):  # the training rows have their own policy
+        knn_predict(test.withColumn("class", F.lit(1)), test, 1, ["x", "y"], "id", "class", query_nulls="keep", **kw)
+
+
 def test_no_training_rows(spark):
     df = spark.createDataFrame([(1, 1, 0.0)], "id long, class int, x double")
     assert knn_predict(df.limit(0), df, 1, ["x"], "id", "class").count() == 0
