@@ -32,6 +32,9 @@ PREDICTION_CODE = "fraud_prediction"
 MODEL_ORDINAL = {"knn": 0, "decision_tree": 1, "random_forest": 2, "gbt": 3, "mlp": 4}
 
 
+#: Models of cuts.  Where one meets a missing value it takes the side of the larger values; any other model raises.
+CUTS = ("decision_tree", "random_forest", "gbt")
+
 #: Hyper-parameters a caller may set, with their defaults.
 PARAMETERS = {
     "decision_tree": {"maxDepth": 30, "maxBins": 256},
@@ -85,13 +88,15 @@ def fit_pipeline(
 
     ``train`` holds already-scaled rows; the fitted scaler, limited to the
     features the model uses, is prepended to the returned model so it can
-    score raw rows that have just those columns.
+    score raw rows that have just those columns.  A missing value in ``train``
+    raises; the returned model scores every row if it is one of ``CUTS``.
     """
     assembler = VectorAssembler(inputCols=list(features), outputCol=FEATURES_VEC, handleInvalid="error")
     clf = make_classifier(model, seed, **params)
     to_code = SQLTransformer(statement=f"SELECT *, CAST(prediction + 1 AS INT) AS {PREDICTION_CODE} FROM __THIS__")
     fitted = Pipeline(stages=[assembler, clf, to_code]).fit(training_frame(train, label))
-    stages = ([scaler.restricted(features)] if scaler is not None else []) + list(fitted.stages)
+    scoring = assembler.copy({assembler.handleInvalid: "keep"}) if model in CUTS else assembler
+    stages = ([scaler.restricted(features)] if scaler is not None else []) + [scoring, *fitted.stages[1:]]
     return PipelineModel(stages=stages)
 
 
@@ -171,8 +176,8 @@ class LoadedModel:
 
     def score(self, rows: DataFrame, keep: Sequence[str] | None = None) -> DataFrame:
         """ML14: ``rows`` (their columns ``keep``, or all) + the predicted
-        class code.  The columns it needs are the model's own (PRJ6).  A
-        k-NN scores rows with missing features too."""
+        class code.  The columns it needs are the model's own (PRJ6).  Rows
+        with missing features are scored too, but by a net, which raises."""
         from riskloom.operators.knn import knn_vote
 
         keep = list(rows.columns if keep is None else keep)

@@ -34,3 +34,9 @@ def test_neighbours_vote_for_every_row_as_in_sql(spark, tables, name):
     got, want = [tuple(r) for r in df.collect()], con.execute(E.oracle_sql()[name])
     assert _rows(df.columns, got) == _rows([c[0] for c in want.description], want.fetchall())
     assert n == (sum(r[df.columns.index("n")] for r in got) if "n" in df.columns else len(got))
+
+
+@pytest.mark.parametrize("name", ["save_load_tree"])
+def test_a_tree_scores_every_row(spark, tables, name):
+    d, n = tables
+    assert sum(r["n"] for r in E.queries()[name](spark, d).collect()) == n

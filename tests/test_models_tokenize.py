@@ -22,6 +22,22 @@ def test_save_load_identical_predictions(spark, tmp_path):
     assert set(r[0] for r in a.select("fraud_prediction").distinct().collect()) <= {1, 2}
 
 
+def test_missing_values_go_with_the_larger_ones(spark, tmp_path):
+    from riskloom.operators.models import fit_pipeline, load_and_score, save_model
+
+    train = spark.createDataFrame([(i, 1 + (i > 19), float(i)) for i in range(40)], "tx_id long, class int, a double")
+    rows = spark.createDataFrame([(1, 0.0), (2, 39.0), (3, None), (4, float("nan"))], "tx_id long, a double")
+    for name, params in (("decision_tree", {}), ("random_forest", {"numTrees": 3}), ("gbt", {"maxIter": 2})):
+        model = fit_pipeline(train, ["a"], name, **params)
+        got = load_and_score(save_model(model, str(tmp_path / name), name, ["a"]), rows)
+        assert sorted((r["tx_id"], r["fraud_prediction"]) for r in got.collect()) == [(1, 1), (2, 2), (3, 2), (4, 2)]
+    with pytest.raises(Exception, match="handleInvalid|null"):
+        fit_pipeline(train.withColumn("a", F.when(F.col("tx_id") != 7, F.col("a"))), ["a"], "decision_tree")
+    net = fit_pipeline(train, ["a"], "mlp", epochs=1)
+    with pytest.raises(Exception, match="handleInvalid|null"):
+        net.transform(rows).collect()
+
+
 def test_load_missing_model_raises(spark, tmp_path):
     from riskloom.operators.models import load_model
 
