@@ -110,9 +110,10 @@ def knn_accuracy(p: Prepared, ks: Sequence[int] = (5,)) -> DataFrame:
 
 def score_unlabelled(p: Prepared, tx: DataFrame, k: int = 5) -> DataFrame:
     """ML14 with k-NN: (tx_id, prediction) for the rows to score (class 3),
-    scaled with the fitted scaler."""
+    scaled with the fitted scaler; every row is scored, those with missing
+    features too."""
     to_score = p.scaler.transform(filter_classes(tx, SCORE_CLASSES).select(KEY, LABEL, *p.features))
-    return knn_predict(oversampled_train(p), to_score, k, p.features, KEY, LABEL)
+    return knn_predict(oversampled_train(p), to_score, k, p.features, KEY, LABEL, query_nulls="keep")
 
 
 # ---------------------------------------------------------------- selection and trainers
