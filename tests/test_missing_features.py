@@ -24,7 +24,7 @@ def tables(spark, tmp_path_factory):
     return d, 40 + len(ODD)
 
 
-@pytest.mark.parametrize("name", ["save_load_score", "score_histogram"])
+@pytest.mark.parametrize("name", ["save_load_score", "score_histogram", "stream_score"])
 def test_neighbours_vote_for_every_row_as_in_sql(spark, tables, name):
     d, n = tables
     con = duckdb.connect()
