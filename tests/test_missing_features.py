@@ -36,7 +36,7 @@ def test_neighbours_vote_for_every_row_as_in_sql(spark, tables, name):
     assert n == (sum(r[df.columns.index("n")] for r in got) if "n" in df.columns else len(got))
 
 
-@pytest.mark.parametrize("name", ["save_load_tree"])
+@pytest.mark.parametrize("name", ["save_load_tree", "tree_codes"])
 def test_a_tree_scores_every_row(spark, tables, name):
     d, n = tables
     assert sum(r["n"] for r in E.queries()[name](spark, d).collect()) == n
